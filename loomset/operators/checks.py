@@ -90,8 +90,7 @@ COMPANY_SUFFIXES = ("pty ltd", "limited", "ltd", "inc", "corporation", "corp", "
 def normalize_client(name: Column, suffixes: Sequence[str] = COMPANY_SUFFIXES) -> Column:
     name = F.lower(name)
     for suffix in suffixes:
-        kept = F.substring(name, F.lit(1), F.length(name) - F.lit(len(suffix) + 1))
-        name = F.when(name.endswith(" " + suffix), kept).otherwise(name)
+        name = F.regexp_replace(name, rf" {suffix}\z", "")
     return F.trim(name)
 
 
