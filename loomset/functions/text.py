@@ -7,17 +7,23 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import patterns as P
 
 UNI = "(?U)"  # \b, \w, \d and \s follow Unicode
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None else unicodedata.normalize("NFKC", t))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(P.WORD_RUN)).cast("long")
 
@@ -128,11 +134,12 @@ def line_count(text: Column) -> Column:
 
 
 def language_hint(text: Column, sample: int = 100) -> Column:
-    found = tokens(text)
-    head = F.slice(found, 1, sample)
-    hits = F.size(F.filter(head, lambda t: t.isin(*P.ENGLISH_HINTS)))
-    share = F.try_divide(hits.cast("double"), F.size(head).cast("double"))
-    return F.when((F.size(found) >= 10) & (share > 0.1), "en").otherwise("unknown")
+    def judge(found: Column) -> Column:
+        hits = F.size(F.filter(F.slice(found, 1, sample), lambda t: t.isin(*P.ENGLISH_HINTS)))
+        share = F.try_divide(hits.cast("double"), F.least(F.size(found), F.lit(sample)).cast("double"))
+        return F.when((F.size(found) >= 10) & (share > 0.1), "en").otherwise("unknown")
+
+    return let(tokens(text), judge)
 
 
 def text_metadata(text: Column) -> dict[str, Column]:

@@ -49,7 +49,6 @@ def diversity_drops(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     pair. The result equals going through the rows in order and keeping a row iff
     it is not too similar to any row kept before.
     """
-    spark = edges.sparkSession
     open_edges = cut_lineage(edges.select("src", "dst").distinct())
     dropped = None
     for _ in range(max_rounds):
@@ -67,6 +66,4 @@ def diversity_drops(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         )
     else:
         raise RuntimeError(f"selection did not settle within {max_rounds} rounds")
-    if dropped is None:
-        return spark.createDataFrame([], "id long")
-    return dropped
+    return open_edges.select(F.col("dst").alias("id")) if dropped is None else dropped

@@ -11,10 +11,12 @@ from loomset.session import written_table
 
 def shingles(text: Column, n: int = 3) -> Column:
     """Distinct 64-bit digests of the word n-grams; a shorter text is one shingle."""
-    toks = T.tokens(text)
-    starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(1)))
-    grams = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(toks, i, n), " ")))
-    return F.array_distinct(grams)
+
+    def grams(toks: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(toks, i, n), " ")))
+
+    return F.array_distinct(T.let(T.tokens(text), grams))
 
 
 def word_set(text: Column) -> Column:
@@ -25,7 +27,7 @@ def distinct_texts(df: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataF
     """Representatives (smallest id per text) and the links to their exact copies."""
     keyed = df.select(F.col(id_).alias("id"), F.col(text).alias("text"), F.sha2(text, 256).alias("k"))
     first = keyed.groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    reps = keyed.join(first, (keyed.k == first.k) & (keyed.id == first.rep), "left_semi").select("id", "text")
+    reps = keyed.join(first.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "text")
     links = keyed.select("k", "id").join(first.where("copies > 1"), "k").where("id <> rep").select("rep", "id")
     return reps, links
 
@@ -62,9 +64,8 @@ def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096) -> DataFra
         F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
     )
     need = F.col("na") + F.col("nb")
-    reach = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    # the shared items seen so far are at most min(pa, pb) + 1; what is left is bounded by the tails
-    bound = F.least("pa", "pb") + reach
+    # before this item at most min(pa, pb) items are shared, from it on at most the shorter tail
+    bound = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     candidates = left.join(right, ["item", "part"]).where(
         (F.col("a") < F.col("b"))
         & (F.col("nb") >= F.col("na") * threshold - 1e-9) & (F.col("na") >= F.col("nb") * threshold - 1e-9)

@@ -54,7 +54,7 @@ def distinct_vectors(df: DataFrame, id_: str, vec: str) -> tuple[DataFrame, Data
     """Representatives (smallest id per distinct vector) and the links to their copies."""
     keyed = df.select(F.col(id_).alias("id"), F.col(vec).alias("vec"), F.sha2(F.col(vec).cast("string"), 256).alias("k"))
     first = keyed.groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    reps = keyed.join(first, (keyed.k == first.k) & (keyed.id == first.rep), "left_semi").select("id", "vec")
+    reps = keyed.join(first.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "vec")
     links = keyed.select("k", "id").join(first.where("copies > 1"), "k").where("id <> rep").select("rep", "id")
     return reps, links
 
