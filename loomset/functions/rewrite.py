@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .text import let, strip, word_count
+from .text import UNI, let, strip, word_count
 
 # fixed values, applied in order
 TO_CASUAL = ((r"\bshall\b", "will"), (r"\bpursuant to\b", "according to"), (r"\bhereby\b", ""), (r"\bwhereas\b", "since"))
@@ -24,7 +24,7 @@ SYNONYMS = (
 def replace_words(text: Column, table: Sequence[tuple[str, str]]) -> Column:
     """Whole words by the table, in order, whatever their case."""
     for word, other in table:
-        text = F.regexp_replace(text, rf"(?i)\b{word}\b", other)
+        text = F.regexp_replace(text, rf"(?iU)\b{word}\b", other)
     return text
 
 
@@ -32,14 +32,14 @@ def replace_first_word(text: Column, table: Sequence[tuple[str, str]]) -> Column
     """Only the first word of the table that occurs in the text is replaced."""
     low, out = F.lower(text), None
     for word, other in table:
-        case = (low.contains(word), F.regexp_replace(text, rf"(?i)\b{word}\b", other))
+        case = (low.contains(word), F.regexp_replace(text, rf"(?iU)\b{word}\b", other))
         out = F.when(*case) if out is None else out.when(*case)
     return text if out is None else out.otherwise(text)
 
 
 def apply_patterns(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     for pattern, other in rules:
-        text = F.regexp_replace(text, pattern, other)
+        text = F.regexp_replace(text, UNI + pattern, other)
     return text
 
 

@@ -81,11 +81,10 @@ def page(df: DataFrame, order: Sequence[Column], offset: int, limit: int) -> Dat
     Reading a page this way costs offset + limit rows; see :func:`page_after` for
     deep pages of large tables.
     """
-    total = df.agg(F.count("*").alias("total"))
-    rows = df.orderBy(*order).offset(offset).limit(limit)
-    return rows.crossJoin(F.broadcast(total)).withColumn(
-        "next_offset", F.when(F.lit(offset + limit) < F.col("total"), F.lit(offset + limit).cast("long"))
-    )
+    total = df.agg(F.count("*")).scalar()
+    rows = df.orderBy(*order).offset(offset).limit(limit).withColumn("total", total)
+    more = F.lit(offset + limit) < F.col("total")
+    return rows.withColumn("next_offset", F.when(more, F.lit(offset + limit).cast("long")))
 
 
 def page_after(df: DataFrame, ts: str, id_: str, after_ts: Column, after_id: Column, limit: int) -> DataFrame:

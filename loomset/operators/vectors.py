@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomset.functions.vectors import normalise
+
 from .ranking import top_n_per_group
 
 BLOCK_ROWS = 2048
@@ -203,15 +205,22 @@ def best_match(found: DataFrame, by: list[str]) -> DataFrame:
     return found.groupBy(*by).agg(top.alias("top")).select(*by, "top.*")
 
 
+def _mean_unit(df: DataFrame, name: str) -> DataFrame:
+    """One row per dimension with the mean of the unit vectors."""
+    parts = df.select(F.posexplode(normalise(F.col("vec"))).alias("pos", "x"))
+    return parts.groupBy("pos").agg(F.avg("x").alias(name))
+
+
 def mean_similarity(left: DataFrame, right: DataFrame) -> DataFrame:
     """Mean cosine over all pairs without forming one: the dot product of the two mean unit vectors."""
-    from loomset.functions.vectors import normalise
+    both = _mean_unit(left, "x").join(_mean_unit(right, "y"), "pos")
+    return both.agg(F.sum(F.col("x") * F.col("y")).alias("mean_sim"))
 
-    def mean(df: DataFrame, name: str) -> DataFrame:
-        parts = df.select(F.posexplode(normalise(F.col("vec"))).alias("pos", "x"))
-        return parts.groupBy("pos").agg(F.avg("x").alias(name))
 
-    return mean(left, "x").join(mean(right, "y"), "pos").agg(F.sum(F.col("x") * F.col("y")).alias("mean_sim"))
+def mean_similarity_to(rows: DataFrame, bank: DataFrame, out: str) -> DataFrame:
+    """Rows (id, out): mean cosine of every row to all rows of a bank, again through the bank's mean."""
+    parts = rows.select("id", F.posexplode(normalise(F.col("vec"))).alias("pos", "x"))
+    return parts.join(_mean_unit(bank, "y"), "pos").groupBy("id").agg(F.sum(F.col("x") * F.col("y")).alias(out))
 
 
 def recall_and_mrr(gold_ranks: DataFrame, rank: str = "rank", ks=(1, 3, 5)) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scans", "cleaning", "joining", "aggregating", "evaluating", "ordering", "scalars")
+MODULES = ("scans", "cleaning", "joining", "aggregating", "evaluating", "ordering", "scalars", "ruling", "streams", "extending")
 
 
 def load():

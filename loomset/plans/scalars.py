@@ -445,22 +445,32 @@ def coherence_cosine(spark, sf):
     good, bad = rows.where("label = 0"), rows.where("label = 1")
 
     def bank(part, name):
-        # the mean over a bank is one dot product with its mean unit vector
-        mean = V.centroids(part.select("label", VF.normalise(F.col("vec")).alias("vec")), "label", "vec").agg(F.first("vec")).scalar()
         best = V.knn(rows, part, 1).select(F.col("query").alias("id"), F.col("sim").alias(f"max_{name}"))
-        return best, VF.dot(VF.normalise(F.col("vec")), mean).alias(f"mean_{name}")
+        return best.join(V.mean_similarity_to(rows, part, f"mean_{name}"), "id")
 
-    (best_good, mean_good), (best_bad, mean_bad) = bank(good, "good"), bank(bad, "bad")
-    scored = rows.select("id", mean_good, mean_bad).join(best_good, "id").join(best_bad, "id")
+    scored = rows.select("id").join(bank(good, "good"), "id").join(bank(bad, "bad"), "id")
     score = K.coherence_from_similarity(F.col("max_good"), F.col("mean_good"), F.col("max_bad"), F.col("mean_bad"))
     return scored.select(F.col("id").alias("vec_id"), F.round(score, 6).alias("score"), (score >= 0.6).alias("coherent"))
 
 
-_CASUAL_RULES = ((r"\bthe\b", "a"), (r"\bof the\b", "from a"), (r"\bwith\b", ""))
-_FORMAL_RULES = ((r"\bdie\b", "jene"), (r"\bles\b", "ces"))
+_CASUAL_WORDS = (("the", "a"), ("of the", "from a"), ("with", ""))
+_FORMAL_WORDS = (("die", "jene"), ("les", "ces"))
+_CASUAL_RULES = tuple((rf"(?i)\b{a}\b", b) for a, b in _CASUAL_WORDS)
+_FORMAL_RULES = tuple((rf"(?i)\b{a}\b", b) for a, b in _FORMAL_WORDS)
 _SYN = (("that", "which"), ("this", "such"), ("del", "de"))
 
 
+# RE2 has no Unicode word boundary: the neighbours are matched and put back, twice because matches may share one
+_EDGE = r"[^\p{L}\p{N}_]"
+
+
+def sql_words(text, rules):
+    for word, other in rules:
+        for _ in range(2):
+            text = f"regexp_replace({text}, {quoted(f'(?i)(^|{_EDGE}){word}($|{_EDGE})')}, {quoted(chr(92) + '1' + other + chr(92) + '2')}, 'g')"
+    return text
+
+
 def sql_fold(text, rules, flags="'g'"):
     for pattern, other in rules:
         text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(other)}, {flags})"
@@ -469,9 +479,9 @@ def sql_fold(text, rules, flags="'g'"):
 
 @query("style_rewrite", f"""
 SELECT doc_id, CASE WHEN lang = 'es' THEN array_to_string(list_transform(list_filter({S.sentences()}, lambda s: {S.word_count('s')} >= 3), lambda s: '• ' || s), chr(10))
-  WHEN lang = 'en' THEN {sql_fold('text', _CASUAL_RULES)} ELSE {sql_fold('text', _FORMAL_RULES)} END AS text,
-  {sql_fold('text', [(f'(?i){chr(92)}b{a}{chr(92)}b', b) for a, b in _SYN])} AS swapped,
-  trim({sql_fold('text', [(r'\b(?:very|quite|really|extremely|absolutely)\s+', ''), (r'\b(?:and|or)\s+', ', '), (r'\s+', ' ')])}) AS shortened FROM documents""")
+  WHEN lang = 'en' THEN {sql_words('text', _CASUAL_WORDS)} ELSE {sql_words('text', _FORMAL_WORDS)} END AS text,
+  {sql_words('text', _SYN)} AS swapped,
+  trim({sql_fold('text', [(f'(^|{_EDGE})(?:very|quite|really|extremely|absolutely){chr(92)}s+', f'{chr(92)}1')] * 2 + [(f'(^|{_EDGE})(?:and|or){chr(92)}s+', f'{chr(92)}1, ')] * 2 + [(chr(92) + 's+', ' ')])}) AS shortened FROM documents""")
 def style_rewrite(spark, sf):
     text = F.col("text")
     style = F.when(F.col("lang") == "es", "bullets").when(F.col("lang") == "en", "casual").otherwise("formal")
@@ -482,7 +492,7 @@ def style_rewrite(spark, sf):
 
 @query("fragments", f"""
 WITH u AS (SELECT doc_id, unnest({S.sentences()}) AS s FROM documents),
-k AS (SELECT doc_id, {sql_fold('s', P.FRAGMENT_MASKS)} AS fragment FROM u WHERE {S.word_count('s')} >= 5 AND NOT ({' OR '.join(f"regexp_matches(s, {quoted(p)})" for p in P.FRAGMENT_SKIPS)}))
+k AS (SELECT doc_id, {sql_fold('s', P.FRAGMENT_MASKS)} AS fragment FROM u WHERE {S.word_count('s')} >= 5 AND NOT ({' OR '.join(f"regexp_matches(s, {quoted(p.replace(chr(92) + 'b[A-Z]', '(?:^|' + _EDGE + ')[A-Z]').replace('[a-z]+' + chr(92) + 'b', '[a-z]+(?:$|' + _EDGE + ')'))})" for p in P.FRAGMENT_SKIPS)}))
 SELECT doc_id, fragment FROM k WHERE {S.word_count('fragment')} >= 3""")
 def fragments(spark, sf):
     return docs(spark, sf).select("doc_id", F.explode(K.fragments(F.col("text"))).alias("fragment"))

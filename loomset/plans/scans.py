@@ -179,8 +179,8 @@ def export_training(spark, sf):
     data = spark.read.schema(rows.schema).parquet(f"{root}/data")
     stats = data.groupBy("lang").agg(F.count("*").alias("n"), F.round(F.avg("coherence"), 6).alias("mean_coherence"))
     stats.write.parquet(f"{root}/stats")
-    total = data.agg(F.count("*").alias("total"))
-    return spark.read.schema(stats.schema).parquet(f"{root}/stats").crossJoin(F.broadcast(total))
+    total = data.agg(F.count("*")).scalar()
+    return spark.read.schema(stats.schema).parquet(f"{root}/stats").withColumn("total", total)
 
 
 # the target lacks the Spanish documents, holds squeezed texts and has the benchmark on top
