@@ -74,12 +74,19 @@ def extract_duration(spark, sf):
         "o_orderkey", A.weeks_in(term).alias("weeks"), A.months_in(term).alias("months"), F.round(A.term_months(term), 6).alias("term_months"))
 
 
-@query("fee_tier", """
-WITH t AS (SELECT o_orderkey, CASE WHEN fee >= 15000 THEN 'premium' WHEN fee >= 5000 THEN 'high' WHEN fee >= 2000 THEN 'medium' ELSE 'basic' END AS tier FROM (SELECT o_orderkey, o_totalprice / 10 AS fee FROM orders))
-SELECT o_orderkey, tier, CASE tier WHEN 'basic' THEN 3 WHEN 'medium' THEN 6 WHEN 'high' THEN 12 ELSE 18 END AS min_months, CASE tier WHEN 'basic' THEN 12 WHEN 'medium' THEN 18 WHEN 'high' THEN 24 ELSE 36 END AS max_months FROM t""")
+_SQL_TIER = "CASE WHEN o_totalprice / 10 >= 15000 THEN 'premium' WHEN o_totalprice / 10 >= 5000 THEN 'high' WHEN o_totalprice / 10 >= 2000 THEN 'medium' ELSE 'basic' END"
+
+
+@query("fee_tier", f"SELECT o_orderkey, {_SQL_TIER} AS tier FROM orders")
 def fee_tier(spark, sf):
-    tiers = table(spark, sf, "orders").select("o_orderkey", A.fee_tier(F.col("o_totalprice") / 10).alias("tier"))
-    return tiers.select("o_orderkey", "tier", A.usage_range(F.col("tier")).alias("r")).select("o_orderkey", "tier", "r.*")
+    return table(spark, sf, "orders").select("o_orderkey", A.fee_tier(F.col("o_totalprice") / 10).alias("tier"))
+
+
+@query("usage_range", f"""
+WITH t AS (SELECT o_orderkey, {_SQL_TIER} AS tier FROM orders)
+SELECT o_orderkey, CASE tier WHEN 'basic' THEN 3 WHEN 'medium' THEN 6 WHEN 'high' THEN 12 ELSE 18 END AS min_months, CASE tier WHEN 'basic' THEN 12 WHEN 'medium' THEN 18 WHEN 'high' THEN 24 ELSE 36 END AS max_months FROM t""")
+def usage_range(spark, sf):
+    return fee_tier(spark, sf).select("o_orderkey", A.usage_range(F.col("tier")).alias("r")).select("o_orderkey", "r.*")
 
 
 @query("agreement_class", f"""

@@ -22,8 +22,6 @@ from .joining import vecs
 from .registry import query, quoted, table
 from .views import doc_labels
 
-TEXT = F.col
-
 
 def docs(spark, sf):
     return table(spark, sf, "documents")
@@ -52,11 +50,11 @@ def tokenize_words(spark, sf):
     return docs(spark, sf).select("doc_id", F.array_join(T.tokens(F.col("text")), " ").alias("tokens"))
 
 
-_MARKED = f"regexp_replace(text, {quoted('([.!?])' + P.WS + '+([A-Z])')}, {quoted(chr(92) + '1' + C.CUT + chr(92) + '2')}, 'g')"
+SQL_MARKED = f"regexp_replace(text, {quoted('([.!?])' + P.WS + '+([A-Z])')}, {quoted(chr(92) + '1' + C.CUT + chr(92) + '2')}, 'g')"
 
 
 @query("split_sentences", f"""
-SELECT doc_id, array_to_string(list_filter(list_transform(string_split({_MARKED}, '{C.CUT}'), lambda s: {S.strip('s')}), lambda s: s <> ''), '{C.CUT}') AS at_capitals,
+SELECT doc_id, array_to_string(list_filter(list_transform(string_split({SQL_MARKED}, '{C.CUT}'), lambda s: {S.strip('s')}), lambda s: s <> ''), '{C.CUT}') AS at_capitals,
        array_to_string({S.sentences()}, '{C.CUT}') AS at_marks FROM documents""")
 def split_sentences(spark, sf):
     return docs(spark, sf).select(
@@ -64,7 +62,7 @@ def split_sentences(spark, sf):
         F.array_join(C.sentences_at_marks(F.col("text")), C.CUT).alias("at_marks"))
 
 
-def _sql_marked_clauses(text):
+def sql_marked_clauses(text):
     for pattern in P.CLAUSE_BREAKS:
         text = f"regexp_replace({text}, {quoted('(' + pattern + ')')}, {quoted(chr(92) + '1' + C.CUT)}, 'g')"
     return text
@@ -73,7 +71,7 @@ def _sql_marked_clauses(text):
 # the merge of short clauses is a fold in document order
 @query("split_clauses", f"""
 WITH RECURSIVE s AS (SELECT doc_id, unnest({S.sentences()}) AS s, generate_subscripts({S.sentences()}, 1) AS sentence FROM documents),
-c AS (SELECT doc_id, sentence, list_filter(list_transform(string_split({_sql_marked_clauses('s')}, '{C.CUT}'), lambda x: {S.strip('x')}), lambda x: x <> '') AS cs FROM s),
+c AS (SELECT doc_id, sentence, list_filter(list_transform(string_split({sql_marked_clauses('s')}, '{C.CUT}'), lambda x: {S.strip('x')}), lambda x: x <> '') AS cs FROM s),
 u AS (SELECT doc_id, sentence, unnest(cs) AS clause, generate_subscripts(cs, 1) AS i FROM c),
 g AS (SELECT *, sum(CASE WHEN i = 1 OR {S.word_count('clause')} >= 3 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, sentence ORDER BY i) AS grp FROM u)
 SELECT doc_id, CAST(sentence AS BIGINT) AS sentence, CAST(grp AS BIGINT) AS clause_no, string_agg(clause, ' ' ORDER BY i) AS clause FROM g GROUP BY doc_id, sentence, grp""")
@@ -190,23 +188,31 @@ def _sql_phrases(v):
             f"CASE WHEN contains({low}, '$') THEN regexp_extract_all({low}, '[0-9]+') ELSE [] END))")
 
 
+# name -> values of the field; the last one is no label and must be ignored
 _VALUES = {
-    "client": ("[source || ' License']", F.array(F.concat("source", F.lit(" License")))),
-    "brand": ("['Public Works!']", F.array(F.lit("Public Works!"))),
-    "fee": ("['$' || CAST(n_chars % 10 AS VARCHAR)]", F.array(F.concat(F.lit("$"), (F.col("n_chars") % 10).cast("string")))),
-    "deliverables": ("['Instagram ' || lang, 'zzz']", F.array(F.concat(F.lit("Instagram "), F.col("lang")), F.lit("zzz"))),
-    "territory": ("['']", F.array(F.lit(""))),
-    "unlisted": ("['the']", F.array(F.lit("the"))),
+    "client": "[source || ' License']", "brand": "['Public Works!']", "fee": "['$' || CAST(n_chars % 10 AS VARCHAR)]",
+    "deliverables": "['Instagram ' || lang, 'zzz']", "territory": "['']", "unlisted": "['the']",
 }
 
 
+def field_values():
+    said = lambda *words: F.array(*[F.lit(w) for w in words])
+    return {
+        "client": F.array(F.concat("source", F.lit(" License"))), "brand": said("Public Works!"),
+        "fee": F.array(F.concat(F.lit("$"), (F.col("n_chars") % 10).cast("string"))),
+        "deliverables": F.array(F.concat(F.lit("Instagram "), F.col("lang")), F.lit("zzz")),
+        "territory": said(""), "unlisted": said("the"),
+    }
+
+
 @query("label_by_field_match", "WITH v AS (SELECT doc_id, lower(text) AS low, unnest([" + ", ".join(
-    f"struct_pack(name := '{n}', vals := {sql})" for n, (sql, _) in _VALUES.items() if n != "unlisted") + f"""]) AS f, lang, source, n_chars FROM documents),
+    f"struct_pack(name := '{n}', vals := {sql})" for n, sql in _VALUES.items() if n != "unlisted") + f"""]) AS f, lang, source, n_chars FROM documents),
 hit AS (SELECT DISTINCT doc_id, name FROM (SELECT doc_id, f.name AS name, low, unnest(list_filter(f.vals, lambda x: x <> '')) AS val FROM v) t
         WHERE len(list_filter({_sql_phrases('val')}, lambda p: contains(low, p))) > 0)
 SELECT d.doc_id, coalesce(string_agg(name, '|' ORDER BY name), '') AS labels FROM documents d LEFT JOIN hit USING (doc_id) GROUP BY d.doc_id""")
 def label_by_field_match(spark, sf):
-    fields = F.map_from_arrays(F.array(*[F.lit(n) for n in _VALUES]), F.array(*[c for _, c in _VALUES.values()]))
+    values = field_values()
+    fields = F.map_from_arrays(F.array(*[F.lit(n) for n in values]), F.array(*values.values()))
     return docs(spark, sf).select("doc_id", F.array_join(L.label_by_field_match(F.col("text"), fields), "|").alias("labels"))
 
 

@@ -47,11 +47,18 @@ def stream_error_rate(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-# sequential state per key, so rows only
-@query("stream_circuit_breaker")
+# the state is followed event by event; breakers stay open for a day
+@query("stream_circuit_breaker", """
+WITH RECURSIVE e AS (SELECT user_id AS key, event_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE event_type = 'error' AND value > 10),
+w AS (
+  SELECT key, event_id, t, n, 1::BIGINT AS failures, false AS open, 0::BIGINT AS reset FROM e WHERE n = 1
+  UNION ALL
+  SELECT key, event_id, t, n, failures, failures >= 5 AS open, CASE WHEN failures >= 5 THEN t + 86400000000 ELSE reset END AS reset
+  FROM (SELECT e.key, e.event_id, e.t, e.n, w.reset, CASE WHEN w.open AND e.t > w.reset THEN 1 ELSE w.failures + 1 END AS failures FROM w JOIN e ON e.key = w.key AND e.n = w.n + 1))
+SELECT key, event_id, failures, open FROM w""")
 def stream_circuit_breaker(spark, sf):
     severe = errors(spark, sf).where("value > 10")
-    return jobs.drain(jobs.circuit_breaker(severe, "user_id", 5, 60 * 24), "stream-breaker")
+    return jobs.drain(jobs.circuit_breaker(severe, "user_id", 5, 60 * 24), "stream-breaker").drop("ts")
 
 
 @query("stream_metrics_table", """
