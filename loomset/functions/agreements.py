@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .rules import Rule, first_match, issues
+from .text import let
 
 # fixed values
 BRACKETS = {
@@ -107,8 +108,7 @@ def months_in(term: Column) -> Column:
 
 def term_months(term: Column) -> Column:
     """Length in months; a length in weeks wins."""
-    weeks = weeks_in(term)
-    return F.when(weeks > 0, weeks / WEEKS_PER_MONTH).otherwise(months_in(term).cast("double"))
+    return let(weeks_in(term), lambda weeks: F.when(weeks > 0, weeks / WEEKS_PER_MONTH).otherwise(months_in(term).cast("double")))
 
 
 def fee_tier(fee: Column) -> Column:
@@ -174,7 +174,9 @@ def rule_platform(industry: Column, platforms: Column) -> Column:
 
 
 def rule_temporal(exclusivity: Column, usage: Column, engagement: Column) -> list[Rule]:
-    outside = lambda m, low, high: (m > 0) & ((m < low) | (m > high))
+    def outside(months: Column, low: float, high: float) -> Column:
+        return let(months, lambda m: (m > 0) & ((m < low) | (m > high)))
+
     return [
         ("exclusivity", outside(term_months(exclusivity), 1, 48)),
         ("usage_term", outside(months_in(usage), 1, 60)),

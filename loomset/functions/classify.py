@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 from .rules import first_match, term_occurrences, terms_present
-from .text import let, strip, word_count
+from .text import let, let_all, strip, word_count
 
 INFLUENCER_TERMS = (
     "influencer", "content", "social media", "instagram", "tiktok", "post", "story", "reel", "video",
@@ -56,9 +56,10 @@ FINANCIAL_TERMS = ("fee", "payment", "royalty", "commission", "bonus", "penalty"
 
 
 def classify_doc_type(text: Column, yes=INFLUENCER_TERMS, no=OTHER_TERMS) -> Column:
-    low = F.lower(text)
-    score = terms_present(low, yes)
-    return F.when((score > terms_present(low, no)) & (score >= 2), "INFLUENCER_AGREEMENT").otherwise("NOT_INFLUENCER")
+    def judge(s: Column) -> Column:
+        return F.when((s["yes"] > s["no"]) & (s["yes"] >= 2), "INFLUENCER_AGREEMENT").otherwise("NOT_INFLUENCER")
+
+    return let(F.lower(text), lambda low: let_all({"yes": terms_present(low, yes), "no": terms_present(low, no)}, judge))
 
 
 def list_items(text: Column) -> Column:
@@ -66,9 +67,12 @@ def list_items(text: Column) -> Column:
 
 
 def classify_complexity(text: Column, terms=COMPLEX_TERMS) -> Column:
-    score = terms_present(F.lower(text), terms) + list_items(text) * 0.5
-    n = word_count(text)
-    return first_match([((n > 400) & (score >= 3), "complex"), ((n > 200) & (score >= 1), "medium")], "simple")
+    def judge(s: Column) -> Column:
+        n, score = s["n"], s["score"]
+        return first_match([((n > 400) & (score >= 3), "complex"), ((n > 200) & (score >= 1), "medium")], "simple")
+
+    score = let(F.lower(text), lambda low: terms_present(low, terms)) + list_items(text) * 0.5
+    return let_all({"n": word_count(text), "score": score}, judge)
 
 
 def best_class(scores: Sequence[tuple[str, Column]], default: str, at_least: int = 1) -> Column:
@@ -82,37 +86,34 @@ def best_class(scores: Sequence[tuple[str, Column]], default: str, at_least: int
 
 
 def classify_industry(text: Column, lexicon=INDUSTRY_TERMS) -> Column:
-    low = F.lower(text)
-    return best_class([(name, terms_present(low, terms)) for name, terms in lexicon], "other")
+    return let(F.lower(text), lambda low: best_class([(name, terms_present(low, terms)) for name, terms in lexicon], "other"))
 
 
 def length_class(text: Column) -> Column:
-    n = word_count(text)
-    return first_match([(n < 500, "simple"), (n < 1500, "medium")], "complex")
+    return let(word_count(text), lambda n: first_match([(n < 500, "simple"), (n < 1500, "medium")], "complex"))
 
 
 def first_industry(text: Column, lexicon=INDUSTRY_TERMS, hits: int = 2) -> Column:
     """The first industry with enough of its terms."""
-    low = F.lower(text)
-    return first_match([(terms_present(low, terms) >= hits, name) for name, terms in lexicon], "general")
+    return let(F.lower(text), lambda low: first_match(
+        [(terms_present(low, terms) >= hits, name) for name, terms in lexicon], "general"))
 
 
-def industry_by_occurrence(text: Column, lexicon=INDUSTRY_TERMS) -> tuple[Column, Column]:
-    """Industry with the most occurrences of its terms, and whether that rests on fewer than three."""
-    low = F.lower(text)
-    scores = [(name, term_occurrences(low, terms)) for name, terms in lexicon]
-    return best_class(scores, "general"), F.greatest(*[s for _, s in scores]) < 3
+def industry_by_occurrence(text: Column, lexicon=INDUSTRY_TERMS) -> Column:
+    """Struct of the industry with the most occurrences of its terms, and whether that rests on fewer than three."""
+    def judge(scores: Column) -> Column:
+        named = best_class([(name, scores[name]) for name, _ in lexicon], "general")
+        return F.struct(named.alias("industry"), (F.greatest(*[scores[name] for name, _ in lexicon]) < 3).alias("low_confidence"))
+
+    return let(F.lower(text), lambda low: let_all({name: term_occurrences(low, terms) for name, terms in lexicon}, judge))
 
 
 def four_factor_complexity(text: Column, legal=LEGAL_TERMS, money=FINANCIAL_TERMS) -> Column:
-    low = F.lower(text)
     n = F.length(text)
     stops = n - F.length(F.translate(text, ".\n", ""))
-    score = (
-        first_match([(n > 10000, 2), (n > 5000, 1)], 0) + terms_present(low, legal)
-        + F.when(terms_present(low, money) >= 3, 1).otherwise(0) + F.when(stops > 100, 1).otherwise(0)
-    )
-    return first_match([(score >= 4, "complex"), (score >= 2, "medium")], "simple")
+    terms = let(F.lower(text), lambda low: terms_present(low, legal) + F.when(terms_present(low, money) >= 3, 1).otherwise(0))
+    score = first_match([(n > 10000, 2), (n > 5000, 1)], 0) + terms + F.when(stops > 100, 1).otherwise(0)
+    return let(score, lambda s: first_match([(s >= 4, "complex"), (s >= 2, "medium")], "simple"))
 
 
 def sentence_lengths(text: Column) -> Column:
@@ -132,35 +133,44 @@ def complexity_score3(text: Column, formal=P.FORMAL_WORDS) -> Column:
     def grade(x: Column, mid: float, high: float) -> Column:
         return first_match([(x > high, 3), (x > mid, 2)], 1)
 
-    count = F.size(F.filter(F.split(text, P.SENTENCE_END, -1), lambda s: strip(s) != ""))
-    marks = F.length(text) - F.length(F.translate(text, ",;", ""))
-    clauses = F.try_divide(marks.cast("double"), count.cast("double"))
-    formal_share = F.try_divide(terms_present(F.lower(text), formal) * 1000.0, word_count(text).cast("double"))
-    score = grade(mean_sentence_length(text), 20, 30) + grade(clauses, 0.15, 0.3) + grade(formal_share, 2, 5)
-    return F.when(count == 0, "simple").otherwise(first_match([(score >= 8, "complex"), (score >= 5, "medium")], "simple"))
+    def judge(s: Column) -> Column:
+        count = F.size(s["lengths"])
+        mean = F.try_divide(F.aggregate(s["lengths"], F.lit(0).cast("long"), lambda a, x: a + x).cast("double"), count.cast("double"))
+        clauses = F.try_divide(s["marks"].cast("double"), count.cast("double"))
+        share = F.try_divide(s["formal"] * 1000.0, s["words"].cast("double"))
+        score = let_all({"m": mean, "c": clauses, "f": share}, lambda x: grade(x["m"], 20, 30) + grade(x["c"], 0.15, 0.3) + grade(x["f"], 2, 5))
+        level = let(score, lambda x: first_match([(x >= 8, "complex"), (x >= 5, "medium")], "simple"))
+        return F.when(count == 0, "simple").otherwise(level)
+
+    return let_all({
+        "lengths": sentence_lengths(text), "marks": F.length(text) - F.length(F.translate(text, ",;", "")),
+        "formal": let(F.lower(text), lambda low: terms_present(low, formal)), "words": word_count(text)}, judge)
 
 
 def style_detect(text: Column, formal=P.FORMAL_WORDS, casual=P.CASUAL_WORDS) -> Column:
     bullets = F.lit(0)
     for pattern in P.BULLET_LINES:
         bullets = bullets + F.regexp_count(text, F.lit(pattern))
-    low = F.lower(text)
-    return first_match([(bullets > 2, "bullets"), (terms_present(low, formal) > terms_present(low, casual), "formal")], "casual")
+    return let(F.lower(text), lambda low: first_match(
+        [(bullets > 2, "bullets"), (terms_present(low, formal) > terms_present(low, casual), "formal")], "casual"))
 
 
-def style_profile(text: Column, formal=P.FORMAL_WORDS, casual=P.CASUAL_WORDS) -> dict[str, Column]:
-    low = F.lower(text)
-    f, c = terms_present(low, formal), terms_present(low, casual)
-    ratio = f / (f + c + 1)
-    mean = mean_sentence_length(text)
-    passive = F.regexp_count(text, F.lit("(?U)" + P.PASSIVE))
-    formality = ratio * 0.5 + F.least(mean / 30, F.lit(1.0)) * 0.3 + F.least(passive / 10, F.lit(1.0)) * 0.2
-    return {
-        "formal_count": f.cast("long"), "casual_count": c.cast("long"), "formal_ratio": ratio,
-        "dominant_tone": F.when(f > c, "formal").otherwise("casual"), "mean_sentence_length": mean,
-        "formality": formality,
-        "clause_density": F.regexp_count(text, F.lit("[,;]")) / F.greatest(word_count(text), F.lit(1)),
-    }
+def style_profile(text: Column, formal=P.FORMAL_WORDS, casual=P.CASUAL_WORDS) -> Column:
+    """Struct of tone counts, formality and clause density."""
+    def judge(s: Column) -> Column:
+        f, c, mean = s["formal"], s["casual"], s["mean"]
+        ratio = f / (f + c + 1)
+        formality = ratio * 0.5 + F.least(mean / 30, F.lit(1.0)) * 0.3 + F.least(s["passive"] / 10, F.lit(1.0)) * 0.2
+        return F.struct(
+            f.cast("long").alias("formal_count"), c.cast("long").alias("casual_count"), ratio.alias("formal_ratio"),
+            F.when(f > c, "formal").otherwise("casual").alias("dominant_tone"), mean.alias("mean_sentence_length"),
+            formality.alias("formality"), (s["clauses"] / F.greatest(s["words"], F.lit(1))).alias("clause_density"))
+
+    count = lambda terms: let(F.lower(text), lambda low: terms_present(low, terms))
+    return let_all({
+        "formal": count(formal), "casual": count(casual), "mean": mean_sentence_length(text),
+        "passive": F.regexp_count(text, F.lit("(?U)" + P.PASSIVE)), "clauses": F.regexp_count(text, F.lit("[,;]")),
+        "words": word_count(text)}, judge)
 
 
 def sentence_structures(text: Column, first: int = 20, legal=P.FORMAL_WORDS) -> Column:
@@ -185,16 +195,17 @@ def coherence_rules(
     strong_neg=STRONG_NEGATIVE, moderate_neg=MODERATE_NEGATIVE,
 ) -> Column:
     """Keyword score of an agreement text in [0, 1]."""
-    low = F.lower(text)
-    plus = 2 * terms_present(low, strong) + terms_present(low, moderate) + terms_present(low, platform)
-    minus = 3 * terms_present(low, strong_neg) + terms_present(low, moderate_neg)
-    base = first_match([
-        ((plus >= 3) & (minus == 0), 0.75), ((plus >= 2) & (minus <= 1), 0.65), ((plus >= 1) & (minus <= 2), 0.55),
-        (minus >= 3, 0.2), (minus >= 1, 0.4)], 0.5)
-    n = word_count(text)
-    factor = first_match([(n < 50, 0.8), (n > 300, 1.1)], 1.0)
-    score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), base * factor))
-    return F.when(strip(F.coalesce(text, F.lit(""))) == "", 0.0).otherwise(score)
+    def judge(s: Column) -> Column:
+        plus, minus, n = s["plus"], s["minus"], s["n"]
+        base = first_match([
+            ((plus >= 3) & (minus == 0), 0.75), ((plus >= 2) & (minus <= 1), 0.65), ((plus >= 1) & (minus <= 2), 0.55),
+            (minus >= 3, 0.2), (minus >= 1, 0.4)], 0.5)
+        factor = first_match([(n < 50, 0.8), (n > 300, 1.1)], 1.0)
+        return F.when(n == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), base * factor)))
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), lambda low: let_all({
+        "plus": 2 * terms_present(low, strong) + terms_present(low, moderate) + terms_present(low, platform),
+        "minus": 3 * terms_present(low, strong_neg) + terms_present(low, moderate_neg), "n": word_count(low)}, judge))
 
 
 def fragments(text: Column, skips=P.FRAGMENT_SKIPS, masks=P.FRAGMENT_MASKS) -> Column:

@@ -9,6 +9,13 @@ alike and both agree with Unicode-aware regular expressions.
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 WS_RUN = WS + "+"
 WORD_RUN = r"[^\s\x0b\x1c-\x1f\x85\p{Z}]+"
+# what squeezing must change: runs of two or more, or a single one that is no plain space
+WS_LOOSE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]{2,}|[\t\n\f\r\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# the same characters one by one, for trimming without a regular expression
+WS_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # one word character, a word token
 W = r"[\p{L}\p{N}_]"
 TOKEN = W + "+"

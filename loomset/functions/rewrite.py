@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .chunks import CUT
 from .text import UNI, let, strip, word_count
 
 # fixed values, applied in order
@@ -87,19 +88,18 @@ def augment(text: Column, id_: Column, synonyms, typos, note: str, p_typo: float
 
 def token_dropout(text: Column, id_: Column, share: float = 0.125, mask: str = "[MASK]") -> Column:
     """Mask a share of the tokens, at least one; texts of up to two tokens stay as they are."""
+    def keys(toks: Column) -> Column:
+        return F.transform(toks, lambda _, i: F.struct(
+            F.md5(F.concat_ws("|", id_.cast("string"), i.cast("string"))).alias("h"), i.alias("i")))
+
     def drop(toks: Column) -> Column:
         count = F.greatest(F.lit(1), F.floor(F.size(toks) * share).cast("int"))
-        places = F.slice(F.array_sort(F.transform(toks, lambda _, i: F.struct(
-            F.md5(F.concat_ws("|", id_.cast("string"), i.cast("string"))).alias("h"), i.alias("i")))), F.lit(1), count)
-        chosen = F.map_from_arrays(F.transform(places, lambda s: s["i"]), F.transform(places, lambda s: F.lit(True)))
-        masked = let(chosen, lambda c: F.transform(toks, lambda t, i: F.when(
-            F.try_element_at(c, i).isNotNull(), mask).otherwise(t)))
-        return let(masked, glue)
-
-    def glue(toks: Column) -> Column:
-        # a space only between two tokens that both start with a word character
-        return F.array_join(F.transform(toks, lambda t, i: F.concat(F.when(
-            (i > 0) & t.rlike(rf"^{P.W}") & F.get(toks, i - 1).rlike(rf"^{P.W}"), " ").otherwise(""), t)), "")
+        # the tokens up to the count-th smallest key are masked
+        masked = let(keys(toks), lambda ks: let(F.element_at(F.array_sort(ks), count), lambda last: F.zip_with(
+            toks, ks, lambda t, k: F.when(k <= last, mask).otherwise(t))))
+        # a space only between two words; a mask or a mark starts and ends with no word character
+        joined = F.regexp_replace(F.array_join(masked, CUT), rf"(?<={P.W}){CUT}(?={P.W})", " ")
+        return F.replace(joined, F.lit(CUT), F.lit(""))
 
     cut = F.regexp_extract_all(text, F.lit(rf"{P.TOKEN}|[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x85\p{{Z}}]"), F.lit(0))
     return let(cut, lambda toks: F.when(F.size(toks) <= 2, text).otherwise(drop(toks)))

@@ -24,6 +24,11 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def let_all(values: dict[str, Column], body) -> Column:
+    """As :func:`let` for several values; ``body`` gets them as fields of one struct."""
+    return let(F.struct(*[c.alias(n) for n, c in values.items()]), body)
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(P.WORD_RUN)).cast("long")
 
@@ -38,7 +43,7 @@ def tokens(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A{P.WS_RUN}|{P.WS_RUN}\z", "")
+    return F.btrim(text, F.lit(P.WS_CHARS))
 
 
 def redact_email(text: Column) -> Column:
@@ -46,9 +51,10 @@ def redact_email(text: Column) -> Column:
 
 
 def redact_phone(text: Column) -> Column:
+    changed = text
     for pattern in P.PHONES:
-        text = F.regexp_replace(text, UNI + pattern, "[PHONE]")
-    return text
+        changed = F.regexp_replace(changed, UNI + pattern, "[PHONE]")
+    return F.when(has_digit(text), changed).otherwise(text)
 
 
 def redact_ssn(text: Column) -> Column:
@@ -89,8 +95,18 @@ def normalize_currency(text: Column, strict: bool = False) -> Column:
     return F.regexp_replace(text, r"\${2,}(?=\d)", r"\$") if strict else text
 
 
+def squeeze(text: Column) -> Column:
+    """Every run of whitespace as one space; plain single spaces are not touched."""
+    return F.regexp_replace(text, P.WS_LOOSE, " ")
+
+
 def normalize_whitespace(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, P.WS_RUN, " "))
+    return F.trim(squeeze(text))
+
+
+def has_digit(text: Column) -> Column:
+    """Phones, dates, money and the like need one; a cheap test before their patterns."""
+    return text.rlike(r"\p{Nd}")
 
 
 def clean_text(
@@ -109,15 +125,15 @@ def clean_text(
     text = F.coalesce(text, F.lit(""))
 
     def between_dates(piece: Column) -> Column:
-        piece = normalize_currency(normalize_quotes(redact_pii(piece, emails, phones, ssns)))
-        return F.regexp_replace(piece, P.WS_RUN, " ")
+        return squeeze(normalize_currency(normalize_quotes(redact_pii(piece, emails, phones, ssns))))
 
-    return F.trim(outside_dates(text, between_dates))
+    plain = squeeze(normalize_quotes(redact_email(text) if emails else text))
+    return F.trim(F.when(has_digit(text), outside_dates(text, between_dates)).otherwise(plain))
 
 
 def special_share(text: Column) -> Column:
     """Share of characters that are neither letters, numbers nor whitespace."""
-    marks = F.length(F.regexp_replace(text, rf"[\p{{L}}\p{{N}}\s\x0b\x1c-\x1f\x85\p{{Z}}]", ""))
+    marks = F.length(F.regexp_replace(text, r"[\p{L}\p{N}\s\x0b\x1c-\x1f\x85\p{Z}]+", ""))
     return F.try_divide(marks.cast("double"), F.length(text).cast("double"))
 
 

@@ -51,26 +51,28 @@ def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096) -> DataFra
     )
     # a hair below the exact bound, so that rounding never shortens a prefix
     prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
-    postings = ordered.select("id", "n", F.posexplode(F.slice("o", F.lit(1), prefix)).alias("pos", "s")).select(
-        "id", "n", "pos", F.col("s.item").alias("item"), F.col("s.df").alias("df")
+    listed_prefix = ordered.select(
+        "id", "n", prefix.alias("plen"), F.element_at("o", prefix).alias("last"), F.posexplode(F.slice("o", F.lit(1), prefix)).alias("pos", "s"))
+    postings = listed_prefix.select(
+        "pos", F.col("s.item").alias("item"), F.col("s.df").alias("df"), F.struct("id", "n", "plen", "last").alias("r")
     ).where("df > 1")
     parts = F.ceil(F.col("df") / hot).cast("int")
     left = postings.select(
-        "item", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-        F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"),
-    )
+        "item", F.col("r").alias("x"), F.col("pos").alias("px"), F.pmod(F.xxhash64("r.id"), parts).cast("int").alias("part"))
     right = postings.select(
-        "item", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"),
-        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+        "item", F.col("r").alias("y"), F.col("pos").alias("py"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    na, nb = F.col("x.n"), F.col("y.n")
+    need = (na + nb) * (threshold / (1 + threshold)) - 1e-9
+    # before this item at most min(px, py) items are shared, from it on at most the shorter tail
+    bound = F.least("px", "py") + F.least(na - F.col("px"), nb - F.col("py"))
+    meetings = left.join(right, ["item", "part"]).where(
+        (F.col("x.id") < F.col("y.id")) & (nb >= na * threshold - 1e-9) & (na >= nb * threshold - 1e-9) & (bound >= need))
+    # items shared outside the prefixes follow the prefix that ends first, so its tail bounds them
+    tail = F.when(F.col("x.last") < F.col("y.last"), na - F.col("x.plen")).otherwise(nb - F.col("y.plen"))
+    candidates = (
+        meetings.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.ceil(need - tail).cast("int").alias("least"))
+        .groupBy("a", "b").agg(F.count("*").alias("met"), F.max("least").alias("least")).where("met >= least").select("a", "b")
     )
-    need = F.col("na") + F.col("nb")
-    # before this item at most min(pa, pb) items are shared, from it on at most the shorter tail
-    bound = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    candidates = left.join(right, ["item", "part"]).where(
-        (F.col("a") < F.col("b"))
-        & (F.col("nb") >= F.col("na") * threshold - 1e-9) & (F.col("na") >= F.col("nb") * threshold - 1e-9)
-        & (bound >= need * (threshold / (1 + threshold)) - 1e-9)
-    ).select("a", "b").distinct()
     first = sets.select(F.col("id").alias("a"), F.col("items").alias("x"))
     second = sets.select(F.col("id").alias("b"), F.col("items").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))

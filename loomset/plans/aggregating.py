@@ -17,7 +17,7 @@ from loomset.operators.stats import long_rows
 
 from . import sqltext as S
 from .joining import NEAR, SQL_VEC_PAIRS, sql_text_pairs, vecs
-from .registry import query, quoted, small_table, table
+from .registry import query, quoted, small_table, table, texts
 from .views import doc_labels, samples, split_of
 
 
@@ -61,7 +61,7 @@ resolved AS (
 @query("resolve_duplicates", f"WITH RECURSIVE {SQL_RESOLVED} SELECT id, reason FROM resolved")
 def resolve_duplicates(spark, sf):
     rows = samples(spark, sf).withColumnRenamed("doc_id", "id")
-    near = near_dup_text_pairs(docs(spark, sf), "doc_id", "text", 0.7)
+    near = near_dup_text_pairs(texts(spark, sf), "doc_id", "text", 0.7)
     return D.resolve_duplicates(rows, near)
 
 
@@ -133,7 +133,7 @@ def length_stats_pop(spark, sf):
 WITH x AS (SELECT {S.est_tokens()} AS tokens, {S.split_of()} AS split FROM documents)
 {_sql_length('tokens', 'stddev_samp', 'split', 'x')} UNION ALL {_sql_length('tokens', 'stddev_samp', "'all'", 'x')}""")
 def length_stats_samp(spark, sf):
-    rows = docs(spark, sf).select(T.est_tokens_words(F.col("text")).alias("tokens"), split_of(F.col("doc_id")).alias("split"))
+    rows = texts(spark, sf).select(T.est_tokens_words(F.col("text")).alias("tokens"), split_of(F.col("doc_id")).alias("split"))
     return _length_rows(rows, "tokens", True)
 
 

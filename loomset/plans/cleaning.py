@@ -10,7 +10,7 @@ from loomset.functions import text as T
 from loomset.operators import checks as C
 
 from . import sqltext as S
-from .registry import query, quoted, small_table, table
+from .registry import query, quoted, small_table, table, texts
 from .views import samples
 
 # marks that occur in the driver documents
@@ -19,7 +19,7 @@ FITTED_FOOTERS = (r"(?i)licen[sc]e",)
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents")
+    return texts(spark, sf)
 
 
 @query("clean_text", f"SELECT doc_id, {S.clean_text()} AS text FROM documents")
@@ -234,12 +234,12 @@ def problem_samples(spark, sf):
 
 @query("lookup_by_id", "SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id = 42")
 def lookup_by_id(spark, sf):
-    return docs(spark, sf).where(F.col("doc_id") == 42).select("doc_id", "lang", "source", "n_chars")
+    return table(spark, sf, "documents").where(F.col("doc_id") == 42).select("doc_id", "lang", "source", "n_chars")
 
 
 @query("lookup_by_batch", "SELECT doc_id, lang, n_chars FROM documents WHERE source = (SELECT min(source) FROM documents)")
 def lookup_by_batch(spark, sf):
-    rows = docs(spark, sf)
+    rows = table(spark, sf, "documents")
     first = rows.agg(F.min("source").alias("source"))
     return rows.join(F.broadcast(first), "source", "left_semi").select("doc_id", "lang", "n_chars")
 

@@ -18,7 +18,7 @@ from loomset.operators.split import unit_of
 
 from . import sqltext as S
 from .joining import SQL_CENTROIDS, SQL_PLACED, SQL_SELF, vecs
-from .registry import query, quoted, small_table, table
+from .registry import query, quoted, small_table, table, texts
 
 
 def sql_mask(text="text"):
@@ -34,7 +34,7 @@ s AS (SELECT lang, count(*) AS total, count(DISTINCT pattern) AS uniq, round(cou
 c AS (SELECT lang, pattern, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, pattern) AS rank FROM m GROUP BY lang, pattern)
 SELECT lang, total, uniq, ratio, pattern, n, rank FROM s JOIN c USING (lang) WHERE rank <= 3""")
 def pattern_diversity(spark, sf):
-    masked = table(spark, sf, "documents").select("lang", F.md5(mask_pattern(F.col("text"))).alias("pattern"))
+    masked = texts(spark, sf).select("lang", F.md5(mask_pattern(F.col("text"))).alias("pattern"))
     counted = masked.groupBy("lang", "pattern").agg(F.count("*").alias("n"))
     whole = counted.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("uniq"))
     top = top_n_per_group(counted, ["lang"], [F.col("n").desc(), F.col("pattern")], 3)
@@ -265,7 +265,7 @@ SELECT min(chars)::BIGINT AS min_chars, max(chars)::BIGINT AS max_chars, round(a
        round(count(*) FILTER (chunks > 1) / count(*), 6) AS chunking_rate FROM d""")
 def corpus_stats(spark, sf):
     text = F.col("text")
-    rows = table(spark, sf, "documents").select(F.length(text).cast("long").alias("chars"), T.word_count(text).alias("words"))
+    rows = texts(spark, sf).select(F.length(text).cast("long").alias("chars"), T.word_count(text).alias("words"))
     rows = rows.withColumn("chunks", F.greatest(F.ceil(F.floor(F.col("words") * 1.33) / 480.0), F.lit(1)))
     sides = [f(c).alias(f"{n}_{c}") for c in ("chars", "words") for n, f in (("min", F.min), ("max", F.max), ("total", F.sum))]
     means = [F.round(F.avg(c), 6).alias(f"mean_{c}") for c in ("chars", "words")]
@@ -296,7 +296,7 @@ SELECT count(*) AS attempts, round(avg(CASE WHEN tokens <= 512 AND quality = 1 A
        round(avg(tokens), 6) AS mean_tokens, round(stddev_pop(tokens), 4) AS std_tokens, min(words) AS min_words, max(words) AS max_words FROM d""")
 def retry_quality_report(spark, sf):
     text = F.col("text")
-    rows = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").select(
+    rows = texts(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left").select(
         T.est_tokens_words(text).alias("tokens"), T.word_count(text).alias("words"),
         F.coalesce("quality", F.lit(1)).alias("quality"), T.is_valid_text(text).alias("valid"))
     good = (F.col("tokens") <= 512) & (F.col("quality") == 1) & F.col("valid")

@@ -11,12 +11,12 @@ from loomset.operators.embed import chunk_table, embed
 from loomset.operators.split import group_unique_batches
 
 from . import sqltext as S
-from .registry import query, table
+from .registry import query, table, texts
 from .scalars import MAX, SQL_MARKED, WINDOW, sql_marked_clauses
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents")
+    return texts(spark, sf)
 
 
 @query("embed_udf", f"""

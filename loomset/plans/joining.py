@@ -13,7 +13,7 @@ from loomset.operators import vectors as V
 from loomset.operators.ranking import digest
 
 from . import sqltext as S
-from .registry import query, quoted, small_table, table
+from .registry import query, quoted, small_table, table, texts
 from .views import samples, split_of
 
 NEAR = 0.4  # the driver vectors hold no pair at 0.95
@@ -61,7 +61,7 @@ text_pairs AS (
 
 @query("near_dup_text_pairs", f"WITH {sql_text_pairs(0.7)} SELECT a, b, round(jaccard, 6) AS jaccard FROM text_pairs")
 def near_dup_text_pairs(spark, sf):
-    found = N.near_dup_text_pairs(table(spark, sf, "documents"), "doc_id", "text", 0.7)
+    found = N.near_dup_text_pairs(texts(spark, sf), "doc_id", "text", 0.7)
     return found.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
@@ -242,7 +242,7 @@ listed AS (SELECT id, combo, len(s) AS n, unnest(s) AS item FROM (SELECT id, com
 shared AS (SELECT x.id AS a, y.id AS b, x.combo AS ca, y.combo AS cb, x.n AS na, y.n AS nb, count(*) AS c FROM listed x JOIN listed y ON x.item = y.item AND x.id < y.id GROUP BY ALL)
 SELECT a, b, round(c / (na + nb - c), 6) AS jaccard FROM shared WHERE c / (na + nb - c) > 0.3 AND ca <> cb""")
 def jaccard_negatives(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     reps, _ = N.distinct_texts(docs, "doc_id", "text")
     pairs = N.jaccard_pairs(reps.select("id", N.word_set(F.col("text")).alias("items")), 0.3).where("jaccard > 0.3")
     a, b = (docs.select(F.col("doc_id").alias(x), F.col("source").alias(f"combo_{x}")) for x in "ab")
@@ -305,7 +305,7 @@ WITH train AS ({SQL_SENTENCES.format(squeezed=S.squeeze('s'), table='documents')
 hold AS ({SQL_SENTENCES.format(squeezed=S.squeeze('s'), table='benchmark')})
 SELECT sentence, CASE WHEN sentence IN (SELECT sentence FROM train) THEN 'overlap' ELSE 'holdout_only' END AS status FROM hold""")
 def template_overlap(spark, sf):
-    train, hold = _sentences(table(spark, sf, "documents")), _sentences(table(spark, sf, "benchmark"))
+    train, hold = _sentences(texts(spark, sf)), _sentences(table(spark, sf, "benchmark"))
     both = train.intersect(hold).withColumn("status", F.lit("overlap"))
     return both.unionByName(hold.join(train, "sentence", "left_anti").withColumn("status", F.lit("holdout_only")))
 

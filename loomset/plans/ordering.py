@@ -14,7 +14,7 @@ from loomset.operators import stats as ST
 from loomset.sources.writers import number_batches
 
 from . import sqltext as S
-from .registry import query, table
+from .registry import query, table, texts
 from .views import doc_labels, samples, split_of
 
 
@@ -143,7 +143,7 @@ def rolling_latency(spark, sf):
 @query("top_k_counts", f"""
 SELECT token, count(*) AS n FROM (SELECT unnest({S.tokens()}) AS token FROM documents) GROUP BY token ORDER BY n DESC, token LIMIT 20""")
 def top_k_counts(spark, sf):
-    return RK.top_k_counts(docs(spark, sf).select(F.explode(T.tokens(F.col("text"))).alias("token")), "token", 20)
+    return RK.top_k_counts(texts(spark, sf).select(F.explode(T.tokens(F.col("text"))).alias("token")), "token", 20)
 
 
 # runs = users, an odd last event leaves the run unfinished
@@ -219,7 +219,7 @@ def split_leak_check(spark, sf):
 WITH h AS (SELECT DISTINCT unnest({S.tokens()}) AS token FROM benchmark), t AS (SELECT DISTINCT unnest({S.tokens()}) AS token FROM documents)
 SELECT token FROM t EXCEPT SELECT token FROM h""")
 def set_difference(spark, sf):
-    tokens = lambda name: table(spark, sf, name).select(F.explode(T.tokens(F.col("text"))).alias("token"))
+    tokens = lambda name: texts(spark, sf, name).select(F.explode(T.tokens(F.col("text"))).alias("token"))
     return SE.set_difference(tokens("documents"), tokens("benchmark"), "token")
 
 

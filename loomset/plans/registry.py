@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomset.session import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -26,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table whose texts are worked on; see :func:`loomset.session.spread`."""
+    return spread(table(spark, sf_dir, name))
+
+
 def quoted(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("'", "''") + "'"

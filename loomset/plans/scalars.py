@@ -19,12 +19,12 @@ from loomset.sources.readers import document_of_chunk
 from . import sqltext as S
 from .evaluating import SQL_GOLD, combos, sql_mask
 from .joining import vecs
-from .registry import query, quoted, table
+from .registry import query, quoted, table, texts
 from .views import doc_labels
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents")
+    return texts(spark, sf)
 
 
 def sql_terms(text, terms):
@@ -347,11 +347,11 @@ SELECT doc_id, CASE WHEN n < 500 THEN 'simple' WHEN n < 1500 THEN 'medium' ELSE
   CASE WHEN score >= 4 THEN 'complex' WHEN score >= 2 THEN 'medium' ELSE 'simple' END AS four_factor FROM f""")
 def classify_variants(spark, sf):
     text = F.col("text")
-    industry, low = K.industry_by_occurrence(text, _INDUSTRIES)
+    found = K.industry_by_occurrence(text, _INDUSTRIES)
     return docs(spark, sf).select(
-        "doc_id", K.length_class(text).alias("by_length"), K.first_industry(text, _INDUSTRIES).alias("first_industry"),
-        industry.alias("by_occurrence"), low.alias("low_confidence"),
-        K.four_factor_complexity(text, _HARD, ("the", "of", "and", "fee")).alias("four_factor"))
+        "doc_id", K.length_class(text).alias("by_length"), K.first_industry(text, _INDUSTRIES).alias("first_industry"), found.alias("f"),
+        K.four_factor_complexity(text, _HARD, ("the", "of", "and", "fee")).alias("four_factor"),
+    ).select("doc_id", "by_length", "first_industry", F.col("f.industry").alias("by_occurrence"), "f.low_confidence", "four_factor")
 
 
 _FORMAL, _CASUAL = ("the ", "license", "this ", "version", "of "), ("the", "ing ", "ou", "hey")
@@ -393,9 +393,10 @@ SELECT doc_id, f::BIGINT AS formal_count, c::BIGINT AS casual_count, round(f / (
   round(mean_len, 6) AS mean_sentence_length, round(f / (f + c + 1) * 0.5 + least(mean_len / 30, 1) * 0.3 + least(passive / 10, 1) * 0.2, 6)::DOUBLE AS formality,
   round(len(regexp_extract_all(text, '[,;]')) / greatest(n, 1), 6) AS clause_density FROM c""")
 def style_profile(spark, sf):
-    made = K.style_profile(F.col("text"), _FORMAL, _CASUAL)
-    rounded = ("formal_ratio", "mean_sentence_length", "formality", "clause_density")
-    return docs(spark, sf).select("doc_id", *[(F.round(c, 6) if n in rounded else c).alias(n) for n, c in made.items()])
+    rows = docs(spark, sf).select("doc_id", K.style_profile(F.col("text"), _FORMAL, _CASUAL).alias("p")).select("doc_id", "p.*")
+    for name in ("formal_ratio", "mean_sentence_length", "formality", "clause_density"):
+        rows = rows.withColumn(name, F.round(name, 6))
+    return rows
 
 
 @query("sentence_structures", f"""

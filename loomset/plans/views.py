@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .registry import table
+from .registry import table, texts
 
 
 def split_of(column: Column) -> Column:
@@ -17,7 +17,7 @@ def split_of(column: Column) -> Column:
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their scores; a missing score means coherent and in distribution."""
     scores = table(spark, sf_dir, "labels")
-    return table(spark, sf_dir, "documents").join(scores, "doc_id", "left").select(
+    return texts(spark, sf_dir).join(scores, "doc_id", "left").select(
         "doc_id", "text", "lang", "source", "n_chars",
         F.coalesce(F.col("quality"), F.lit(1)).cast("double").alias("coherence"),
         (F.coalesce(F.col("toxic"), F.lit(0)) == 1).alias("is_ood"),

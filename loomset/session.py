@@ -63,3 +63,13 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores before costly text work.
+
+    A table with at least two splits per core, as any large one has, is returned
+    as it is: no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)
