@@ -85,7 +85,7 @@ def item_features(items: Column) -> dict[str, Column]:
 def platforms_in(items: Column, words=PLATFORM_WORDS) -> Column:
     low = F.transform(items, F.lower)
     return F.array_compact(F.array(*[
-        F.when(F.exists(low, lambda d, w=w: _any(d, w)), F.lit(name)) for name, w in words.items()]))
+        F.when(F.exists(low, lambda d: _any(d, w)), F.lit(name)) for name, w in words.items()]))
 
 
 def normal_item(item: Column) -> Column:
