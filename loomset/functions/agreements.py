@@ -65,12 +65,17 @@ KINDS = {
 }
 
 
-def item_aggregates(item: Column) -> dict[str, Column]:
-    """Aggregates over a deliverables table: the count, the count of each kind, the platforms named."""
-    low = F.lower(item)
-    out = {"items": F.count(item)}
-    out |= {name: F.count_if(kind(low)) for name, kind in KINDS.items()}
-    named = [F.when(F.bool_or(_any(low, words)), F.lit(name)) for name, words in PLATFORM_WORDS.items()]
+def item_flags(low: Column) -> dict[str, Column]:
+    """What a lower-cased deliverable counts as, and the platforms it names."""
+    out = {name: kind(low) for name, kind in KINDS.items()}
+    return out | {f"on_{name}": _any(low, words) for name, words in PLATFORM_WORDS.items()}
+
+
+def item_aggregates() -> dict[str, Column]:
+    """Aggregates over the flags of a deliverables table: the count, the count of each kind, the platforms named."""
+    out = {"items": F.count("*")}
+    out |= {name: F.count_if(F.col(name)) for name in KINDS}
+    named = [F.when(F.bool_or(F.col(f"on_{name}")), F.lit(name)) for name in PLATFORM_WORDS]
     return out | {"platforms": F.array_compact(F.array(*named))}
 
 

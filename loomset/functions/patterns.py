@@ -16,6 +16,7 @@ WS_CHARS = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 # one word character, a word token
 W = r"[\p{L}\p{N}_]"
 TOKEN = W + "+"

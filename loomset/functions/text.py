@@ -144,9 +144,10 @@ def is_valid_text(text: Column, min_chars: int = 10, max_special: float = 0.5) -
 
 def line_count(text: Column) -> Column:
     """Lines as a text editor counts them: a final line break opens no new line."""
-    breaks = F.regexp_count(text, F.lit(r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"))
-    open_end = F.when(text.rlike(r"[^\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]\z"), 1).otherwise(0)
-    return (breaks + open_end).cast("long")
+    marks = F.length(text) - F.length(F.translate(text, P.LINE_BREAKS, ""))
+    pairs = F.length(text) - F.length(F.replace(text, F.lit("\r\n"), F.lit("\n")))
+    open_end = F.when((text != "") & ~F.right(text, F.lit(1)).isin(*P.LINE_BREAKS), 1).otherwise(0)
+    return (marks - pairs + open_end).cast("long")
 
 
 def language_hint(text: Column, sample: int = 100) -> Column:
@@ -170,7 +171,7 @@ def text_metadata(text: Column) -> dict[str, Column]:
         "has_lists": text.rlike(P.LIST_LINE),
         "language_hint": language_hint(text),
         "has_email": text.contains("@") & text.rlike(UNI + P.EMAIL),
-        "has_phone": phone,
+        "has_phone": has_digit(text) & phone,
     }
 
 

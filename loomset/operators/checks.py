@@ -29,6 +29,20 @@ def explode_sections(docs: DataFrame, text: str = "text", keep: Sequence[str] =
     )
 
 
+def clean_valid(df: DataFrame, text: str = "text", with_text: bool = True, **how) -> DataFrame:
+    """Rows whose cleaned text is valid, with its digest and, if wanted, the cleaned text.
+
+    Cleaning runs in a generator, so the filter on its result is not pushed below
+    it and every text is cleaned once.
+    """
+    def described(t: Column) -> Column:
+        parts = [T.is_valid_text(t).alias("__valid"), F.md5(t).alias("digest")]
+        return F.struct(*parts, t.alias(text)) if with_text else F.struct(*parts)
+
+    made = df.select(*[c for c in df.columns if c != text], F.inline(F.transform(F.array(T.clean_text(F.col(text), **how)), described)))
+    return made.where("__valid").drop("__valid")
+
+
 def filter_samples(
     df: DataFrame, include_ood: bool = True, complexity: Sequence[str] | None = None,
     industry: Sequence[str] | None = None, min_quality: float = 0.0,

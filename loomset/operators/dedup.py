@@ -39,8 +39,8 @@ def resolve_duplicates(
     return exact.unionByName(close)
 
 
-def survivors_by_digest(df: DataFrame, id_: str, text: str, coherence: str, is_ood: str) -> DataFrame:
-    """One row per distinct text, picked by an aggregate, so a text copied a billion times is combined early."""
-    fields = F.struct(*[F.col(c) for c in df.columns])
+def survivors_by_digest(df: DataFrame, id_: str, digest: str, coherence: str, is_ood: str) -> DataFrame:
+    """One row per distinct digest, picked by an aggregate, so a text copied a billion times is combined early."""
+    fields = F.struct(*[F.col(c) for c in df.columns if c != digest])
     order = F.struct(F.col(coherence), ~F.col(is_ood), F.col(id_).cast("string"))
-    return df.groupBy(F.md5(text).alias("__digest")).agg(F.max_by(fields, order).alias("s")).select("s.*")
+    return df.groupBy(digest).agg(F.max_by(fields, order).alias("s")).select(digest, "s.*")

@@ -42,20 +42,20 @@ def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096) -> DataFra
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
-    sets = written_table(sets.where(F.size("items") > 0), "sets")
+    sets = written_table(sets.withColumn("n", F.size("items")).where("n > 0"), "sets")
     listed = sets.select("id", F.explode("items").alias("item"))
-    frequency = listed.groupBy("item").agg(F.count("*").alias("df"))
-    ordered = (
-        listed.join(frequency, "item").groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("o"), F.count("*").cast("int").alias("n"))
-    )
+    shared = listed.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    # items of one set only are never met, but come first in its order: their number is enough
+    kept = listed.join(shared, "item").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("o"))
+    ordered = kept.join(sets.select("id", "n"), "id").withColumn("alone", F.col("n") - F.size("o"))
     # a hair below the exact bound, so that rounding never shortens a prefix
     prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
-    listed_prefix = ordered.select(
-        "id", "n", prefix.alias("plen"), F.element_at("o", prefix).alias("last"), F.posexplode(F.slice("o", F.lit(1), prefix)).alias("pos", "s"))
-    postings = listed_prefix.select(
-        "pos", F.col("s.item").alias("item"), F.col("s.df").alias("df"), F.struct("id", "n", "plen", "last").alias("r")
-    ).where("df > 1")
+    reach = ordered.withColumn("plen", prefix).withColumn("met", F.col("plen") - F.col("alone")).where("met > 0")
+    postings = reach.select(
+        "id", "n", "plen", "alone", F.element_at("o", F.col("met")).alias("last"), F.posexplode(F.slice("o", F.lit(1), F.col("met"))).alias("i", "s")
+    ).select(
+        (F.col("alone") + F.col("i")).alias("pos"), F.col("s.item").alias("item"), F.col("s.df").alias("df"),
+        F.struct("id", "n", "plen", "last").alias("r"))
     parts = F.ceil(F.col("df") / hot).cast("int")
     left = postings.select(
         "item", F.col("r").alias("x"), F.col("pos").alias("px"), F.pmod(F.xxhash64("r.id"), parts).cast("int").alias("part"))

@@ -173,7 +173,7 @@ def inverse_freq_weight(df: DataFrame, combo_: str) -> DataFrame:
 def apply_thresholds(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Flags of a long table (metric, key, value) by rules (metric, side, bound, flag)."""
     broken = F.when(F.col("side") == "above", F.col("value") > F.col("bound")).otherwise(F.col("value") < F.col("bound"))
-    return metrics.join(F.broadcast(rules), "metric").where(broken).select("flag", "metric", "key", "value")
+    return metrics.join(rules, "metric").where(broken).select("flag", "metric", "key", "value")
 
 
 def long_rows(df: DataFrame, metric: str) -> DataFrame:

@@ -32,6 +32,11 @@ def _block_of(id_: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(id_), blocks).cast("int")
 
 
+def _blocks(df: DataFrame, block_rows: int) -> Column:
+    """How many blocks the rows of a table make, as a scalar."""
+    return df.agg(F.ceil(F.greatest(F.count("*"), F.lit(1)) / block_rows).cast("int")).scalar()
+
+
 def _whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Regroup the batches of a partition sorted by cell into one frame per cell."""
     kept: list[pd.DataFrame] = []
@@ -61,6 +66,11 @@ def distinct_vectors(df: DataFrame, id_: str, vec: str) -> tuple[DataFrame, Data
     return reps, links
 
 
+def all_pairs(rows: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Pairs ``a < b`` with cosine >= threshold among all rows (id, vec). Exact, and quadratic in work."""
+    return _pairs_in_blocks(rows.withColumn("bucket", F.lit(0)).withColumn("blocks", _blocks(rows, block_rows)), threshold)
+
+
 def pairs_in_buckets(rows: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Pairs ``a < b`` with cosine >= threshold among rows (bucket, id, vec) that share a bucket.
 
@@ -68,7 +78,11 @@ def pairs_in_buckets(rows: DataFrame, threshold: float, block_rows: int = BLOCK_
     """
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     sizes = sizes.select("bucket", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
-    placed = rows.join(sizes, "bucket").withColumn("own", _block_of(F.col("id"), F.col("blocks")))
+    return _pairs_in_blocks(rows.join(sizes, "bucket"), threshold)
+
+
+def _pairs_in_blocks(rows: DataFrame, threshold: float) -> DataFrame:
+    placed = rows.withColumn("own", _block_of(F.col("id"), F.col("blocks")))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.concat_ws("|", F.col("bucket").cast("string"), F.least("own", "other").cast("string"),
                     F.greatest("own", "other").cast("string")).alias("cell"),
@@ -101,7 +115,7 @@ def near_dup_pairs(df: DataFrame, id_: str, vec: str, threshold: float = 0.95) -
     n - 1 pairs and their components stay whole.
     """
     reps, links = distinct_vectors(df, id_, vec)
-    near = pairs_in_buckets(reps.withColumn("bucket", F.lit(0)), threshold)
+    near = all_pairs(reps, threshold)
     copies = links.select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("sim"))
     return near.unionByName(copies)
 
@@ -142,8 +156,7 @@ def scores_in_cells(
 ) -> DataFrame:
     """Rows (query, id, sim): per block of the corpus the ``k`` best for each query, or all when ``k`` is None."""
     def blocked(df: DataFrame, side: str) -> tuple[DataFrame, Column]:
-        blocks = F.ceil(F.greatest(F.count("*"), F.lit(1)) / block_rows).cast("int")
-        many = df.agg(blocks).scalar()
+        many = _blocks(df, block_rows)
         return df.select("id", "vec", _block_of(F.col("id"), many).alias(side)), many
 
     q, q_blocks = blocked(queries, "qb")

@@ -96,10 +96,10 @@ def sample_split_lookup(spark, sf):
 
 @query("dim_lookup_default", """
 SELECT s_suppkey, coalesce(n_name, 'other') AS nation, coalesce(r_name, 'unknown') AS region
-FROM supplier LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20) ON s_nationkey = n_nationkey""")
+FROM supplier LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA') ON s_nationkey = n_nationkey""")
 def dim_lookup_default(spark, sf):
     nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    dim = nations.where("n_nationkey < 20").select(
+    dim = nations.where("r_name <> 'ASIA'").select(
         F.col("n_nationkey").alias("key"), F.col("n_name").alias("nation"), F.col("r_name").alias("region"))
     rows = table(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("key"))
     return J.lookup_default(rows, dim, "key", {"nation": "other", "region": "unknown"}).drop("key")
@@ -138,16 +138,16 @@ means AS (SELECT label::BIGINT AS label, pos, avg(x) AS x FROM dims GROUP BY lab
 cents AS (SELECT label AS id, list(x ORDER BY pos) AS vec FROM means GROUP BY label)"""
 
 
-# every class mean asks; the corpus leaves out soft-deleted rows (ids ending in 7)
+# every class mean asks; the rows of class 9 count as deleted
 @query("knn_search", f"""
 WITH {SQL_CENTROIDS},
 scored AS (SELECT c.id AS query, e.vec_id AS id, list_cosine_similarity(c.vec, e.embedding::DOUBLE[]) AS sim
-           FROM cents c, embeddings e WHERE e.vec_id % 10 <> 7),
+           FROM cents c, embeddings e WHERE e.label <> 9),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY sim DESC, id) AS rank FROM scored)
 SELECT query, id, round(sim, 6) AS sim, rank FROM ranked WHERE rank <= 5""")
 def knn_search(spark, sf):
     rows = vecs(spark, sf)
-    live = rows.where(F.col("id") % 10 != 7)
+    live = rows.where("label <> 9")
     return V.knn(V.centroids(rows, "label", "vec"), live, 5).withColumn("sim", F.round("sim", 6))
 
 
@@ -335,8 +335,7 @@ WITH {SQL_CENTROIDS}
 SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.vec, b.vec), 6) AS sim, list_cosine_similarity(a.vec, b.vec) > 0.2 AS conflict
 FROM cents a JOIN cents b ON a.id < b.id WHERE list_cosine_similarity(a.vec, b.vec) >= 0.1""")
 def anchor_conflicts(spark, sf):
-    anchors = V.centroids(vecs(spark, sf), "label", "vec").withColumn("bucket", F.lit(0))
-    pairs = V.pairs_in_buckets(anchors.select("bucket", "id", "vec"), 0.1)
+    pairs = V.all_pairs(V.centroids(vecs(spark, sf), "label", "vec"), 0.1)
     return pairs.select("a", "b", F.round("sim", 6).alias("sim"), (F.col("sim") > 0.2).alias("conflict"))
 
 
@@ -345,14 +344,14 @@ def anchor_conflicts(spark, sf):
 WITH profiles AS (
   SELECT CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS profile_id, list(DISTINCT p_name) AS terms,
          CAST(count(DISTINCT p_size) AS DOUBLE) / 100 + 0.1 * (count(*) % 7) AS base
-  FROM part WHERE p_size <= 12 GROUP BY p_brand),
+  FROM part GROUP BY p_brand),
 targets AS (SELECT DISTINCT lower(unnest(string_split(p_name, ' '))) AS target FROM part UNION SELECT lower(n_name) FROM nation),
 scored AS (SELECT t.target, p.profile_id, p.base + 2 * len(list_filter(p.terms, lambda x: list_contains(string_split(x, ' '), t.target))) AS score FROM targets t, profiles p)
 SELECT target, profile_id, round(score, 6) AS score, score < 0.5 AS low_confidence
 FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY round(score, 9) DESC, profile_id) AS rn FROM scored) WHERE rn = 1""")
 def profile_select(spark, sf):
     part = table(spark, sf, "part")
-    profiles = part.where("p_size <= 12").groupBy("p_brand").agg(
+    profiles = part.groupBy("p_brand").agg(
         F.collect_set("p_name").alias("terms"), F.countDistinct("p_size").alias("sizes"), F.count("*").alias("n")
     ).select(
         F.replace("p_brand", F.lit("Brand#"), F.lit("")).cast("long").alias("profile_id"), "terms",

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from loomset.functions import text as T
 from loomset.operators import dedup as D
+from loomset.operators.checks import clean_valid
 from loomset.operators import ranking as RK
 from loomset.operators import runs as RU
 from loomset.operators import sets as SE
 from loomset.operators import split as SP
 from loomset.operators import stats as ST
+from loomset.session import written_table
 from loomset.sources.writers import number_batches
 
 from . import sqltext as S
@@ -60,13 +62,15 @@ kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY
 counted AS (SELECT s.split, k.lang, count(*) AS n FROM kept k JOIN gs s USING (source) GROUP BY ALL)
 SELECT split, lang, n, round(n / (SELECT sum(n) FROM counted), 6)::DOUBLE AS share FROM counted""")
 def curated_split(spark, sf):
-    cleaned = samples(spark, sf).select("doc_id", "lang", "source", "coherence", "is_ood", T.clean_text(F.col("text")).alias("text"))
-    # one row per text first: the validity check then runs once per distinct text
-    kept = D.survivors_by_digest(cleaned, "doc_id", "text", "coherence", "is_ood").where(T.is_valid_text(F.col("text")))
-    small = kept.select("source", "lang")
+    # texts stay in the scan stage; only digests and keys are shuffled
+    cleaned = clean_valid(samples(spark, sf).drop("n_chars"), with_text=False)
+    kept = D.survivors_by_digest(cleaned, "doc_id", "digest", "coherence", "is_ood")
+    # read three times below: written once, so the texts are cleaned once
+    small = written_table(kept.select("source", "lang"), "kept")
     groups = SP.group_stratified_split(small, "source", "lang").select("source", "split")
     counted = small.join(groups, "source").groupBy("split", "lang").agg(F.count("*").alias("n"))
-    return ST.with_shares(counted).withColumn("share", F.round("share", 6))
+    total = small.agg(F.count("*")).scalar()
+    return counted.withColumn("share", F.round(F.col("n") / total, 6))
 
 
 @query("profile_stratified_split", """
@@ -136,7 +140,7 @@ SELECT event_id, user_id, round(CASE WHEN row_number() OVER w >= 10 THEN avg(val
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def rolling_latency(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    made = ST.rolling_mean(events, "user_id", ["ts", "event_id"], "value", F.date_trunc("hour", "ts"), 10)
+    made = ST.rolling_mean(events, "user_id", ["ts", "event_id"], "value", F.date_trunc("minute", "ts"), 10)
     return made.select("event_id", "user_id", F.round("recent_mean", 6).alias("recent_mean"))
 
 

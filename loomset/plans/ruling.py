@@ -8,7 +8,7 @@ from loomset.functions import agreements as A
 from loomset.functions import rules as R
 
 from .aggregating import SQL_ORDER_ITEMS, order_items
-from .registry import query, quoted, table
+from .registry import query, quoted, table, texts
 
 _PLATFORMS = ("Instagram", "YouTube", "TikTok", "LinkedIn", "Pinterest", "Blog")
 _FORMATS = ("Post", "Story", "Reel", "Video", "Usage note", "Exclusive post")
@@ -42,19 +42,21 @@ agr AS (SELECT o_orderkey, floor(o_totalprice / 10)::BIGINT AS fee, CASE c_mktse
 def item_lines(spark, sf):
     pick = lambda words, key: F.element_at(F.array(*[F.lit(w) for w in words]), (F.col(key) % len(words) + 1).cast("int"))
     item = F.concat(F.floor(F.col("l_quantity") / 10).cast("string"), F.lit(" x "), pick(_PLATFORMS, "l_suppkey"), F.lit(" "), pick(_FORMATS, "l_partkey"))
-    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), item.alias("item"))
+    return texts(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), item.alias("item"))
 
 
 def agreements(spark, sf):
     """One row per order. Deliverables stay a table and are aggregated, so an order may have any number of them."""
     lines = item_lines(spark, sf)
-    feats = lines.groupBy("o_orderkey").agg(*[c.alias(n) for n, c in A.item_aggregates(F.col("item")).items()])
+    flags = lines.select("o_orderkey", F.lower("item").alias("low")).select(
+        "o_orderkey", *[c.alias(n) for n, c in A.item_flags(F.col("low")).items()])
+    feats = flags.groupBy("o_orderkey").agg(*[c.alias(n) for n, c in A.item_aggregates().items()])
     repeated = F.col("n") > 1
     dups = lines.groupBy("o_orderkey", A.normal_item(F.col("item")).alias("d")).agg(F.count("*").alias("n")).groupBy("o_orderkey").agg(
         F.count_if(repeated).alias("duplicates"), F.count("*").alias("distinct_items"), F.min(F.when(repeated, F.col("d"))).alias("first_duplicate"))
     key, first = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)
     text = lambda n, unit: F.concat((key % n).cast("string"), F.lit(unit))
-    heads = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+    heads = texts(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", F.floor(F.col("o_totalprice") / 10).cast("long").alias("fee"),
         R.first_match([(F.col("c_mktsegment") == a, b) for a, b in _INDUSTRY.items()], "other").alias("industry"),
         R.first_match([(first.isin("1", "2"), "complex"), (first == "3", "medium")], "simple").alias("complexity"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from loomset.functions import text as T
+from loomset.operators.checks import clean_valid
 from loomset.session import scratch_path
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -42,8 +42,7 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
 
 def clean_stream(docs: DataFrame, text: str = "text") -> DataFrame:
     """Cleaned and valid texts; the same column functions as in batch, so no state."""
-    cleaned = docs.withColumn(text, T.clean_text(F.col(text)))
-    return cleaned.where(T.is_valid_text(F.col(text)))
+    return clean_valid(docs, text).drop("digest")
 
 
 def first_arrivals(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:

@@ -173,11 +173,14 @@ def _cosines(matrix):
 
 @pytest.mark.parametrize("block", [16, 2048])
 def test_pairs_equal_brute_force_whatever_the_block(spark, planted, block):
-    rows = _vectors(spark, planted).withColumn("bucket", F.lit(0))
-    got = {(r.a, r.b): r.sim for r in V.pairs_in_buckets(rows, 0.9, block).collect()}
+    rows = _vectors(spark, planted)
     sims = _cosines(planted)
     want = {(i, j) for i in range(len(sims)) for j in range(i + 1, len(sims)) if sims[i, j] >= 0.9}
-    assert set(got) == want and all(got[p] == pytest.approx(sims[p]) for p in want)
+    # a third of the rows share one bucket, every row has a bucket of its own besides
+    buckets = rows.withColumn("bucket", F.explode(F.array(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") + 10), F.lit(0))))
+    for found in (V.all_pairs(rows, 0.9, block), V.pairs_in_buckets(buckets, 0.9, block)):
+        got = {(r.a, r.b): r.sim for r in found.collect()}
+        assert set(got) == want and all(got[p] == pytest.approx(sims[p]) for p in want)
 
 
 def test_copies_are_linked_to_the_first(spark):
