@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 from .rules import first_match
-from .text import words
+from .text import UNI, words
 
 # fixed values
 VALID_LABELS = (
@@ -69,7 +69,7 @@ def labels_by_patterns(text: Column, table: Sequence[tuple[str, Sequence[str]]])
     """Names whose patterns occur in the lower-cased text, in table order."""
     low = F.lower(text)
     return F.array_compact(F.array(*[
-        F.when(low.rlike("|".join(f"(?:{p})" for p in found)), name) for name, found in table]))
+        F.when(low.rlike(UNI + "|".join(f"(?:{p})" for p in found)), name) for name, found in table]))
 
 
 def pad_labels(labels: Column, level: Column, pool: Sequence[str], id_: Column, limits=LABEL_LIMITS) -> Column:

@@ -218,12 +218,20 @@ def label_by_field_match(spark, sf):
 
 # patterns fitted to the driver documents
 _SUB = (("license", (r"licen[sc]e", r"copyright")), ("contact", (r"@\w+", r"\(\d{3}\)")), ("list", (r"\|", r"\d+\s*x")),
-        ("english", (r"\bthe\b", r"\band\b")), ("german", (r"\bder\b|\bdie\b",)))
+        ("english", (r"\bthe\b", r"\band\b")), ("german", (r"\bder\b", r"\bdie\b")))
+
+
+def sql_edges(pattern):
+    """A whole word for RE2: an edge of Unicode word characters on both sides."""
+    if pattern.startswith(r"\b") and pattern.endswith(r"\b"):
+        edge = r"[^\p{L}\p{N}_]"
+        return f"(?:^|{edge}){pattern[2:-2]}(?:$|{edge})"
+    return pattern
 
 
 def sql_pattern_labels(text, rules):
     return "array_to_string(list_filter([" + ", ".join(
-        "CASE WHEN " + " OR ".join(f"regexp_matches(lower({text}), {quoted(p)})" for p in ps) + f" THEN '{n}' END" for n, ps in rules
+        "CASE WHEN " + " OR ".join(f"regexp_matches(lower({text}), {quoted(sql_edges(p))})" for p in ps) + f" THEN '{n}' END" for n, ps in rules
     ) + "], lambda x: x IS NOT NULL), '|')"
 
 
@@ -389,13 +397,13 @@ def style_detect(spark, sf):
 
 @query("style_profile", f"""
 WITH {SQL_SENT}, c AS (SELECT *, {sql_terms('lower(text)', _FORMAL)} AS f, {sql_terms('lower(text)', _CASUAL)} AS c, len(regexp_extract_all(text, {quoted(P.PASSIVE)})) AS passive FROM meas)
-SELECT doc_id, f::BIGINT AS formal_count, c::BIGINT AS casual_count, round(f / (f + c + 1), 6) AS formal_ratio, CASE WHEN f > c THEN 'formal' ELSE 'casual' END AS dominant_tone,
-  round(mean_len, 6) AS mean_sentence_length, round(f / (f + c + 1) * 0.5 + least(mean_len / 30, 1) * 0.3 + least(passive / 10, 1) * 0.2, 6)::DOUBLE AS formality,
-  round(len(regexp_extract_all(text, '[,;]')) / greatest(n, 1), 6) AS clause_density FROM c""")
+SELECT doc_id, f::BIGINT AS formal_count, c::BIGINT AS casual_count, round(f / (f + c + 1), 10) AS formal_ratio, CASE WHEN f > c THEN 'formal' ELSE 'casual' END AS dominant_tone,
+  round(mean_len, 10) AS mean_sentence_length, round(f / (f + c + 1) * 0.5 + least(mean_len / 30, 1) * 0.3 + least(passive / 10, 1) * 0.2, 10)::DOUBLE AS formality,
+  round(len(regexp_extract_all(text, '[,;]')) / greatest(n, 1), 10) AS clause_density FROM c""")
 def style_profile(spark, sf):
     rows = docs(spark, sf).select("doc_id", K.style_profile(F.col("text"), _FORMAL, _CASUAL).alias("p")).select("doc_id", "p.*")
     for name in ("formal_ratio", "mean_sentence_length", "formality", "clause_density"):
-        rows = rows.withColumn(name, F.round(name, 6))
+        rows = rows.withColumn(name, F.round(name, 10))
     return rows
 
 
