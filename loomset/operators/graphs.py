@@ -18,11 +18,9 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     Each round takes the smallest label among the neighbours and then the label of
     that label, so the number of rounds grows with the logarithm of the diameter.
     """
-    both = cut_lineage(
-        edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        .unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        .where("u <> v").distinct()
-    )
+    # both directions from one pass over the edges, which may be costly to find
+    ends = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    both = cut_lineage(edges.select(F.inline(ends)).where("u <> v").distinct())
     nodes = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")).withColumnRenamed("u", "id"))
     for _ in range(max_rounds):
         near = (

@@ -42,7 +42,9 @@ def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096) -> DataFra
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
-    sets = written_table(sets.withColumn("n", F.size("items")).where("n > 0"), "sets")
+    # sized in a generator: the filter then does not make the plan build the sets a second time
+    sized = F.inline(F.transform(F.array("items"), lambda x: F.struct(x.alias("items"), F.size(x).alias("n"))))
+    sets = written_table(sets.select("id", sized).where("n > 0"), "sets")
     listed = sets.select("id", F.explode("items").alias("item"))
     shared = listed.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
     # items of one set only are never met, but come first in its order: their number is enough
