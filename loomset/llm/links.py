@@ -11,10 +11,11 @@ from loomset.llm.tables import written_table
 def classes(links: DataFrame) -> DataFrame:
     """(id, component) for each id of the links (a, b): component is the smallest id reachable, itself included.
 
-    Every round hooks each label to the smallest label next to it and follows labels of labels, until
-    nothing changes; the rounds grow with the logarithm of the longest chain. The labels next to an id
-    are first reduced in each task, so one id with very many links is no large group. Each round is a
-    written table: a lost executor costs one round at most.
+    Every round takes the smallest label next to an id and then the label of that label, until nothing
+    changes; the rounds grow with the logarithm of the longest chain. The labels next to an id are first
+    reduced in each task, and both sides of every join are read from written tables, whose partitions
+    Spark can split, so one id with very many links or one label of very many ids is no large group. A
+    lost executor costs one step at most.
     """
     ends = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
     both = written_table(links.where("a <> b").select(F.inline(ends)).distinct(), "links")
@@ -23,15 +24,9 @@ def classes(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(nodes, both.v == nodes.id).groupBy(F.col("u").alias("id")).agg(F.min("label").alias("near"))
         lower = nodes.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        # a label's own row may have moved further down, also through what its other ids have seen
-        hooks = lower.groupBy(F.col("old").alias("from")).agg(F.min("label").alias("to"))
-        up = nodes.join(hooks, nodes.label == hooks["from"]).select(F.col("id").alias("at"), F.col("to"))
-        step = (
-            lower.join(up, lower.id == up["at"], "left")
-            .select("id", "old", F.least("label", F.coalesce("to", "label")).alias("label"))
-        )
-        parents = step.select(F.col("id").alias("parent"), F.col("label").alias("above"))
-        step = step.join(parents, step.label == parents.parent, "left").select(
+        lower = written_table(lower, "labels")
+        parents = lower.select(F.col("id").alias("parent"), F.col("label").alias("above"))
+        step = lower.join(parents, lower.label == parents.parent, "left").select(
             "id", "old", F.least("label", F.coalesce("above", "label")).alias("label")
         )
         step = written_table(step, "labels")
