@@ -7,7 +7,8 @@ doc_id. In a bucket of classes that agree on a band, a few hubs are compared wit
 of all pairs; rounds go on until every bucket holds one component, or all of its pairs between
 components have been compared. So no link that joins two components is lost, and a group of many
 near copies costs about as many comparisons as it has members. Before the sets of a pair are fetched,
-their sizes must allow the similarity and the low bits of their signatures must not differ too often.
+their sizes and the bitmaps of their shingles must allow the similarity, which loses nothing, and the
+low bits of their signatures must not differ too often.
 
 Defined cases: a null, empty or wordless text has an empty set and links with nothing; a row without
 an id is its own component (null); repeated rows of an id are one document; a text of fewer words
@@ -32,6 +33,8 @@ from loomset.llm.tables import text_rows, written_table
 BANDS, BAND_ROWS = 40, 6
 #: of 128 signature bits a pair at 0.8 differs in 13 on average, in more than 36 with a chance below 1e-8
 SKETCH_BITS, SKETCH_APART = 128, 36
+#: bits of the bitmap of a set: bits that differ never outnumber shingles that differ
+MAP_BITS = 1024
 _CHUNK = 1 << 15
 
 
@@ -88,7 +91,7 @@ def signatures(hashed: np.ndarray, first: np.ndarray, coordinates: int) -> np.nd
     return out
 
 
-_SIGNED = "doc_id bigint, n_shingles bigint, set_hash bigint, set_check bigint, bands array<bigint>, bits array<bigint>"
+_SIGNED = "doc_id bigint, n_shingles bigint, set_hash bigint, set_check bigint, bands array<bigint>, bits array<bigint>, map array<bigint>"
 
 
 def _lists(table: np.ndarray) -> pa.ListArray:
@@ -105,6 +108,8 @@ def _sign(width: int, bands: int, rows: int):
             band = np.zeros(coordinates.shape[:2], np.uint64)
             for k in range(rows):
                 band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + coordinates[:, :, k] + np.uint64(1))
+            shown = np.zeros((len(first) - 1, MAP_BITS), bool)
+            shown[np.repeat(np.arange(len(first) - 1), np.diff(first)), (hashed % np.uint64(MAP_BITS)).astype(np.int64)] = True
             sums = np.zeros((2, len(hashed) + 1), np.uint64)
             np.cumsum(mixed(hashed), out=sums[0, 1:])
             np.cumsum(mixed(hashed ^ np.uint64(0x5851F42D4C957F2D)), out=sums[1, 1:])
@@ -113,8 +118,9 @@ def _sign(width: int, bands: int, rows: int):
                 [
                     part.column("doc_id"), pa.array(np.diff(first)), pa.array(sums[0]), pa.array(sums[1]),
                     _lists(band.astype(np.int64)), _lists(bits),
+                    _lists(np.packbits(shown, axis=1).view(np.int64)),
                 ],
-                names=["doc_id", "n_shingles", "set_hash", "set_check", "bands", "bits"],
+                names=["doc_id", "n_shingles", "set_hash", "set_check", "bands", "bits", "map"],
             )
 
     return each
@@ -140,14 +146,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.where(100 * common >= threshold * union).select("a", "b")
 
 
+def _apart(name: str, bits: int):
+    """In how many bits the columns ``name`` and ``other_name`` differ."""
+    words = (F.get(name, F.lit(k)).bitwiseXOR(F.get(f"other_{name}", F.lit(k))) for k in range(bits // 64))
+    return sum((F.bit_count(w) for w in words), F.lit(0))
+
+
 def _may_be_near(threshold: int):
-    """Whether the classes with (n, bits) and (other_n, other_bits) may be similar enough: exact on sizes, safe on bits."""
-    apart = sum(F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("other_bits", F.lit(k)))) for k in range(SKETCH_BITS // 64))
-    return (100 * F.least("n", "other_n") >= threshold * F.greatest("n", "other_n")) & (apart <= SKETCH_APART)
+    """Whether two classes may be similar enough: exact on sizes and bitmaps, safe on signature bits."""
+    sizes = 100 * F.least("n", "other_n") >= threshold * F.greatest("n", "other_n")
+    maps = (100 + threshold) * _apart("map", MAP_BITS) <= (100 - threshold) * (F.col("n") + F.col("other_n"))
+    return sizes & (_apart("bits", SKETCH_BITS) <= SKETCH_APART) & maps
 
 
 def near_duplicate_classes(
-    docs: DataFrame, width: int = 5, threshold: int = 80, bands: int = BANDS, band_rows: int = BAND_ROWS, hubs: int = 16
+    docs: DataFrame, width: int = 5, threshold: int = 80, bands: int = BANDS, band_rows: int = BAND_ROWS, hubs: int = 256
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row.
 
@@ -160,10 +173,10 @@ def near_duplicate_classes(
     sets_of = (
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same)
         .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.any_value("bands").alias("bands"),
-             F.any_value("bits").alias("bits"))
+             F.any_value("bits").alias("bits"), F.any_value("map").alias("map"))
     )
     sets_of = written_table(sets_of, "classes")
-    in_bands = sets_of.select(F.posexplode("bands").alias("band", "key"), F.col("first_id").alias("id"), F.col("n_shingles").alias("n"), "bits")
+    in_bands = sets_of.select(F.posexplode("bands").alias("band", "key"), F.col("first_id").alias("id"))
     # buckets of several classes, and the smallest id of each
     several = in_bands.groupBy("band", "key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top")
     members = written_table(in_bands.join(several.drop("top"), ["band", "key"]), "buckets")
@@ -171,22 +184,24 @@ def near_duplicate_classes(
     sets = written_table(sets.mapInArrow(_list_sets(width), "id bigint, shingles array<bigint>").dropDuplicates(["id"]), "sets")
 
     near = _may_be_near(threshold)
-    hub = sets_of.select(F.col("first_id").alias("hub"), F.col("n_shingles").alias("other_n"), F.col("bits").alias("other_bits"))
-    compared = members.where("id > hub").select("hub", "id", "n", "bits").distinct().join(hub, "hub").where(near)
-    compared = written_table(compared.select(F.col("hub").alias("a"), F.col("id").alias("b")), "pairs")
+    facts = sets_of.select(F.col("first_id").alias("id"), F.col("n_shingles").alias("n"), "bits", "map")
+    other_facts = facts.select(*(F.col(c).alias(f"other_{c}") for c in facts.columns))
+    compared = members.where("id > hub").select(F.col("hub").alias("other_id"), "id").distinct()
+    compared = compared.join(other_facts, "other_id").join(facts, "id").where(near)
+    compared = written_table(compared.select(F.col("other_id").alias("a"), F.col("id").alias("b")), "pairs")
     links = written_table(_verified(compared, sets, threshold), "near")
     component = classes(links)
     hubs_done = members.where("id = hub").select("band", "key", "id")
     while True:
         # buckets whose members are in several components; those outside the largest are the next hubs
         now = members.join(component, "id", "left").select(
-            "band", "key", "id", "n", "bits", F.coalesce("component", "id").alias("component")
+            "band", "key", "id", F.coalesce("component", "id").alias("component")
         )
         sizes = now.groupBy("band", "key", "component").agg(F.count("*").alias("size"))
         open_buckets = sizes.groupBy("band", "key").agg(
             F.max_by("component", F.struct("size", "component")).alias("largest"), F.count("*").alias("several")
         ).where("several > 1").drop("several")
-        now = written_table(now.join(open_buckets, ["band", "key"]), "open")
+        now = written_table(now.join(open_buckets, ["band", "key"]).join(facts, "id"), "open")
         waiting = now.where("component <> largest").join(hubs_done, ["band", "key", "id"], "left_anti")
         order = Window.partitionBy("band", "key").orderBy("id")
         picked = written_table(waiting.withColumn("at", F.row_number().over(order)).where(F.col("at") <= hubs).drop("at", "largest"), "hubs")
@@ -194,7 +209,7 @@ def near_duplicate_classes(
             break
         hubs *= 4
         hubs_done = hubs_done.unionByName(picked.select("band", "key", "id"))
-        other = now.select("band", "key", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "bits", "component")))
+        other = now.select("band", "key", *(F.col(c).alias(f"other_{c}") for c in ("id", "n", "bits", "map", "component")))
         pairs = (
             picked.join(other, ["band", "key"]).where((F.col("component") != F.col("other_component")) & near)
             .select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
