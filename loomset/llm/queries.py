@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomset.llm import contamination, near_text
+from loomset.llm import contamination, merges, near_text, repeats, token_files, trie_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -33,6 +34,12 @@ def oracle_sql() -> dict[str, str]:
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@_query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the pieces of the 32k vocabulary and their scores."""
+    return trie_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @_query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
@@ -93,3 +100,22 @@ lowest AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM words LEFT JOIN sizes USING (doc_id) JOIN lowest USING (doc_id)
 """
+
+
+@_query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids, read back from token files."""
+    return token_files.token_file_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier document has in a string of 50."""
+    found = repeats.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@_query
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the text decoded from them."""
+    return merges.round_trip_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
