@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_BLOCK = 1 << 20
+#: numbers worked on at once: few enough for the processor's cache, and for memory to be used again
+_BLOCK = 1 << 17
 
 #: fixed values: bytes that are white space, and bytes that are word bytes after lower-casing A-Z
 NOT_SPACE = np.ones(256, bool)
@@ -94,12 +94,15 @@ def words_of(texts: Texts, inside: np.ndarray) -> Words:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads their bits."""
-    x = x ^ (x >> np.uint64(30))
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
+    out = np.empty(len(x), np.uint64)
+    for at in range(0, len(x), 1 << 15):
+        y = x[at : at + (1 << 15)]
+        y = y ^ (y >> np.uint64(30))
+        y *= np.uint64(0xBF58476D1CE4E5B9)
+        y ^= y >> np.uint64(27)
+        y *= np.uint64(0x94D049BB133111EB)
+        np.bitwise_xor(y, y >> np.uint64(31), out=out[at : at + (1 << 15)])
+    return out
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -116,13 +119,14 @@ def _table(base: int, n: int) -> np.ndarray:
     have = _tables.get(base)
     if have is None or len(have) < n:
         have = powers(base, max(n, _BLOCK + 1))
-        if n <= 4 * _BLOCK:
+        if n <= 8 * _BLOCK:
             _tables[base] = have
     return have[:n]
 
 
-def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ascending spans; equal bytes have equal hashes wherever they stand."""
+def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """64-bit hashes of ascending spans; equal bytes have equal hashes wherever they stand. Another base is another hash."""
+    inverse = pow(base, -1, 1 << 64)
     out = np.empty(len(start), np.uint64)
     at = 0
     while at < len(start):
@@ -132,11 +136,11 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         sums = np.zeros(n + 1, np.uint64)
         terms = data[origin : origin + n].astype(np.uint64)
         terms += np.uint64(1)
-        terms *= _table(_BASE, n)
+        terms *= _table(base, n)
         np.cumsum(terms, out=sums[1:])
         left = start[at:to] - origin
         right = end[at:to] - origin
-        out[at:to] = (sums[right] - sums[left]) * _table(_BASE_INVERSE, n + 1)[left]
+        out[at:to] = (sums[right] - sums[left]) * _table(inverse, n + 1)[left]
         at = to
     return mixed(out + (end - start).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
@@ -147,7 +151,7 @@ def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.empty(n, np.uint64)
-    inverse, power = _table(_BASE_INVERSE, _BLOCK + 1), _table(_BASE, _BLOCK + width)
+    inverse, power = _table(pow(_BASE, -1, 1 << 64), _BLOCK + 1), _table(_BASE, _BLOCK + width)
     for at in range(0, n, _BLOCK):
         m = min(_BLOCK, n - at)
         sums = np.zeros(m + width, np.uint64)
@@ -155,14 +159,20 @@ def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
         terms += np.uint64(1)
         terms *= power[: len(terms)]
         np.cumsum(terms, out=sums[1:])
-        out[at : at + m] = (sums[width : width + m] - sums[:m]) * inverse[:m]
-    return mixed(out)
+        out[at : at + m] = mixed((sums[width : width + m] - sums[:m]) * inverse[:m])
+    return out
 
 
 def word_hashes(texts: Texts, words: Words) -> np.ndarray:
     return hashes(texts.data, words.start, words.end)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The different values, ascending."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def ragged_range(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... for count[0] numbers, then the same for the next row."""
     total = int(count.sum())

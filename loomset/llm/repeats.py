@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomset.llm.flat import Texts, hashes, mixed, ragged_range, texts_of, window_hashes
+from loomset.llm.flat import Texts, distinct, hashes, mixed, ragged_range, texts_of, window_hashes
 from loomset.llm.tables import parts_for, text_bytes
 
 WIDTH = 50
@@ -42,8 +42,9 @@ GRAM = 16
 #: a phrase holds this many strings on average
 PHRASE = 128
 GROUP_BYTES = 4 << 20
-_SEGMENT = 4 << 20
-_PLACE = np.uint64((1 << 23) - 1)
+_SEGMENT = 1 << 17
+_PLACE = np.uint64((1 << 18) - 1)
+_SECOND_BASE = 0xC2B2AE3D27D4EB4F
 
 
 class Parse(NamedTuple):
@@ -101,8 +102,7 @@ def parse(texts: Texts, has_id: np.ndarray, width: int = WIDTH) -> Parse:
     until = last[np.searchsorted(last, begin, "right")] if len(begin) else begin
     end = np.minimum(np.append(begin[1:], n), until) + width - 1
     key = hashes(data, begin, end)
-    # a second hash, of the bytes as another polynomial sees them
-    check = _second_hashes(data, begin, end)
+    check = hashes(data, begin, end, base=_SECOND_BASE)
     row = np.searchsorted(offsets, start, "right") - 1
     return Parse(
         start, count, anchor, row, np.searchsorted(begin, start, "right") - 1, key, check,
@@ -110,14 +110,6 @@ def parse(texts: Texts, has_id: np.ndarray, width: int = WIDTH) -> Parse:
     )
 
 
-def _second_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes independent of :func:`flat.hashes`: sums of mixed strings of 16 bytes, and of the ends."""
-    grams = mixed(window_hashes(data, GRAM) ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    sums = np.zeros(len(grams) + 1, np.uint64)
-    np.cumsum(grams, out=sums[1:])
-    return mixed(sums[end - GRAM + 1] - sums[start] + grams[start] * np.uint64(3) + grams[end - GRAM] * np.uint64(5))
-
-
 class Group(NamedTuple):
     """The rows of a group in a fixed order, so that each pass sees the same numbers."""
 
@@ -129,14 +121,17 @@ class Group(NamedTuple):
 
 def _group(table: pa.Table, width: int) -> Group:
     table = table.combine_chunks()
-    ids, texts = table.column("id").to_pylist(), table.column("text").to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i] or ""))
-    table = table.take(pa.array(order, pa.int64()))
-    column = table.column("text").combine_chunks()
-    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) and column.num_chunks else column
-    texts = texts_of(column if isinstance(column, pa.Array) else pa.array([], pa.string()))
-    has_id = np.array([ids[i] is not None for i in order], bool)
-    ids = np.array([ids[i] or 0 for i in order], np.int64)
+    null = table.column("id").is_null().to_numpy(zero_copy_only=False)
+    ids = table.column("id").fill_null(0).to_numpy()
+    order = np.lexsort((ids, null))
+    tied = np.flatnonzero((ids[order][1:] == ids[order][:-1]) & (null[order][1:] == null[order][:-1]))
+    if len(tied):
+        texts = table.column("text")
+        order = np.array(sorted(order.tolist(), key=lambda i: (null[i], ids[i], texts[i].as_py() or "")), np.int64)
+    table = table.take(pa.array(order)).combine_chunks()
+    column = table.column("text")
+    texts = texts_of(column.chunk(0) if column.num_chunks else pa.array([], pa.string()))
+    ids, has_id = ids[order], ~null[order]
     return Group(table, ids, texts, parse(texts, has_id, width))
 
 
@@ -193,7 +188,7 @@ def _ask(buckets: int, width: int):
         group = _group(table, width)
         p = group.parsed
         g = table.column("g")[0].as_py()
-        anchor = np.unique(p.anchor)
+        anchor = distinct(p.anchor)
         number, first = _first_of([p.phrase_key, p.phrase_check], group.ids[p.phrase_row])
         key, check = np.empty(len(first), np.uint64), np.empty(len(first), np.uint64)
         key[number], check[number] = p.phrase_key, p.phrase_check
@@ -256,7 +251,7 @@ def _live(group: Group, answers: pa.Table, buckets: int) -> tuple[np.ndarray, np
     ))
     shared = np.zeros(len(p.anchor), bool)
     if len(known[0]):
-        table = np.unique(known[0] * np.uint64(buckets) + known[1])
+        table = distinct(known[0] * np.uint64(buckets) + known[1])
         own = (p.anchor >> np.uint64(32)) * np.uint64(buckets) + p.anchor % np.uint64(buckets)
         shared = table[np.minimum(np.searchsorted(table, own), len(table) - 1)] == own
     own_ids = group.ids[p.row]
@@ -372,13 +367,13 @@ def _remove(buckets: int, width: int):
         if len(run):
             where = ragged_range(begin[run], size[run])
             least[where] = np.minimum(least[where], _flat(answers.column("firsts"), np.int64))
-        gone = ragged_range(p.start[repeated], p.count[repeated])
         strings = ragged_range(p.start[at], p.count[at])
         later = least[ragged_range(begin[number], p.count[at])] < np.repeat(group.ids[p.row[at]], p.count[at])
         steps = np.zeros(len(data) + 1, np.int32)
-        for places in (gone, strings[later]):
-            np.add.at(steps, places, 1)
-            np.add.at(steps, places + width, -1)
+        np.add.at(steps, p.start[repeated], 1)
+        np.add.at(steps, p.start[repeated] + p.count[repeated] + width - 1, -1)
+        np.add.at(steps, strings[later], 1)
+        np.add.at(steps, strings[later] + width, -1)
         covered = np.cumsum(steps[:-1]) > 0
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
@@ -419,20 +414,22 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH, group_bytes: int = GR
     """
     spark = docs.sparkSession
     size = text_bytes(docs)
-    groups = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // group_bytes))
+    # groups hold a few MB; a bucket answers for four groups' worth of anchors and phrases
+    groups = max(2 * spark.sparkContext.defaultParallelism, -(-size // group_bytes))
+    buckets = max(2 * spark.sparkContext.defaultParallelism, groups // 4)
     parts = parts_for(spark, size, 4 * group_bytes)
     id_col, text_col = docs["doc_id"].cast("bigint"), docs["text"].cast("string")
     dealt = docs.select(
         F.pmod(F.xxhash64(id_col, F.when(id_col.isNull(), text_col)), F.lit(groups)).cast("int").alias("g"),
         id_col.alias("id"), text_col.alias("text"), F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"),
     ).repartition(parts, "g")
-    asked = dealt.groupBy("g").applyInArrow(_ask(groups, width), _ASKED_DDL)
+    asked = dealt.groupBy("g").applyInArrow(_ask(buckets, width), _ASKED_DDL)
     known = asked.groupBy("bucket").applyInArrow(_answer_first, _ANSWER_DDL)
-    strings = dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(_ask_strings(groups, width), _RUNS_DDL)
+    strings = dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(_ask_strings(buckets, width), _RUNS_DDL)
     answers = known.unionByName(strings.groupBy("bucket").applyInArrow(_answer_strings(width), _ANSWER_DDL))
     kind = dealt.schema["row"].dataType.simpleString()
     schema = f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
-    return dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(_remove(groups, width), schema)
+    return dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(_remove(buckets, width), schema)
 
 
 def without_repeats(docs: DataFrame, **settings) -> DataFrame:
