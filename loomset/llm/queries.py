@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomset.llm import contamination, merges, near_text, repeats, token_files, trie_counts
+from loomset.llm import contamination, language_model, merges, near_text, repeats, token_files, trie_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -119,3 +119,11 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and the text decoded from them."""
     return merges.round_trip_report(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
+    return language_model.language_model_scores(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
