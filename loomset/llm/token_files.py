@@ -9,14 +9,15 @@ bytes where the vocabulary allows it. The manifest says where each document stan
 A shard is written under the name of its task attempt, and the manifest, which Spark commits, names the
 files that count, so a lost executor leaves at most a file that nobody reads.
 
-Distinct words of a slice go through the tokenizer once: white space ends a token there, so a text's ids
-are those of its words. Defined cases: a null or empty text has the end id alone; rows without an id come
+White space ends a token in this tokenizer, so a text's ids are those of its words; distinct words of a
+slice, or distinct parts of plain words, go through it once. Defined cases: a null or empty text has the end id alone; rows without an id come
 first; rows of one id are ordered by their text's hash, repeated rows have the same ids; other columns
 are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomset.llm.flat import NOT_SPACE, ragged_range, slices, texts_of, word_hashes, words_of
+from loomset.llm.flat import NOT_SPACE, Texts, hashes, ragged_range, run_sums, slices, texts_of, words_of
 from loomset.llm.tables import parts_for, scratch_path, text_bytes, text_rows, written_table
 
 LENGTH = 2048
@@ -44,50 +45,127 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+#: fixed values: the normalizer and pre-tokenizer for which a word of plain characters is split here
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+#: kinds of bytes: 1 letters, 2 digits, 3 other printable ASCII, 4 what only the whole tokenizer may judge
+_KIND = np.full(256, 4, np.int8)
+_KIND[0x21:0x7F] = 3
+_KIND[0x30:0x3A] = 2
+_KIND[0x61:0x7B] = _KIND[0x41:0x5B] = 1
+_KIND[ord("'")] = 4
+
+
+def _plain_parts(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, and spans with a flag: parts of plain words as the pre-tokenizer cuts them, other words whole.
+
+    Plain characters are printable ASCII without the apostrophe, and the letters from U+00C0 to U+00FF, whose
+    lower case is 32 further on. A word with a less-than sign and a bar may hold a special token and is not plain.
+    """
+    data, offsets = texts
+    words = words_of(texts, NOT_SPACE)
+    kind = _KIND[data]
+    if len(data) > 1:
+        latin = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        kind[:-1][latin] = 1
+        kind[1:][latin] = 1
+        kind[:-1][(data[:-1] == 0x3C) & (data[1:] == 0x7C)] = 4
+    lower = data.copy()
+    lower[(data >= 0x41) & (data <= 0x5A)] += 0x20
+    if len(data) > 1:
+        lower[1:][latin & (data[1:] <= 0x9E)] += 0x20
+    odd = run_sums((kind == 4).astype(np.int32), np.append(words.start, len(data)))[: len(words.start)] if len(data) else np.zeros(0, np.int32)
+    # white space is of kind 4 too, and stands between the words
+    odd = odd - (np.append(words.start[1:], len(data)) - words.end) > 0
+    begins = np.zeros(len(data) + 1, bool)
+    begins[words.start] = True
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[words.start[~odd]] = 1
+    inside[words.end[~odd]] -= 1
+    plain = np.cumsum(inside[:-1]) > 0
+    change = np.zeros(len(data) + 1, bool)
+    change[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    begins[:-1] |= change[:-1] & plain
+    start = np.flatnonzero(begins[:-1])
+    word = np.searchsorted(words.start, start, "right") - 1
+    end = np.minimum(np.append(start[1:], len(data)), words.end[word]) if len(start) else start
+    return lower, start, end, odd[word] if len(start) else np.zeros(0, bool)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else the next one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class WordTokens:
-    """Ids of texts, word by word; built in the tasks from the tokenizer's JSON."""
+    """Ids of texts, word by word; built in the tasks from the tokenizer's JSON.
 
-    def __init__(self, spec: str, words_at_once: int = 20_000):
+    The parts of a plain word go to the library's model as they are, each distinct part once as long as a
+    cache of ``parts_kept`` parts holds it; any other word goes through the whole tokenizer.
+    """
+
+    def __init__(self, spec: str, parts_kept: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.words_at_once = words_at_once
-
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, and the range of each."""
-        ids, count = [], np.zeros(len(words), np.int64)
-        for at in range(0, len(words), self.words_at_once):
-            part = words[at : at + self.words_at_once]
-            encoding = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            of = np.array([-1 if w is None else w for w in encoding.word_ids], np.int64)
-            if len(of) and of.min() < 0:  # special tokens in a text belong to no word: one word at a time then
-                each = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in part]
-                count[at : at + len(part)] = [len(e) for e in each]
-                ids.append(np.array([i for e in each for i in e], np.int64))
-            else:
-                count[at : at + len(part)] = np.bincount(of, minlength=len(part))
-                ids.append(np.array(encoding.ids, np.int64))
-        return np.concatenate(ids) if ids else np.zeros(0, np.int64), np.append(0, np.cumsum(count))
+        self.model = self.tokenizer.model
+        self.parts_kept, self.parts = parts_kept, {}
+        parts = json.loads(spec)
+        steps = (parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}, {}]
+        self.splits_here = (
+            parts["normalizer"] == _NORMALIZER and len(steps) == 2
+            and (steps[0].get("pattern"), steps[0].get("behavior"), steps[0].get("invert")) == ({"Regex": _SPLIT}, "Removed", True)
+            and (steps[1].get("type"), steps[1].get("add_prefix_space"), steps[1].get("use_regex")) == ("ByteLevel", False, False)
+        )
+        self.splits_here &= all("<|" in t["content"] for t in parts["added_tokens"])
+        self.letters = _byte_letters()
+
+    def _part(self, part: str) -> list[int]:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = [t.id for t in self.model.tokenize(part if part.isascii() else "".join([self.letters[b] for b in part.encode()]))]
+            if len(self.parts) >= self.parts_kept:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
 
     def rows(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, each with the end id, and the range of each row."""
         texts = texts_of(column)
-        words = words_of(texts, NOT_SPACE)
-        _, at, number = np.unique(word_hashes(texts, words), return_index=True, return_inverse=True)
-        size = (words.end - words.start)[at]
-        own = texts.data[ragged_range(words.start[at], size)]
+        if self.splits_here:
+            lower, start, end, whole = _plain_parts(texts)
+            lower = np.where(np.repeat(whole, np.diff(np.append(start, len(lower)))), texts.data[start[0] :], lower[start[0] :]) if len(start) else lower
+            end, origin = (end - start[0], start[0]) if len(start) else (end, 0)
+        else:
+            words = words_of(texts, NOT_SPACE)
+            lower, start, end, whole, origin = texts.data, words.start, words.end, np.ones(len(words.start), bool), 0
+        begin = start - origin
+        _, at, number = np.unique(hashes(lower, begin, end) ^ whole.astype(np.uint64), return_index=True, return_inverse=True)
+        size = (end - begin)[at]
+        own = lower[ragged_range(begin[at], size)]
         spelled = pa.LargeStringArray.from_buffers(
             len(at), pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int64)), pa.py_buffer(own)
         ).to_pylist()
-        ids, first = self.words(spelled)
-        count = np.diff(first)[number]
-        place = np.append(0, np.cumsum(count))
-        n = len(words.first) - 1
-        begin = place[words.first]
+        ids = [
+            self.tokenizer.encode(w, add_special_tokens=False).ids if odd else self._part(w)
+            for w, odd in zip(spelled, whole[at].tolist())
+        ]
+        count = np.array([len(x) for x in ids], np.int64)
+        first = np.append(0, np.cumsum(count)).astype(np.int64)
+        ids = np.array([i for x in ids for i in x], np.int64)
+        place = np.append(0, np.cumsum(count[number])).astype(np.int64)
+        begin = place[np.searchsorted(start, texts.offsets)]
+        n = len(texts.offsets) - 1
         out = np.full(place[-1] + n, end_id, np.int64)
         row = np.repeat(np.arange(n), np.diff(begin))
-        out[np.arange(place[-1]) + row] = ids[ragged_range(first[:-1][number], count)]
+        out[np.arange(place[-1]) + row] = ids[ragged_range(first[:-1][number], count[number])]
         return out, begin + np.arange(n + 1)
 
 
