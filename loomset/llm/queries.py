@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomset.llm import contamination, language_model, merges, near_text, repeats, token_files, trie_counts
+from loomset.llm import contamination, language_id, language_model, merges, near_text, near_vectors, quality, repeats, token_files, trie_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -127,3 +127,41 @@ def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.language_model_scores(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@_query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    return language_id.language_report(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all vectors of equal label."""
+    return near_vectors.near_vector_classes(_table(spark, sf_dir, "embeddings"))
+
+
+_SQL["op3_caps"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+         sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS norm
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM usable x JOIN usable y ON x.label = y.label AND len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+  WHERE x.norm > 0 AND y.norm > 0 AND list_inner_product(x.v, y.v) / (x.norm * y.norm) >= 0.93),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings
+  UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r),
+lowest AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM lowest LEFT JOIN counts USING (vec_id)
+"""
