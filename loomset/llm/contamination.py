@@ -164,7 +164,7 @@ def _joined(a: list[int], b: list[int]) -> list[int]:
     return out
 
 
-def _search(test: TestSuffixes, keep_text: bool):
+def _search(test: TestSuffixes, names: list[str]):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, size=16 << 20):
             n_words, hit, table = _matches(test, lowered(texts_of(part.column("text"))))
@@ -176,7 +176,6 @@ def _search(test: TestSuffixes, keep_text: bool):
                 spans[row] = _joined(spans[row], _runs(hit[cut[row] : cut[row + 1], 1]))
             for row, item, doc_word, item_word, length in table.tolist():
                 found[row].append({"item_id": item, "doc_word": doc_word, "item_word": item_word, "n_words": length})
-            names = ["doc_id", "text"] if keep_text else ["doc_id"]
             yield pa.RecordBatch.from_arrays(
                 [part.column(n) for n in names]
                 + [pa.array(v, t) for v, (_, t) in zip((n_words, spans, found), _ARROW_FOUND)],
@@ -186,39 +185,42 @@ def _search(test: TestSuffixes, keep_text: bool):
     return each
 
 
-def benchmark_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, hit, matches) for each document.
-
-    ``hit`` lists the runs of words inside a window as start, end, start, end, ...; ``matches`` holds
-    the longest verbatim match with each item whose windows occur, and where it begins in both.
-    Items are sent to the tasks in blocks of about ``block_bytes``; with more than one block the
-    documents are written to the shared folder between blocks.
-    """
-    bounded_batches(docs.sparkSession)
-    rows = text_rows(docs)
+def _matched(rows: DataFrame, kept: str, benchmark: DataFrame, width: int, block_bytes: int) -> DataFrame:
+    """The columns ``kept`` (names and types) of rows with a text, and what is found in the text."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where(
         "item_id IS NOT NULL AND text IS NOT NULL"
     )
     blocks = max(1, -(-text_bytes(items) // block_bytes))
+    names = [c for c in rows.columns if c != "text" or c in kept.split()]
     for k in range(blocks):
         block = [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-        last = k == blocks - 1
-        schema = f"doc_id bigint, {'' if last else 'text string, '}{_FOUND}"
-        rows = rows.mapInArrow(_search(TestSuffixes(sorted(block), width), not last), schema)
-        if not last:
+        more = k < blocks - 1 and "text" not in names
+        schema = f"{kept}, {'text string, ' if more else ''}{_FOUND}"
+        rows = rows.mapInArrow(_search(TestSuffixes(sorted(block), width), [*names, "text"] if more else names), schema)
+        if k < blocks - 1:
             rows = written_table(rows, "benchmark-matches")
     return rows
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents in which no window of the benchmark occurs, with all their columns.
+def benchmark_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, n_words, hit, matches) for each document.
 
-    A document is removed by its id; rows without an id are kept only if their text is clean.
+    ``hit`` lists the runs of words inside a window as start, end, start, end, ...; ``matches`` holds
+    the longest verbatim match with each item whose windows occur, and where it begins in both.
+    Items are sent to the tasks in blocks of about ``block_bytes``; with more than one block the
+    documents are written to the shared folder between blocks.
     """
-    bad = (
-        benchmark_matches(docs, benchmark, **settings).where(F.size("hit") > 0).select(F.col("doc_id").alias("bad_id")).distinct()
-    )
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    return _matched(text_rows(docs), "doc_id bigint", benchmark, width, block_bytes)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents in which no window of the benchmark occurs, with all their columns and without a shuffle."""
+    bounded_batches(docs.sparkSession)
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*(docs[c] for c in others)).alias("row"), docs["text"].cast("string").alias("text"))
+    kept = f"row {rows.schema['row'].dataType.simpleString()}, text string"
+    found = _matched(rows, kept, benchmark, width, block_bytes).where(F.size("hit") == 0)
+    return found.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:

@@ -94,6 +94,7 @@ def words_of(texts: Texts, inside: np.ndarray) -> Words:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads their bits."""
+    shape, x = x.shape, x.reshape(-1)
     out = np.empty(len(x), np.uint64)
     for at in range(0, len(x), 1 << 15):
         y = x[at : at + (1 << 15)]
@@ -102,7 +103,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
         y ^= y >> np.uint64(27)
         y *= np.uint64(0x94D049BB133111EB)
         np.bitwise_xor(y, y >> np.uint64(31), out=out[at : at + (1 << 15)])
-    return out
+    return out.reshape(shape)
 
 
 def powers(base: int, n: int) -> np.ndarray:

@@ -187,16 +187,17 @@ def fit_trees(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES, depth: int = DE
     return Trees(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow(), depth)
 
 
-def predict(docs: DataFrame, trees: Trees) -> DataFrame:
-    """(row, lang_pred, score, bits_per_byte): ``row`` holds all columns of a document."""
+def predict(docs: DataFrame, trees: Trees, with_text: bool = True) -> DataFrame:
+    """(row, text, lang_pred, score, bits_per_byte): ``row`` holds the other columns of a document."""
     bounded_batches(docs.sparkSession)
     text = docs["text"].cast("string")
     rows = docs.select(
-        F.struct(*(docs[c] for c in docs.columns)).alias("row"), text.alias("text"),
+        F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"), text.alias("text"),
         F.coalesce(text.rlike("\\p{L}"), F.lit(False)).alias("has_letter"),
     )
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_predict(trees, ["row"]), f"row {kind}, {_PREDICTED}")
+    kind = f"row {rows.schema['row'].dataType.simpleString()}"
+    kept = ["row", "text"] if with_text else ["row"]
+    return rows.mapInArrow(_predict(trees, kept), f"{kind}, {'text string, ' if with_text else ''}{_PREDICTED}")
 
 
 def held_out(folds: int, fold: int):
@@ -207,7 +208,7 @@ def held_out(folds: int, fold: int):
 def language_report(docs: DataFrame, folds: int = 4, fold: int = 2, **settings) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each document, learned from those that are not held out."""
     trees = fit_trees(docs.where(~held_out(folds, fold)), **settings)
-    found = predict(docs.select("doc_id", "text"), trees)
+    found = predict(docs.select("doc_id", "text"), trees, with_text=False)
     return found.select("row.doc_id", "lang_pred", "score").select("doc_id", held_out(folds, fold).alias("held_out"), "lang_pred", "score")
 
 
@@ -215,4 +216,4 @@ def with_known_language(docs: DataFrame, folds: int = 4, fold: int = 2, **settin
     """The documents whose language can be told, with all their columns; the others have no letter or no text."""
     trees = fit_trees(docs.where(~held_out(folds, fold)), **settings)
     found = predict(docs, trees).where(F.col("lang_pred") != UNDETERMINED)
-    return found.select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    return found.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

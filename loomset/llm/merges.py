@@ -216,7 +216,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return rows.mapInArrow(_decoder(read_pieces(model_path)), "doc_id bigint, text string")
 
 
-def _round_trip(merger: Merger):
+def _round_trip(merger: Merger, with_ids: bool = False):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = _library(merger.pieces)
         digits = [b"%d," % i for i in range(len(merger.pieces.score))]
@@ -235,19 +235,19 @@ def _round_trip(merger: Merger):
                 text = lib.decode(ids[first[row] : first[row + 1]].tolist())
                 sha_text.append(hashlib.sha256(text.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.diff(first)), pa.array(sha_ids), pa.array(sha_text)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [part.column("doc_id"), pa.array(np.diff(first)), pa.array(sha_ids, pa.string()), pa.array(sha_text, pa.string())]
+                + ([pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int32)))] if with_ids else []),
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids,
             )
 
     return each
 
 
-def round_trip_report(docs: DataFrame, model_path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the text decoded from them."""
+def round_trip_report(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the text decoded from them; ids too if asked for."""
     merger = Merger(read_pieces(model_path))
-    return text_rows(docs).mapInArrow(
-        _round_trip(merger), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    return text_rows(docs).mapInArrow(_round_trip(merger, with_ids), schema)
 
 
 def _compare(merger: Merger):

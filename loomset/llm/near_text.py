@@ -181,7 +181,7 @@ def near_duplicate_classes(
     several = in_bands.groupBy("band", "key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top")
     members = written_table(in_bands.join(several.drop("top"), ["band", "key"]), "buckets")
     sets = rows.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = written_table(sets.mapInArrow(_list_sets(width), "id bigint, shingles array<bigint>").dropDuplicates(["id"]), "sets")
+    sets = written_table(sets.mapInArrow(_list_sets(width), "id bigint, shingles array<bigint>"), "sets")
 
     near = _may_be_near(threshold)
     facts = sets_of.select(F.col("first_id").alias("id"), F.col("n_shingles").alias("n"), "bits", "map")
