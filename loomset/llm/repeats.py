@@ -71,7 +71,7 @@ def parse(texts: Texts, has_id: np.ndarray, width: int = WIDTH) -> Parse:
     inside = np.where(has_id, np.maximum(np.diff(offsets) - width + 1, 0), 0)
     np.add.at(steps, offsets[:-1], (inside > 0).astype(np.int32))
     np.add.at(steps, offsets[:-1] + inside, -(inside > 0).astype(np.int32))
-    valid = np.cumsum(steps)[:n] > 0
+    valid = np.cumsum(steps, dtype=np.int32)[:n] > 0
     heads, anchors, triggers = [], [], []
     for low in range(0, n, _SEGMENT):
         high = min(low + _SEGMENT, n)
@@ -374,7 +374,7 @@ def _remove(buckets: int, width: int):
         np.add.at(steps, p.start[repeated] + p.count[repeated] + width - 1, -1)
         np.add.at(steps, strings[later], 1)
         np.add.at(steps, strings[later] + width, -1)
-        covered = np.cumsum(steps[:-1]) > 0
+        covered = np.cumsum(steps[:-1], dtype=np.int32) > 0
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
         begins, ends = covered.copy(), covered.copy()
@@ -382,7 +382,7 @@ def _remove(buckets: int, width: int):
         ends[:-1] &= ~covered[1:] | edge[1:-1]
         begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         spans = np.diff(np.searchsorted(begins, offsets))
-        sums = np.append(0, np.cumsum(covered))
+        sums = np.append(0, np.cumsum(covered, dtype=np.int32))
         removed = sums[offsets[1:]] - sums[offsets[:-1]]
         # the text that goes on keeps whole characters
         start, end = _whole_characters(data, begins, ends) if len(begins) else (begins, ends)
@@ -396,7 +396,7 @@ def _remove(buckets: int, width: int):
         texts = [None if gone_ else text for gone_, text in zip(null, texts)]
         return pa.Table.from_arrays(
             [
-                group.table.column("row"), pa.array(np.diff(offsets), pa.int64()), pa.array(removed, pa.int64()),
+                group.table.column("row"), pa.array(np.diff(offsets), pa.int64()), pa.array(removed.astype(np.int64)),
                 pa.array(spans, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string()),
             ],
             names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
@@ -414,9 +414,9 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH, group_bytes: int = GR
     """
     spark = docs.sparkSession
     size = text_bytes(docs)
-    # groups hold a few MB; a bucket answers for four groups' worth of anchors and phrases
+    # groups hold a few MB; a bucket answers for two groups' worth of anchors and phrases
     groups = max(2 * spark.sparkContext.defaultParallelism, -(-size // group_bytes))
-    buckets = max(2 * spark.sparkContext.defaultParallelism, groups // 4)
+    buckets = max(2 * spark.sparkContext.defaultParallelism, groups // 2)
     parts = parts_for(spark, size, 4 * group_bytes)
     id_col, text_col = docs["doc_id"].cast("bigint"), docs["text"].cast("string")
     dealt = docs.select(
