@@ -109,19 +109,24 @@ def has_digit(text: Column) -> Column:
     return text.rlike(r"\p{Nd}")
 
 
+def unicode_form_of(text: Column) -> Column:
+    """NFKC; only texts outside ASCII leave the JVM."""
+    return F.coalesce(nfkc(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+
+
 def clean_text(
     text: Column,
     emails: bool = True,
     phones: bool = True,
     ssns: bool = False,
-    unicode_form: bool = False,
+    unicode_form: bool = True,
 ) -> Column:
     """The whole cleaning chain; null gives the empty string.
 
-    ``unicode_form`` adds NFKC first, the one step that needs Python.
+    NFKC comes first, the one step that needs Python: only texts outside ASCII go there.
     """
     if unicode_form:
-        text = nfkc(text)
+        text = unicode_form_of(text)
     text = F.coalesce(text, F.lit(""))
 
     def between_dates(piece: Column) -> Column:

@@ -17,9 +17,9 @@ def explode_sections(docs: DataFrame, text: str = "text", keep: Sequence[str] =
     """One cleaned row per non-blank, valid section, with its length and token estimate."""
     # cleaned inside the generator: a filter on generated columns is not pushed below it,
     # so every section is cleaned once
-    sections = T.detect_sections(F.col(text), headers, footers)
-    cleaned = docs.select(
-        *keep, F.explode(F.transform_values(sections, lambda _, raw: T.clean_text(raw))).alias("section", "text")
+    sections = T.detect_sections(F.col("normal"), headers, footers)
+    cleaned = docs.select(*keep, T.unicode_form_of(F.col(text)).alias("normal")).select(
+        *keep, F.explode(F.transform_values(sections, lambda _, raw: T.clean_text(raw, unicode_form=False))).alias("section", "text")
     )
     return cleaned.where(T.is_valid_text(F.col("text"))).select(
         *keep, "section", "text",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomset.session import cut_lineage
 
 
-def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Rows (id, component) for every id in edges (a, b); a component is named by its smallest id.
 
     Each round takes the smallest label among the neighbours and then the label of
@@ -22,7 +22,7 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     ends = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
     both = cut_lineage(edges.select(F.inline(ends)).where("u <> v").distinct())
     nodes = cut_lineage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")).withColumnRenamed("u", "id"))
-    for _ in range(max_rounds):
+    while True:
         near = (
             both.join(nodes, both.v == nodes.id).groupBy("u").agg(F.min("label").alias("seen"))
         )
@@ -37,10 +37,9 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
         nodes = step.select("id", "label")
         if step.where("label < old").limit(1).count() == 0:
             return nodes.select("id", F.col("label").alias("component"))
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
 
 
-def diversity_drops(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def diversity_drops(edges: DataFrame) -> DataFrame:
     """Ids to drop so that no kept row has an earlier kept neighbour.
 
     ``edges(src, dst)`` point from the earlier to the later row of each too similar
@@ -49,9 +48,8 @@ def diversity_drops(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
     """
     open_edges = cut_lineage(edges.select("src", "dst").distinct())
     dropped = None
-    for _ in range(max_rounds):
-        if open_edges.limit(1).count() == 0:
-            break
+    # every round settles at least the earliest rows that are left, so the rounds end
+    while open_edges.limit(1).count():
         heads = open_edges.select(F.col("src").alias("id")).distinct().join(
             open_edges.select(F.col("dst").alias("id")).distinct(), "id", "left_anti"
         )
@@ -62,6 +60,4 @@ def diversity_drops(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
         open_edges = cut_lineage(
             open_edges.join(lost, open_edges.dst == lost.id, "left_anti").join(lost, F.col("src") == lost.id, "left_anti")
         )
-    else:
-        raise RuntimeError(f"selection did not settle within {max_rounds} rounds")
     return open_edges.select(F.col("dst").alias("id")) if dropped is None else dropped

@@ -32,32 +32,34 @@ def distinct_texts(df: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataF
     return reps, links
 
 
-def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096) -> DataFrame:
+def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096, other_than: str | None = None) -> DataFrame:
     """Rows (a, b, jaccard) with a < b for all pairs of sets (id, items) with Jaccard >= threshold.
 
     Items are ordered from rare to frequent. Two sets that similar must share an
     item among the first ``n - ceil(t * n) + 1`` of each, so only those are joined;
     sizes and positions rule out most of the rest before a pair is formed. An item
-    listed by more than ``hot`` sets is split over several tasks.
+    listed by more than ``hot`` sets is split over several tasks. Sets with equal values in the column
+    ``other_than`` are not paired.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
     # sized in a generator: the filter then does not make the plan build the sets a second time
     sized = F.inline(F.transform(F.array("items"), lambda x: F.struct(x.alias("items"), F.size(x).alias("n"))))
-    sets = written_table(sets.select("id", sized).where("n > 0"), "sets")
+    kind = F.col(other_than) if other_than else F.lit(None).cast("string")
+    sets = written_table(sets.select("id", kind.alias("kind"), sized).where("n > 0"), "sets")
     listed = sets.select("id", F.explode("items").alias("item"))
     shared = listed.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
     # items of one set only are never met, but come first in its order: their number is enough
     kept = listed.join(shared, "item").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("o"))
-    ordered = kept.join(sets.select("id", "n"), "id").withColumn("alone", F.col("n") - F.size("o"))
+    ordered = kept.join(sets.select("id", "kind", "n"), "id").withColumn("alone", F.col("n") - F.size("o"))
     # a hair below the exact bound, so that rounding never shortens a prefix
     prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
     reach = ordered.withColumn("plen", prefix).withColumn("met", F.col("plen") - F.col("alone")).where("met > 0")
     postings = reach.select(
-        "id", "n", "plen", "alone", F.element_at("o", F.col("met")).alias("last"), F.posexplode(F.slice("o", F.lit(1), F.col("met"))).alias("i", "s")
+        "id", "kind", "n", "plen", "alone", F.element_at("o", F.col("met")).alias("last"), F.posexplode(F.slice("o", F.lit(1), F.col("met"))).alias("i", "s")
     ).select(
         (F.col("alone") + F.col("i")).alias("pos"), F.col("s.item").alias("item"), F.col("s.df").alias("df"),
-        F.struct("id", "n", "plen", "last").alias("r"))
+        F.struct("id", "kind", "n", "plen", "last").alias("r"))
     parts = F.ceil(F.col("df") / hot).cast("int")
     left = postings.select(
         "item", F.col("r").alias("x"), F.col("pos").alias("px"), F.pmod(F.xxhash64("r.id"), parts).cast("int").alias("part"))
@@ -69,6 +71,8 @@ def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096) -> DataFra
     bound = F.least("px", "py") + F.least(na - F.col("px"), nb - F.col("py"))
     meetings = left.join(right, ["item", "part"]).where(
         (F.col("x.id") < F.col("y.id")) & (nb >= na * threshold - 1e-9) & (na >= nb * threshold - 1e-9) & (bound >= need))
+    if other_than:
+        meetings = meetings.where(F.col("x.kind") != F.col("y.kind"))
     # items shared outside the prefixes follow the prefix that ends first, so its tail bounds them
     tail = F.when(F.col("x.last") < F.col("y.last"), na - F.col("x.plen")).otherwise(nb - F.col("y.plen"))
     candidates = (

@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loomset.functions.vectors import normalise
 
@@ -201,7 +202,7 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = Fals
 def full_ranking(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     """All corpus rows ranked for every query. For a corpus of classes, not of rows."""
     found = scores_in_cells(queries, corpus, None)
-    return top_n_per_group(found, ["query"], [F.col("sim").desc(), F.col("id").asc()], 1 << 30)
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.col("sim").desc(), F.col("id").asc())).cast("long"))
 
 
 def centroids(df: DataFrame, label: str, vec: str) -> DataFrame:

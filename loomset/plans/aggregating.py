@@ -66,15 +66,25 @@ def resolve_duplicates(spark, sf):
 
 
 @query("dedup_stats", f"""
-WITH {SQL_VEC_PAIRS}, g AS (SELECT text, count(*) AS n FROM documents WHERE trim(text) <> '' GROUP BY text HAVING count(*) > 1)
+WITH pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {NEAR}),
+g AS (SELECT text, count(*) AS n FROM documents WHERE trim(text) <> '' GROUP BY text HAVING count(*) > 1)
 SELECT (SELECT count(*) FROM g) AS exact_groups, (SELECT CAST(sum(n - 1) AS BIGINT) FROM g) AS exact_excess,
        (SELECT count(*) FROM pairs) AS near_pairs, (SELECT count(*) FROM (SELECT a FROM pairs UNION SELECT b FROM pairs)) AS near_affected""")
 def dedup_stats(spark, sf):
     groups = D.exact_dup_groups(docs(spark, sf), "doc_id", "text").agg(
         F.count("*").alias("exact_groups"), F.sum(F.col("n") - 1).alias("exact_excess"))
-    pairs = V.near_dup_pairs(vecs(spark, sf), "id", "vec", NEAR)
-    near = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("c")).agg(
-        (F.sum("c") / 2).cast("long").alias("near_pairs"), F.count("*").alias("near_affected"))
+    # pairs of copies are counted from the sizes of their groups, not formed
+    sizes = vecs(spark, sf).groupBy("vec").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    pairs = V.all_pairs(sizes.select("id", "vec"), NEAR)
+    ends = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other")))
+    others = pairs.select(F.inline(ends)).join(sizes.select(F.col("id").alias("other"), F.col("n").alias("m")), "other")
+    linked = sizes.join(others.groupBy("id").agg(F.sum("m").alias("m")), "id", "left")
+    each = (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("each")
+    near = linked.select("n", each).where("each > 0").agg(
+        F.coalesce(F.sum(F.col("n") * F.col("each")) / 2, F.lit(0)).cast("long").alias("near_pairs"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("near_affected"))
     return groups.join(near)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomset.functions import rules as R
@@ -125,7 +126,12 @@ def memorisation_check(spark, sf):
     return gap.select(*[F.round(m, 6).alias(m) for m in _METRICS], verdict.alias("verdict"))
 
 
-_SUBSETS = {"minimal": (0, 3), "moderate": (3, 6), "comprehensive": (6, 100)}
+_SUBSETS = ("minimal", "moderate", "comprehensive")
+
+
+def _subset() -> Column:
+    """Labels below 3 and below 6; everything else is the third subset, without bounds."""
+    return R.first_match([(F.col("label") < 3, "minimal"), (F.col("label") < 6, "moderate")], "comprehensive")
 
 
 @query("subset_accuracy_warnings", f"""
@@ -136,8 +142,8 @@ SELECT subset, n, round(accuracy, 6) AS accuracy,
   subset = 'minimal' AND accuracy - (SELECT accuracy FROM acc WHERE subset = 'comprehensive') > 0.2 AS warn_gap, accuracy > 0.95 AS warn_high FROM acc""")
 def subset_accuracy_warnings(spark, sf):
     rows, parts = vecs(spark, sf), []
-    for name, (low, high) in _SUBSETS.items():
-        part = rows.where((F.col("label") >= low) & (F.col("label") < high))
+    for name in _SUBSETS:
+        part = rows.where(_subset() == name)
         near = V.knn(part, part, 1, exclude_self=True).join(part.select("id", "label"), "id").join(
             part.select(F.col("id").alias("query"), F.col("label").alias("mine")), "query")
         parts.append(near.agg(F.count("*").alias("n"), F.avg((F.col("label") == F.col("mine")).cast("double")).alias("accuracy")).select(

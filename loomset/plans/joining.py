@@ -235,19 +235,18 @@ def hard_negatives(spark, sf):
     return J.hard_negatives(vecs(spark, sf), "id", "label", "vec", 3, 50)
 
 
-# combos = sources, over distinct texts
+# combos = sources, over distinct pairs of text and source
 @query("jaccard_negatives", f"""
-WITH reps AS (SELECT min(doc_id) AS id, arg_min(source, doc_id) AS combo, text FROM documents GROUP BY text),
+WITH reps AS (SELECT min(doc_id) AS id, source AS combo, text FROM documents GROUP BY text, source),
 listed AS (SELECT id, combo, len(s) AS n, unnest(s) AS item FROM (SELECT id, combo, list_distinct({S.words('lower(text)')}) AS s FROM reps)),
 shared AS (SELECT x.id AS a, y.id AS b, x.combo AS ca, y.combo AS cb, x.n AS na, y.n AS nb, count(*) AS c FROM listed x JOIN listed y ON x.item = y.item AND x.id < y.id GROUP BY ALL)
 SELECT a, b, round(c / (na + nb - c), 6) AS jaccard FROM shared WHERE c / (na + nb - c) > 0.3 AND ca <> cb""")
 def jaccard_negatives(spark, sf):
-    docs = texts(spark, sf)
-    reps, _ = N.distinct_texts(docs, "doc_id", "text")
-    pairs = N.jaccard_pairs(reps.select("id", N.word_set(F.col("text")).alias("items")), 0.3).where("jaccard > 0.3")
-    a, b = (docs.select(F.col("doc_id").alias(x), F.col("source").alias(f"combo_{x}")) for x in "ab")
-    different = pairs.join(a, "a").join(b, "b").where("combo_a <> combo_b")
-    return different.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+    docs = texts(spark, sf).select(F.col("doc_id").alias("id"), F.col("source").alias("combo"), F.sha2("text", 256).alias("k"), "text")
+    first = docs.groupBy("k", "combo").agg(F.min("id").alias("id"))
+    sets = docs.join(first.select("id"), "id", "left_semi").select("id", "combo", N.word_set(F.col("text")).alias("items"))
+    pairs = N.jaccard_pairs(sets, 0.3, other_than="combo").where("jaccard > 0.3")
+    return pairs.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
 @query("positive_pairs_window", """
@@ -311,7 +310,9 @@ def template_overlap(spark, sf):
 
 
 @query("diversity_filter", f"""
-WITH RECURSIVE {SQL_VEC_PAIRS.replace('pairs AS', 'edges0 AS', 1)},
+WITH RECURSIVE edges0 AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {NEAR}),
 o AS (SELECT vec_id AS id, row_number() OVER (ORDER BY md5('42|' || CAST(vec_id AS VARCHAR)), vec_id) AS r FROM embeddings),
 edges AS (SELECT least(x.r, y.r) AS src, greatest(x.r, y.r) AS dst FROM edges0 e JOIN o x ON e.a = x.id JOIN o y ON e.b = y.id),
 walk AS (
@@ -321,8 +322,10 @@ walk AS (
   FROM walk w WHERE w.r < (SELECT max(r) FROM o))
 SELECT o.id AS vec_id FROM o, (SELECT kept FROM walk ORDER BY r DESC LIMIT 1) k WHERE list_contains(k.kept, o.r)""")
 def diversity_filter(spark, sf):
-    rows = vecs(spark, sf)
-    pairs = V.near_dup_pairs(rows, "id", "vec", NEAR)
+    # of equal vectors the earliest decides: the later ones are as close to it as can be, and to all that drops it
+    reps = vecs(spark, sf).groupBy("vec").agg(F.min(F.struct(digest(F.col("id")).alias("place"), "id")).alias("first"))
+    rows = reps.select("first.id", "vec")
+    pairs = V.all_pairs(rows, NEAR)
     ha, hb = F.struct(digest(F.col("a")), F.col("a")), F.struct(digest(F.col("b")), F.col("b"))
     first = ha < hb
     edges = pairs.select(

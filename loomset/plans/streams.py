@@ -21,8 +21,7 @@ def errors(spark, sf):
 
 @query("stream_clean", f"SELECT doc_id, text FROM (SELECT doc_id, {S.clean_text()} AS text FROM documents) WHERE {S.is_valid_text()}")
 def stream_clean(spark, sf):
-    # the driver table is one file; a stream of many files needs no repartitioning
-    arriving = stream_of(spark, sf, "documents").select("doc_id", "text").repartition(spark.sparkContext.defaultParallelism)
+    arriving = stream_of(spark, sf, "documents").select("doc_id", "text")
     cleaned = jobs.clean_stream(arriving)
     return jobs.drain(cleaned, "stream-clean")
 

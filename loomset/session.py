@@ -28,6 +28,10 @@ def local_session(cpus: str | int = "*", app: str = "loomset") -> SparkSession:
     )
 
 
+#: set to true to deal out the rows of small single files, as the bench does
+SPREAD = "spark.loomset.spreadSmallFiles"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as the cluster names it in spark.checkpoint.dir.
 
@@ -68,10 +72,9 @@ def written_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores before costly text work.
+    """Rows of one small file over all cores of this machine, where the session asks for it with SPREAD.
 
-    A table with at least two splits per core, as any large one has, is returned
-    as it is: no shuffle is added at scale.
+    Only the bench does, whose tables are single row groups; on a cluster no shuffle is ever added.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)
+    spark = df.sparkSession
+    return df.repartition(spark.sparkContext.defaultParallelism) if spark.conf.get(SPREAD, "false") == "true" else df
