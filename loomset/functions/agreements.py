@@ -75,8 +75,26 @@ def item_aggregates() -> dict[str, Column]:
     """Aggregates over the flags of a deliverables table: the count, the count of each kind, the platforms named."""
     out = {"items": F.count("*")}
     out |= {name: F.count_if(F.col(name)) for name in KINDS}
+    return out | {"platforms": _platforms_named()}
+
+
+def _platforms_named() -> Column:
     named = [F.when(F.bool_or(F.col(f"on_{name}")), F.lit(name)) for name in PLATFORM_WORDS]
-    return out | {"platforms": F.array_compact(F.array(*named))}
+    return F.array_compact(F.array(*named))
+
+
+def equal_item_aggregates() -> dict[str, Column]:
+    """Aggregates over the flags of equal deliverables: the count, the count of each kind, which platforms are named."""
+    out = {"items": F.count("*")} | {name: F.count_if(F.col(name)) for name in KINDS}
+    return out | {f"on_{name}": F.bool_or(F.col(f"on_{name}")) for name in PLATFORM_WORDS}
+
+
+def distinct_item_aggregates(item: str) -> dict[str, Column]:
+    """As :func:`item_aggregates`, from the rows of :func:`equal_item_aggregates`, and what repeats among them."""
+    repeated = F.col("items") > 1
+    out = {name: F.sum(name) for name in ("items", *KINDS)} | {"platforms": _platforms_named()}
+    return out | {
+        "duplicates": F.count_if(repeated), "distinct_items": F.count("*"), "first_duplicate": F.min(F.when(repeated, F.col(item)))}
 
 
 def item_features(items: Column) -> dict[str, Column]:

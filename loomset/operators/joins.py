@@ -138,16 +138,19 @@ def hard_negatives(df: DataFrame, id_: str, label: str, vec: str, n: int = 3, ne
     return ranked.select("query", "id", "rank", F.col("o.tier").alias("tier"))
 
 
-def profile_select(requests: DataFrame, profiles: DataFrame, low_confidence: float = 0.5) -> DataFrame:
+def profile_select(requests: DataFrame, profiles: DataFrame, low_confidence: float = 0.5, terms: DataFrame | None = None) -> DataFrame:
     """The best profile for every target.
 
     ``profiles(profile_id, terms, pattern_count, template_count)``; two points per
     term with the target word, one per pattern, a tenth per template, ties to the
     smaller id. Targets meet only profiles that hold their word; all others are
-    represented by the one with the best base score.
+    represented by the one with the best base score. Profiles of many terms give
+    them as rows of ``terms(profile_id, term)``, each once, instead of an array.
     """
-    base = profiles.select("profile_id", "terms", (F.col("pattern_count") + 0.1 * F.col("template_count")).alias("base"))
-    words = base.select("profile_id", "base", F.explode("terms").alias("term")).select(
+    made = profiles.withColumn("base", F.col("pattern_count") + 0.1 * F.col("template_count"))
+    base = made.select("profile_id", "base")
+    listed = made.select("profile_id", "base", F.explode("terms").alias("term")) if terms is None else terms.join(base, "profile_id")
+    words = listed.select(
         "profile_id", "base", "term", F.explode(F.array_distinct(F.split(F.lower("term"), " "))).alias("target")
     )
     hits = words.groupBy("target", "profile_id").agg(

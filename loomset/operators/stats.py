@@ -54,12 +54,13 @@ def length_stats(df: DataFrame, value: str, by: Sequence[str] = (), sample_std:
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal-width bins between the extremes; the last one includes the maximum. Empty bins have no row."""
+    """Equal-width bins between the extremes; the last one includes the maximum. Empty bins have a count of 0."""
     low, high = df.agg(F.min(value)).scalar(), df.agg(F.max(value)).scalar()
     width = (high - low) / F.lit(float(bins))
     place = F.when(width == 0, 0).otherwise(F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1)))
-    return df.groupBy(place.cast("long").alias("bin")).agg(
+    filled = df.groupBy(place.cast("long").alias("bin")).agg(
         F.count("*").alias("n"), F.min(value).alias("lowest"), F.max(value).alias("highest"))
+    return df.sparkSession.range(bins).toDF("bin").join(filled, "bin", "left").fillna(0, ["n"])
 
 
 def combo(labels: Column, sep: str = "|", empty: str = "") -> Column:

@@ -148,9 +148,10 @@ def length_stats_samp(spark, sf):
 
 
 @query("length_histogram", """
-WITH b AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents)
-SELECT CAST(least(floor((n_chars - lo) / ((hi - lo) / 50.0::DOUBLE)), 49) AS BIGINT) AS bin, count(*) AS n, min(n_chars) AS lowest, max(n_chars) AS highest
-FROM documents, b GROUP BY 1""")
+WITH b AS (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents),
+c AS (SELECT CAST(least(floor((n_chars - lo) / ((hi - lo) / 50.0::DOUBLE)), 49) AS BIGINT) AS bin, count(*) AS n, min(n_chars) AS lowest, max(n_chars) AS highest
+  FROM documents, b GROUP BY 1)
+SELECT bin, coalesce(n, 0) AS n, lowest, highest FROM (SELECT unnest(range(50)) AS bin) LEFT JOIN c USING (bin)""")
 def length_histogram(spark, sf):
     return ST.histogram(docs(spark, sf), "n_chars", 50)
 

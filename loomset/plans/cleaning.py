@@ -53,30 +53,46 @@ def _sql_count(text: str, pattern: str) -> str:
     return f"len(regexp_extract_all({text}, {quoted(pattern)}))"
 
 
-def _sql_phone_counts() -> str:
-    text, parts = f"regexp_replace(text, {quoted(P.EMAIL)}, '[EMAIL]', 'g')", []
-    for pattern in P.PHONES:
+def _sql_counts(text: str, patterns, mark: str) -> str:
+    parts = []
+    for pattern in patterns:
         parts.append(_sql_count(text, pattern))
-        text = f"regexp_replace({text}, {quoted(pattern)}, '[PHONE]', 'g')"
+        text = f"regexp_replace({text}, {quoted(pattern)}, '{mark}', 'g')"
     return " + ".join(parts)
 
 
+def _counts(text, patterns, mark: str):
+    """Matches of the patterns, each on what those before it left, and that text."""
+    found = F.lit(0)
+    for pattern in patterns:
+        found = found + F.regexp_count(text, F.lit(T.UNI + pattern))
+        text = F.regexp_replace(text, T.UNI + pattern, mark)
+    return found, text
+
+
+_QUOTES = "[“”‘’]"
+
+
 @query("redaction_stats", f"""
 SELECT CAST(count(*) AS BIGINT) AS processed,
        CAST(sum({_sql_count('text', P.EMAIL)}) AS BIGINT) AS emails_redacted,
-       CAST(sum({_sql_phone_counts()}) AS BIGINT) AS phones_redacted,
+       CAST(sum({_sql_counts(S.redact_email(), P.PHONES, '[PHONE]')}) AS BIGINT) AS phones_redacted,
+       CAST(sum({_sql_count(S.redact_pii(), P.SSN)}) AS BIGINT) AS ssns_redacted,
+       CAST(sum({_sql_count('text', _QUOTES)}) AS BIGINT) AS quotes_normalized,
+       CAST(sum({_sql_counts('text', P.MONEY, '$' + chr(92) + '1')}) AS BIGINT) AS currency_normalized,
        CAST(sum({_sql_count('text', P.WS_RUN + '')}) AS BIGINT) AS whitespace_runs
 FROM documents""")
 def redaction_stats(spark, sf):
     text = F.col("text")
-    step, phones = T.redact_email(text), F.lit(0)
-    for pattern in P.PHONES:
-        phones = phones + F.regexp_count(step, F.lit(T.UNI + pattern))
-        step = F.regexp_replace(step, T.UNI + pattern, "[PHONE]")
+    phones, left = _counts(T.redact_email(text), P.PHONES, "[PHONE]")
+    money, _ = _counts(text, P.MONEY, r"\$$1")
     return docs(spark, sf).agg(
         F.count("*").alias("processed"),
         F.sum(F.regexp_count(text, F.lit(T.UNI + P.EMAIL))).alias("emails_redacted"),
         F.sum(phones).alias("phones_redacted"),
+        F.sum(F.regexp_count(left, F.lit(T.UNI + P.SSN))).alias("ssns_redacted"),
+        F.sum(F.regexp_count(text, F.lit(_QUOTES))).alias("quotes_normalized"),
+        F.sum(money).alias("currency_normalized"),
         F.sum(F.regexp_count(text, F.lit(P.WS_RUN))).alias("whitespace_runs"),
     )
 

@@ -299,18 +299,21 @@ def route_summary(spark, sf):
 WITH d AS (SELECT {S.est_tokens()} AS tokens, {S.word_count()} AS words, coalesce(l.quality, 1) AS quality, {S.is_valid_text()} AS valid FROM documents LEFT JOIN labels l USING (doc_id))
 SELECT count(*) AS attempts, round(avg(CASE WHEN tokens <= 512 AND quality = 1 AND valid THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS success_rate,
        count(*) FILTER (tokens > 512) AS token_failures, count(*) FILTER (quality = 0) AS coherence_failures, count(*) FILTER (NOT valid) AS field_failures,
-       round(avg(tokens), 6) AS mean_tokens, round(stddev_pop(tokens), 4) AS std_tokens, min(words) AS min_words, max(words) AS max_words FROM d""")
+       {', '.join(f"round(avg({c}), 6) AS mean_{n}, round(stddev_pop({c}), 4) AS std_{n}, min({c}) AS min_{n}, max({c}) AS max_{n}" for c, n in (("tokens", "tokens"), ("words", "words"), ("quality", "score")))} FROM d""")
 def retry_quality_report(spark, sf):
     text = F.col("text")
     rows = texts(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left").select(
         T.est_tokens_words(text).alias("tokens"), T.word_count(text).alias("words"),
         F.coalesce("quality", F.lit(1)).alias("quality"), T.is_valid_text(text).alias("valid"))
     good = (F.col("tokens") <= 512) & (F.col("quality") == 1) & F.col("valid")
+    spread = [
+        made.alias(f"{kind}_{name}")
+        for c, name in (("tokens", "tokens"), ("words", "words"), ("quality", "score"))
+        for kind, made in (("mean", F.round(F.avg(c), 6)), ("std", F.round(F.stddev_pop(c), 4)), ("min", F.min(c)), ("max", F.max(c)))]
     return rows.agg(
         F.count("*").alias("attempts"), F.round(F.avg(good.cast("double")), 6).alias("success_rate"),
         F.count_if(F.col("tokens") > 512).alias("token_failures"), F.count_if(F.col("quality") == 0).alias("coherence_failures"),
-        F.count_if(~F.col("valid")).alias("field_failures"), F.round(F.avg("tokens"), 6).alias("mean_tokens"),
-        F.round(F.stddev_pop("tokens"), 4).alias("std_tokens"), F.min("words").alias("min_words"), F.max("words").alias("max_words"))
+        F.count_if(~F.col("valid")).alias("field_failures"), *spread)
 
 
 def components_of(df, k: int):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomset.functions import chunks as C
 from loomset.functions import text as T
 from loomset.functions.rules import RuleBook, joined
 from loomset.operators.embed import chunk_table, embed
@@ -12,7 +11,7 @@ from loomset.operators.split import group_unique_batches
 
 from . import sqltext as S
 from .registry import query, table, texts
-from .scalars import MAX, SQL_MARKED, WINDOW, sql_marked_clauses
+from .scalars import MAX, SQL_CHUNKS
 
 
 def docs(spark, sf):
@@ -52,26 +51,6 @@ def rule_registry(spark, sf):
     return docs(spark, sf).select("doc_id", joined(book.issues()).alias("issues"))
 
 
-# sentences at capitals, too long ones as merged clauses, too long clauses as word windows, then packed
-@query("chunk_udtf", f"""
-WITH RECURSIVE sent AS (SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM (
-    SELECT doc_id, list_filter(list_transform(string_split({SQL_MARKED}, '{C.CUT}'), lambda s: {S.strip('s')}), lambda s: s <> '') AS ss FROM documents WHERE {S.est_tokens()} > {MAX})),
-cl AS (SELECT doc_id, i, list_filter(list_transform(string_split({sql_marked_clauses('s')}, '{C.CUT}'), lambda x: {S.strip('x')}), lambda x: x <> '') AS cs FROM sent WHERE {S.est_tokens('s')} > {MAX}),
-cu AS (SELECT doc_id, i, unnest(cs) AS c, generate_subscripts(cs, 1) AS k FROM cl),
-cg AS (SELECT *, sum(CASE WHEN k = 1 OR {S.word_count('c')} >= 3 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, i ORDER BY k) AS g FROM cu),
-cm AS (SELECT doc_id, i, g, string_agg(c, ' ' ORDER BY k) AS c FROM cg GROUP BY doc_id, i, g),
-pc AS (
-  SELECT doc_id, i, 0 AS g, 0 AS j, s AS piece FROM sent WHERE {S.est_tokens('s')} <= {MAX}
-  UNION ALL SELECT doc_id, i, g, 0, c FROM cm WHERE {S.est_tokens('c')} <= {MAX}
-  UNION ALL SELECT doc_id, i, g, j, array_to_string(list_slice(w, j * {WINDOW} + 1, j * {WINDOW} + {WINDOW}), ' ') FROM (
-    SELECT doc_id, i, g, w, unnest(range(0, CAST(ceil(len(w) / {WINDOW}) AS BIGINT))) AS j FROM (SELECT *, {S.words('c')} AS w FROM cm WHERE {S.est_tokens('c')} > {MAX}))),
-pieces AS (SELECT doc_id, piece, {S.est_tokens('piece')} AS cost, row_number() OVER (PARTITION BY doc_id ORDER BY i, g, j) AS n FROM pc),
-walk AS (
-  SELECT doc_id, n, cost AS load, 1::BIGINT AS chunk FROM pieces WHERE n = 1
-  UNION ALL
-  SELECT p.doc_id, p.n, CASE WHEN w.load + p.cost > {MAX} THEN p.cost ELSE w.load + p.cost END, CASE WHEN w.load + p.cost > {MAX} THEN w.chunk + 1 ELSE w.chunk END
-  FROM walk w JOIN pieces p ON p.doc_id = w.doc_id AND p.n = w.n + 1)
-SELECT doc_id, chunk AS chunk_no, string_agg(piece, ' ' ORDER BY n) AS chunk FROM walk JOIN pieces USING (doc_id, n) GROUP BY doc_id, chunk
-UNION ALL SELECT doc_id, 1, {S.strip()} FROM documents WHERE {S.est_tokens()} <= {MAX} AND {S.strip()} <> ''""")
+@query("chunk_udtf", SQL_CHUNKS)
 def chunk_udtf(spark, sf):
     return chunk_table(docs(spark, sf), "text", ["doc_id"], MAX)

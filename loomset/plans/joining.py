@@ -353,12 +353,11 @@ scored AS (SELECT t.target, p.profile_id, p.base + 2 * len(list_filter(p.terms,
 SELECT target, profile_id, round(score, 6) AS score, score < 0.5 AS low_confidence
 FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY round(score, 9) DESC, profile_id) AS rn FROM scored) WHERE rn = 1""")
 def profile_select(spark, sf):
+    brand = F.replace("p_brand", F.lit("Brand#"), F.lit("")).cast("long").alias("profile_id")
     part = table(spark, sf, "part")
-    profiles = part.groupBy("p_brand").agg(
-        F.collect_set("p_name").alias("terms"), F.countDistinct("p_size").alias("sizes"), F.count("*").alias("n")
-    ).select(
-        F.replace("p_brand", F.lit("Brand#"), F.lit("")).cast("long").alias("profile_id"), "terms",
-        (F.col("sizes") / 100).alias("pattern_count"), (F.col("n") % 7).alias("template_count"))
+    terms = part.select(brand, F.col("p_name").alias("term")).distinct()
+    profiles = part.groupBy(brand).agg(F.countDistinct("p_size").alias("sizes"), F.count("*").alias("n")).select(
+        "profile_id", (F.col("sizes") / 100).alias("pattern_count"), (F.col("n") % 7).alias("template_count"))
     targets = part.select(F.explode(F.split("p_name", " ")).alias("target")).unionByName(
         table(spark, sf, "nation").select(F.col("n_name").alias("target")))
-    return J.profile_select(targets, profiles).withColumn("score", F.round("score", 6))
+    return J.profile_select(targets, profiles, terms=terms).withColumn("score", F.round("score", 6))

@@ -45,15 +45,18 @@ def item_lines(spark, sf):
     return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), item.alias("item"))
 
 
-def agreements(spark, sf):
-    """One row per order. Deliverables stay a table and are aggregated, so an order may have any number of them."""
-    lines = item_lines(spark, sf)
-    flags = lines.select("o_orderkey", F.lower("item").alias("low")).select(
-        "o_orderkey", *[c.alias(n) for n, c in A.item_flags(F.col("low")).items()])
-    feats = flags.groupBy("o_orderkey").agg(*[c.alias(n) for n, c in A.item_aggregates().items()])
-    repeated = F.col("n") > 1
-    dups = lines.groupBy("o_orderkey", A.normal_item(F.col("item")).alias("d")).agg(F.count("*").alias("n")).groupBy("o_orderkey").agg(
-        F.count_if(repeated).alias("duplicates"), F.count("*").alias("distinct_items"), F.min(F.when(repeated, F.col("d"))).alias("first_duplicate"))
+def agreements(spark, sf, duplicates=False):
+    """One row per order. Deliverables stay a table and are aggregated, so an order may have any number of them.
+
+    With ``duplicates`` equal deliverables are counted as one row first, which tells what repeats in the same pass.
+    """
+    lines = item_lines(spark, sf).select("o_orderkey", F.lower("item").alias("low"), A.normal_item(F.col("item")).alias("d"))
+    rows = lines.select("o_orderkey", "d", *[c.alias(n) for n, c in A.item_flags(F.col("low")).items()])
+    made = A.item_aggregates()
+    if duplicates:
+        rows = rows.groupBy("o_orderkey", "d").agg(*[c.alias(n) for n, c in A.equal_item_aggregates().items()])
+        made = A.distinct_item_aggregates("d")
+    feats = rows.groupBy("o_orderkey").agg(*[c.alias(n) for n, c in made.items()])
     key, first = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)
     text = lambda n, unit: F.concat((key % n).cast("string"), F.lit(unit))
     heads = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
@@ -62,8 +65,8 @@ def agreements(spark, sf):
         R.first_match([(first.isin("1", "2"), "complex"), (first == "3", "medium")], "simple").alias("complexity"),
         F.when(key % 3 == 0, text(290, " weeks exclusivity")).when(key % 3 == 1, text(60, " months")).otherwise("").alias("exclusivity"),
         text(70, " months").alias("usage_term"), text(130, " week").alias("engagement"))
-    counts = ["items", *A.KINDS, "duplicates", "distinct_items"]
-    joined = heads.join(feats, "o_orderkey", "left").join(dups, "o_orderkey", "left").fillna(0, counts)
+    counts = ["items", *A.KINDS, *(("duplicates", "distinct_items") if duplicates else ())]
+    joined = heads.join(feats, "o_orderkey", "left").fillna(0, counts)
     return joined.withColumn("platforms", F.coalesce("platforms", F.array().cast("array<string>")))
 
 
@@ -152,7 +155,7 @@ def rule_platform(spark, sf):
 @query("rule_unique_items", f"""
 WITH {SQL_AGREEMENTS} SELECT o_orderkey, duplicates = 0 AS valid, duplicates, first_duplicate, coalesce(1 - distinct_items / nullif(items, 0) <= 0.2, true) AS lenient FROM agr""")
 def rule_unique_items(spark, sf):
-    return agreements(spark, sf).select(
+    return agreements(spark, sf, duplicates=True).select(
         "o_orderkey", (F.col("duplicates") == 0).alias("valid"), "duplicates", "first_duplicate",
         A.lenient_unique(F.col("items"), F.col("distinct_items")).alias("lenient"))
 
@@ -186,7 +189,7 @@ def validate_agreement(spark, sf):
         A.rule_fee_deliverables(F.col("fee"), F.col("items")),
         A.rule_temporal(F.col("exclusivity"), F.col("usage_term"), F.col("engagement")),
         F.col("duplicates"), A.rule_platform(F.col("industry"), F.col("platforms")))
-    return agreements(spark, sf).select("o_orderkey", *[c.alias(n) for n, c in made.items()])
+    return agreements(spark, sf, duplicates=True).select("o_orderkey", *[c.alias(n) for n, c in made.items()])
 
 
 def _sql_fit(which):

@@ -101,27 +101,32 @@ def protect_units(spark, sf):
 
 MAX = 480
 WINDOW = int(MAX / C.TOKENS_PER_WORD)
-# pieces of every long document in order: sentences, too long ones as word windows
-SQL_PIECES = f"""
-sent AS (SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM (SELECT doc_id, {S.sentences()} AS ss FROM documents WHERE {S.est_tokens()} > {MAX})),
-sw AS (SELECT doc_id, i, s, {S.words('s')} AS w, {S.est_tokens('s')} AS tok FROM sent),
+# sentences at capitals, too long ones as merged clauses, too long clauses as word windows, then packed
+SQL_CHUNKS = f"""
+WITH RECURSIVE sent AS (SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM (
+    SELECT doc_id, list_filter(list_transform(string_split({SQL_MARKED}, '{C.CUT}'), lambda s: {S.strip('s')}), lambda s: s <> '') AS ss FROM documents WHERE {S.est_tokens()} > {MAX})),
+cl AS (SELECT doc_id, i, list_filter(list_transform(string_split({sql_marked_clauses('s')}, '{C.CUT}'), lambda x: {S.strip('x')}), lambda x: x <> '') AS cs FROM sent WHERE {S.est_tokens('s')} > {MAX}),
+cu AS (SELECT doc_id, i, unnest(cs) AS c, generate_subscripts(cs, 1) AS k FROM cl),
+cg AS (SELECT *, sum(CASE WHEN k = 1 OR {S.word_count('c')} >= 3 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, i ORDER BY k) AS g FROM cu),
+cm AS (SELECT doc_id, i, g, string_agg(c, ' ' ORDER BY k) AS c FROM cg GROUP BY doc_id, i, g),
 pc AS (
-  SELECT doc_id, i, 0::BIGINT AS j, s AS piece FROM sw WHERE tok <= {MAX}
-  UNION ALL SELECT doc_id, i, j, array_to_string(list_slice(w, j * {WINDOW} + 1, j * {WINDOW} + {WINDOW}), ' ') FROM (SELECT *, unnest(range(0, CAST(ceil(len(w) / {WINDOW}) AS BIGINT))) AS j FROM sw WHERE tok > {MAX})),
-pieces AS (SELECT doc_id, piece, {S.est_tokens('piece')} AS cost, length(piece) AS chars, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS n FROM pc)"""
-
-
-@query("chunk_greedy", f"""
-WITH RECURSIVE {SQL_PIECES},
+  SELECT doc_id, i, 0 AS g, 0 AS j, s AS piece FROM sent WHERE {S.est_tokens('s')} <= {MAX}
+  UNION ALL SELECT doc_id, i, g, 0, c FROM cm WHERE {S.est_tokens('c')} <= {MAX}
+  UNION ALL SELECT doc_id, i, g, j, array_to_string(list_slice(w, j * {WINDOW} + 1, j * {WINDOW} + {WINDOW}), ' ') FROM (
+    SELECT doc_id, i, g, w, unnest(range(0, CAST(ceil(len(w) / {WINDOW}) AS BIGINT))) AS j FROM (SELECT *, {S.words('c')} AS w FROM cm WHERE {S.est_tokens('c')} > {MAX}))),
+pieces AS (SELECT doc_id, piece, {S.est_tokens('piece')} AS cost, row_number() OVER (PARTITION BY doc_id ORDER BY i, g, j) AS n FROM pc),
 walk AS (
   SELECT doc_id, n, cost AS load, 1::BIGINT AS chunk FROM pieces WHERE n = 1
   UNION ALL
   SELECT p.doc_id, p.n, CASE WHEN w.load + p.cost > {MAX} THEN p.cost ELSE w.load + p.cost END, CASE WHEN w.load + p.cost > {MAX} THEN w.chunk + 1 ELSE w.chunk END
   FROM walk w JOIN pieces p ON p.doc_id = w.doc_id AND p.n = w.n + 1)
 SELECT doc_id, chunk AS chunk_no, string_agg(piece, ' ' ORDER BY n) AS chunk FROM walk JOIN pieces USING (doc_id, n) GROUP BY doc_id, chunk
-UNION ALL SELECT doc_id, 1, {S.strip()} FROM documents WHERE {S.est_tokens()} <= {MAX} AND {S.strip()} <> ''""")
+UNION ALL SELECT doc_id, 1, {S.strip()} FROM documents WHERE {S.est_tokens()} <= {MAX} AND {S.strip()} <> ''"""
+
+
+@query("chunk_greedy", SQL_CHUNKS)
 def chunk_greedy(spark, sf):
-    made = C.chunk_greedy(F.col("text"), MAX, C.sentences_at_marks, breaks=())
+    made = C.chunk_greedy(F.col("text"), MAX)
     return docs(spark, sf).select("doc_id", F.posexplode(made).alias("i", "chunk")).select(
         "doc_id", (F.col("i") + 1).cast("long").alias("chunk_no"), "chunk")
 
@@ -275,8 +280,7 @@ t AS (SELECT lang, part, string_agg(head, '. ' ORDER BY k) || '.' AS text, strin
 l AS (SELECT lang, part, string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM (SELECT lang, part, unnest(labels) AS label FROM g) GROUP BY lang, part)
 SELECT lang, part, text, labels, source_ids FROM t JOIN l USING (lang, part) WHERE n > 1""")
 def multi_label_merge(spark, sf):
-    rows = doc_labels(spark, sf).select("doc_id", "labels").join(docs(spark, sf).select("doc_id", "text", "lang"), "doc_id")
-    made = PH.multi_label_merge(rows, "doc_id", "text", "labels", "lang")
+    made = PH.multi_label_merge(doc_labels(spark, sf, "text", "lang"), "doc_id", "text", "labels", "lang")
     return made.select("lang", "part", "text", F.array_join("labels", "|").alias("labels"),
                        F.array_join(F.transform("source_ids", lambda x: x.cast("string")), "|").alias("source_ids"))
 

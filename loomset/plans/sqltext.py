@@ -31,8 +31,12 @@ def est_tokens(text: str = "text") -> str:
     return f"CAST(floor({word_count(text)} * 1.33::DOUBLE) AS BIGINT)"
 
 
+def redact_email(text: str = "text") -> str:
+    return f"regexp_replace({text}, {quoted(P.EMAIL)}, '[EMAIL]', 'g')"
+
+
 def redact_pii(text: str = "text") -> str:
-    out = f"regexp_replace({text}, {quoted(P.EMAIL)}, '[EMAIL]', 'g')"
+    out = redact_email(text)
     for pattern in P.PHONES:
         out = f"regexp_replace({out}, {quoted(pattern)}, '[PHONE]', 'g')"
     return out

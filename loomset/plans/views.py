@@ -24,7 +24,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_labels(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Documents with labels from their own columns; ``more`` names columns of documents to keep."""
     scores = table(spark, sf_dir, "labels")
     docs = table(spark, sf_dir, "documents").join(scores, "doc_id", "left")
     size = F.when(F.col("n_chars") > 4000, "long").when(F.col("n_chars") > 800, "mid").otherwise("short")
@@ -38,4 +39,5 @@ def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("text").contains("\n"), "multiline"),
             F.when(F.col("text").contains("@"), "has_email"),
         )).alias("labels"),
+        *more,
     )

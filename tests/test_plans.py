@@ -50,5 +50,15 @@ def test_filters_and_columns_reach_the_scan(spark, queries):
     assert "text" not in explained(queries["class_distribution"](spark, SF)).split("ReadSchema")[1]
 
 
+@pytest.mark.parametrize("name", ["key_phrases", "keywords"])
+def test_counts_within_a_row_need_no_exchange(spark, queries, name):
+    assert "Exchange" not in explained(queries[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["validate_agreement", "rule_unique_items"])
+def test_lines_are_scanned_once(spark, queries, name):
+    assert explained(queries[name](spark, SF)).count("lineitem.parquet") == 1
+
+
 def test_top_n_is_limited_before_the_shuffle(spark, queries):
     assert "WindowGroupLimit" in explained(queries["top_n_per_group"](spark, SF))

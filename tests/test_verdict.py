@@ -1,14 +1,19 @@
 """Copies, open bounds and long chains, against brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomset.functions import agreements as A
 from loomset.functions import text as T
 from loomset.operators import graphs as G
+from loomset.operators import phrases as PH
+from loomset.operators import stats as ST
 from loomset.plans import evaluating, joining, load
 from loomset.plans import aggregating
-from loomset.operators.ranking import digest
+from loomset.operators.ranking import digest, exact_rank, range_bucket
 
 
 def _vectors(spark, path, rows):
@@ -64,6 +69,49 @@ def test_nfkc_by_default(spark):
     assert [r.v for r in frame.select(T.clean_text(F.col("t")).alias("v")).collect()] == ["1fiA", "plain", ""]
 
 
+def test_phrases_against_a_count(spark):
+    texts = ["b a b a b a x", "", None, "Ab ab AB cd", "one two one two one two three", "a b"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    want = set()
+    for i, text in enumerate(texts):
+        words = (text or "").lower().split()
+        for size, top in ((2, 20), (3, 10)):
+            grams = Counter(" ".join(words[k : k + size]) for k in range(len(words) - size + 1))
+            order = sorted((-n, g) for g, n in grams.items() if n > 1)[:top]
+            want |= {(i, size, g, -n, rank) for rank, (n, g) in enumerate(order, 1)}
+    got = [(r.id, r.size, r.phrase, r.n, r["rank"]) for r in PH.key_phrases(frame, "id", "text").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    words = spark.createDataFrame([(1, "stone Stone river stone river with with that"), (2, None)], "id long, text string")
+    assert [(r.word, r.n, r["rank"]) for r in PH.keywords(words, "id", "text", stops=("with",)).collect()] == [("stone", 3, 1), ("river", 2, 2)]
+
+
+def test_buckets_fill_evenly_for_spread_ids(spark):
+    rows = spark.range(4000).select((F.col("id") * 1_000_003 * 4096).alias("id"))
+    bucket = range_bucket(rows, "id", rows_each=500)
+    sizes = [r["count"] for r in rows.groupBy(bucket.alias("b")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 700
+    ranked = exact_rank(rows, ["id"], bucket).orderBy("id").collect()
+    assert [r["rank"] for r in ranked] == list(range(1, 4001))
+
+
+def test_equal_deliverables_are_counted_in_one_pass(spark):
+    items = [(1, "2 x Instagram Post"), (1, " 2 x instagram  post "), (1, "1 x TikTok Video"), (2, "1 x Blog Post")]
+    low = spark.createDataFrame(items, "k long, item string").select("k", A.normal_item(F.col("item")).alias("d"), F.lower("item").alias("low"))
+    flags = low.select("k", "d", *[c.alias(n) for n, c in A.item_flags(F.col("low")).items()])
+    plain = flags.groupBy("k").agg(*[c.alias(n) for n, c in A.item_aggregates().items()])
+    equal = flags.groupBy("k", "d").agg(*[c.alias(n) for n, c in A.equal_item_aggregates().items()])
+    full = equal.groupBy("k").agg(*[c.alias(n) for n, c in A.distinct_item_aggregates("d").items()])
+    assert sorted(map(tuple, full.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    assert [tuple(r) for r in full.orderBy("k").select("duplicates", "distinct_items", "first_duplicate").collect()] == [
+        (1, 2, "2 x instagram post"), (0, 1, None)]
+
+
+def test_empty_bins_have_a_row(spark):
+    rows = spark.createDataFrame([(0,), (1,), (10,)], "v long")
+    got = {r.bin: (r.n, r.lowest) for r in ST.histogram(rows, "v", 5).collect()}
+    assert got == {0: (2, 0), 1: (0, None), 2: (0, None), 3: (0, None), 4: (1, 10)}
+
+
 def test_no_added_shuffle(spark):
     load()
     for name in ("clean_text", "stream_clean"):
