@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers as tokenizers_of
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -387,6 +388,57 @@ def test_base_scores_by_brute_force(spark, docs):
     assert got.count() == docs.count()
 
 
+def test_token_pairs_of_all_training_documents_count(spark):
+    """The sample is empty here, so only counts over all documents can tell the order of two words."""
+    rows = [(i, "alpha beta gamma delta") for i in range(200)]
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows += [(held[0], "alpha beta gamma delta"), (held[1], "delta gamma beta alpha")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = language_model.language_model_scores(frame, RANKS, tokenizers_of.PATTERN, sample_bytes=0, corpus_weight=0.01, steps=0)
+    scores = {r.doc_id: r.score for r in got.where("held_out").collect() if r.doc_id in held}
+    assert scores[held[0]] > scores[held[1]] + 1
+
+
+def test_token_pair_answers_by_brute_force():
+    encoder = language_model.Subwords(open(RANKS, "rb").read(), tokenizers_of.PATTERN)
+    texts = [[t or "" for t in odd_texts()[k::3]] for k in range(3)]
+    tables = [pa.table({"g": pa.array([k] * len(t), pa.int32()), "text": t, "held_out": [i % 4 == 1 for i in range(len(t))]}) for k, t in enumerate(texts)]
+    tokens = max(encoder.pieces().values()) + 1
+    words = attention.Vocabulary.of_counts(np.arange(tokens), np.arange(tokens) % 3 == 0)
+    asked = pa.concat_tables([language_model._ask(5, encoder, words)(t) for t in tables])
+    real, seen = Counter(), Counter()
+    for group in texts:
+        for i, text in enumerate(group):
+            ids = [x for w in plain_words(text) for x in encoder.encode([w])[0].tolist()]
+            for a, b in zip([tokens, *ids], ids):
+                real[a, b] += i % 4 != 1
+                seen[a, words.klass[b]] += i % 4 != 1
+    met = set()
+    for b in range(5):
+        part = asked.filter(pa.compute.equal(asked["bucket"], b))
+        answers = language_model._answer(words)(part)
+        for keys, row in zip(part["pair"].to_pylist(), answers.to_pylist()):
+            pairs = [(k // tokens // words.classes, k % tokens) for k in keys]
+            assert row["together"] == [real[p] for p in pairs]
+            own = list(dict.fromkeys((a, words.klass[t]) for a, t in pairs))
+            assert row["seen"] == [seen[x] for x in own]
+            met.update(pairs)
+    assert met == set(real)
+
+
+def test_model_goes_on_where_the_texts_are(spark):
+    """The more training documents, the more steps; the average fits the texts better than the start."""
+    encoder = language_model.Subwords(open(RANKS, "rb").read(), tokenizers_of.PATTERN)
+    frame = spark.createDataFrame([("one two three four five six seven eight nine ten " * 40,)] * 60, "text string").repartition(2)
+    read = language_model._Read(pa.array([r.text for r in frame.limit(3).collect()], pa.large_string()))
+    ids, _, first = read.streams(*read.subwords(encoder))
+    tokens = max(encoder.pieces().values()) + 1
+    words = attention.Vocabulary.of_counts(np.bincount(ids, minlength=tokens), np.ones(tokens, bool))
+    start = attention.Model(tokens)
+    after = language_model.trained_on(frame, encoder, start, words)
+    assert attention.token_scores(after, words, ids, first)[0].sum() > attention.token_scores(start, words, ids, first)[0].sum() + 1
+
+
 # ---- 9 repeats
 
 
