@@ -7,12 +7,14 @@ context, at last as one of 256. The statistics are frozen after training, so the
 and the same wherever it stands; the distinct words of a slice are coded once. A text's code length in a
 language is the sum over its words, and the language with the shortest one wins.
 
-The trees are fitted on a sample of about ``sample_bytes`` of text per language, drawn by a hash of the text.
+The trees are fitted on a sample of about ``sample_bytes`` of text per language, drawn by document, so that copies of a
+text are drawn one by one; rows without an id are drawn among their distinct texts. Every language with a letter in its
+texts gets at least one of them.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, and so is every text when
 nothing can be learned; of equal code lengths the first language in order wins; rows without an id and
-repeated rows are judged like any other and train unless they are held out; rows without a language do
-not train; other columns are not read.
+repeated rows are judged like any other and train unless they are held out, each document and each text
+without an id once; rows without a language do not train; other columns are not read.
 """
 
 from __future__ import annotations
@@ -175,14 +177,17 @@ def _predict(trees: Trees, kept: list[str]):
 def fit_trees(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES, depth: int = DEPTH) -> Trees:
     """Trees from the text and non-null lang of ``docs``; only a sample of bounded size is counted."""
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         "text IS NOT NULL AND lang IS NOT NULL"
     )
-    size = {r["lang"]: r["size"] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
-    share = F.lit(0.0)
-    for lang, n in size.items():
-        share = F.when(F.col("lang") == lang, sample_bytes / max(n, 1)).otherwise(share)
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language"), "text"), F.lit(1 << 20)) / float(1 << 20) < share)
+    key = F.pmod(F.xxhash64(F.lit("language"), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(1 << 40))
+    rows = rows.select("lang", "text", key.alias("at"))
+    once = rows.groupBy("lang", "at").agg(F.max(F.octet_length("text")).alias("size"), F.max(F.col("text").rlike("\\p{L}")).alias("usable"))
+    share, least = F.lit(0.0), F.lit(-1)
+    for lang, size, first in once.groupBy("lang").agg(F.sum("size"), F.min(F.when(F.col("usable"), F.col("at")))).collect():
+        share = F.when(F.col("lang") == lang, sample_bytes / max(size, 1)).otherwise(share)
+        least = F.when(F.col("lang") == lang, -1 if first is None else first).otherwise(least)
+    drawn = rows.where((F.col("at") / float(1 << 40) < share) | (F.col("at") == least)).distinct().select("text", "lang")
     counts = drawn.mapInArrow(_count(depth), "lang string, gram bigint, n bigint")
     return Trees(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow(), depth)
 

@@ -301,6 +301,34 @@ def test_language_costs_by_definition():
             assert row[k] == pytest.approx(want, rel=1e-4)
 
 
+@pytest.mark.parametrize("with_id", [True, False])
+def test_language_of_few_texts_with_many_copies_is_learned(spark, with_id):
+    """Each language of two texts with copies is predicted, however small its share of the sample is."""
+    rows, alphabets = [], ["abcde", "fghij", "klmno", "pqrst", "uvwxy", "αβγδε", "абвгд", "אבגדה"]
+    make = random.Random(3)
+    for alphabet in alphabets:
+        texts = [" ".join("".join(make.choices(alphabet, k=5)) for _ in range(50)) for _ in range(2)]
+        rows += [(len(rows) + k if with_id else None, texts[k % 2], alphabet) for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    for sample_bytes in (1, 600):
+        trees = language_id.fit_trees(frame, sample_bytes=sample_bytes)
+        assert trees.langs == sorted(alphabets)
+        assert language_id.predict(frame, trees).where("row.lang != lang_pred").count() == 0
+
+
+def test_model_sample_is_bounded_and_drawn_by_document(spark):
+    """Copies of one text are drawn one by one, and the bytes that reach the driver are bounded."""
+    for ids in (True, False):
+        for text in (f"hot text {k} " * 8 for k in range(4)):
+            rows = [(i if ids or i % 3 else None, text if i % 3 == 0 else f"text {i} " * 8) for i in range(3000)]
+            frame = spark.createDataFrame(rows, "doc_id long, text string")
+            size = sum(len(t) for _, t in rows)
+            got = language_model.training_sample(frame, 20000, size)
+            assert 5000 < sum(map(len, got)) <= 40000
+            assert (got.count(text) > 20) if ids else (got.count(text) <= 1)
+    assert language_model.training_sample(frame.limit(0), 20000, 0) == []
+
+
 def test_language_odd_rows(spark, docs):
     got = language_id.language_report(docs)
     assert got.count() == docs.count()
