@@ -12,6 +12,10 @@ in one document alone are unique. The others meet by their anchor, and there the
 dictionary, sorted on their first 50 bytes, stand in the order of the corpus: equal neighbours are one
 string, and its first document is the least among them.
 
+An anchor may stand in many contexts, as in a short frequent line; each document then adds strings of its own to it. The
+first pass counts them, and the strings of an anchor with more than ``HOT`` meet by the hash of their 50 bytes instead,
+one by one, so they are spread over all buckets; there they are compared like the others.
+
 Documents are dealt once into groups of a few MB. A group asks about each phrase and anchor once, however
 many of its documents hold it, and each answer goes to the group. So a passage that a third of all
 documents share is one short row per group, and no table of all strings is ever formed. The three passes
@@ -42,6 +46,8 @@ GRAM = 16
 #: a phrase holds this many strings on average
 PHRASE = 128
 GROUP_BYTES = 4 << 20
+#: more strings than this of one anchor are spread over the buckets
+HOT = 1 << 15
 _SEGMENT = 1 << 17
 _PLACE = np.uint64((1 << 18) - 1)
 _SECOND_BASE = 0xC2B2AE3D27D4EB4F
@@ -149,15 +155,19 @@ def _by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarr
 
 
 _ASKED = pa.schema([
-    ("bucket", pa.int32()), ("g", pa.int32()), ("anchor", pa.list_(pa.int32())), ("key", pa.list_(pa.int64())),
-    ("check", pa.list_(pa.int64())), ("first", pa.list_(pa.int64())),
+    ("bucket", pa.int32()), ("g", pa.int32()), ("anchor", pa.list_(pa.int32())), ("place", pa.list_(pa.int32())),
+    ("n", pa.list_(pa.int32())), ("key", pa.list_(pa.int64())), ("check", pa.list_(pa.int64())), ("first", pa.list_(pa.int64())),
 ])
-_ASKED_DDL = "bucket int, g int, anchor array<int>, key array<bigint>, check array<bigint>, first array<bigint>"
+_ASKED_DDL = (
+    "bucket int, g int, anchor array<int>, place array<int>, n array<int>, key array<bigint>, check array<bigint>, first array<bigint>"
+)
 _ANSWER = pa.schema([
-    ("g", pa.int32()), ("bucket", pa.int32()), ("anchor", pa.list_(pa.int32())), ("key", pa.list_(pa.int64())),
-    ("first", pa.list_(pa.int64())), ("run", pa.list_(pa.int32())), ("firsts", pa.list_(pa.int64())),
+    ("g", pa.int32()), ("bucket", pa.int32()), ("anchor", pa.list_(pa.int32())), ("hot", pa.list_(pa.int32())),
+    ("key", pa.list_(pa.int64())), ("first", pa.list_(pa.int64())), ("run", pa.list_(pa.int32())), ("firsts", pa.list_(pa.int64())),
 ])
-_ANSWER_DDL = "g int, bucket int, anchor array<int>, key array<bigint>, first array<bigint>, run array<int>, firsts array<bigint>"
+_ANSWER_DDL = (
+    "g int, bucket int, anchor array<int>, hot array<int>, key array<bigint>, first array<bigint>, run array<int>, firsts array<bigint>"
+)
 _RUNS = pa.schema([
     ("bucket", pa.int32()), ("g", pa.int32()), ("run", pa.list_(pa.int32())), ("count", pa.list_(pa.int32())),
     ("first", pa.list_(pa.int64())), ("bytes", pa.binary()),
@@ -192,11 +202,18 @@ def _ask(buckets: int, width: int):
         number, first = _first_of([p.phrase_key, p.phrase_check], group.ids[p.phrase_row])
         key, check = np.empty(len(first), np.uint64), np.empty(len(first), np.uint64)
         key[number], check[number] = p.phrase_key, p.phrase_check
+        # strings of each anchor, those of a phrase once; a single run has no more than ``most``
+        once = np.empty(len(first), np.int64)
+        once[number] = np.arange(len(number))
+        counted = np.isin(p.phrase, once)
+        strings = np.bincount(np.searchsorted(anchor, p.anchor[counted]), p.count[counted], len(anchor)).astype(np.int64)
+        most = width - GRAM + 1
         rows = []
         for b, at in _by_bucket((anchor % np.uint64(buckets)).astype(np.int64), buckets):
-            rows.append((b, g, _short(anchor[at]), [], [], []))
+            many = np.flatnonzero(strings[at] > most)
+            rows.append((b, g, _short(anchor[at]), many, strings[at][many], [], [], []))
         for b, at in _by_bucket((key % np.uint64(buckets)).astype(np.int64), buckets):
-            rows.append((b, g, [], key[at].view(np.int64), check[at].view(np.int64), first[at]))
+            rows.append((b, g, [], [], [], key[at].view(np.int64), check[at].view(np.int64), first[at]))
         return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ASKED)], schema=_ASKED)
 
     return each
@@ -211,23 +228,45 @@ def _answers(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ANSWER)], schema=_ANSWER)
 
 
-def _answer_first(table: pa.Table) -> pa.Table:
-    """Anchors that several groups have, and phrases that another group has in an earlier document."""
-    groups, bucket = np.array(table.column("g").to_pylist(), np.int64), table.column("bucket")[0].as_py()
-    rows = []
-    anchor, owner = _flat(table.column("anchor"), np.int32), _owner(table, "anchor")
-    _, number, count = np.unique(anchor, return_inverse=True, return_counts=True)
-    shared = count[number] > 1 if len(anchor) else np.zeros(0, bool)
-    kept, of = anchor[shared], owner[shared]
-    cut = np.searchsorted(of, np.arange(len(groups) + 1))
-    rows += [(groups[k], bucket, kept[cut[k] : cut[k + 1]], [], [], [], []) for k in np.flatnonzero(np.diff(cut))]
-    key, first, owner = _flat(table.column("key"), np.int64), _flat(table.column("first"), np.int64), _owner(table, "key")
-    number, least = _first_of([key, _flat(table.column("check"), np.int64)], first)
-    later = least[number] < first if len(key) else np.zeros(0, bool)
-    key, least, of = key[later], least[number][later] if len(number) else first, owner[later]
-    cut = np.searchsorted(of, np.arange(len(groups) + 1))
-    rows += [(groups[k], bucket, [], key[cut[k] : cut[k + 1]], least[cut[k] : cut[k + 1]], [], []) for k in np.flatnonzero(np.diff(cut))]
-    return _answers(rows)
+def _answer_first(width: int, hot_strings: int):
+    """Anchors that several groups have, which of them are hot, and phrases that another group has in an earlier document."""
+
+    def each(table: pa.Table) -> pa.Table:
+        groups, bucket = np.array(table.column("g").to_pylist(), np.int64), table.column("bucket")[0].as_py()
+        rows = []
+        anchor, owner = _flat(table.column("anchor"), np.int32), _owner(table, "anchor")
+        _, number, count = np.unique(anchor, return_inverse=True, return_counts=True)
+        strings = np.full(len(anchor), width - GRAM + 1)
+        begin = np.searchsorted(owner, np.arange(len(groups)))
+        strings[begin[_owner(table, "place")] + _flat(table.column("place"), np.int64)] = _flat(table.column("n"), np.int64)
+        hot = (np.bincount(number, strings) > hot_strings)[number] if len(anchor) else np.zeros(0, bool)
+        shared = count[number] > 1 if len(anchor) else np.zeros(0, bool)
+        kept, of, hot = anchor[shared], owner[shared], hot[shared]
+        cut = np.searchsorted(of, np.arange(len(groups) + 1))
+        for k in np.flatnonzero(np.diff(cut)):
+            mine = slice(cut[k], cut[k + 1])
+            rows.append((groups[k], bucket, kept[mine], kept[mine][hot[mine]], [], [], [], []))
+        key, first, owner = _flat(table.column("key"), np.int64), _flat(table.column("first"), np.int64), _owner(table, "key")
+        number, least = _first_of([key, _flat(table.column("check"), np.int64)], first)
+        later = least[number] < first if len(key) else np.zeros(0, bool)
+        key, least, of = key[later], least[number][later] if len(number) else first, owner[later]
+        cut = np.searchsorted(of, np.arange(len(groups) + 1))
+        for k in np.flatnonzero(np.diff(cut)):
+            rows.append((groups[k], bucket, [], [], key[cut[k] : cut[k + 1]], least[cut[k] : cut[k + 1]], [], []))
+        return _answers(rows)
+
+    return each
+
+
+def _told(group: Group, answers: pa.Table, buckets: int, column: str) -> np.ndarray:
+    """Runs whose anchor is in this list of the answers."""
+    short = _flat(answers.column(column), np.int32).view(np.uint32).astype(np.uint64)
+    if not len(short):
+        return np.zeros(len(group.parsed.anchor), bool)
+    bucket = np.array(answers.column("bucket").to_pylist(), np.uint64)[_owner(answers, column)]
+    table = distinct(short * np.uint64(buckets) + bucket)
+    own = (group.parsed.anchor >> np.uint64(32)) * np.uint64(buckets) + group.parsed.anchor % np.uint64(buckets)
+    return table[np.minimum(np.searchsorted(table, own), len(table) - 1)] == own
 
 
 def _live(group: Group, answers: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -246,14 +285,7 @@ def _live(group: Group, answers: pa.Table, buckets: int) -> tuple[np.ndarray, np
         least = first[number]
     repeated = (least < ids)[p.phrase] if len(p.phrase) else np.zeros(0, bool)
     # anchors of several groups, or of several documents here
-    known = (_flat(answers.column("anchor"), np.int32).view(np.uint32).astype(np.uint64), np.repeat(
-        np.array(answers.column("bucket").to_pylist(), np.uint64), [n or 0 for n in pc.list_value_length(answers.column("anchor")).to_pylist()]
-    ))
-    shared = np.zeros(len(p.anchor), bool)
-    if len(known[0]):
-        table = distinct(known[0] * np.uint64(buckets) + known[1])
-        own = (p.anchor >> np.uint64(32)) * np.uint64(buckets) + p.anchor % np.uint64(buckets)
-        shared = table[np.minimum(np.searchsorted(table, own), len(table) - 1)] == own
+    shared = _told(group, answers, buckets, "anchor")
     own_ids = group.ids[p.row]
     class_of, lowest = _first_of([p.anchor], own_ids)
     highest = np.full(len(lowest), np.iinfo(np.int64).min)
@@ -282,11 +314,23 @@ def _ask_strings(buckets: int, width: int):
         one = np.empty(len(first), np.int64)
         one[number] = at
         g = table.column("g")[0].as_py() if table.num_rows else 0
-        rows = []
-        for b, runs in _by_bucket((p.anchor[one] % np.uint64(buckets)).astype(np.int64), buckets):
+        hot = _told(group, answers, buckets, "hot")[one]
+        data, rows = group.texts.data, []
+        cool = np.flatnonzero(~hot)
+        for b, at in _by_bucket((p.anchor[one[cool]] % np.uint64(buckets)).astype(np.int64), buckets):
+            runs = cool[at]
             size = p.count[one[runs]]
             where = ragged_range(p.start[one[runs]], size + width - 1)
-            rows.append((b, g, runs, size, first[runs], group.texts.data[where].tobytes()))
+            rows.append((b, g, runs, size, first[runs], data[where].tobytes()))
+        # a string of a hot anchor goes alone, by its hash; it is told from a run by a number below 0
+        size = p.count[one]
+        string = ragged_range((np.cumsum(size) - size)[hot], size[hot])
+        start, least = ragged_range(p.start[one][hot], size[hot]), np.repeat(first[hot], size[hot])
+        order = np.argsort(start)
+        string, start, least = string[order], start[order], least[order]
+        for b, at in _by_bucket((hashes(data, start, start + width) % np.uint64(buckets)).astype(np.int64), buckets):
+            where = ragged_range(start[at], np.full(len(at), width))
+            rows.append((b, g, -1 - string[at], np.ones(len(at), np.int64), least[at], data[where].tobytes()))
         return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_RUNS)], schema=_RUNS)
 
     return each
@@ -337,7 +381,7 @@ def _answer_strings(width: int):
         strings = np.cumsum(count) - count
         for k in np.flatnonzero(np.diff(cut)):
             mine = kept[cut[k] : cut[k + 1]]
-            rows.append((groups[k], bucket, [], [], [], run[mine], least[ragged_range(strings[mine], count[mine])]))
+            rows.append((groups[k], bucket, [], [], [], [], run[mine], least[ragged_range(strings[mine], count[mine])]))
         return _answers(rows)
 
     return each
@@ -365,7 +409,8 @@ def _remove(buckets: int, width: int):
         least = np.repeat(first, size)
         run = _flat(answers.column("run"), np.int64)
         if len(run):
-            where = ragged_range(begin[run], size[run])
+            alone, own = run < 0, np.maximum(run, 0)
+            where = ragged_range(np.where(alone, -1 - run, begin[own]), np.where(alone, 1, size[own]))
             least[where] = np.minimum(least[where], _flat(answers.column("firsts"), np.int64))
         strings = ragged_range(p.start[at], p.count[at])
         later = least[ragged_range(begin[number], p.count[at])] < np.repeat(group.ids[p.row[at]], p.count[at])
@@ -405,7 +450,7 @@ def _remove(buckets: int, width: int):
     return each
 
 
-def repeated_passages(docs: DataFrame, width: int = WIDTH, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def repeated_passages(docs: DataFrame, width: int = WIDTH, group_bytes: int = GROUP_BYTES, hot_strings: int = HOT) -> DataFrame:
     """(row, n_bytes, n_removed, n_spans, kept_sha256, kept_text) for each document.
 
     ``row`` holds the columns of the document. A byte is removed if a string of ``width`` bytes that
@@ -424,7 +469,7 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH, group_bytes: int = GR
         id_col.alias("id"), text_col.alias("text"), F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"),
     ).repartition(parts, "g")
     asked = dealt.groupBy("g").applyInArrow(_ask(buckets, width), _ASKED_DDL)
-    known = asked.groupBy("bucket").applyInArrow(_answer_first, _ANSWER_DDL)
+    known = asked.groupBy("bucket").applyInArrow(_answer_first(width, hot_strings), _ANSWER_DDL)
     strings = dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(_ask_strings(buckets, width), _RUNS_DDL)
     answers = known.unionByName(strings.groupBy("bucket").applyInArrow(_answer_strings(width), _ANSWER_DDL))
     kind = dealt.schema["row"].dataType.simpleString()

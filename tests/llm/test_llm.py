@@ -488,6 +488,43 @@ def test_repeats_by_brute_force(spark, unique):
         assert got[i] == (len(t), sum(cover), spans, hashlib.sha256(kept).hexdigest())
 
 
+@pytest.mark.parametrize("hot_strings", [0, 500, repeats.HOT])
+def test_repeats_of_hot_anchors_are_spread_and_equal(spark, hot_strings):
+    """A short line in random contexts, some of them repeated: the same bytes go, and no bucket has all strings of the line."""
+    make = random.Random(2)
+    noise = lambda n: "".join(make.choices("abcdefghij ", k=n))
+    line, edges = "the same thirty bytes in each ", [noise(25) for _ in range(40)]
+    texts = [noise(40) + make.choice(edges) + line + make.choice(edges) + noise(40) for _ in range(400)]
+    first = {}
+    for i, t in enumerate(texts):
+        for k in range(len(t) - 49):
+            first.setdefault(t[k : k + 50], i)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.row.doc_id: r.n_removed for r in repeats.repeated_passages(frame, group_bytes=2000, hot_strings=hot_strings).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == len({at for k in range(len(t) - 49) if first[t[k : k + 50]] < i for at in range(k, k + 50)})
+
+
+def test_strings_of_a_hot_anchor_go_to_many_buckets():
+    make, buckets = random.Random(2), 16
+    noise = lambda n: "".join(make.choices("abcdefghij ", k=n))
+    tables = [
+        pa.table({"g": pa.array([g] * 200, pa.int32()), "id": range(g * 200, g * 200 + 200), "text": [noise(40) + "the same thirty bytes in each " + noise(40) for _ in range(200)]})
+        for g in range(2)
+    ]
+    asked = pa.concat_tables([repeats._ask(buckets, 50)(t) for t in tables])
+    sent = {}
+    for hot in (1000, 1 << 30):
+        each = repeats._answer_first(50, hot)
+        told = pa.concat_tables([each(asked.filter(pa.compute.equal(asked["bucket"], b))) for b in range(buckets)])
+        runs = [repeats._ask_strings(buckets, 50)(t, told.filter(pa.compute.equal(told["g"], g))) for g, t in enumerate(tables)]
+        sent[hot] = Counter()
+        for r in pa.concat_tables(runs).to_pylist():
+            sent[hot][r["bucket"]] += sum(r["count"])
+    assert sum(sent[1000].values()) == sum(sent[1 << 30].values())
+    assert max(sent[1000].values()) < max(sent[1 << 30].values()) / 3
+
+
 def test_repeats_odd_rows(spark, docs):
     got = repeats.without_repeats(docs)
     assert got.columns == docs.columns and got.count() == docs.count()
