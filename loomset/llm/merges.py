@@ -3,8 +3,8 @@
 The symbols of a unit start as its characters. An agenda holds the adjacent pairs that make a piece;
 the pair of the highest score goes first, of equals the leftmost, and the merged symbol enters its two
 new pairs. The agendas of all distinct units of a slice run side by side as numpy rows; a very long
-unit has a heap of its own. :func:`library_agrees` compares the ids with the sentencepiece library, batch
-by batch.
+unit has a heap of its own. :func:`round_trip_report` compares the ids of the distinct units of each slice with the
+sentencepiece library and fails if they differ; :func:`library_agrees` compares whole texts, batch by batch.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; a literal space sign is a
 space, as in the library; characters outside the vocabulary become bytes; texts are encoded whole;
@@ -216,6 +216,24 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return rows.mapInArrow(_decoder(read_pieces(model_path)), "doc_id bigint, text string")
 
 
+def _check_units(units: Units, encoded: Encoded, lib) -> None:
+    """Fails if the library has other ids for a unit, or for a unit's text after the space the library adds itself."""
+    texts = pa.LargeStringArray.from_buffers(
+        len(units.texts.offsets) - 1, pa.py_buffer(units.texts.offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(units.texts.data))
+    ).to_pylist()
+    theirs = lib.encode([t[1:] for t in texts], num_threads=1)
+    for k, text in enumerate(texts):
+        if text == " ":  # the library adds no space to an empty text
+            theirs[k] = lib.encode("a ")[len(lib.encode("a")) :]
+    count = np.fromiter(map(len, theirs), np.int64, len(theirs))
+    flat = np.fromiter((i for x in theirs for i in x), np.int64, int(count.sum()))
+    if np.array_equal(count, np.diff(encoded.first)) and np.array_equal(flat, encoded.ids):
+        return
+    for text, a, b, other in zip(texts, encoded.first[:-1], encoded.first[1:], theirs):
+        if encoded.ids[a:b].tolist() != other:
+            raise ValueError(f"{text[:200]!r} has ids {encoded.ids[a:b].tolist()[:50]}, in the library {other[:50]}")
+
+
 def _round_trip(merger: Merger, with_ids: bool = False):
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = _library(merger.pieces)
@@ -223,6 +241,7 @@ def _round_trip(merger: Merger, with_ids: bool = False):
         for part in slices(batches):
             units = units_of(part.column("text"), merger.pieces)
             encoded = merger.encode(units)
+            _check_units(units, encoded, lib)
             ids, first = _row_ids(units, encoded)
             flat, cut = encoded.ids.tolist(), encoded.first.tolist()
             spelled = np.empty(len(cut) - 1, object)
@@ -244,7 +263,10 @@ def _round_trip(merger: Merger, with_ids: bool = False):
 
 
 def round_trip_report(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the text decoded from them; ids too if asked for."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the text decoded from them; ids too if asked for.
+
+    Fails if the sentencepiece library gives other ids for a unit of a text.
+    """
     merger = Merger(read_pieces(model_path))
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     return text_rows(docs).mapInArrow(_round_trip(merger, with_ids), schema)

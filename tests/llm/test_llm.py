@@ -555,6 +555,15 @@ def test_round_trip(spark, unique):
     assert back[15] == ("One two",) and merges.encode(unique.limit(0), PIECES).count() == 0
 
 
+def test_round_trip_fails_where_the_library_has_other_ids():
+    merger = merges.Merger(merges.read_pieces(PIECES))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t} for i, t in enumerate([*odd_texts(), "ends in a space ", " ", "  "])])
+    assert sum(b.num_rows for b in merges._round_trip(merger)(iter([batch]))) == batch.num_rows
+    merger.rank = merger.rank.max() - merger.rank
+    with pytest.raises(ValueError, match="in the library"):
+        list(merges._round_trip(merger)(iter([batch])))
+
+
 # ---- the pipeline
 
 
