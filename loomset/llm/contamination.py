@@ -5,8 +5,9 @@ suffixes are sorted on their first words, and every benchmark suffix is found by
 window is ``width`` consecutive words of an item; an item of fewer words, but not none, is one window.
 The documents are not shuffled. The benchmark is shipped in blocks of bounded size.
 
-Defined cases: a null or wordless text has no words and is clean; a null or wordless item matches
-nothing; a row without an id is judged like any other; repeated rows give repeated results; other
+Defined cases: a null or wordless text has no words and is clean; an item with a null or wordless
+text matches nothing; an item with a text and no id is searched like any other, its matches have a null item_id, and only
+the list of items leaves it out; a row without an id is judged like any other; repeated rows give repeated results; other
 columns are not read. A match ends at the end of its document.
 """
 
@@ -50,8 +51,11 @@ class TestSuffixes:
 
     __test__ = False
 
-    def __init__(self, rows: list[tuple[int, str]], width: int = WIDTH):
+    def __init__(self, rows: list[tuple[int | None, str]], width: int = WIDTH):
         self.width = width
+        # items by their place in this list, those without an id at the last
+        self.ids = [*sorted({i for i, _ in rows if i is not None}), None]
+        place = {i: k for k, i in enumerate(self.ids)}
         texts = lowered(texts_of(pa.array([text for _, text in rows], pa.large_string())))
         words = words_of(texts, LETTER_OR_DIGIT)
         self.vocabulary, ids = np.unique(hashes(texts.data, words.start, words.end), return_inverse=True)
@@ -65,7 +69,7 @@ class TestSuffixes:
         self.keys, inverse = np.unique(keys, return_inverse=True)
         by_key = np.argsort(inverse, kind="stable")
         self.key_first = np.searchsorted(inverse[by_key], np.arange(len(self.keys) + 1))
-        self.item = np.array([i for i, _ in rows], np.int64)[item[by_key]] if len(rows) else np.zeros(0, np.int64)
+        self.item = np.array([place[i] for i, _ in rows], np.int64)[item[by_key]] if len(rows) else np.zeros(0, np.int64)
         self.item_word = (at - words.first[item])[by_key]
         self.length = np.zeros(len(self.keys), np.int64)
         self.length[inverse] = length
@@ -175,7 +179,7 @@ def _search(test: TestSuffixes, names: list[str]):
             for row in np.unique(hit[:, 0]):
                 spans[row] = _joined(spans[row], _runs(hit[cut[row] : cut[row + 1], 1]))
             for row, item, doc_word, item_word, length in table.tolist():
-                found[row].append({"item_id": item, "doc_word": doc_word, "item_word": item_word, "n_words": length})
+                found[row].append({"item_id": test.ids[item], "doc_word": doc_word, "item_word": item_word, "n_words": length})
             yield pa.RecordBatch.from_arrays(
                 [part.column(n) for n in names]
                 + [pa.array(v, t) for v, (_, t) in zip((n_words, spans, found), _ARROW_FOUND)],
@@ -188,7 +192,7 @@ def _search(test: TestSuffixes, names: list[str]):
 def _matched(rows: DataFrame, kept: str, benchmark: DataFrame, width: int, block_bytes: int) -> DataFrame:
     """The columns ``kept`` (names and types) of rows with a text, and what is found in the text."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where(
-        "item_id IS NOT NULL AND text IS NOT NULL"
+        "text IS NOT NULL"
     )
     blocks = max(1, -(-text_bytes(items) // block_bytes))
     names = [c for c in rows.columns if c != "text" or c in kept.split()]
@@ -196,7 +200,7 @@ def _matched(rows: DataFrame, kept: str, benchmark: DataFrame, width: int, block
         block = [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
         more = k < blocks - 1 and "text" not in names
         schema = f"{kept}, {'text string, ' if more else ''}{_FOUND}"
-        rows = rows.mapInArrow(_search(TestSuffixes(sorted(block), width), [*names, "text"] if more else names), schema)
+        rows = rows.mapInArrow(_search(TestSuffixes(block, width), [*names, "text"] if more else names), schema)
         if k < blocks - 1:
             rows = written_table(rows, "benchmark-matches")
     return rows
@@ -227,7 +231,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **settings) -> D
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated, longest_match (words)."""
     found = benchmark_matches(docs, benchmark, **settings)
     n_hit = F.expr("aggregate(transform(hit, (x, i) -> IF(i % 2 = 0, -x, x)), 0L, (s, x) -> s + x)")
-    items = F.expr("array_sort(array_distinct(transform(matches, m -> CAST(m.item_id AS STRING))))")
+    items = F.expr("array_sort(array_distinct(transform(filter(matches, m -> m.item_id IS NOT NULL), m -> CAST(m.item_id AS STRING))))")
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), (F.size("hit") > 0).alias("contaminated"),

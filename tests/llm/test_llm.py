@@ -157,6 +157,18 @@ def test_contamination_by_brute_force(spark, docs, unique, block_bytes):
     assert contamination.contamination_report(docs.limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 20])
+def test_items_without_an_id_are_searched(spark, block_bytes):
+    text = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(1, "so " + text + " it is"), (2, "clean words"), (3, "x y z and short")], "doc_id long, text string")
+    items = [(None, text), (None, "y z"), (7, "x y"), (None, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = collected(contamination.contamination_report(docs, bench, block_bytes=block_bytes), "n_hit", "n_items", "items_sha256", "contaminated", "longest_match")
+    none = contamination.items_digest([])
+    assert got == {1: (11, 0, none, True, 11), 2: (0, 0, none, False, 0), 3: (3, 1, contamination.items_digest([7]), True, 2)}
+    assert [r.doc_id for r in contamination.without_contaminated(docs, bench, block_bytes=block_bytes).collect()] == [2]
+
+
 def test_longest_match_and_place(spark):
     words = [f"w{i}" for i in range(40)]
     frame = spark.createDataFrame([(1, "a b " + " ".join(words[5:30]) + " c")], "doc_id long, text string")
