@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomset.llm import contamination, language_id, language_model, merges, near_text, near_vectors, quality, repeats, token_files, trie_counts
+from loomset.llm import contamination, filter_audit, language_id, language_model, merges, near_text, near_vectors, quality, repeats, token_files, trie_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -168,6 +168,55 @@ FROM lowest LEFT JOIN counts USING (vec_id)
 """
 
 
+@_query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each step of each order, by language."""
+    return filter_audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_SQL["op11_filter_audit"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS copied
+  FROM documents),
+flags AS (
+  SELECT doc_id, part,
+         CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS INT)
+         + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(copied AS INT) AS m
+  FROM texts),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+kinds AS (
+  SELECT part, m, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM flags LEFT JOIN marks USING (doc_id) GROUP BY part, m),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT concat(a.l, b.l, c.l, d.l, e.l) AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+  SELECT o, CAST(s AS INT) AS s, CAST(1 << (ascii(o[s]) - 65) AS BIGINT) AS f,
+         CAST(list_sum([0] || list_transform(string_split(o[1 : s - 1], ''), lambda c: CASE WHEN c = '' THEN 0 ELSE 1 << (ascii(c) - 65) END)) AS BIGINT) AS b
+  FROM orders, range(1, 6) r(s)),
+counted AS (
+  SELECT part, o, s, f,
+         coalesce(sum(n) FILTER (m & (b | f) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (m & f > 0 AND m & b = 0), 0) AS removed,
+         coalesce(sum(n) FILTER (m & f > 0 AND m & b > 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (m = f), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (m & f > 0 AND m & b = 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (m & f > 0 AND m & b = 0), 0) AS toxic_lost
+  FROM kinds, steps GROUP BY part, o, s, f)
+SELECT part, o AS filter_order, s AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""

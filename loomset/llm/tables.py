@@ -35,4 +35,22 @@ def parts_for(spark: SparkSession, size: int, each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
 
 
-__all__ = ["bounded_batches", "parts_for", "scratch_path", "text_bytes", "text_rows", "written_table"]
+#: a key with this share of all rows or more is hot; so there are at most as many hot keys
+HOT_SHARE = 4096
+
+
+def joined_by_key(rows: DataFrame, facts: DataFrame, key: str | list[str], count: str, how: str = "left") -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has one row per key and in ``count`` how many rows have it.
+
+    Keys that hold one in HOT_SHARE of the counted rows are at most HOT_SHARE and are broadcast, so that their
+    rows stay where they are; the others are joined by a shuffle. Both tables should be written ones.
+    """
+    keys = [key] if isinstance(key, str) else key
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) * HOT_SHARE >= F.lit(total)
+    hot = F.broadcast(facts.where(is_hot).drop(count))
+    cold = facts.where(~is_hot).drop(count)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how))
+
+
+__all__ = ["bounded_batches", "joined_by_key", "parts_for", "scratch_path", "text_bytes", "text_rows", "written_table"]
