@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from loomset.llm import contamination, filter_audit, language_id, language_model, merges, near_text, near_vectors, quality, repeats, token_files, trie_counts
+from loomset.llm import contamination, filter_audit, language_id, language_model, line_index, merges, near_text, near_vectors, quality, repair, repeats, token_files, trie_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -217,6 +217,32 @@ FROM counted
 """
 
 
+@_query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that stand in three documents or more, kept in the last of them alone."""
+    return line_index.line_dedup_report(_table(spark, sf_dir, "documents"))
+
+
+_SQL["op12_line_dedup"] = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+  SELECT doc_id, p, l[p] AS line,
+         translate(trim(l[p], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS p FROM split)),
+frequent AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (coalesce(doc_id <> last, false)) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT coalesce(doc_id <> last, false)), '')) AS kept_sha256
+FROM lines LEFT JOIN frequent USING (key) GROUP BY doc_id
+"""
+
+
+@_query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    return repair.repaired(_table(spark, sf_dir, "conversations"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
