@@ -152,7 +152,8 @@ class Span:
         self.counts["truncated"] += first and truncated
         self.cells.append(row_cell(initial, not first, truncated))
         if copies > 1:
-            self.cells.append({(p, p): (DELETE * (copies - 1), "D" * (copies - 1)) for p in range(4)})
+            gone = {(p, p): (DELETE * (copies - 1), "D" * (copies - 1)) for p in range(4)}
+            self.cells.append(product(gone, CLOSURE))
 
     def add_span(self, record: dict) -> None:
         self._next(record["head"], record["tail"], record["first_turn"], record["last_turn"])
