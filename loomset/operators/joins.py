@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors as V
-from .ranking import digest, digest_bucket, exact_rank, seeded_rank, top_n_per_group
+from .ranking import digest, digest_bucket, exact_rank, prefix_sum, top_n_per_group
 
 
 def clean_anti(df: DataFrame, removed: DataFrame, id_: str) -> DataFrame:
@@ -75,58 +75,66 @@ def head_pairs(df: DataFrame, id_: str, group: str, head: int = 10) -> DataFrame
     return first.withColumnRenamed(id_, "a").join(other, group).where("a < b").select("a", "b", group)
 
 
-def next_group(df: DataFrame, group: str, out: str = "other") -> DataFrame:
-    """Each group and the one after it in seeded order, the last followed by the first."""
-    groups = df.select(group).distinct()
-    ranked = seeded_rank(groups, group, name="place")
-    total = groups.agg(F.count("*")).scalar()
-    follow = ranked.select(F.col(group).alias(out), F.when(F.col("place") == 1, total + 1).otherwise(F.col("place")).alias("place"))
-    return ranked.select(group, (F.col("place") + 1).alias("place")).join(follow, "place").where(
-        F.col(group) != F.col(out)).select(group, out)
+def class_order(df: DataFrame, id_: str, group: str) -> DataFrame:
+    """Rows (id, group, place, start, size, total): one seeded order of all rows in which every class is a stretch.
 
+    ``place`` counts from 0, the row's class is the stretch from ``start`` on of ``size`` rows, ``total`` rows
+    are there. Rows without a class are left out. Ranks are taken bucket by bucket, so a class may be of any size.
+    """
+    rows = df.select(id_, group).where(F.col(group).isNotNull())
+    sizes = rows.groupBy(group).agg(F.count("*").alias("size")).withColumn("h", digest(F.col(group)))
+    starts = prefix_sum(sizes, F.col("size"), ["h", group], digest_bucket(F.col("h")), name="start")
+    hashed = rows.withColumn("h", digest(F.col(id_)))
+    ranked = exact_rank(hashed, ["h", id_], digest_bucket(F.col("h")), [group], "rank")
+    total = rows.agg(F.count("*")).scalar()
+    return ranked.join(starts.select(group, "start", "size"), group).select(
+        id_, group, (F.col("start") + F.col("rank") - 1).alias("place"), "start", "size", total.alias("total")
+    )
 
-def negative_pairs(df: DataFrame, id_: str, group: str, head: int = 3) -> DataFrame:
-    """The first ``head`` rows of each group, each with a row of the following group.
 
-    Row number r takes row r of the other group in seeded order, the last one if that group is smaller.
+def rows_of_other_classes(asking: DataFrame, ordered: DataFrame, id_: str, group: str, count: int) -> DataFrame:
+    """Rows (query, id, own, other, slot): ``count`` different rows of other classes for every asking row.
+
+    ``asking`` are rows of ``ordered`` (:func:`class_order`). All rows outside a class follow its stretch, around
+    the end of the order, so the j-th of them is a place that is found by one equi join, whatever class it is
+    of. The first slot is drawn by the row's digest from all of them, the others lie evenly spread behind it.
+    There are fewer slots only where all other classes together have fewer rows.
     """
-    mine = top_n_per_group(df.select(id_, group), [group], [F.col(id_)], head, "r")
-    hashed = df.select(id_, group).withColumn("h", digest(F.col(id_)))
-    theirs = top_n_per_group(hashed, [group], [F.col("h"), F.col(id_)], head, "r")
-    sizes = theirs.groupBy(group).agg(F.max("r").alias("size")).withColumnRenamed(group, "other")
-    aimed = mine.join(next_group(df, group), group).join(sizes, "other").withColumn("r", F.least("r", "size"))
-    partner = theirs.select(F.col(group).alias("other"), F.col(id_).alias("b"), "r")
-    return aimed.join(partner, ["other", "r"]).select(F.col(id_).alias("a"), "b", group, "other")
-
-
-def other_class_partners(df: DataFrame, id_: str, label: str, count: int) -> DataFrame:
-    """Rows (query, id, place): ``count`` rows of the following class for every row, spread evenly over it."""
-    placed = exact_rank(
-        df.select(id_, label).withColumn("h", digest(F.col(id_))), ["h", id_], digest_bucket(F.col("h")), [label], "place"
-    ).select(id_, label, "place")
-    sizes = df.groupBy(label).agg(F.count("*").alias("size")).withColumnRenamed(label, "other")
-    aimed = placed.join(next_group(df, label), label).join(sizes, "other")
-    slots = aimed.select(
-        F.col(id_).alias("query"), "other", F.posexplode(F.sequence(F.lit(0), F.lit(count - 1))).alias("slot", "step"),
-        F.col("place").alias("own"), "size",
-    ).where(F.col("slot") < F.col("size")).withColumn("place", F.pmod(F.col("own") - 1 + F.col("step"), F.col("size")) + 1)
-    targets = placed.select(F.col(label).alias("other"), F.col(id_).alias("id"), "place")
-    return slots.join(targets, ["other", "place"]).select("query", "id", F.col("slot").cast("long").alias("slot"))
+    others = F.col("total") - F.col("size")
+    step = F.greatest(F.lit(1), F.floor(others / count))
+    drawn = F.conv(F.substring(digest(F.col(id_), "negative"), 1, 15), 16, 10).cast("long")
+    slots = asking.where(others > 0).select(
+        F.col(id_).alias("query"), F.col(group).alias("own"), "start", "size", "total", others.alias("others"), step.alias("step"),
+        drawn.alias("drawn"), F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("slot"),
+    ).where(F.col("slot") < F.col("others"))
+    ahead = F.pmod(F.pmod(F.col("drawn"), F.col("others")) + F.col("slot") * F.col("step"), F.col("others"))
+    aimed = slots.select("query", "own", F.col("slot").cast("long").alias("slot"), F.pmod(F.col("start") + F.col("size") + ahead, F.col("total")).alias("place"))
+    targets = ordered.select(F.col(id_).alias("id"), F.col(group).alias("other"), "place")
+    return aimed.join(targets, "place").select("query", "id", "own", "other", "slot")
+
+
+def negative_pairs(df: DataFrame, id_: str, group: str, head: int = 3) -> DataFrame:
+    """The first ``head`` rows of each group, each with a row drawn from all other groups."""
+    ordered = class_order(df, id_, group)
+    mine = top_n_per_group(ordered, [group], [F.col(id_)], head, "r").drop("r")
+    pairs = rows_of_other_classes(mine, ordered, id_, group, 1)
+    return pairs.select(F.col("query").alias("a"), F.col("id").alias("b"), F.col("own").alias(group), "other")
 
 
 def hard_negatives(df: DataFrame, id_: str, label: str, vec: str, n: int = 3, neighbours: int = 50) -> DataFrame:
-    """Rows (query, id, rank): up to ``n`` negatives of another class per row.
+    """Rows (query, id, rank, tier): ``n`` negatives of another class per row, as long as there are so many.
 
-    First half as many from the following class, then the nearest of another class
-    among the neighbours, then more of the following class.
+    First half as many drawn from all other classes, then the nearest of another class among the
+    neighbours, then more drawn from all other classes.
     """
     first = max(1, n // 2)
-    labels = df.select(F.col(id_).alias("id"), F.col(label).alias("label"))
-    partners = other_class_partners(df, id_, label, first + n)
+    labels = df.select(F.col(id_).alias("id"), F.col(label).alias("label")).where("label IS NOT NULL")
+    ordered = class_order(df, id_, label)
+    partners = rows_of_other_classes(ordered, ordered, id_, label, first + n)
     spread = partners.select(
         "query", "id", F.when(F.col("slot") < first, 0).otherwise(2).alias("tier"), F.col("slot").cast("double").alias("key")
     )
-    rows = df.select(F.col(id_).alias("id"), F.col(vec).alias("vec"))
+    rows = df.where(F.col(label).isNotNull()).select(F.col(id_).alias("id"), F.col(vec).alias("vec"))
     near = V.knn(rows, rows, neighbours, exclude_self=True)
     near = (
         near.join(labels, "id").join(labels.select(F.col("id").alias("query"), F.col("label").alias("mine")), "query")

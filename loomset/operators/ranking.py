@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomset.session import written_table
+
 
 def digest(id_: Column, seed: int | str = 42) -> Column:
     """The portable pseudo-random order of a row: md5 of seed and id."""
@@ -62,6 +64,25 @@ def exact_rank(
     return prefix_sum(df, F.lit(1), order, bucket, keys, name).withColumn(name, F.col(name) + 1)
 
 
+def dense_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Numbers 1, 2, 3, ... in the order of any sortable columns, nulls first, equal rows in some order.
+
+    Rows are dealt by range and sorted, then written once with their task and their place in it, so that
+    numbers cannot change when a task is repeated. The counts of the tasks, one short row each, give the
+    offsets. Rows of one value may lie in several tasks.
+    """
+    rows = df.withColumn("__row", F.monotonically_increasing_id())
+    dealt = rows.repartitionByRange(*order, "__row").sortWithinPartitions(*order, "__row")
+    # the upper bits of the id are the task, the lower 33 the row in it
+    placed = written_table(dealt.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    task, place = F.shiftright("__row", 33), F.col("__row").bitwiseAND((1 << 33) - 1)
+    placed = placed.withColumn("__task", task)
+    counts = placed.groupBy("__task").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__task", before.alias("__before"))
+    return placed.join(offsets, "__task").withColumn(name, F.col("__before") + place + 1).drop("__task", "__row", "__before")
+
+
 def seeded_rank(
     df: DataFrame, id_: str, seed: int | str = 42, keys: Sequence[str] = (), name: str = "rank"
 ) -> DataFrame:

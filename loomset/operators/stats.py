@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomset.session import written_table
+
 from .ranking import exact_rank, prefix_sum
 
 QUARTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
@@ -22,12 +24,82 @@ def facet_counts(df: DataFrame, facets: Sequence[str], by: Sequence[str] = ()) -
     return long.groupBy(*by, "facet", "value").agg(F.count("*").alias("n"))
 
 
-def exact_percentiles(df: DataFrame, value: str, points: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """Interpolated percentiles from value counts, so a group costs its distinct values, not its rows."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__c"))
-    made = F.percentile(F.col(value), F.array(*[F.lit(p) for p in points.values()]), F.col("__c"))
-    out = counted.groupBy(*by).agg(made.alias("__p"))
-    return out.select(*by, *[F.col("__p")[i].alias(name) for i, name in enumerate(points)])
+#: values of one group that a task may sort; above it a group's ranks are bracketed by counts first
+SORTED_IN_TASK = 1 << 17
+#: cuts of one round of brackets; a round leaves about four in as many of the values
+_CUTS = 256
+
+
+def exact_percentiles(
+    df: DataFrame, value: str, points: dict[str, float], by: Sequence[str] = (), in_task: int = SORTED_IN_TASK
+) -> DataFrame:
+    """Interpolated percentiles of a column of numbers, exactly, without one place for all values of a group.
+
+    Each point needs the values at two ranks. In a group of more than ``in_task`` values a rank gets a bracket
+    between two approximate quantiles; counting what lies below, on and between its ends proves that the rank
+    is there, and rounds go on inside until ``in_task`` values or a single one are left. Only the brackets are
+    then sorted, each in one task. Nulls and NaN do not count; a group of nothing else has no row.
+    """
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    number = F.col(value).cast("double")
+    rows = df.where(number.isNotNull() & ~F.isnan(number)).select(group.alias("g"), number.alias("v"))
+    whole = rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    whole = written_table(whole, "groups")
+    place = lambda p: F.lit(float(p)) * (F.col("n") - 1)
+    ranks = F.array_distinct(F.array(*[f(place(p)).cast("bigint") for p in points.values() for f in (F.floor, F.ceil)]))
+    state = written_table(whole.select(
+        "g", F.explode(ranks).alias("rank"), "lo", "hi", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("inside"),
+        F.lit(False).alias("between"), F.lit(False).alias("final"),
+    ), "ranks")
+    large = (F.col("inside") > in_task) & (F.col("lo") < F.col("hi")) & ~F.col("final")
+    while not state.where(large).isEmpty():
+        state = written_table(state.where(~large).unionByName(_narrowed(rows, state.where(large))), "ranks")
+    counted = _held(rows, state).groupBy("g", "rank", "below", "v").agg(F.count("*").alias("c"))
+    upto = F.col("below") + F.sum("c").over(Window.partitionBy("g", "rank").orderBy("v"))
+    found = counted.withColumn("upto", upto).where(F.col("upto") > F.col("rank")).groupBy("g", "rank").agg(F.min("v").alias("v"))
+    values = found.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("values"))
+
+    def made(p: float) -> Column:
+        low, high = (F.col("values")[f(place(p)).cast("bigint")] for f in (F.floor, F.ceil))
+        return low + (high - low) * (place(p) - F.floor(place(p)))
+
+    return whole.join(values, "g").select(*[F.col(f"g.{c}").alias(c) for c in by], *[made(p).alias(name) for name, p in points.items()])
+
+
+def _held(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """The rows in the brackets of their group's ranks."""
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    return rows.join(state, "g").where(F.when(F.col("between"), (v > lo) & (v < hi)).otherwise((v >= lo) & (v <= hi)))
+
+
+def _narrowed(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """The state with smaller brackets."""
+    grid = F.percentile_approx("v", [i / _CUTS for i in range(_CUTS + 1)], 100 * _CUTS)
+    cuts = _held(rows, state).groupBy("g", "rank").agg(grid.alias("cuts"))
+    at = (F.col("rank") - F.col("below")) / F.col("inside") * _CUTS
+    aimed = state.join(cuts, ["g", "rank"]).withColumn("low", F.get("cuts", F.greatest(F.floor(at) - 1, F.lit(0)).cast("int"))).withColumn(
+        "high", F.get("cuts", F.least(F.ceil(at) + 1, F.lit(_CUTS)).cast("int"))).drop("cuts")
+    aimed = written_table(aimed, "brackets")
+    v, low, high = F.col("v"), F.col("low"), F.col("high")
+    held = _held(rows, aimed).groupBy("g", "rank").agg(
+        F.count_if(v < low).alias("less"), F.count_if(v == low).alias("on_low"), F.count_if((v > low) & (v < high)).alias("inner"),
+        F.count_if((v == high) & (high > low)).alias("on_high"))
+    rank, first = F.col("rank"), F.col("below") + F.col("less")
+    inner, after = first + F.col("on_low"), first + F.col("on_low") + F.col("inner")
+    where = (
+        F.when((rank >= first) & (rank < inner), "low").when((rank >= inner) & (rank < after), "between")
+        .when((rank >= after) & (rank < after + F.col("on_high")), "high")
+    )
+    pick = lambda low, between, high, lost: (
+        F.when(F.col("where") == "low", low).when(F.col("where") == "between", between).when(F.col("where") == "high", high).otherwise(lost))
+    return aimed.join(held, ["g", "rank"]).withColumn("where", where).select(
+        "g", "rank", pick(low, low, high, F.col("lo")).alias("lo"), pick(low, high, high, F.col("hi")).alias("hi"),
+        pick(first, inner, after, F.col("below")).alias("below"),
+        pick(F.col("on_low"), F.col("inner"), F.col("on_high"), F.col("inside")).alias("inside"),
+        pick(F.lit(False), F.lit(True), F.lit(False), F.col("between")).alias("between"),
+        # a rank that the approximate quantiles missed is looked up among all that its old bracket holds
+        F.col("where").isNull().alias("final"),
+    )
 
 
 def length_stats(df: DataFrame, value: str, by: Sequence[str] = (), sample_std: bool = False) -> DataFrame:
@@ -102,6 +174,36 @@ def jaccard_of_sets(df: DataFrame, item: str, split: str, names: Sequence[str])
         "jaccard", F.coalesce(F.try_divide(F.col("shared").cast("double"), F.col("total").cast("double")), F.lit(0.0)))
 
 
+def quality_metrics(df: DataFrame, by: str, score: str, flags: dict[str, Column]) -> DataFrame:
+    """Per group: mean, median, population deviation and extremes of a score, and the percentage of each flag."""
+    shares = [F.round(100.0 * F.avg(flag.cast("int")), 4).alias(f"{name}_percent") for name, flag in flags.items()]
+    whole = df.groupBy(by).agg(
+        F.round(F.avg(score), 6).alias("mean"), F.round(F.stddev_pop(score), 6).alias("std"), F.min(score).alias("min"),
+        F.max(score).alias("max"), *shares,
+    )
+    middle = exact_percentiles(df, score, {"median": 0.5}, [by]).withColumnRenamed(by, "__by")
+    return whole.join(middle, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
+
+
+def batch_metadata(df: DataFrame, batch: str, facets: Sequence[str], fee: str, tokens: str, ood: Column, coherent: Column) -> DataFrame:
+    """Rows (batch, n, ood, coherent, token_*, min_fee, max_fee, section, key, in_key) of every batch.
+
+    A batch has one row for each class of each facet and for each bracket of its positive fees, "<1k" or "3k".
+    Counts are combined before the shuffle; a batch without a positive fee has the rows of its classes.
+    """
+    amount = F.col(fee)
+    bracket = F.when(amount >= 1000, F.concat(F.floor(amount / 1000).cast("bigint").cast("string"), F.lit("k"))).when(amount > 0, "<1k")
+    counted = facet_counts(df.withColumn("fee_bracket", bracket).withColumn("__has_fee", bracket.isNotNull()), [*facets, "fee_bracket"], [batch, "__has_fee"])
+    counted = counted.where((F.col("facet") != "fee_bracket") | F.col("__has_fee")).groupBy(batch, "facet", "value").agg(F.sum("n").alias("in_key"))
+    t = F.col(tokens)
+    whole = df.groupBy(batch).agg(
+        F.count("*").alias("n"), F.count_if(ood).alias("ood"), F.count_if(coherent).alias("coherent"),
+        F.round(F.avg(t), 6).alias("token_mean"), F.min(t).alias("token_min"), F.max(t).alias("token_max"), F.round(F.stddev_pop(t), 4).alias("token_std"),
+        F.min(F.when(amount > 0, amount)).alias("min_fee"), F.max(F.when(amount > 0, amount)).alias("max_fee"),
+    )
+    return whole.join(counted.withColumnsRenamed({"facet": "section", "value": "key"}), batch)
+
+
 def group_majority(df: DataFrame, group: str, value: str) -> DataFrame:
     """Rows (group, size, value): the most common value, the smallest on equal counts."""
     counted = df.groupBy(group, value).agg(F.count("*").alias("c"))

@@ -1,9 +1,7 @@
 """Similarity search and similarity joins.
 
-Rows are cut into blocks of bounded size; a cell pairs two blocks and multiplies
-them with numpy. Only results leave a cell: the pairs above the threshold or the
-best k per query, never the score matrix. Cell size does not depend on the data,
-so a hot bucket becomes more cells, not a larger one.
+Exact joins and searches run over cells around pivots (:mod:`loomset.operators.cells`); a table of few rows is
+sent to the tasks that scan the other one. The banded join takes its candidates from signs of projections.
 """
 
 from __future__ import annotations
@@ -18,15 +16,8 @@ from pyspark.sql.window import Window
 
 from loomset.functions.vectors import normalise
 
-from .ranking import top_n_per_group
-
-BLOCK_ROWS = 2048
-
-
-def _unit(vectors: pd.Series) -> np.ndarray:
-    matrix = np.array(vectors.tolist(), dtype=np.float64)
-    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
+from . import cells as C
+from .cells import BLOCK_ROWS, VectorIndex
 
 
 def _block_of(id_: Column, blocks: Column) -> Column:
@@ -38,26 +29,6 @@ def _blocks(df: DataFrame, block_rows: int) -> Column:
     return df.agg(F.ceil(F.greatest(F.count("*"), F.lit(1)) / block_rows).cast("int")).scalar()
 
 
-def _whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Regroup the batches of a partition sorted by cell into one frame per cell."""
-    kept: list[pd.DataFrame] = []
-    current = None
-    for batch in batches:
-        cells = batch["cell"].to_numpy()
-        if not len(cells):
-            continue
-        cuts = np.flatnonzero(cells[1:] != cells[:-1]) + 1
-        bounds = [0, *cuts.tolist(), len(cells)]
-        for start, stop in zip(bounds[:-1], bounds[1:]):
-            if kept and cells[start] != current:
-                yield pd.concat(kept, ignore_index=True) if len(kept) > 1 else kept[0]
-                kept = []
-            current = cells[start]
-            kept.append(batch.iloc[start:stop])
-    if kept:
-        yield pd.concat(kept, ignore_index=True) if len(kept) > 1 else kept[0]
-
-
 def distinct_vectors(df: DataFrame, id_: str, vec: str) -> tuple[DataFrame, DataFrame]:
     """Representatives (smallest id per distinct vector) and the links to their copies."""
     keyed = df.select(F.col(id_).alias("id"), F.col(vec).alias("vec"), F.sha2(F.col(vec).cast("string"), 256).alias("k"))
@@ -68,8 +39,8 @@ def distinct_vectors(df: DataFrame, id_: str, vec: str) -> tuple[DataFrame, Data
 
 
 def all_pairs(rows: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Pairs ``a < b`` with cosine >= threshold among all rows (id, vec). Exact, and quadratic in work."""
-    return _pairs_in_blocks(rows.withColumn("bucket", F.lit(0)).withColumn("blocks", _blocks(rows, block_rows)), threshold)
+    """Pairs ``a < b`` with cosine >= threshold among all rows (id, vec), exactly; see :func:`cells.metric_join`."""
+    return C.metric_join(rows, threshold, block_rows, block_rows)
 
 
 def pairs_in_buckets(rows: DataFrame, threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -91,34 +62,28 @@ def _pairs_in_blocks(rows: DataFrame, threshold: float) -> DataFrame:
         "id", "vec",
     )
 
-    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for cell in _whole_cells(batches):
-            low, high = cell[cell["low"]], cell[cell["high"]]
-            if not len(low) or not len(high):
-                continue
-            scores = _unit(low["vec"]) @ _unit(high["vec"]).T
-            i, j = np.nonzero(scores >= threshold)
-            left, right = low["id"].to_numpy()[i], high["id"].to_numpy()[j]
-            same_block = low.index.equals(high.index)
-            keep = left < right if same_block else left != right
-            yield pd.DataFrame({
-                "a": np.minimum(left, right)[keep], "b": np.maximum(left, right)[keep], "sim": scores[i, j][keep]
-            })
-
-    found = spread.repartition("cell").sortWithinPartitions("cell").mapInPandas(multiply, "a long, b long, sim double")
+    found = spread.repartition("cell").sortWithinPartitions("cell").mapInPandas(C.multiplied(threshold), "a long, b long, sim double")
     return found.groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
-def near_dup_pairs(df: DataFrame, id_: str, vec: str, threshold: float = 0.95) -> DataFrame:
+def near_dup_pairs(df: DataFrame, id_: str, vec: str, threshold: float = 0.95, every_copy: bool = False) -> DataFrame:
     """All pairs of distinct vectors with cosine >= threshold, exactly.
 
     Equal vectors are linked to their first copy only, so a group of n copies adds
-    n - 1 pairs and their components stay whole.
+    n - 1 pairs and their components stay whole. With ``every_copy`` all pairs of rows
+    are listed, n * (n - 1) / 2 for such a group.
     """
     reps, links = distinct_vectors(df, id_, vec)
     near = all_pairs(reps, threshold)
     copies = links.select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("sim"))
-    return near.unionByName(copies)
+    if not every_copy:
+        return near.unionByName(copies)
+    members = links.unionByName(links.select("rep", F.col("rep").alias("id")).distinct())
+    left, right = (members.select(F.col("rep").alias(c), F.col("id").alias(f"{c}_id")) for c in "ab")
+    own = lambda c: F.coalesce(F.col(f"{c}_id"), F.col(c))
+    spread = near.join(left, "a", "left").join(right, "b", "left").select(own("a").alias("x"), own("b").alias("y"), "sim")
+    same = left.join(right, F.col("a") == F.col("b")).where("a_id < b_id").select(F.col("a_id").alias("x"), F.col("b_id").alias("y"), F.lit(1.0).alias("sim"))
+    return spread.unionByName(same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "sim")
 
 
 def hyperplane_bands(df: DataFrame, bands: int, bits: int, dim: int, seed: int = 42) -> DataFrame:
@@ -130,7 +95,7 @@ def hyperplane_bands(df: DataFrame, bands: int, bits: int, dim: int, seed: int =
         for batch in batches:
             if not len(batch):
                 continue
-            signs = (_unit(batch["vec"]) @ planes >= 0).reshape(len(batch), bands, bits)
+            signs = (C.unit(C.matrix(batch["vec"])) @ planes >= 0).reshape(len(batch), bands, bits)
             keys = signs @ weights + (np.arange(bands, dtype=np.int64) << bits)
             yield batch.assign(keys=list(keys))
 
@@ -169,38 +134,39 @@ def scores_in_cells(
         F.col("vec").cast("array<double>").alias("vec"),
     )
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for cell in _whole_cells(batches):
-            asked, known = cell[cell["is_query"]], cell[~cell["is_query"]]
-            if not len(asked) or not len(known):
-                continue
-            known = known.sort_values("id")
-            ids, names = known["id"].to_numpy(), asked["id"].to_numpy()
-            scores = _unit(asked["vec"]) @ _unit(known["vec"]).T
-            if exclude_self:
-                scores[names[:, None] == ids[None, :]] = -np.inf
-            take = scores.shape[1] if k is None else min(k + (1 if exclude_self else 0), scores.shape[1])
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :take]
-            picked = np.take_along_axis(scores, best, axis=1)
-            out = pd.DataFrame({"query": np.repeat(names, take), "id": ids[best].ravel(), "sim": picked.ravel()})
-            yield out[np.isfinite(out["sim"].to_numpy())]
-
-    return spread.repartition("cell").sortWithinPartitions("cell").mapInPandas(search, "query long, id long, sim double")
+    take = None if k is None else k + exclude_self
+    return spread.repartition("cell").sortWithinPartitions("cell").mapInPandas(C.searched(take, exclude_self), "query long, id long, sim double")
 
 
-def knn(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False) -> DataFrame:
+def knn(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False, most_beside: int = C.MOST_BESIDE) -> DataFrame:
     """Rows (query, id, sim, rank) with the ``k`` most similar corpus rows; equal scores by id.
 
-    Both sides have columns (id, vec). Filter the corpus (metadata, deleted rows) before the call.
+    Both sides have columns (id, vec). Filter the corpus (metadata, deleted rows) before the call. A vector
+    whose length is not that of the queries, or with a component that is no finite number, ends the job. If
+    one side has at most ``most_beside`` rows, it is sent to the tasks that scan the other, which is not
+    shuffled; otherwise the corpus is put in cells (:class:`cells.VectorIndex`).
     """
     if k < 1:
         raise ValueError("k must be at least 1")
-    found = scores_in_cells(queries, corpus, k, exclude_self)
-    return top_n_per_group(found, ["query"], [F.col("sim").desc(), F.col("id").asc()], k)
+    none = queries.sparkSession.createDataFrame([], "query long, id long, sim double, rank long")
+    bank = C.few(corpus, most_beside)
+    if bank is not None:
+        return C.rank_beside(C.checked(queries, bank.units.shape[1], "query"), bank, k, exclude_self) if len(bank.ids) else none
+    asked = C.few(queries, most_beside)
+    if asked is not None:
+        return C.top_k(C.search_beside(C.checked(corpus, asked.units.shape[1], "row"), asked, k, exclude_self), k) if len(asked.ids) else none
+    known = C.checked(corpus, C.dimension(queries), "row")
+    return VectorIndex.build(known).search(queries, k, exclude_self, most_beside)
 
 
-def full_ranking(queries: DataFrame, corpus: DataFrame) -> DataFrame:
-    """All corpus rows ranked for every query. For a corpus of classes, not of rows."""
+def full_ranking(queries: DataFrame, corpus: DataFrame, most_beside: int = C.MOST_BESIDE) -> DataFrame:
+    """All corpus rows ranked for every query. For a corpus of classes, not of rows.
+
+    A corpus of at most ``most_beside`` rows is ranked in the stage that scans the queries, without an exchange.
+    """
+    bank = C.few(corpus, most_beside)
+    if bank is not None:
+        return C.rank_beside(C.checked(queries, bank.units.shape[1], "query"), bank, None)
     found = scores_in_cells(queries, corpus, None)
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.col("sim").desc(), F.col("id").asc())).cast("long"))
 

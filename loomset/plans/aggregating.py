@@ -244,31 +244,44 @@ def split_stats(spark, sf):
     return counted.join(sizes, "split").withColumn("percent", F.round(100.0 * F.col("n") / F.col("docs"), 1))
 
 
+# temporal_ok: the years that a text names do not run backwards
 @query("quality_metrics", f"""
-WITH {S.SAMPLES}
+WITH {S.SAMPLES}, y AS (SELECT *, regexp_extract_all(text, '(?:19|20)[0-9][0-9]') AS years FROM samples)
 SELECT lang, round(avg(coherence), 6) AS mean, quantile_cont(coherence, 0.5) AS median, round(stddev_pop(coherence), 6) AS std, min(coherence) AS min, max(coherence) AS max,
-       round(100.0 * avg(CASE WHEN is_ood THEN 0 ELSE 1 END), 4)::DOUBLE AS business_ok_percent
-FROM samples GROUP BY lang""")
+       round(100.0 * avg(CASE WHEN is_ood THEN 0 ELSE 1 END), 4)::DOUBLE AS business_ok_percent,
+       round(100.0 * avg(CASE WHEN years = list_sort(years) THEN 1 ELSE 0 END), 4)::DOUBLE AS temporal_ok_percent
+FROM y GROUP BY lang""")
 def quality_metrics(spark, sf):
-    return samples(spark, sf).groupBy("lang").agg(
-        F.round(F.avg("coherence"), 6).alias("mean"), F.median("coherence").alias("median"),
-        F.round(F.stddev_pop("coherence"), 6).alias("std"), F.min("coherence").alias("min"), F.max("coherence").alias("max"),
-        F.round(100.0 * F.avg((~F.col("is_ood")).cast("int")), 4).alias("business_ok_percent"),
-    )
-
-
-@query("batch_metadata", """
-WITH o AS (SELECT o_orderkey // 1000 AS batch_id, floor(o_totalprice / 10) AS fee, o_orderpriority AS p FROM orders),
-b AS (SELECT batch_id, count(*) AS n, min(fee) AS min_fee, max(fee) AS max_fee FROM o GROUP BY batch_id),
-k AS (SELECT batch_id, CASE WHEN fee >= 1000 THEN CAST(CAST(floor(fee / 1000) AS BIGINT) AS VARCHAR) || 'k' ELSE '<1k' END AS bracket, count(*) AS in_bracket FROM o WHERE fee > 0 GROUP BY ALL)
-SELECT batch_id, n, min_fee::BIGINT AS min_fee, max_fee::BIGINT AS max_fee, bracket, in_bracket FROM b JOIN k USING (batch_id)""")
+    years = F.regexp_extract_all("text", F.lit("(?:19|20)[0-9][0-9]"), 0)
+    return ST.quality_metrics(
+        samples(spark, sf), "lang", "coherence", {"business_ok": ~F.col("is_ood"), "temporal_ok": years == F.array_sort(years)})
+
+
+# batches of 100 documents; the fee of a document is that of the order of its number, if there is one
+@query("batch_metadata", f"""
+WITH {S.SAMPLES},
+o AS (
+  SELECT doc_id // 100 AS batch_id, source AS document_type, lang AS industry, CASE WHEN n_chars > 4000 THEN 'long' WHEN n_chars > 800 THEN 'mid' ELSE 'short' END AS complexity,
+         is_ood, coherence, {S.est_tokens()} AS tokens, CASE WHEN coalesce(floor(o_totalprice / 10), 0) > 0 THEN CAST(floor(o_totalprice / 10) AS BIGINT) END AS fee
+  FROM samples LEFT JOIN orders ON o_orderkey = doc_id),
+b AS (
+  SELECT batch_id, count(*) AS n, count(*) FILTER (is_ood) AS ood, count(*) FILTER (coherence >= 0.1) AS coherent, round(avg(tokens), 6) AS token_mean,
+         min(tokens) AS token_min, max(tokens) AS token_max, round(stddev_pop(tokens), 4) AS token_std, min(fee) AS min_fee, max(fee) AS max_fee
+  FROM o GROUP BY batch_id),
+k AS (
+  SELECT batch_id, 'document_type' AS section, document_type AS key FROM o UNION ALL SELECT batch_id, 'industry', industry FROM o
+  UNION ALL SELECT batch_id, 'complexity', complexity FROM o
+  UNION ALL SELECT batch_id, 'fee_bracket', CASE WHEN fee >= 1000 THEN CAST(fee // 1000 AS VARCHAR) || 'k' ELSE '<1k' END FROM o WHERE fee > 0)
+SELECT b.*, section, key, in_key FROM b JOIN (SELECT batch_id, section, key, count(*) AS in_key FROM k GROUP BY ALL) USING (batch_id)""")
 def batch_metadata(spark, sf):
-    rows = table(spark, sf, "orders").select(
-        F.floor(F.col("o_orderkey") / 1000).alias("batch_id"), F.floor(F.col("o_totalprice") / 10).cast("long").alias("fee"))
-    bracket = F.when(F.col("fee") >= 1000, F.concat(F.floor(F.col("fee") / 1000).cast("string"), F.lit("k"))).otherwise("<1k")
-    whole = rows.groupBy("batch_id").agg(F.count("*").alias("n"), F.min("fee").alias("min_fee"), F.max("fee").alias("max_fee"))
-    brackets = rows.where("fee > 0").groupBy("batch_id", bracket.alias("bracket")).agg(F.count("*").alias("in_bracket"))
-    return whole.join(brackets, "batch_id")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("doc_id"), F.floor(F.col("o_totalprice") / 10).cast("long").alias("fee"))
+    size = F.when(F.col("n_chars") > 4000, "long").when(F.col("n_chars") > 800, "mid").otherwise("short")
+    rows = samples(spark, sf).select(
+        "doc_id", F.floor(F.col("doc_id") / 100).alias("batch_id"), F.col("source").alias("document_type"), F.col("lang").alias("industry"),
+        size.alias("complexity"), "is_ood", "coherence", T.est_tokens_words(F.col("text")).alias("tokens"),
+    ).join(orders, "doc_id", "left")
+    return ST.batch_metadata(
+        rows, "batch_id", ["document_type", "industry", "complexity"], "fee", "tokens", F.col("is_ood"), F.col("coherence") >= 0.1)
 
 
 @query("quality_report", f"""

@@ -18,7 +18,7 @@ from loomset.operators.ranking import top_n_per_group
 from loomset.operators.split import unit_of
 
 from . import sqltext as S
-from .joining import SQL_CENTROIDS, SQL_PLACED, SQL_SELF, vecs
+from .joining import SQL_CENTROIDS, SQL_NEGATIVES, SQL_SELF, vecs
 from .registry import query, quoted, small_table, table, texts
 
 
@@ -168,10 +168,10 @@ def error_by_template(spark, sf):
 
 
 @query("pair_accuracy", f"""
-WITH {SQL_PLACED},
+WITH {SQL_NEGATIVES},
 r AS (SELECT vec_id AS id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM embeddings),
 pos AS (SELECT x.id AS a, y.id AS b, 1 AS gold FROM r x JOIN r y ON x.label = y.label AND y.r BETWEEN x.r + 1 AND x.r + 2),
-neg AS (SELECT m.id AS a, t.id AS b, 0 AS gold FROM r m JOIN follow f USING (label) JOIN (SELECT other, least(size, 3) AS size FROM sizes) c USING (other) JOIN placed t ON t.label = f.other AND t.place = least(m.r, c.size) WHERE m.r <= 3),
+neg AS (SELECT query AS a, id AS b, 0 AS gold FROM negatives),
 s AS (SELECT gold, list_cosine_similarity(x.embedding::DOUBLE[], y.embedding::DOUBLE[]) > 0.05 AS guess FROM (SELECT * FROM pos UNION ALL SELECT * FROM neg) p JOIN embeddings x ON x.vec_id = a JOIN embeddings y ON y.vec_id = b)
 SELECT gold::BIGINT AS gold, count(*) AS n, round(avg(CASE WHEN guess = (gold = 1) THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS accuracy FROM s GROUP BY gold""")
 def pair_accuracy(spark, sf):

@@ -213,20 +213,30 @@ def nn_label_predict(spark, sf):
         "rows", F.when(F.col("rows") < 5, 0.0).when(F.col("c") < 2, 0.5).otherwise(F.round(hits / F.col("rows"), 6)).alias("accuracy"))
 
 
+# all rows in one order, class by class; the j-th row of another class stands j places after the own class, cyclically
 SQL_PLACED = """
-h AS (SELECT vec_id AS id, label, md5('42|' || CAST(vec_id AS VARCHAR)) AS h FROM embeddings),
-placed AS (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY h, id) AS place FROM h),
-groups AS (SELECT label, row_number() OVER (ORDER BY md5('42|' || CAST(label AS VARCHAR)), label) AS g, count(*) OVER () AS n FROM (SELECT DISTINCT label FROM embeddings)),
-follow AS (SELECT x.label, y.label AS other FROM groups x JOIN groups y ON y.g = x.g % x.n + 1 AND x.label <> y.label),
-sizes AS (SELECT label AS other, count(*) AS size FROM embeddings GROUP BY label)"""
+sized AS (SELECT label, count(*) AS size, md5('42|' || CAST(label AS VARCHAR)) AS h FROM embeddings WHERE label IS NOT NULL GROUP BY label),
+ranges AS (SELECT label, size, CAST(sum(size) OVER (ORDER BY h, label) AS BIGINT) - size AS start, CAST(sum(size) OVER () AS BIGINT) AS total FROM sized),
+placed AS (
+  SELECT vec_id AS id, label, start, size, total, total - size AS others,
+         start + row_number() OVER (PARTITION BY label ORDER BY md5('42|' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS place,
+         CAST('0x' || substr(md5('negative|' || CAST(vec_id AS VARCHAR)), 1, 15) AS BIGINT) AS drawn
+  FROM embeddings JOIN ranges USING (label))"""
+
+
+def sql_others(asking: str, count: int) -> str:
+    """(query, id, own, other, slot): ``count`` rows of any other class for each row of ``asking``."""
+    return f"""
+  SELECT p.id AS query, t.id, p.label AS own, t.label AS other, s.slot
+  FROM {asking} p, range({count}) s(slot) JOIN placed t
+    ON t.place = (p.start + p.size + (p.drawn % greatest(p.others, 1) + s.slot * greatest(1, p.others // {count})) % greatest(p.others, 1)) % p.total
+  WHERE s.slot < p.others"""
 
 
 @query("hard_negatives", f"""
 WITH {SQL_SELF}, {SQL_PLACED},
-spread AS (
-  SELECT p.id AS query, t.id, CASE WHEN s.step < 1 THEN 0 ELSE 2 END AS tier, s.step::DOUBLE AS key
-  FROM placed p JOIN follow USING (label) JOIN sizes USING (other), range(4) s(step), placed t
-  WHERE s.step < size AND t.label = follow.other AND t.place = (p.place - 1 + s.step) % size + 1),
+drawn_rows AS ({sql_others('placed', 4)}),
+spread AS (SELECT query, id, CASE WHEN slot < 1 THEN 0 ELSE 2 END AS tier, slot::DOUBLE AS key FROM drawn_rows),
 near AS (SELECT query, id, 1 AS tier, rank::DOUBLE AS key FROM ranked WHERE rank <= 50 AND label <> mine),
 once AS (SELECT query, id, min(tier * 1000 + key) AS o FROM (SELECT * FROM spread UNION ALL SELECT * FROM near) GROUP BY query, id),
 r AS (SELECT query, id, CAST(floor(o / 1000) AS INTEGER) AS tier, row_number() OVER (PARTITION BY query ORDER BY o, id) AS rank FROM once)
@@ -261,13 +271,12 @@ def positive_pairs_window(spark, sf):
     return near.unionByName(head)
 
 
-@query("negative_pairs", f"""
-WITH {SQL_PLACED},
-mine AS (SELECT vec_id AS id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM embeddings),
-capped AS (SELECT other, least(size, 3) AS size FROM sizes)
-SELECT m.id AS a, t.id AS b, m.label::BIGINT AS label, f.other::BIGINT AS other
-FROM mine m JOIN follow f USING (label) JOIN capped c USING (other) JOIN placed t ON t.label = f.other AND t.place = least(m.r, c.size)
-WHERE m.r <= 3""")
+SQL_NEGATIVES = f"""{SQL_PLACED},
+heads AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY id) AS r FROM placed) WHERE r <= 3),
+negatives AS ({sql_others('heads', 1)})"""
+
+
+@query("negative_pairs", f"WITH {SQL_NEGATIVES} SELECT query AS a, id AS b, own::BIGINT AS label, other::BIGINT AS other FROM negatives")
 def negative_pairs(spark, sf):
     return J.negative_pairs(vecs(spark, sf), "id", "label", 3)
 

@@ -31,7 +31,7 @@ def stream_clean(spark, sf):
 def stream_exact_dedup(spark, sf):
     events = stream_of(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     kept = jobs.first_arrivals(events, ["user_id", "event_type"], "ts", "40 days")
-    return jobs.drain(kept, "stream-dedup").select("user_id", "event_type")
+    return jobs.drain(kept, "stream-dedup", settings=jobs.ROCKSDB).select("user_id", "event_type")
 
 
 @query("stream_error_rate", """
@@ -48,18 +48,23 @@ def stream_error_rate(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-# the state is followed event by event; breakers stay open for a day
+# the state is followed event by event; breakers stay open for a day, and what the last watermark has not passed stays out
 @query("stream_circuit_breaker", """
 WITH RECURSIVE e AS (SELECT user_id AS key, event_id, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events WHERE event_type = 'error' AND value > 10),
+m AS (SELECT max(t) // 1000 * 1000 - 600000000 AS mark FROM e),
 w AS (
-  SELECT key, event_id, t, n, 1::BIGINT AS failures, false AS open, 0::BIGINT AS reset FROM e WHERE n = 1
+  SELECT key, event_id, t, n, 1::BIGINT AS failures, false AS open, 0::BIGINT AS reset, 0::BIGINT AS closed FROM e, m WHERE n = 1 AND t <= mark
   UNION ALL
-  SELECT key, event_id, t, n, failures, failures >= 5 AS open, CASE WHEN failures >= 5 THEN t + 86400000000 ELSE reset END AS reset
-  FROM (SELECT e.key, e.event_id, e.t, e.n, w.reset, CASE WHEN w.open AND e.t > w.reset THEN 1 ELSE w.failures + 1 END AS failures FROM w JOIN e ON e.key = w.key AND e.n = w.n + 1))
-SELECT key, event_id, failures, open FROM w""")
+  SELECT key, event_id, t, n, failures, failures >= 5 AS open, CASE WHEN failures >= 5 THEN t + 86400000000 ELSE reset END AS reset, closed
+  FROM (SELECT e.key, e.event_id, e.t, e.n, w.reset, CASE WHEN w.open AND e.t > w.reset THEN w.reset ELSE 0 END AS closed,
+               CASE WHEN w.open AND e.t > w.reset THEN 1 ELSE w.failures + 1 END AS failures FROM w JOIN e ON e.key = w.key AND e.n = w.n + 1, m WHERE e.t <= mark)),
+ends AS (SELECT key, max_by(open, n) AS open, max_by(reset, n) AS reset FROM w GROUP BY key)
+SELECT key, event_id, failures, open FROM w
+UNION ALL SELECT key, NULL, 0, false FROM w WHERE closed > 0
+UNION ALL SELECT key, NULL, 0, false FROM ends, m WHERE open AND reset < mark""")
 def stream_circuit_breaker(spark, sf):
     severe = errors(spark, sf).where("value > 10")
-    return jobs.drain(jobs.circuit_breaker(severe, "user_id", 5, 60 * 24), "stream-breaker").drop("ts")
+    return jobs.drain(jobs.circuit_breaker(severe, "user_id", 5, 60 * 24), "stream-breaker", settings=jobs.ROCKSDB).drop("ts")
 
 
 @query("stream_metrics_table", """

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomset.operators.ranking import exact_rank, top_n_per_group
+from loomset.operators.ranking import dense_numbers, top_n_per_group
 
 
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
@@ -26,16 +26,20 @@ def document_samples(df: DataFrame, path: Column, doc_id: Column, section: Colum
 
 
 def number_batches(df: DataFrame, id_: str, size: int) -> DataFrame:
-    """``sample_no`` counts rows in id order, ``batch_id`` numbers batches of ``size`` from 1.
+    """``sample_no`` counts rows in id order, ``batch_id`` numbers batches of ``size`` from 1. Ids of any type."""
+    return dense_numbers(df, [id_], "sample_no").withColumn("batch_id", F.floor((F.col("sample_no") - 1) / size) + 1)
 
-    Ids are long integers; a task ranks one stretch of 65,536 of them.
+
+def write_batches(df: DataFrame, path: str) -> None:
+    """Rows with their batch_id in files of the size of a task, each a stretch of batches.
+
+    Reading one batch skips the files and row groups of the others by their bounds of batch_id.
     """
-    ranked = exact_rank(df, [id_], F.shiftright(F.col(id_), 16), name="sample_no")
-    return ranked.withColumn("batch_id", F.floor((F.col("sample_no") - 1) / size) + 1)
+    df.write.parquet(path)
 
 
-def write_batches(df: DataFrame, path: str) -> None:
-    df.write.partitionBy("batch_id").parquet(path)
+def read_batch(spark: SparkSession, path: str, batch: int) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("batch_id") == batch)
 
 
 def long_report(df: DataFrame, section: str, key: str, metrics: Sequence[str]) -> DataFrame:

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from loomset.session import scratch_path
@@ -23,9 +25,11 @@ def test_breaker_keeps_state_over_batches(spark):
     path, schema = scratch_path(spark, "t-breaker"), "user_id long, event_id long, ts timestamp"
     _write(spark, [(1, i, at(i)) for i in range(4)], schema, path, "a")
     _write(spark, [(1, 4, at(4)), (1, 5, at(8)), (1, 6, at(30))], schema, path, "b")
-    made = jobs.drain(jobs.circuit_breaker(_stream(spark, path, schema), "user_id"), "t-breaker-out")
-    got = [(r.failures, r.open) for r in made.orderBy("event_id").collect()]
-    assert got == [(1, False), (2, False), (3, False), (4, False), (5, True), (6, True), (1, False)]
+    _write(spark, [(2, 7, at(60))], schema, path, "c")
+    made = jobs.drain(jobs.circuit_breaker(_stream(spark, path, schema), "user_id"), "t-breaker-out", settings=jobs.ROCKSDB)
+    got = [(r.event_id, r.ts, r.failures, r.open) for r in made.orderBy("ts").collect()]
+    assert [g[2:] for g in got] == [(1, False), (2, False), (3, False), (4, False), (5, True), (6, True), (0, False), (1, False)]
+    assert got[6][:2] == (None, at(13))
 
 
 def test_closed_windows_only(spark):
@@ -68,3 +72,88 @@ def test_bad_json_lines(spark, tmp_path):
 
     rows = readers.scan_jsonl_lenient(spark, str(tmp_path), T.StructType.fromDDL("a long"))
     assert sorted((r.malformed, r.a) for r in rows.select("malformed", F.coalesce("a", F.lit(0)).alias("a")).collect()) == [(False, 1), (False, 2), (True, 0)]
+
+
+# ---- state
+
+
+def _followed(events, mark, threshold=5, pause=300):
+    """A breaker by its definition: events are (key, event_id, second), taken up to the watermark."""
+    out = []
+    for key in {e[0] for e in events}:
+        failures, is_open, reset = 0, False, 0
+        for second, event in sorted((s, e) for k, e, s in events if k == key and s <= mark):
+            if is_open and second > reset:
+                out.append((key, None, 0, False))
+                failures, is_open = 0, False
+            failures += 1
+            if failures >= threshold:
+                is_open, reset = True, second + pause
+            out.append((key, event, failures, is_open))
+        if is_open and reset < mark:
+            out.append((key, None, 0, False))
+    return sorted(out, key=str)
+
+
+def test_breaker_does_not_depend_on_batches_and_closes_by_itself(spark):
+    import random
+
+    rnd = random.Random(4)
+    times = [(rnd.randrange(3), 10 * rnd.randrange(200)) for _ in range(60)] + [(7, 20 * k) for k in range(5)] + [(9, 2000)]
+    events = [(key, n, s) for n, (key, s) in enumerate(times)]
+    # out of order by less than the delay, in different cuts
+    order = sorted(events, key=lambda e: e[2] + rnd.randrange(250))
+    schema, want = "user_id long, event_id long, ts timestamp", _followed(events, 2000 - 600)
+    assert (7, None, 0, False) in want
+    for cuts in (1, 3):
+        path = scratch_path(spark, "t-cuts")
+        step = -(-len(order) // cuts)
+        for c in range(cuts):
+            part = [(k, e, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)) for k, e, s in order[c * step : (c + 1) * step]]
+            _write(spark, part, schema, path, f"{c}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(path)
+        made = jobs.drain(jobs.circuit_breaker(stream, "user_id"), "t-cuts-out", settings=jobs.ROCKSDB)
+        got = sorted(((r.key, r.event_id, r.failures, r.open) for r in made.collect()), key=str)
+        assert got == want
+
+
+def test_a_key_that_returns_after_the_delay_is_new_and_late_rows_are_counted(spark):
+    path, schema = scratch_path(spark, "t-expire"), "digest string, ts timestamp"
+    _write(spark, [("x", at(0)), ("y", at(1))], schema, path, "a")
+    _write(spark, [("x", at(20)), ("z", at(200))], schema, path, "b")
+    # the watermark that drops rows and state in a batch is that of the batch before
+    _write(spark, [("w", at(201))], schema, path, "c")
+    _write(spark, [("x", at(210)), ("late", at(5))], schema, path, "d")
+    _write(spark, [("x", at(215))], schema, path, "e")
+    progress = []
+    made = jobs.drain(jobs.first_arrivals(_stream(spark, path, schema), ["digest"], "ts", "1 hour"), "t-expire-out", settings=jobs.ROCKSDB, progress=progress)
+    assert sorted((r.digest, r.ts) for r in made.collect()) == [("w", at(201)), ("x", at(0)), ("x", at(210)), ("y", at(1)), ("z", at(200))]
+    assert jobs.late_rows(progress) == 1
+
+
+def test_upsert_log_stays_small_and_repeats_change_nothing(spark):
+    from loomset.streaming.upserts import UpsertLog
+
+    path, want = scratch_path(spark, "t-log"), {}
+    log = UpsertLog(spark, path, ["run"], ["ts"], compact_every=4)
+    with pytest.raises(FileNotFoundError):
+        log.read()
+    for number in range(23):
+        rows = [(k, number * 10 - (k == 3) * 500, float(number + k)) for k in (number % 5, 3)]
+        for run, ts, metric in rows:
+            if run not in want or ts > want[run][0]:
+                want[run] = (ts, metric)
+        batch = spark.createDataFrame(rows, "run long, ts long, metric double").coalesce(1)
+        log.append(batch, number)
+        if number % 6 == 0:
+            before = log.manifest()
+            log.append(batch.withColumn("metric", F.lit(-1.0)), number)
+            assert log.manifest() == before
+    got = {r.run: (r.ts, r.metric) for r in UpsertLog(spark, path, ["run"], ["ts"]).read().collect()}
+    assert got == want
+    assert len(log._names("data")) <= 11 and len([n for n in log._names("manifests") if n.endswith(".json")]) <= 2
+    # a batch that failed before its manifest is listed nowhere and cleared away later
+    spark.range(1).write.parquet(f"{path}/data/delta-orphan")
+    log.append(spark.createDataFrame([(1, 10_000, 1.0)], "run long, ts long, metric double"), 23)
+    assert "delta-orphan" not in log._names("data")
+    assert log.read().where("run = 1").first().ts == 10_000
