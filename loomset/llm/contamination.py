@@ -20,12 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from loomset.llm.flat import LETTER_OR_DIGIT, Texts, hashes, lowered, ragged_range, slices, texts_of, words_of
-from loomset.llm.tables import bounded_batches, text_bytes, text_rows, written_table
+from loomset.llm.tables import Packed, text_bytes, text_rows, written_table
 
 WIDTH = 10
 BLOCK_BYTES = 4 << 20
+#: meetings of a place of a text and a benchmark item that are held at once, unless one text has more
+MEETINGS = 1 << 20
 
 _MATCH = "struct<item_id:bigint,doc_word:bigint,item_word:bigint,n_words:bigint>"
 _FOUND = f"n_words bigint, hit array<bigint>, matches array<{_MATCH}>"
@@ -103,8 +106,11 @@ class TestSuffixes:
         return known[hit]
 
 
-def _matches(test: TestSuffixes, texts: Texts):
-    """Words of each row, hit words as (row, word), and the longest match of each (row, item)."""
+def _matches(test: TestSuffixes, texts: Texts, with_items: bool = True, most: int | None = None):
+    """Words of each row, hit words as (row, word), and the longest match of each (row, item).
+
+    The last is empty if not asked for, and None if it takes more than ``most`` meetings of a place and an item.
+    """
     words = words_of(texts, LETTER_OR_DIGIT)
     n_words = np.diff(words.first)
     ids = test.word_ids(hashes(texts.data, words.start, words.end))
@@ -129,6 +135,11 @@ def _matches(test: TestSuffixes, texts: Texts):
     np.add.at(cover, place, 1)
     np.add.at(cover, place + span, -1)
     hit = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+    hit = np.stack([row_of[hit], hit - words.first[row_of[hit]]], axis=1)
+    if not with_items:
+        return n_words, hit, nothing[2]
+    if most is not None and (count[found] * (test.key_first[found + 1] - test.key_first[found])).sum() > most:
+        return n_words, hit, None
     # chains of windows that go on word by word in document and item are one longer match
     repeat = test.key_first[key + 1] - test.key_first[key]
     source = ragged_range(test.key_first[key], repeat)
@@ -148,7 +159,7 @@ def _matches(test: TestSuffixes, texts: Texts):
     longest = np.ones(len(row), bool)
     longest[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1])
     table = np.stack([row, item, doc_word, item_word, length], axis=1)[longest]
-    return n_words, np.stack([row_of[hit], hit - words.first[row_of[hit]]], axis=1), table
+    return n_words, hit, table
 
 
 def _runs(words: np.ndarray) -> list[int]:
@@ -168,39 +179,47 @@ def _joined(a: list[int], b: list[int]) -> list[int]:
     return out
 
 
-def _search(test: TestSuffixes, names: list[str]):
+def _search(test: TestSuffixes, names: list[str], with_items: bool):
+    item_ids = pa.array(test.ids, pa.int64())
+
+    def search(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n_words, hit, table = _matches(test, lowered(texts_of(part.column("text"))), with_items, MEETINGS if part.num_rows > 1 else None)
+        if table is None:
+            half = part.num_rows // 2
+            yield from search(part.slice(0, half))
+            yield from search(part.slice(half))
+            return
+        cut = np.searchsorted(hit[:, 0], np.arange(len(n_words) + 1))
+        spans = [_runs(hit[a:b, 1]) if b > a else [] for a, b in zip(cut[:-1], cut[1:])]
+        values = [item_ids.take(pa.array(table[:, 1])), *(pa.array(table[:, k]) for k in (2, 3, 4))]
+        first = pa.array(np.searchsorted(table[:, 0], np.arange(len(n_words) + 1)), pa.int32())
+        found = pa.ListArray.from_arrays(first, pa.StructArray.from_arrays(values, fields=list(_ARROW_MATCH)))
+        if "hit" in part.schema.names:
+            spans = [_joined(a, b) for a, b in zip(part.column("hit").to_pylist(), spans)]
+            found = pa.array([a + b for a, b in zip(part.column("matches").to_pylist(), found.to_pylist())], found.type)
+        yield pa.RecordBatch.from_arrays(
+            [part.column(n) for n in names] + [pa.array(n_words), pa.array(spans, pa.list_(pa.int64())), found],
+            schema=pa.schema([part.schema.field(n) for n in names] + [pa.field(n, t) for n, t in _ARROW_FOUND]),
+        )
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, size=16 << 20):
-            n_words, hit, table = _matches(test, lowered(texts_of(part.column("text"))))
-            before = part.schema.names.count("hit") > 0
-            spans = part.column("hit").to_pylist() if before else [[] for _ in n_words]
-            found = part.column("matches").to_pylist() if before else [[] for _ in n_words]
-            cut = np.searchsorted(hit[:, 0], np.arange(len(n_words) + 1))
-            for row in np.unique(hit[:, 0]):
-                spans[row] = _joined(spans[row], _runs(hit[cut[row] : cut[row + 1], 1]))
-            for row, item, doc_word, item_word, length in table.tolist():
-                found[row].append({"item_id": test.ids[item], "doc_word": doc_word, "item_word": item_word, "n_words": length})
-            yield pa.RecordBatch.from_arrays(
-                [part.column(n) for n in names]
-                + [pa.array(v, t) for v, (_, t) in zip((n_words, spans, found), _ARROW_FOUND)],
-                schema=pa.schema([part.schema.field(n) for n in names] + [pa.field(n, t) for n, t in _ARROW_FOUND]),
-            )
+            yield from search(part)
 
     return each
 
 
-def _matched(rows: DataFrame, kept: str, benchmark: DataFrame, width: int, block_bytes: int) -> DataFrame:
-    """The columns ``kept`` (names and types) of rows with a text, and what is found in the text."""
+def _matched(rows: DataFrame, kept: list[StructField], benchmark: DataFrame, width: int, block_bytes: int, with_items: bool = True) -> DataFrame:
+    """The columns ``kept`` of rows with a text, and what is found in the text."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where(
         "text IS NOT NULL"
     )
     blocks = max(1, -(-text_bytes(items) // block_bytes))
-    names = [c for c in rows.columns if c != "text" or c in kept.split()]
+    names, text, found = [f.name for f in kept], StructField("text", StringType()), StructType.fromDDL(_FOUND).fields
     for k in range(blocks):
         block = [(r[0], r[1]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-        more = k < blocks - 1 and "text" not in names
-        schema = f"{kept}, {'text string, ' if more else ''}{_FOUND}"
-        rows = rows.mapInArrow(_search(TestSuffixes(block, width), [*names, "text"] if more else names), schema)
+        more = [text] if k < blocks - 1 and "text" not in names else []
+        rows = rows.mapInArrow(_search(TestSuffixes(block, width), [*names, *(f.name for f in more)], with_items), StructType([*kept, *more, *found]))
         if k < blocks - 1:
             rows = written_table(rows, "benchmark-matches")
     return rows
@@ -214,17 +233,14 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
     Items are sent to the tasks in blocks of about ``block_bytes``; with more than one block the
     documents are written to the shared folder between blocks.
     """
-    return _matched(text_rows(docs), "doc_id bigint", benchmark, width, block_bytes)
+    return _matched(text_rows(docs), [StructField("doc_id", LongType())], benchmark, width, block_bytes)
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with all their columns and without a shuffle."""
-    bounded_batches(docs.sparkSession)
-    others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*(docs[c] for c in others)).alias("row"), docs["text"].cast("string").alias("text"))
-    kept = f"row {rows.schema['row'].dataType.simpleString()}, text string"
-    found = _matched(rows, kept, benchmark, width, block_bytes).where(F.size("hit") == 0)
-    return found.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+    packed = Packed.of(docs)
+    found = _matched(packed.rows.select("row", "text"), [packed.field, StructField("text", StringType())], benchmark, width, block_bytes, False)
+    return packed.unpacked(found.where(F.size("hit") == 0))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:

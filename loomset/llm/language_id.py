@@ -25,9 +25,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from loomset.llm.flat import NOT_SPACE, Texts, lowered, ragged_range, slices, texts_of, word_hashes, words_of
-from loomset.llm.tables import bounded_batches
+from loomset.llm.tables import Packed, bounded_batches, text_rows
 
 DEPTH = 4
 SAMPLE_BYTES = 2 << 20
@@ -192,17 +193,12 @@ def fit_trees(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES, depth: int = DE
     return Trees(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow(), depth)
 
 
-def predict(docs: DataFrame, trees: Trees, with_text: bool = True) -> DataFrame:
-    """(row, text, lang_pred, score, bits_per_byte): ``row`` holds the other columns of a document."""
-    bounded_batches(docs.sparkSession)
-    text = docs["text"].cast("string")
-    rows = docs.select(
-        F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"), text.alias("text"),
-        F.coalesce(text.rlike("\\p{L}"), F.lit(False)).alias("has_letter"),
-    )
-    kind = f"row {rows.schema['row'].dataType.simpleString()}"
-    kept = ["row", "text"] if with_text else ["row"]
-    return rows.mapInArrow(_predict(trees, kept), f"{kind}, {'text string, ' if with_text else ''}{_PREDICTED}")
+def predict(rows: DataFrame, kept: list[StructField], trees: Trees) -> DataFrame:
+    """The columns ``kept`` of ``rows``, which have a text, and (lang_pred, score, bits_per_byte)."""
+    bounded_batches(rows.sparkSession)
+    names = [f.name for f in kept]
+    asked = rows.select(*names, *([] if "text" in names else ["text"]), F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)).alias("has_letter"))
+    return asked.mapInArrow(_predict(trees, names), StructType([*kept, *StructType.fromDDL(_PREDICTED).fields]))
 
 
 def held_out(folds: int, fold: int):
@@ -213,12 +209,13 @@ def held_out(folds: int, fold: int):
 def language_report(docs: DataFrame, folds: int = 4, fold: int = 2, **settings) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each document, learned from those that are not held out."""
     trees = fit_trees(docs.where(~held_out(folds, fold)), **settings)
-    found = predict(docs.select("doc_id", "text"), trees, with_text=False)
-    return found.select("row.doc_id", "lang_pred", "score").select("doc_id", held_out(folds, fold).alias("held_out"), "lang_pred", "score")
+    found = predict(text_rows(docs), [StructField("doc_id", LongType())], trees)
+    return found.select("doc_id", held_out(folds, fold).alias("held_out"), "lang_pred", "score")
 
 
 def with_known_language(docs: DataFrame, folds: int = 4, fold: int = 2, **settings) -> DataFrame:
     """The documents whose language can be told, with all their columns; the others have no letter or no text."""
     trees = fit_trees(docs.where(~held_out(folds, fold)), **settings)
-    found = predict(docs, trees).where(F.col("lang_pred") != UNDETERMINED)
-    return found.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
+    packed = Packed.of(docs)
+    found = predict(packed.rows, [packed.field, StructField("text", StringType())], trees)
+    return packed.unpacked(found.where(F.col("lang_pred") != UNDETERMINED))

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, FloatType, IntegralType, StructField, StructType
 
 from loomset.llm.links import classes
 from loomset.llm.tables import bounded_batches, written_table
@@ -58,7 +59,7 @@ class Filters:
             yield first, [order[row, : count[k]] for k in first]
 
 
-_ROWS = "label bigint, dim int, word int, id bigint, vector array<double>, second array<int>"
+_ROWS = "dim int, word int, id bigint, vector array<double>, second array<int>"
 
 
 def _assign(size: int, lists: int):
@@ -139,6 +140,16 @@ def _pairs_of_cell(threshold: float):
     return each
 
 
+def _label(vectors: DataFrame):
+    """The label as whole number or text; whatever its type, different labels stay different and equal ones equal."""
+    kind = vectors.schema["label"].dataType
+    if isinstance(kind, IntegralType):
+        return F.col("label").cast("bigint")
+    if isinstance(kind, (FloatType, DoubleType)):
+        return (F.col("label") + 0.0).cast("string")  # of the two zeros one
+    return F.hex("label") if isinstance(kind, BinaryType) else F.col("label").cast("string")
+
+
 def near_vector_classes(
     vectors: DataFrame, threshold: float = 0.93, lists: int = LISTS, cell_rows: int = CELL_ROWS, vector_col: str = "embedding"
 ) -> DataFrame:
@@ -150,7 +161,7 @@ def near_vector_classes(
     spark = vectors.sparkSession
     bounded_batches(spark)
     rows = vectors.select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("label").cast("bigint").alias("label"),
+        F.col("vec_id").cast("bigint").alias("vec_id"), _label(vectors).alias("label"),
         F.col(vector_col).cast("array<double>").alias("vector"),
     )
     sound = F.expr(
@@ -165,7 +176,9 @@ def near_vector_classes(
     size = 64
     while size * size < n:
         size *= 2
-    placed = distinct.select("label", "id", "vector").mapInArrow(_assign(size, lists), _ROWS)
+    placed = distinct.select("label", "id", "vector").mapInArrow(
+        _assign(size, lists), StructType([StructField("label", distinct.schema["label"].dataType), *StructType.fromDDL(_ROWS).fields])
+    )
     placed = written_table(placed, "filters")
     key = ["label", "dim", "word"]
     slices = placed.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(

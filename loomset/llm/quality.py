@@ -96,17 +96,22 @@ class Leader:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, rounds: int = 3) -> np.ndarray:
-    """Weights from the labelled documents; about ``sample_rows`` labels, drawn by a hash, reach the driver as vectors."""
+    """Weights from labelled documents, of which at most ``sample_rows`` reach the driver as vectors.
+
+    A row of labels counts if its label equals 0 or 1, as number or text; others are passed over. Equal rows of
+    labels are one, and a doc_id that stands in several documents gives the first text in byte order. Documents
+    are drawn by the hash of doc_id and label.
+    """
     bounded_batches(docs.sparkSession)
-    marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label")).where(
-        "doc_id IS NOT NULL AND label IN (0, 1)"
-    )
-    at = F.xxhash64(F.lit("label"), "doc_id", "label")
-    share = min(1.0, sample_rows / max(marked.count(), 1))
-    drawn = marked.withColumn("at", at).where(F.pmod(F.col("at"), F.lit(1 << 20)) / float(1 << 20) < share)
-    # at most a few thousand short rows
-    rows = text_rows(docs).join(F.broadcast(drawn), "doc_id").select("text", "label", "at")
-    found = rows.mapInArrow(_vectors, "label int, at bigint, bucket array<bigint>, value array<double>").toArrow().combine_chunks()
+    mark = F.expr(f"try_cast(`{label}` AS double)")
+    marked = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), mark.alias("label")).where(
+        "doc_id IS NOT NULL AND label IN (0.0, 1.0)"
+    ).select("doc_id", F.col("label").cast("int").alias("label")).distinct()
+    # at most sample_rows short rows
+    drawn = F.broadcast(marked.withColumn("at", F.xxhash64(F.lit("label"), "doc_id", "label")).orderBy("at", "doc_id", "label").limit(sample_rows))
+    rows = text_rows(docs).join(drawn, "doc_id").groupBy("doc_id", "label", "at").agg(F.min("text").alias("text"))
+    found = rows.select("text", "label", "at").mapInArrow(
+        _vectors, "label int, at bigint, bucket array<bigint>, value array<double>").toArrow().combine_chunks()
     leader = Leader()
     order = np.argsort(found.column("at").to_numpy(), kind="stable")
     buckets, values, marks = found.column("bucket"), found.column("value"), found.column("label").to_numpy()

@@ -37,9 +37,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loomset.llm.flat import Texts, distinct, hashes, mixed, ragged_range, texts_of, window_hashes
-from loomset.llm.tables import parts_for, text_bytes
+from loomset.llm.tables import Packed, parts_for, text_bytes
 
 WIDTH = 50
 GRAM = 16
@@ -450,39 +451,50 @@ def _remove(buckets: int, width: int):
     return each
 
 
-def repeated_passages(docs: DataFrame, width: int = WIDTH, group_bytes: int = GROUP_BYTES, hot_strings: int = HOT) -> DataFrame:
-    """(row, n_bytes, n_removed, n_spans, kept_sha256, kept_text) for each document.
+_REMOVED = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
 
-    ``row`` holds the columns of the document. A byte is removed if a string of ``width`` bytes that
-    covers it also starts in a document with a smaller doc_id. ``kept_sha256`` is of the bytes that are
-    left; ``kept_text`` is the text without the removed spans, where a character that a span would cut stays.
-    """
+
+def _removed(docs: DataFrame, width: int = WIDTH, group_bytes: int = GROUP_BYTES, hot_strings: int = HOT) -> tuple[Packed, DataFrame]:
     spark = docs.sparkSession
     size = text_bytes(docs)
     # groups hold a few MB; a bucket answers for two groups' worth of anchors and phrases
     groups = max(2 * spark.sparkContext.defaultParallelism, -(-size // group_bytes))
     buckets = max(2 * spark.sparkContext.defaultParallelism, groups // 2)
     parts = parts_for(spark, size, 4 * group_bytes)
-    id_col, text_col = docs["doc_id"].cast("bigint"), docs["text"].cast("string")
-    dealt = docs.select(
-        F.pmod(F.xxhash64(id_col, F.when(id_col.isNull(), text_col)), F.lit(groups)).cast("int").alias("g"),
-        id_col.alias("id"), text_col.alias("text"), F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"),
+    packed = Packed.of(docs)
+    dealt = packed.rows.where("doc_id IS NOT NULL").select(
+        F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("g"), F.col("doc_id").alias("id"), "text", "row",
     ).repartition(parts, "g")
     asked = dealt.groupBy("g").applyInArrow(_ask(buckets, width), _ASKED_DDL)
-    known = asked.groupBy("bucket").applyInArrow(_answer_first(width, hot_strings), _ANSWER_DDL)
+    known = asked.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_answer_first(width, hot_strings), _ANSWER_DDL)
     strings = dealt.groupBy("g").cogroup(known.groupBy("g")).applyInArrow(_ask_strings(buckets, width), _RUNS_DDL)
-    answers = known.unionByName(strings.groupBy("bucket").applyInArrow(_answer_strings(width), _ANSWER_DDL))
-    kind = dealt.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_text string"
-    return dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(_remove(buckets, width), schema)
+    answers = known.unionByName(strings.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_answer_strings(width), _ANSWER_DDL))
+    made = StructType([packed.field, *StructType.fromDDL(_REMOVED).fields])
+    removed = dealt.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(_remove(buckets, width), made)
+    # a row without an id neither loses nor removes anything, and so has no need to meet others
+    text = F.coalesce("text", F.lit(""))
+    rest = packed.rows.where("doc_id IS NULL").select(
+        "row", F.octet_length(text).cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"),
+        F.lit(0).cast("bigint").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"), F.col("text").alias("kept_text"),
+    )
+    return packed, removed.unionByName(rest)
+
+
+def repeated_passages(docs: DataFrame, **settings) -> DataFrame:
+    """(row, n_bytes, n_removed, n_spans, kept_sha256, kept_text) for each document.
+
+    ``row`` holds the columns of the document. A byte is removed if a string of ``width`` bytes that
+    covers it also starts in a document with a smaller doc_id. ``kept_sha256`` is of the bytes that are
+    left; ``kept_text`` is the text without the removed spans, where a character that a span would cut stays.
+    """
+    packed, found = _removed(docs, **settings)
+    return found.withColumn("row", packed.named())
 
 
 def without_repeats(docs: DataFrame, **settings) -> DataFrame:
     """The documents with their repeated passages removed, with all their columns; n_chars follows the text."""
-    found = repeated_passages(docs, **settings)
-    text = F.col("kept_text").alias("text")
-    columns = [text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
-    out = found.select(*columns)
+    packed, found = _removed(docs, **settings)
+    out = packed.unpacked(found, "kept_text")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

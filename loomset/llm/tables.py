@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 from loomset.session import scratch_path, written_table
 
@@ -25,6 +28,49 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def nullable(kind: DataType) -> DataType:
+    """The type with nulls allowed at every level, as Arrow batches from Python have it."""
+    if isinstance(kind, ArrayType):
+        return ArrayType(nullable(kind.elementType), True)
+    if isinstance(kind, MapType):
+        return MapType(nullable(kind.keyType), nullable(kind.valueType), True)
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, nullable(f.dataType), True, f.metadata) for f in kind.fields])
+    return kind
+
+
+class Packed(NamedTuple):
+    """Documents as (doc_id, text, row), where ``row`` holds all columns but the text under plain names."""
+
+    rows: DataFrame
+    kind: StructType
+    names: list[str]
+
+    @classmethod
+    def of(cls, docs: DataFrame) -> Packed:
+        """Columns go by their place, so their names, and whether they may be null, are of no matter."""
+        bounded_batches(docs.sparkSession)
+        fields, names = docs.schema.fields, docs.columns
+        plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+        kind = StructType([StructField(f"c{i}", nullable(f.dataType)) for i, f in enumerate(fields) if names[i] != "text"])
+        row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kind.fields]).cast(kind)
+        at = {name: F.col(f"c{names.index(name)}") for name in ("doc_id", "text")}
+        return cls(plain.select(at["doc_id"].cast("bigint").alias("doc_id"), at["text"].cast("string").alias("text"), row.alias("row")), kind, names)
+
+    @property
+    def field(self) -> StructField:
+        return StructField("row", self.kind)
+
+    def named(self, row: str = "row") -> Column:
+        """The packed columns as a struct of their own names."""
+        return F.col(row).cast(StructType([StructField(self.names[int(f.name[1:])], f.dataType) for f in self.kind.fields]))
+
+    def unpacked(self, found: DataFrame, text: str = "text") -> DataFrame:
+        """The columns of the documents again, the text being the column ``text`` of ``found``."""
+        plain = [F.col(text) if name == "text" else F.col("row").getField(f"c{i}") for i, name in enumerate(self.names)]
+        return found.select(*[c.alias(f"c{i}") for i, c in enumerate(plain)]).toDF(*self.names)
+
+
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     """Bytes of all texts, by one aggregate over the column."""
     return docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("bigint"))).first()[0] or 0
@@ -53,4 +99,4 @@ def joined_by_key(rows: DataFrame, facts: DataFrame, key: str | list[str], count
     return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how))
 
 
-__all__ = ["bounded_batches", "joined_by_key", "parts_for", "scratch_path", "text_bytes", "text_rows", "written_table"]
+__all__ = ["Packed", "bounded_batches", "joined_by_key", "parts_for", "scratch_path", "text_bytes", "text_rows", "written_table"]
