@@ -109,9 +109,32 @@ def has_digit(text: Column) -> Column:
     return text.rlike(r"\p{Nd}")
 
 
+def _stable_ranges() -> str:
+    """Ranges of common scripts whose characters NFKC neither changes nor joins with a neighbour, for a character class."""
+    joined = {d[1] for c in range(0x110000) if len(d := unicodedata.decomposition(chr(c)).split()) == 2 and d[0][0] != "<"}
+
+    def stable(c: int) -> bool:
+        char = chr(c)
+        return unicodedata.is_normalized("NFKC", char) and not unicodedata.combining(char) and f"{c:04X}" not in joined
+
+    kept = [c for low, high in _SCRIPTS for c in range(low, high + 1) if stable(c)]
+    starts = [c for c, before in zip(kept, [-2, *kept]) if c != before + 1]
+    ends = [c for c, after in zip(kept, [*kept[1:], -2]) if c != after - 1]
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends))
+
+
+# Latin, Greek and Cyrillic, Hebrew and Arabic letters, punctuation, currency signs, kana, Han, Hangul
+_SCRIPTS = (
+    (0x80, 0x24F), (0x370, 0x4FF), (0x5D0, 0x5EA), (0x621, 0x64A), (0x2010, 0x205E), (0x20A0, 0x20BF), (0x3001, 0x30FF),
+    (0x4E00, 0x9FFF), (0xAC00, 0xD7A3),
+)
+_UNSTABLE = f"[^{_stable_ranges()}]"
+
+
 def unicode_form_of(text: Column) -> Column:
-    """NFKC; only texts outside ASCII leave the JVM."""
-    return F.coalesce(nfkc(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    """NFKC; only texts with a character that it might change leave the JVM."""
+    beyond = F.regexp_replace(text, r"[\x00-\x7F]+", "")
+    return F.coalesce(nfkc(F.when(beyond.rlike(_UNSTABLE), text)), text)
 
 
 def clean_text(
@@ -123,7 +146,7 @@ def clean_text(
 ) -> Column:
     """The whole cleaning chain; null gives the empty string.
 
-    NFKC comes first, the one step that needs Python: only texts outside ASCII go there.
+    NFKC comes first, the one step that needs Python: only texts that it might change go there.
     """
     if unicode_form:
         text = unicode_form_of(text)

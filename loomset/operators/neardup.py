@@ -24,11 +24,15 @@ def word_set(text: Column) -> Column:
 
 
 def distinct_texts(df: DataFrame, id_: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Representatives (smallest id per text) and the links to their exact copies."""
-    keyed = df.select(F.col(id_).alias("id"), F.col(text).alias("text"), F.sha2(text, 256).alias("k"))
-    first = keyed.groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    reps = keyed.join(first.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "text")
-    links = keyed.select("k", "id").join(first.where("copies > 1"), "k").where("id <> rep").select("rep", "id")
+    """Representatives (smallest id per text) and the links to their exact copies.
+
+    Texts are grouped by their digest. The ids of later copies are written and kept away from the texts by an
+    anti join, which the planner does beside the scan while they are few enough to broadcast.
+    """
+    keyed = df.select(F.col(id_).alias("id"), F.sha2(text, 256).alias("k"))
+    first = keyed.groupBy("k").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("copies > 1")
+    links = written_table(keyed.join(first, "k").where("id <> rep").select("rep", "id"), "copies")
+    reps = df.select(F.col(id_).alias("id"), F.col(text).alias("text")).join(links.select("id"), "id", "left_anti")
     return reps, links
 
 

@@ -317,17 +317,59 @@ def retry_quality_report(spark, sf):
 
 
 def components_of(df, k: int):
+    """Rows (id, p) of projections on the first ``k`` principal directions, and the directions' shares of the variance."""
     rows = df.select("id", array_to_vector(F.col("vec").cast("array<double>")).alias("v"))
     model = PCA(k=k, inputCol="v", outputCol="p").fit(rows)
-    return model.transform(rows).select("id", vector_to_array("p").alias("p"))
-
-
-# sign and rotation are free, so rows only
-@query("pca_2d")
+    return model.transform(rows).select("id", vector_to_array("p").alias("p")), model.explainedVariance.toArray().tolist()
+
+
+def sql_components(k: int) -> str:
+    """The first ``k`` principal directions as projectors, by squaring the covariance matrix and taking each one off.
+
+    24 squarings are the 2**24-th power, in which the largest direction is all that is left.
+    """
+    return f"""
+dims AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+cov AS (SELECT a.i, b.i AS j, covar_samp(a.x, b.x) AS c FROM dims a JOIN dims b USING (vec_id) GROUP BY 1, 2),
+lines AS (SELECT i, list(c ORDER BY j) AS r FROM cov GROUP BY i),
+start AS (SELECT list(r ORDER BY i) AS c, CAST(sum(r[i]) AS DOUBLE) AS whole FROM lines),
+walk AS (
+  SELECT 1 AS n, 0 AS step, c, c AS m, whole, 0.0::DOUBLE AS value FROM start
+  UNION ALL
+  SELECT CASE WHEN step < 24 THEN n ELSE n + 1 END, CASE WHEN step < 24 THEN step + 1 ELSE 0 END,
+         CASE WHEN step < 24 THEN c ELSE rest END,
+         CASE WHEN step < 24 THEN list_transform(m, lambda r: list_transform(m, lambda s: list_inner_product(r, s) / size)) ELSE rest END, whole, value
+  FROM (
+    SELECT *, CASE WHEN step = 24 THEN list_transform(range(1, len(c) + 1), lambda i: list_transform(range(1, len(c) + 1), lambda j: c[i][j] - value * m[i][j])) ELSE c END AS rest
+    FROM (
+      SELECT n, step, c, m, whole, list_sum(list_transform(m, lambda r: list_inner_product(r, r))) AS size,
+             list_sum(list_transform(range(1, len(c) + 1), lambda i: list_inner_product(c[i], m[i]))) AS value
+      FROM walk WHERE n <= {k})) t),
+main AS (
+  SELECT n, m, list_sum(list_transform(range(1, len(c) + 1), lambda i: list_inner_product(c[i], m[i]))) / whole AS share
+  FROM walk WHERE step = 24 AND n <= {k}),
+projected AS (
+  SELECT vec_id, n, share, list_inner_product(e, list_transform(m, lambda r: list_inner_product(r, e))) AS square
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), main)"""
+
+
+# the sign of a direction is free, so lengths and shares are reported
+@query("pca_2d", f"""
+WITH RECURSIVE {sql_components(2)}
+SELECT vec_id, round(sqrt(max(square) FILTER (n = 1)), 6) AS x, round(sqrt(max(square) FILTER (n = 2)), 6) AS y,
+       round(max(share) FILTER (n = 1), 6) AS share_x, round(max(share) FILTER (n = 2), 6) AS share_y
+FROM projected GROUP BY vec_id""")
 def pca_2d(spark, sf):
-    return components_of(vecs(spark, sf), 2).select(F.col("id").alias("vec_id"), F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
+    made, (x, y) = components_of(vecs(spark, sf), 2)
+    return made.select(
+        F.col("id").alias("vec_id"), F.round(F.abs(F.col("p")[0]), 6).alias("x"), F.round(F.abs(F.col("p")[1]), 6).alias("y"),
+        F.round(F.lit(x), 6).alias("share_x"), F.round(F.lit(y), 6).alias("share_y"))
 
 
-@query("pca_50d")
+@query("pca_50d", f"""
+WITH RECURSIVE {sql_components(50)}
+SELECT vec_id, round(sqrt(sum(square)), 5) AS length, 50 AS dims, round(sum(share), 6) AS share FROM projected GROUP BY vec_id""")
 def pca_50d(spark, sf):
-    return components_of(vecs(spark, sf), 50).select(F.col("id").alias("vec_id"), VF.norm(F.col("p")).alias("length"), F.size("p").alias("dims"))
+    made, shares = components_of(vecs(spark, sf), 50)
+    return made.select(
+        F.col("id").alias("vec_id"), F.round(VF.norm(F.col("p")), 5).alias("length"), F.size("p").alias("dims"), F.round(F.lit(sum(shares)), 6).alias("share"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomset.functions import text as T
+from loomset.functions.chunk_rows import register
 from loomset.functions.rules import RuleBook, joined
-from loomset.operators.embed import chunk_table, embed
+from loomset.operators.embed import chunk_table, term_vectors, term_weights
 from loomset.operators.split import group_unique_batches
 
 from . import sqltext as S
@@ -18,12 +19,16 @@ def docs(spark, sf):
     return texts(spark, sf)
 
 
+# term counts in 64 buckets, weighted by how few documents have a bucket
 @query("embed_udf", f"""
 WITH t AS (SELECT doc_id, unnest({S.tokens()}) AS t FROM documents), b AS (SELECT doc_id, CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 64 AS b, count(*) AS c FROM t GROUP BY ALL),
-n AS (SELECT doc_id, count(*) AS used, max(c) / sqrt(sum(c * c)) AS top FROM b GROUP BY doc_id)
+f AS (SELECT b, ln((SELECT count(*) + 1 FROM documents) / (count(*) + 1)) AS idf FROM b GROUP BY b),
+w AS (SELECT doc_id, c * idf AS x FROM b JOIN f USING (b)),
+n AS (SELECT doc_id, count(*) FILTER (x > 0) AS used, CASE WHEN sum(x * x) > 0 THEN max(x) / sqrt(sum(x * x)) ELSE 0 END AS top FROM w GROUP BY doc_id)
 SELECT d.doc_id, 64::BIGINT AS dim, coalesce(used, 0) AS used, round(coalesce(top, 0), 4) AS top FROM documents d LEFT JOIN n USING (doc_id)""")
 def embed_udf(spark, sf):
-    made = embed(docs(spark, sf).select("doc_id", "text"), "text")
+    rows = docs(spark, sf).select("doc_id", "text")
+    made = term_vectors(rows, "text", term_weights(rows, "text"))
     return made.select(
         "doc_id", F.size("vec").cast("long").alias("dim"), F.size(F.filter("vec", lambda x: x > 0)).cast("long").alias("used"),
         F.round(F.array_max("vec").cast("double"), 4).alias("top"))
@@ -53,4 +58,11 @@ def rule_registry(spark, sf):
 
 @query("chunk_udtf", SQL_CHUNKS)
 def chunk_udtf(spark, sf):
+    register(spark, "chunk_text")
+    return spark.sql(
+        "SELECT d.doc_id, c.chunk_no, c.chunk FROM {docs} d, LATERAL chunk_text(d.text, {most}) c", docs=docs(spark, sf), most=MAX)
+
+
+@query("chunk_rows", SQL_CHUNKS)
+def chunk_rows(spark, sf):
     return chunk_table(docs(spark, sf), "text", ["doc_id"], MAX)

@@ -11,6 +11,7 @@ from loomset.operators import joins as J
 from loomset.operators import neardup as N
 from loomset.operators import vectors as V
 from loomset.operators.ranking import digest
+from loomset.session import written_table
 
 from . import sqltext as S
 from .registry import query, quoted, small_table, table, texts
@@ -252,9 +253,11 @@ listed AS (SELECT id, combo, len(s) AS n, unnest(s) AS item FROM (SELECT id, com
 shared AS (SELECT x.id AS a, y.id AS b, x.combo AS ca, y.combo AS cb, x.n AS na, y.n AS nb, count(*) AS c FROM listed x JOIN listed y ON x.item = y.item AND x.id < y.id GROUP BY ALL)
 SELECT a, b, round(c / (na + nb - c), 6) AS jaccard FROM shared WHERE c / (na + nb - c) > 0.3 AND ca <> cb""")
 def jaccard_negatives(spark, sf):
-    docs = texts(spark, sf).select(F.col("doc_id").alias("id"), F.col("source").alias("combo"), F.sha2("text", 256).alias("k"), "text")
-    first = docs.groupBy("k", "combo").agg(F.min("id").alias("id"))
-    sets = docs.join(first.select("id"), "id", "left_semi").select("id", "combo", N.word_set(F.col("text")).alias("items"))
+    docs = texts(spark, sf).select(F.col("doc_id").alias("id"), F.col("source").alias("combo"), "text")
+    keyed = docs.select("id", "combo", F.sha2("text", 256).alias("k"))
+    first = keyed.groupBy("k", "combo").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = written_table(keyed.join(first, ["k", "combo"]).where("id <> first").select("id"), "later")
+    sets = docs.join(later, "id", "left_anti").select("id", "combo", N.word_set(F.col("text")).alias("items"))
     pairs = N.jaccard_pairs(sets, 0.3, other_than="combo").where("jaccard > 0.3")
     return pairs.select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
