@@ -388,7 +388,7 @@ def test_attention_gradients_and_blocks():
     inputs, first = make.integers(0, 31, (3, 32)), np.array([True, False, False])
     targets, real = make.integers(0, attention.CLASSES, (3, 16)), make.random((3, 16)) < 0.8
     _, found = model.gradients(inputs, first, targets, real)
-    for name in ("query", "key", "value", "bias", "mix", "skip", "out"):
+    for name in ("query", "key", "value", "bias", "mix", "skip", "out", "out_bias", "inner", "inner", "inner_bias"):
         at = tuple(make.integers(0, s) for s in model.weights[name].shape)
         old, losses = model.weights[name][at], []
         for step in (1e-5, -1e-5):
@@ -441,13 +441,47 @@ def test_token_pairs_of_all_training_documents_count(spark):
     assert scores[held[0]] > scores[held[1]] + 1
 
 
+def coded(encoder, texts, wide=False):
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "held_out": [i % 4 == 1 for i in range(len(texts))], "text": texts})
+    return pa.Table.from_batches(language_model._encode(encoder, wide)([batch]))
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_encoded_texts_keep_words_and_ids(wide):
+    encoder = language_model.Subwords(open(RANKS, "rb").read(), tokenizers_of.PATTERN)
+    texts = [*odd_texts(), "é1ß" * 400 + " short " + "€" * 255 + " " + "x1" * 510]
+    made = coded(encoder, texts, wide)
+    read = language_model._Coded.of(made, wide)
+    assert made["salt"].to_pylist() == list(dict.fromkeys(made["salt"].to_pylist()))
+    spelled, kinds = [], {}
+    for k, text in enumerate(texts):
+        words = plain_words(text)
+        assert read.first_word[k + 1] - read.first_word[k] == len(words)
+        for n, word in enumerate(words, int(read.first_word[k])):
+            assert read.ids[read.begin[n] : read.begin[n + 1]].tolist() == encoder.encode([word])[0].tolist()
+            assert kinds.setdefault(word, read.number[n]) == read.number[n]
+            spelled.append(word)
+        assert (read.first[k], read.first[k + 1]) == (read.begin[read.first_word[k]], read.begin[read.first_word[k + 1]])
+    assert len(spelled) == len(read.number) and len(set(kinds.values())) == len(kinds) == len(read.value)
+
+
+def test_two_level_chances_add_up_to_one():
+    make = np.random.default_rng(2)
+    model = attention.Model(30)
+    hidden = make.standard_normal((5, attention.HIDDEN)).astype(np.float32)
+    group = hidden @ model.weights["out"]
+    group = np.exp(group) / np.exp(group).sum(axis=1, keepdims=True)
+    total = sum(group[:, k // attention.INNER] * np.exp(model.within(hidden, np.full(5, k))) for k in range(attention.CLASSES))
+    assert total == pytest.approx(np.ones(5), rel=1e-5)
+
+
 def test_token_pair_answers_by_brute_force():
     encoder = language_model.Subwords(open(RANKS, "rb").read(), tokenizers_of.PATTERN)
     texts = [[t or "" for t in odd_texts()[k::3]] for k in range(3)]
-    tables = [pa.table({"g": pa.array([k] * len(t), pa.int32()), "text": t, "held_out": [i % 4 == 1 for i in range(len(t))]}) for k, t in enumerate(texts)]
+    tables = [coded(encoder, t).append_column("g", pa.array([k] * len(t), pa.int32())) for k, t in enumerate(texts)]
     tokens = max(encoder.pieces().values()) + 1
     words = attention.Vocabulary.of_counts(np.arange(tokens), np.arange(tokens) % 3 == 0)
-    asked = pa.concat_tables([language_model._ask(5, encoder, words)(t) for t in tables])
+    asked = pa.concat_tables([language_model._ask(5, False, words)(t) for t in tables])
     real, seen = Counter(), Counter()
     for group in texts:
         for i, text in enumerate(group):
@@ -477,7 +511,9 @@ def test_model_goes_on_where_the_texts_are(spark):
     tokens = max(encoder.pieces().values()) + 1
     words = attention.Vocabulary.of_counts(np.bincount(ids, minlength=tokens), np.ones(tokens, bool))
     start = attention.Model(tokens)
-    after = language_model.trained_on(frame, encoder, start, words)
+    rows = frame.select(F.lit(1).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text")
+    ids_of = rows.mapInArrow(language_model._encode(encoder, False), language_model._CODED_DDL)
+    after = language_model.trained_on(ids_of, False, start, words)
     assert attention.token_scores(after, words, ids, first)[0].sum() > attention.token_scores(start, words, ids, first)[0].sum() + 1
 
 
