@@ -45,6 +45,12 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme: where Spark itself would put it, so that all executors mean the same one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 #: fixed values: the normalizer and pre-tokenizer for which a word of plain characters is split here
 _NORMALIZER = {
     "type": "Sequence",
@@ -245,7 +251,7 @@ def write_token_files(
     spark: SparkSession = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = file.read()
-    folder = folder or scratch_path(spark, "tokens")
+    folder = qualified(spark, folder or scratch_path(spark, "tokens"))
     bits = 16 if max(Tokenizer.from_str(spec).get_vocab_size() - 1, end_id) < 1 << 16 else 32
     parts = parts_for(spark, text_bytes(docs), shard_bytes)
     rows = text_rows(docs)
