@@ -243,6 +243,91 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(_table(spark, sf_dir, "conversations"))
 
 
+def _plus(state: str, cost: int | str, letter: str) -> str:
+    """SQL for a state, eight digits of cost and then the audit, after one more edit."""
+    return f"(lpad(CAST(CAST(left({state}, 8) AS BIGINT) + {cost} AS VARCHAR), 8, '0') || substr({state}, 9) || {letter})"
+
+
+def _inserted(prefix: str) -> list[str]:
+    """SQL for the four states after the cheapest insertions."""
+    nothing, system, user, assistant = (f"{prefix}{k}" for k in range(4))
+    one, two = (lambda x: _plus(x, 3, "'I'")), (lambda x: _plus(x, 6, "'II'"))
+    return [
+        nothing, system, f"least({user}, {one(nothing)}, {one(system)}, {one(assistant)})",
+        f"least({assistant}, {one(user)}, {two(nothing)}, {two(system)})",
+    ]
+
+
+def _edited() -> list[str]:
+    """SQL for the four states after a row was kept, reroled or deleted."""
+    may = lambda then: f"CASE WHEN fault IN ('blank', 'duplicate') THEN NULL ELSE {then} END"
+    more = "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+
+    def to(role: str, sources: str) -> str:
+        cost, letter = f"{more} + CASE WHEN c = '{role}' THEN 0 ELSE 3 END", f"CASE WHEN c = '{role}' THEN 'K' ELSE 'R' END"
+        return may("least(" + ", ".join([_plus(f"i{k}", cost, letter) for k in sources] + ["NULL"]) + ")")
+
+    gone = [_plus(f"i{k}", 4, "'D'") for k in range(4)]
+    kept = f"CASE WHEN c = 's' THEN {_plus('i0', more, chr(39) + 'K' + chr(39))} END"
+    return [gone[0], f"least({gone[1]}, {may(kept)})", f"least({gone[2]}, {to('u', '013')})", f"least({gone[3]}, {to('a', '2')})"]
+
+
+# crc32 bit by bit; the states of each conversation row by row; then the edits of the best audit beside its rows
+_SQL["op13_repair"] = rf"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS letters
+  FROM conversations),
+coded AS (
+  SELECT *, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(letters, lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+      lambda x, z: xor(x >> 1, CASE WHEN x & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END))), CAST(4294967295 AS BIGINT)) % 20 AS kind
+  FROM named),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE kind <> 0),
+placed AS (
+  SELECT *, left(role, 1) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS n,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+  FROM damaged),
+judged AS (
+  SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY n) || c AS pair,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+facts AS (
+  SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, '00000000' AS s0, CAST(NULL AS VARCHAR) AS s1, CAST(NULL AS VARCHAR) AS s2, CAST(NULL AS VARCHAR) AS s3 FROM facts
+  UNION ALL
+  SELECT conv_id, n + 1, {', '.join(_edited())}
+  FROM (SELECT walk.conv_id, walk.n, {', '.join(f"{x} AS i{k}" for k, x in enumerate(_inserted('s')))}, j.c, j.fault
+        FROM walk JOIN judged j ON j.conv_id IS NOT DISTINCT FROM walk.conv_id AND j.n = walk.n + 1) t),
+best AS (
+  SELECT w.conv_id, least(s0, {_inserted('s')[3]}) AS found FROM walk w JOIN facts f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.rows = w.n),
+edits AS (
+  SELECT conv_id, e[p] AS e, p, len(list_filter(e[1 : p], lambda x: x <> 'I')) AS n, len(list_filter(e[1 : p], lambda x: x <> 'D')) - 1 AS made,
+         len(list_filter(e, lambda x: x <> 'D')) % 2 AS odd
+  FROM (SELECT conv_id, e, unnest(range(1, len(e) + 1)) AS p FROM (SELECT conv_id, string_split(substr(found, 9), '') AS e FROM best WHERE length(found) > 8))),
+made AS (
+  SELECT e.conv_id, string_agg(CASE WHEN e.e = 'K' THEN j.role WHEN (e.made + e.odd) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                               || ':' || CASE WHEN e.e = 'I' THEN '' ELSE j.text END, chr(10) ORDER BY e.p) AS text
+  FROM edits e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.n = e.n AND e.e <> 'I' WHERE e.e <> 'D' GROUP BY e.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(CAST(left(found, 8) AS BIGINT), 0) AS cost, coalesce(substr(found, 9), '') AS audit,
+       sha256(coalesce(m.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN made m ON m.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over the documents."""
