@@ -64,8 +64,8 @@ def exact_rank(
     return prefix_sum(df, F.lit(1), order, bucket, keys, name).withColumn(name, F.col(name) + 1)
 
 
-def dense_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Numbers 1, 2, 3, ... in the order of any sortable columns, nulls first, equal rows in some order.
+def dense_numbers(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """Numbers 1, 2, 3, ... in the order of any sortable columns, ascending with nulls first unless said, equal rows in some order.
 
     Rows are dealt by range and sorted, then written once with their task and their place in it, so that
     numbers cannot change when a task is repeated. The counts of the tasks, one short row each, give the

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomset.functions.vectors import normalise
+from loomset.functions.vectors import dot, normalise
 
 from . import cells as C
 from .cells import BLOCK_ROWS, VectorIndex
@@ -198,9 +198,10 @@ def mean_similarity(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def mean_similarity_to(rows: DataFrame, bank: DataFrame, out: str) -> DataFrame:
-    """Rows (id, out): mean cosine of every row to all rows of a bank, again through the bank's mean."""
-    parts = rows.select("id", F.posexplode(normalise(F.col("vec"))).alias("pos", "x"))
-    return parts.join(_mean_unit(bank, "y"), "pos").groupBy("id").agg(F.sum(F.col("x") * F.col("y")).alias(out))
+    """Rows (id, out): mean cosine of every row to all rows of a bank, again through the bank's mean, a single short array."""
+    pairs = F.sort_array(F.collect_list(F.struct("pos", "y")))
+    mean = _mean_unit(bank, "y").agg(F.transform(pairs, lambda p: p["y"]).alias("mean"))
+    return rows.select("id", "vec").withColumn("mean", mean.scalar()).select("id", dot(normalise(F.col("vec")), F.col("mean")).alias(out))
 
 
 def recall_and_mrr(gold_ranks: DataFrame, rank: str = "rank", ks=(1, 3, 5)) -> DataFrame:

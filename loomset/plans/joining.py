@@ -295,7 +295,7 @@ def cross_split_similarity(spark, sf):
     train, parts = rows.where("split = 'train'"), []
     for split in ("val", "test"):
         other = rows.where(F.col("split") == split)
-        best = V.best_match(V.scores_in_cells(other, train, 1).withColumn("split", F.lit(split)), ["split"])
+        best = V.best_match(V.knn(other, train, 1).withColumn("split", F.lit(split)), ["split"])
         mean = V.mean_similarity(train, other).withColumn("split", F.lit(split))
         parts.append(best.join(mean, "split").select(
             "split", F.round("sim", 6).alias("max_sim"), F.col("id").alias("train_id"), F.col("query").alias("other_id"),

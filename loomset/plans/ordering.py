@@ -158,12 +158,7 @@ def sort_runs(spark, sf):
     runs = table(spark, sf, "events").groupBy(F.col("user_id").alias("id")).agg(
         F.min("ts").alias("startedAt"), F.when(F.max("event_id") % 2 == 0, F.max("ts")).alias("finishedAt"))
     order = RU.sort_order(runs, "finishedAt:asc", RU.RUN_SORTS, "id")
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    at = F.coalesce("finishedAt", epoch)
-    # runs without an end stand together at the epoch, by id, so that day is cut along the ids
-    ids = RK.range_bucket(runs.where(at == epoch), "id")
-    bucket = F.struct(F.date_trunc("day", at).alias("day"), F.when(at == epoch, ids).otherwise(F.lit((1 << 31) - 1)).alias("ids"))
-    placed = RK.exact_rank(runs, order, bucket, name="position")
+    placed = RK.dense_numbers(runs, order, "position")
     return placed.select("id", F.date_format("finishedAt", "yyyy-MM-dd HH:mm:ss").alias("finished"), "position").orderBy("position")
 
 
