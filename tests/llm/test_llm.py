@@ -465,6 +465,25 @@ def test_encoded_texts_keep_words_and_ids(wide):
     assert len(spelled) == len(read.number) and len(set(kinds.values())) == len(kinds) == len(read.value)
 
 
+def test_words_with_odd_white_space_keep_their_ids_among_others():
+    encoder = language_model.Subwords(open(RANKS, "rb").read(), tokenizers_of.PATTERN)
+    words = ["plain", "a\u00a0b", "\u2003", "x\x1cy", "it's", "日本", "...", "12,3", "é\u0301", "z\u3000", "\ufeffq", "😀😀", "<|endoftext|>"]
+    ids, first = encoder.encode(words * 3)
+    for k, word in enumerate(words * 3):
+        assert ids[first[k] : first[k + 1]].tolist() == encoder._encoder.encode_ordinary(" " + word) == encoder.encode([word])[0].tolist()
+    plain = [w for w in words if len(w.split()) == 1]
+    ids, first = encoder.encode(plain)
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [encoder._encoder.encode_ordinary(" " + w) for w in plain]
+    assert [x.tolist() for x in encoder.encode([])] == [[], [0]]
+
+
+def test_distinct_keys_equal_numpy():
+    make = np.random.default_rng(3)
+    for keys in (make.integers(0, 50, 1000), make.integers(0, 1 << 40, 5000), make.integers(0, 1 << 62, 300), np.zeros(0, np.int64), np.array([7])):
+        got, want = language_model._distinct(keys), np.unique(keys, return_inverse=True)
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
 def test_two_level_chances_add_up_to_one():
     make = np.random.default_rng(2)
     model = attention.Model(30)
