@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomset.functions import agreements as A
@@ -59,7 +62,7 @@ def agreements(spark, sf, duplicates=False):
     feats = rows.groupBy("o_orderkey").agg(*[c.alias(n) for n, c in made.items()])
     key, first = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)
     text = lambda n, unit: F.concat((key % n).cast("string"), F.lit(unit))
-    heads = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
+    heads = texts(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", F.floor(F.col("o_totalprice") / 10).cast("long").alias("fee"),
         R.first_match([(F.col("c_mktsegment") == a, b) for a, b in _INDUSTRY.items()], "other").alias("industry"),
         R.first_match([(first.isin("1", "2"), "complex"), (first == "3", "medium")], "simple").alias("complexity"),
@@ -189,7 +192,10 @@ def validate_agreement(spark, sf):
         A.rule_fee_deliverables(F.col("fee"), F.col("items")),
         A.rule_temporal(F.col("exclusivity"), F.col("usage_term"), F.col("engagement")),
         F.col("duplicates"), A.rule_platform(F.col("industry"), F.col("platforms")))
-    return agreements(spark, sf, duplicates=True).select("o_orderkey", *[c.alias(n) for n, c in made.items()])
+    # the parts are columns first, so that the verdict does not search the terms a second time
+    parts = {n: c for n, c in made.items() if n != "overall_valid"}
+    judged = agreements(spark, sf, duplicates=True).select("o_orderkey", *[c.alias(n) for n, c in parts.items()])
+    return judged.withColumn("overall_valid", reduce(Column.__and__, [F.col(n) for n in parts]))
 
 
 def _sql_fit(which):
