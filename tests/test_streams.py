@@ -157,3 +157,14 @@ def test_upsert_log_stays_small_and_repeats_change_nothing(spark):
     log.append(spark.createDataFrame([(1, 10_000, 1.0)], "run long, ts long, metric double"), 23)
     assert "delta-orphan" not in log._names("data")
     assert log.read().where("run = 1").first().ts == 10_000
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_a_table_is_a_file_or_a_folder_of_files(spark, tmp_path, files):
+    rows, path = spark.range(30), tmp_path / "numbers.parquet"
+    rows.repartition(max(files, 1)).write.parquet(str(path if files else tmp_path / "made"))
+    if not files:
+        next((tmp_path / "made").glob("part-*.parquet")).rename(path)
+    spark.range(5).write.parquet(str(tmp_path / "other.parquet"))
+    made = jobs.drain(jobs.file_stream(spark, str(tmp_path), "numbers.parquet", rows.schema), "t-files-out")
+    assert sorted(r.id for r in made.collect()) == list(range(30))
