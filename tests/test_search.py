@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomset.operators import blocks as B
 from loomset.operators import cells as C
 from loomset.operators import joins as J
 from loomset.operators import ranking as RK
@@ -253,3 +254,36 @@ def test_batches_are_few_files_that_can_be_read_one_by_one(spark):
     want = sorted(hashlib.md5(str(k).encode()).hexdigest() for k in range(2000))[60:70]
     assert sorted(r.id for r in batch.collect()) == want
     assert "PushedFilters: [IsNotNull(batch_id), EqualTo(batch_id,7)]" in batch._jdf.queryExecution().toString()
+
+
+# ---- blocks
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_blocks_equal_brute_force(spark, single):
+    data = np.vstack([clusters(9, 30, spread=0.05), np.random.default_rng(5).standard_normal((150, 16)), np.zeros((2, 16))])
+    data = data.astype(np.float32).astype(np.float64) if single else data
+    rows = frame_of(spark, data)
+    blocks = C.blocks_of_cells(rows, C.pivots(rows, 30), 16)
+    assert blocks.where(F.col("single") == single).count() > 0 and blocks.agg(F.max(F.length("ids"))).first()[0] <= 16 * 8
+    sims = cosines(data)
+    got = [(r.a, r.b) for r in B.pairs(blocks, 0.4).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(i, j) for i, j in itertools.combinations(range(len(data)), 2) if sims[i, j] >= 0.4}
+    assert found(C.top_k(B.nearest(blocks, blocks, 7, True), 7)) == nearest(data, data, 7, True)
+    asked = C.blocks_of_cells(rows.where("id % 5 = 0"), C.pivots(rows, 30), 16)
+    assert found(C.top_k(B.nearest(asked, blocks, 7), 7)) == {q: n for q, n in nearest(data, data, 7).items() if q % 5 == 0}
+
+
+def test_searches_and_joins_shuffle_each_vector_once(spark):
+    rng = np.random.default_rng(6)
+    sent = {}
+    for n in (300, 1200):
+        rows = frame_of(spark, rng.standard_normal((n, 16)))
+        centres = C.pivots(rows, 30)
+        assert C.rows_sent(rows, centres, 0.4, 16) > C.MOST_SENT
+        for name, frame in (("join", C.metric_join(rows, 0.4, 16, 30)), ("search", V.knn(rows, rows, 3, True, 0))):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            below = plan[plan.rindex("MapInArrow"):]
+            assert "Exchange hash" not in below and "Exchange range" not in below, (name, below)
+        sent[n] = C.rows_sent(rows, centres, 0.4, 16)
+    assert sent[1200] > 2 * sent[300]
