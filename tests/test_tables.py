@@ -245,3 +245,19 @@ def test_profile_ties_and_fallback(spark):
     targets = spark.createDataFrame([("fox",), ("zebra",)], "target string")
     got = {r.target: (r.profile_id, round(r.score, 6), r.low_confidence) for r in J.profile_select(targets, profiles).collect()}
     assert got == {"fox": (2, 4.0, False), "zebra": (3, 0.4, True)}
+
+
+@pytest.mark.parametrize("threshold", [0.1, 0.3])
+def test_low_jaccard_by_blocks_equals_brute_force(spark, threshold):
+    rnd = random.Random(4)
+    sets = {i: set(rnd.sample(range(60 if i % 3 else 400), rnd.choice([1, 5, 20, 50]))) for i in range(300)}
+    kinds = {i: rnd.choice(["a", "b", None]) for i in sets}
+    rows = spark.createDataFrame([(i, kinds[i], [(x * 0x9E3779B97F4A7C15) % (1 << 64) - (1 << 63) for x in s]) for i, s in sets.items()], "id long, kind string, items array<long>")
+    want = {(a, b): len(x & y) / len(x | y) for a, x in sets.items() for b, y in sets.items() if a < b}
+    want = {p: j for p, j in want.items() if j >= threshold}
+    found = N.jaccard_pairs(rows, threshold)
+    assert {(r.a, r.b): r.jaccard for r in found.collect()} == want and found.count() == len(want)
+    apart = {(r.a, r.b) for r in N.jaccard_pairs(rows, threshold, other_than="kind").collect()}
+    assert apart == {(a, b) for a, b in want if kinds[a] and kinds[b] and kinds[a] != kinds[b]}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan  # items are not joined one by one
