@@ -59,8 +59,9 @@ def jaccard_pairs(sets: DataFrame, threshold: float, hot: int = 4096, other_than
     sets = written_table(sets.select("id", kind.alias("kind"), sized).where("n > 0"), "sets")
     if threshold < LOW:
         return overlap_pairs(sets, threshold, other_than is not None)
-    listed = sets.select("id", F.explode("items").alias("item"))
-    shared = listed.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    # dealt by item once: the items are counted and looked up where they lie. Both need the same columns and filters for it
+    listed = sets.select("id", F.explode("items").alias("item")).where("id IS NOT NULL AND item IS NOT NULL").repartition("item")
+    shared = listed.groupBy("item").agg(F.count("id").alias("df")).where("df > 1")
     # items of one set only are never met, but come first in its order: their number is enough
     kept = listed.join(shared, "item").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("o"))
     ordered = kept.join(sets.select("id", "kind", "n"), "id").withColumn("alone", F.col("n") - F.size("o"))

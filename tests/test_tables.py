@@ -261,3 +261,13 @@ def test_low_jaccard_by_blocks_equals_brute_force(spark, threshold):
     assert apart == {(a, b) for a, b in want if kinds[a] and kinds[b] and kinds[a] != kinds[b]}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "explode" not in plan  # items are not joined one by one
+
+
+def test_items_of_sets_are_shuffled_once(spark):
+    frame = spark.range(40).select("id", F.transform(F.sequence(F.lit(1), F.lit(30)), lambda x: F.xxhash64(x * F.col("id"))).alias("items"))
+    found = N.jaccard_pairs(frame, 0.8)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(item" in line and "REPARTITION" not in line]
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(item" in line and "REPARTITION" in line and "Reused" not in line]
+    assert dealt and len({line[line.index("plan_id"):] for line in dealt}) == 1
