@@ -244,8 +244,11 @@ def train(
     make = np.random.default_rng(seed)
     mean = {k: np.zeros_like(v) for k, v in model.weights.items()}
     square = {k: np.zeros_like(v) for k, v in model.weights.items()}
+    queue = np.zeros(0, np.int64)
     for step in range(1, steps + 1):
-        pick = make.integers(0, len(inputs), batch)
+        while len(queue) < batch:  # every window once before any comes again
+            queue = np.append(queue, make.permutation(len(inputs)))
+        pick, queue = queue[:batch], queue[batch:]
         window = np.concatenate([inputs[np.maximum(pick - 1, 0)], inputs[pick]], axis=1)
         _, gradients = model.gradients(window, fresh[pick], targets[pick], real[pick])
         speed = rate * min(1.0, 2 * (1 - step / (steps + 1))) * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)

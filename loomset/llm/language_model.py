@@ -4,8 +4,8 @@ The base score uses the counts of all training words. The model's score of a wor
 counts give it, one share for unknown words included, with the chance that the attention model of
 :mod:`loomset.llm.attention` gives its subwords, ending where the next word begins. The counts of words, of tokens
 and of tokens after tokens cover all training documents. The attention model starts from a fit on the driver, on a
-sample of at most twice ``sample_bytes`` drawn by document. From there every partition goes on with windows of one in
-``TRAIN_ONE_IN`` of its training documents, and the changes are averaged, so text and steps grow with the input.
+sample of at most twice ``sample_bytes`` drawn by document. From there every partition goes on with windows of all
+its training documents, and the changes are averaged, so text and steps grow with the input.
 
 Every text is encoded once and written as ids, which all later passes read. Rows are dealt into groups of a few MB of
 text. A group asks for the counts of its distinct words, by
@@ -35,8 +35,6 @@ GROUP_BYTES = 4 << 20
 SAMPLE_BYTES = 4 << 20
 #: weight of the counts against the subwords; of 0.9, 0.5 and 0.3 it gives held-out texts the best score
 CORPUS_WEIGHT = 0.5
-#: one in so many training documents gives windows to the model's training on the partitions
-TRAIN_ONE_IN = 16
 #: speed of that training, lower than the start's as the model is near its place
 RATE = 0.003
 _ROWS_OF_WEIGHTS = 512
@@ -347,9 +345,9 @@ def _averaged(table: pa.Table) -> pa.Table:
     })
 
 
-def trained_on(drawn: DataFrame, wide: bool, model: attention.Model, vocabulary: attention.Vocabulary) -> attention.Model:
-    """The model after every partition of ``drawn`` (ids, sizes) went on with it and the changes were averaged, in two levels."""
-    changes = drawn.select("ids", "sizes").mapInArrow(_go_on(wide, model, vocabulary), _CHANGES)
+def trained_on(train_ids: DataFrame, wide: bool, model: attention.Model, vocabulary: attention.Vocabulary) -> attention.Model:
+    """The model after every partition of ``train_ids`` (ids, sizes) went on with it and the changes were averaged, in two levels."""
+    changes = train_ids.select("ids", "sizes").mapInArrow(_go_on(wide, model, vocabulary), _CHANGES)
     out = attention.Model.__new__(attention.Model)
     out.weights = {k: v.copy() for k, v in model.weights.items()}
     some = changes.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("name", "part", "some").applyInArrow(_averaged, _CHANGES)
@@ -464,8 +462,7 @@ def language_model_scores(
     ids, _, first = sample.streams(*sample.subwords(encoder))
     model = attention.train(ids, first, words, steps=steps)
     key = F.coalesce("doc_id", "salt")
-    drawn = F.pmod(F.xxhash64(F.lit("train"), key), F.lit(TRAIN_ONE_IN)) == 0
-    model = trained_on(train_ids.where(drawn), wide, model, words)
+    model = trained_on(train_ids, wide, model, words)
 
     groups = max(2 * spark.sparkContext.defaultParallelism, -(-size // group_bytes))
     buckets = max(2 * spark.sparkContext.defaultParallelism, groups // 4)

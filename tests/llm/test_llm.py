@@ -663,3 +663,16 @@ def test_queries_return_a_row_for_each_input_row(spark, name):
     if name.startswith("op13_"):
         rows = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
     assert entry.queries()[name](spark, SF).count() == rows
+
+
+def test_attention_trains_on_every_document():
+    from loomset.llm import attention
+
+    counts = np.ones(40, np.int64)
+    words = attention.Vocabulary.of_counts(counts, np.ones(40, bool))
+    ids, first = np.arange(40), np.arange(0, 41, 4)
+    inputs = attention.blocks(ids, first, 40)[0]
+    seen, model = [], attention.Model(40, 0)
+    model.gradients = lambda window, *_: (seen.append(window[:, attention.STRIDE :]), (0.0, {}))[1]
+    attention.train(ids, first, words, steps=-(-len(inputs) // 4), batch=4, model=model)
+    assert {tuple(w) for part in seen for w in part} == {tuple(w) for w in inputs}
