@@ -287,3 +287,22 @@ def test_searches_and_joins_shuffle_each_vector_once(spark):
             assert "Exchange hash" not in below and "Exchange range" not in below, (name, below)
         sent[n] = C.rows_sent(rows, centres, 0.4, 16)
     assert sent[1200] > 2 * sent[300]
+
+
+def test_waiting_blocks_hold_no_vectors(spark):
+    import gc
+
+    rows = frame_of(spark, np.random.default_rng(7).standard_normal((160, 6)))
+    blocks = B.packed(rows.withColumn("cell", F.col("id") % 10).repartition(1).sortWithinPartitions("cell"), 16)
+    left = B.crossed(blocks, blocks).toArrow()
+    assert len(set(left.column("l_block").to_pylist())) >= 10
+    held = []
+
+    def coming():
+        for batch in left.to_batches(max_chunksize=1):
+            yield batch
+            held.append(sum(isinstance(o, B._Block) for o in gc.get_objects()))
+
+    found = list(B._searching(3, True, True)(coming()))
+    assert sum(b.num_rows for b in found) == 3 * 160
+    assert max(held) <= 3
