@@ -190,12 +190,42 @@ UNITS = (
 HELD = "\ue000"
 
 
-def protect_units(text: Column) -> Column:
-    """Whitespace inside money, dates, phones, addresses and times becomes a stand-in no cut matches."""
-    pattern = "(?U)" + "|".join(f"(?:{u})" for u in UNITS)
-    gaps = F.split(text, pattern, -1)
-    units = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda u: F.regexp_replace(u, P.WS, HELD))
-    return F.array_join(F.zip_with(gaps, units, lambda g, u: F.concat(g, F.coalesce(u, F.lit("")))), "")
+def _units_pattern(addresses: bool) -> str:
+    """UNITS as one pattern that decides at a character what can begin there, and looks for a word's border once.
+
+    Alternatives that can begin with the same character stand in the order of UNITS. Without ``addresses`` no e-mail
+    or web address is found, and a position that holds no digit, sign or first letter of a month is passed at once.
+    """
+    money, thousands, day_first, year_first, month, phone, area_phone, email, web, time = UNITS
+    # all of these begin at \b; nothing shorter than the whole run can stand before the @
+    name = email.replace("+@", "++@", 1)
+    bordered = [day_first, year_first, "(?=(?i:[JFMASOND]))" + month, phone, *([name] if addresses else []), time]
+    free = [money, thousands, area_phone, *([web] if addresses else [])]
+    every = "|".join([*(f"(?:{u})" for u in free), r"\b(?:" + "|".join(f"(?:{u.replace(chr(92) + 'b', '', 1)})" for u in bordered) + ")"])
+    return "(?U)" + (every if addresses else rf"(?=[\$(\d]|(?i:[JFMASOND]))(?:{every})")
+
+
+_ALL_UNITS, _PLAIN_UNITS = _units_pattern(True), _units_pattern(False)
+
+
+def _by_units(text: Column, make) -> Column:
+    """``make`` of the pattern that finds the units of a text."""
+    return F.when(text.contains("@") | text.contains("http"), make(_ALL_UNITS)).otherwise(make(_PLAIN_UNITS))
+
+
+def units_of(text: Column) -> Column:
+    """The units of a text in order."""
+    return _by_units(text, lambda pattern: F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+
+
+def protect_units(text: Column, units: Column | None = None) -> Column:
+    """Whitespace inside money, dates, phones, addresses and times becomes a stand-in no cut matches.
+
+    ``units`` are those of :func:`units_of`, if they are known already.
+    """
+    gaps = _by_units(text, lambda pattern: F.split(text, pattern, -1))
+    held = F.transform(units_of(text) if units is None else units, lambda u: F.regexp_replace(u, P.WS, HELD))
+    return F.array_join(F.zip_with(gaps, held, lambda g, u: F.concat(g, F.coalesce(u, F.lit("")))), "")
 
 
 def restore_units(text: Column) -> Column:

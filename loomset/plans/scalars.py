@@ -91,12 +91,12 @@ SELECT doc_id, CAST(len(units) AS BIGINT) AS units, array_to_string(list_transfo
 def protect_units(spark, sf):
     noted = docs(spark, sf).withColumn("text", F.concat(
         "text", F.lit(" Due 01/02/2024. Call (555) 123-4567 at 10:30 pm. Pay $1,250.50 by May 3, 2024.")))
-    held = noted.select("doc_id", "text", C.protect_units(F.col("text")).alias("p"))
-    units = F.regexp_extract_all(F.col("text"), F.lit("(?U)" + "|".join(f"(?:{u})" for u in C.UNITS)), F.lit(0))
+    found = noted.withColumn("found", C.units_of(F.col("text")))
+    held = found.select("doc_id", "text", "found", C.protect_units(F.col("text"), F.col("found")).alias("p"))
     return held.select(
-        "doc_id", F.size(units).cast("long").alias("units"),
-        F.array_join(F.transform(units, lambda u: F.replace(F.regexp_replace(u, P.WS, C.HELD), F.lit(C.HELD), F.lit("_"))), "|").alias("held"),
-        (C.restore_units(F.col("p")) == F.regexp_replace("text", C.HELD, " ")).alias("restored"))
+        "doc_id", F.size("found").cast("long").alias("units"),
+        F.array_join(F.transform("found", lambda u: F.replace(F.regexp_replace(u, P.WS, C.HELD), F.lit(C.HELD), F.lit("_"))), "|").alias("held"),
+        (C.restore_units(F.col("p")) == F.replace("text", F.lit(C.HELD), F.lit(" "))).alias("restored"))
 
 
 MAX = 480

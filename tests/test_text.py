@@ -186,3 +186,25 @@ def test_confidence_and_completeness(spark, one):
     assert one(lambda t: K.confidence_score(t, F.lit("complex"), F.lit("brief_sms")), t="TBC approx...") == pytest.approx(0.3)
     row = spark.createDataFrame([({"influencer": "x", "brand": "TBC", "fee": "1"},)], "f map<string,string>")
     assert row.select(K.completeness(F.col("f"))).first()[0] == "partial"
+
+
+def test_units_pattern_finds_what_the_list_finds(spark):
+    texts = [
+        "Pay $1,250.50 or 12,000 by 3/4/2024, 2024-05-06 or may 3, 2024; ſep 4 2023 xMay 3, 2024 éMay 3 2024 ",
+        "Call 555-123-4567 x555.123.4567 (555) 123-4567 at 10:30 pm, 1:02:03AM or 9:15 . ٣/٤/٢٠٢٤ １２:３０ 1,234/5/2024",
+        "a.b%c+d@e-f.org, .x@y.zz éa@b.co a@b.c|d Jan@x.com Jan 3 2024@x.com 12/1/20@q.io 555-123-4567@n.de 10:30@t.uk",
+        "see xhttps://a.b/1:30?x=$5 http:// https://x.y@z.com http://3/4/2024 and HTTP://no.pe", "(555)\n123 4567 +$5 % -3:20 .4:50", "",
+        "May 3, 2024 10:30　AM áb@c.de June 31 19999 Mayday 1 2020 1/2/34567 12:345 5:30:99", None,
+    ]
+    rng = __import__("random").Random(3)
+    parts = ["May 3, 2024", "$5", "1,234", "@", "a.b", "é", ".co", " ", "\n", "(555)", "123-4567", "10:30", "pm", "/", "12/3/24", "2024-1-2", "http://", "-", "_", "x"]
+    texts += ["".join(rng.choice(parts) for _ in range(12)) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    listed = F.regexp_extract_all("text", F.lit("(?U)" + "|".join(f"(?:{u})" for u in C.UNITS)), F.lit(0))
+    for got, want, text in rows.select(C.units_of(F.col("text")), listed, "text").collect():
+        assert got == want, text
+
+
+def test_units_are_searched_by_what_the_text_holds(spark):
+    """The patterns of addresses begin at any word; texts without @ and http do not meet them."""
+    assert "http" in C._ALL_UNITS and "@" not in C._PLAIN_UNITS and "http" not in C._PLAIN_UNITS
