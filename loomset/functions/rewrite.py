@@ -89,17 +89,21 @@ def augment(text: Column, id_: Column, synonyms, typos, note: str, p_typo: float
 def token_dropout(text: Column, id_: Column, share: float = 0.125, mask: str = "[MASK]") -> Column:
     """Mask a share of the tokens, at least one; texts of up to two tokens stay as they are."""
     def keys(toks: Column) -> Column:
-        return F.transform(toks, lambda _, i: F.struct(
-            F.md5(F.concat_ws("|", id_.cast("string"), i.cast("string"))).alias("h"), i.alias("i")))
+        # the digest, then the place in digits of one length: as strings in the order of (digest, place)
+        return let(F.coalesce(F.concat(id_.cast("string"), F.lit("|")), F.lit("")), lambda name: F.transform(toks, lambda _, i: F.concat(
+            F.md5(F.concat(name, i.cast("string"))), F.lpad(i.cast("string"), 10, "0"))))
 
     def drop(toks: Column) -> Column:
         count = F.greatest(F.lit(1), F.floor(F.size(toks) * share).cast("int"))
         # the tokens up to the count-th smallest key are masked
-        masked = let(keys(toks), lambda ks: let(F.element_at(F.array_sort(ks), count), lambda last: F.zip_with(
+        masked = let(keys(toks), lambda ks: let(F.element_at(F.sort_array(ks), count), lambda last: F.zip_with(
             toks, ks, lambda t, k: F.when(k <= last, mask).otherwise(t))))
-        # a space only between two words; a mask or a mark starts and ends with no word character
-        joined = F.regexp_replace(F.array_join(masked, CUT), rf"(?<={P.W}){CUT}(?={P.W})", " ")
+        # a space only between two words; a mask or a mark starts and ends with no word character.
+        # The cut comes first in the pattern, so that only there it is looked behind
+        joined = F.regexp_replace(F.array_join(masked, CUT), rf"{CUT}(?<={P.W}{CUT})(?={P.W})", " ")
         return F.replace(joined, F.lit(CUT), F.lit(""))
 
-    cut = F.regexp_extract_all(text, F.lit(rf"{P.TOKEN}|[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x85\p{{Z}}]"), F.lit(0))
+    # a word or one other mark, plain letters and spaces decided first
+    cut = F.regexp_extract_all(
+        text, F.lit(rf"(?! )(?:[A-Za-z]++{P.W}*+|{P.W}++|[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x85\p{{Z}}])"), F.lit(0))
     return let(cut, lambda toks: F.when(F.size(toks) <= 2, text).otherwise(drop(toks)))
