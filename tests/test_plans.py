@@ -62,3 +62,8 @@ def test_lines_are_scanned_once(spark, queries, name):
 
 def test_top_n_is_limited_before_the_shuffle(spark, queries):
     assert "WindowGroupLimit" in explained(queries["top_n_per_group"](spark, SF))
+
+
+def test_template_overlap_reads_the_texts_once(spark, queries):
+    plan = explained(queries["template_overlap"](spark, SF))
+    assert sum("Location" in line and "documents.parquet" in line for line in plan.splitlines()) == 1
