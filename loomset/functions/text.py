@@ -13,6 +13,10 @@ from . import patterns as P
 
 UNI = "(?U)"  # \b, \w, \d and \s follow Unicode
 
+# P.ANY_DATE and P.WS_LOOSE for texts that are mostly words: what cannot begin a match is passed by its first character
+_DATE = UNI + r"(?=\d|(?i:[JFMASOND]))\b(?:" + "|".join(d.removeprefix(r"\b") for d in P.DATES) + ")"
+_LOOSE = rf"(?![!-~])(?:{P.WS_LOOSE})"
+
 
 @F.pandas_udf(StringType())
 def nfkc(texts: pd.Series) -> pd.Series:
@@ -71,13 +75,12 @@ def redact_pii(text: Column, emails: bool = True, phones: bool = True, ssns: boo
 
 def outside_dates(text: Column, change) -> Column:
     """Apply ``change`` to the stretches between dates; the dates come back untouched."""
-    pattern = UNI + P.ANY_DATE
-    gaps = F.transform(F.split(text, pattern, -1), change)
-    dates = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.transform(F.split(text, _DATE, -1), change)
+    dates = F.regexp_extract_all(text, F.lit(_DATE), F.lit(0))
     joined = F.array_join(
         F.zip_with(gaps, dates, lambda g, d: F.concat(g, F.coalesce(d, F.lit("")))), ""
     )
-    return F.when(text.rlike(pattern), joined).otherwise(change(text))
+    return F.when(text.rlike(_DATE), joined).otherwise(change(text))
 
 
 def normalize_quotes(text: Column) -> Column:
@@ -97,7 +100,7 @@ def normalize_currency(text: Column, strict: bool = False) -> Column:
 
 def squeeze(text: Column) -> Column:
     """Every run of whitespace as one space; plain single spaces are not touched."""
-    return F.regexp_replace(text, P.WS_LOOSE, " ")
+    return F.regexp_replace(text, _LOOSE, " ")
 
 
 def normalize_whitespace(text: Column) -> Column:
@@ -205,27 +208,36 @@ def text_metadata(text: Column) -> dict[str, Column]:
 
 def detect_sections(text: Column, headers=P.HEADER_MARKS, footers=P.FOOTER_MARKS, edge: int = 3) -> Column:
     """Map of full, header, body and footer. Texts of fewer than ``edge`` lines have a body only."""
-    lines = F.split(text, "\n", -1)
-    n = F.size(lines)
-    head = strip(F.array_join(F.slice(lines, 1, edge), "\n"))
-    foot = strip(F.array_join(F.slice(lines, F.greatest(n - edge + 1, F.lit(1)), edge), "\n"))
-    long_enough = n >= edge
-    is_head, is_foot = F.lit(False), F.lit(False)
-    for pattern in headers:
-        is_head = is_head | head.rlike(pattern)
-    for pattern in footers:
-        is_foot = is_foot | foot.rlike(pattern)
-    is_head, is_foot = long_enough & is_head, long_enough & is_foot
-    start = F.when(is_head, edge + 1).otherwise(1)
-    stop = F.when(is_foot, n - edge).otherwise(n)
-    inner = strip(F.array_join(F.slice(lines, start, F.greatest(stop - start + 1, F.lit(0))), "\n"))
-    body = F.when(is_head | is_foot, inner).otherwise(text)
-    return F.create_map(
-        F.lit("full"), text,
-        F.lit("header"), F.when(is_head, head).otherwise(""),
-        F.lit("body"), body,
-        F.lit("footer"), F.when(is_foot, foot).otherwise(""),
-    )
+
+    def cut(lines: Column) -> Column:
+        n = F.size(lines)
+        edges = {
+            "head": strip(F.array_join(F.slice(lines, 1, edge), "\n")),
+            "foot": strip(F.array_join(F.slice(lines, F.greatest(n - edge + 1, F.lit(1)), edge), "\n")),
+        }
+        return let_all(edges, lambda e: marked(lines, n, e["head"], e["foot"]))
+
+    def marked(lines: Column, n: Column, head: Column, foot: Column) -> Column:
+        is_head, is_foot = F.lit(False), F.lit(False)
+        for pattern in headers:
+            is_head = is_head | head.rlike(pattern)
+        for pattern in footers:
+            is_foot = is_foot | foot.rlike(pattern)
+        marks = {"head": (n >= edge) & is_head, "foot": (n >= edge) & is_foot}
+        return let_all(marks, lambda m: parts(lines, n, head, foot, m["head"], m["foot"]))
+
+    def parts(lines: Column, n: Column, head: Column, foot: Column, is_head: Column, is_foot: Column) -> Column:
+        start = F.when(is_head, edge + 1).otherwise(1)
+        stop = F.when(is_foot, n - edge).otherwise(n)
+        inner = strip(F.array_join(F.slice(lines, start, F.greatest(stop - start + 1, F.lit(0))), "\n"))
+        return F.create_map(
+            F.lit("full"), text,
+            F.lit("header"), F.when(is_head, head).otherwise(""),
+            F.lit("body"), F.when(is_head | is_foot, inner).otherwise(text),
+            F.lit("footer"), F.when(is_foot, foot).otherwise(""),
+        )
+
+    return let(F.split(text, "\n", -1), cut)
 
 
 def normalize_markdown(text: Column) -> Column:

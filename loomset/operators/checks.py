@@ -17,16 +17,21 @@ def explode_sections(docs: DataFrame, text: str = "text", keep: Sequence[str] =
     """One cleaned row per non-blank, valid section, with its length and token estimate."""
     # cleaned inside the generator: a filter on generated columns is not pushed below it,
     # so every section is cleaned once
+    def described(raw: Column) -> Column:
+        return T.let(T.clean_text(raw, unicode_form=False), lambda t: F.struct(
+            t.alias("text"), T.is_valid_text(t).alias("valid"), F.length(t).cast("long").alias("char_len"),
+            T.est_tokens_words(t).alias("tok_len")))
+
+    # most texts have no marked edge: their body is the whole text, which is described already
+    def each(found: Column) -> Column:
+        return T.let(described(found["full"]), lambda whole: F.transform_values(
+            found, lambda _, raw: F.when(raw == found["full"], whole).otherwise(described(raw))))
+
     sections = T.detect_sections(F.col("normal"), headers, footers)
-    cleaned = docs.select(*keep, T.unicode_form_of(F.col(text)).alias("normal")).select(
-        *keep, F.explode(F.transform_values(sections, lambda _, raw: T.clean_text(raw, unicode_form=False))).alias("section", "text")
-    )
-    return cleaned.where(T.is_valid_text(F.col("text"))).select(
-        *keep, "section", "text",
-        F.length("text").cast("long").alias("char_len"),
-        T.est_tokens_words(F.col("text")).alias("tok_len"),
-        (T.est_tokens_words(F.col("text")) > max_tokens).alias("needs_chunking"),
-    )
+    made = docs.select(*keep, T.unicode_form_of(F.col(text)).alias("normal")).select(
+        *keep, F.explode(T.let(sections, each)).alias("section", "found"))
+    return made.where("found.valid").select(
+        *keep, "section", "found.text", "found.char_len", "found.tok_len", (F.col("found.tok_len") > max_tokens).alias("needs_chunking"))
 
 
 def clean_valid(df: DataFrame, text: str = "text", with_text: bool = True, **how) -> DataFrame:

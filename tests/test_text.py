@@ -232,3 +232,36 @@ def test_token_dropout_by_definition(spark):
         assert r.got == plain(r.text, r.id), r.text
     # no pattern begins with a look behind, which would be tried at every character
     assert "regexp_replace" in (plan := made._jdf.queryExecution().optimizedPlan().toString()) and ", (?<=" not in plan
+
+
+def test_quick_patterns_equal_the_listed_ones(spark):
+    from loomset.functions import patterns as P
+
+    rng = __import__("random").Random(5)
+    parts = ["May", " ", "3", ",", "2024", "1/2/24", "2024-1-2", "x", "é", "ſep", "\n", "　", "\xa0", "  ", "!", "-", "٢", "\x1c", "Oct", "_", "﻿", "​"]
+    texts = ["".join(rng.choice(parts) for _ in range(14)) for _ in range(3000)] + ["", " ", "\t", "a\tb", "a  b", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    t = F.col("text")
+    for r in rows.select(
+        "text", T.squeeze(t).alias("a"), F.regexp_replace(t, P.WS_LOOSE, " ").alias("b"),
+        F.split(t, T._DATE, -1).alias("c"), F.split(t, T.UNI + P.ANY_DATE, -1).alias("d"),
+    ).collect():
+        assert r.a == r.b and r.c == r.d, r.text
+
+
+def test_sections_are_cleaned_as_one_by_one(spark):
+    from loomset.operators.checks import explode_sections
+
+    texts = [
+        "PAGE HEADER TITLE\nx  1\ny on 1/2/2024\nbody a@b.co text\nmore\nz\nq\nConfidential", "plain text of  one line, 555-123-4567",
+        "a\nb\nc\nd of it all\nPage 1 of 2", "", None, "  \n \n ", "$ 1,234 on May 3, 2024 \n\n\nnext line here", "!!! ??? ... ### %%%",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    parts = rows.select("doc_id", F.explode(T.detect_sections(F.col("text"))).alias("section", "raw"))
+    want = parts.select("doc_id", "section", T.clean_text(F.col("raw")).alias("text")).where(T.is_valid_text(F.col("text"))).select(
+        "doc_id", "section", "text", F.length("text").cast("long"), T.est_tokens_words(F.col("text")), T.est_tokens_words(F.col("text")) > 5)
+    made = explode_sections(rows, max_tokens=5)
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, want.collect()))
+    # validity is judged where the text is cleaned, once for a body that is the whole text
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "btrim" not in plan[: plan.index("Generate")]
