@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -18,9 +18,18 @@ _DATE = UNI + r"(?=\d|(?i:[JFMASOND]))\b(?:" + "|".join(d.removeprefix(r"\b") fo
 _LOOSE = rf"(?![!-~])(?:{P.WS_LOOSE})"
 
 
-@F.pandas_udf(StringType())
-def nfkc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: t if t is None else unicodedata.normalize("NFKC", t))
+_TEXTS_AT_ONCE = 64
+
+
+def _nfkc(text: str | None) -> str | None:
+    return text if text is None else unicodedata.normalize("NFKC", text)
+
+
+@F.arrow_udf(StringType())
+def nfkc(texts: pa.Array) -> pa.Array:
+    # a batch is up to 64 MB of text: it stays in Arrow, and only a few texts of it are Python strings at once
+    parts = [texts.slice(at, _TEXTS_AT_ONCE) for at in range(0, len(texts), _TEXTS_AT_ONCE)] or [texts]
+    return pa.concat_arrays([pa.array(map(_nfkc, p.to_pylist()), pa.string(), size=len(p)) for p in parts])
 
 
 def let(value: Column, body) -> Column:

@@ -265,3 +265,17 @@ def test_sections_are_cleaned_as_one_by_one(spark):
     # validity is judged where the text is cleaned, once for a body that is the whole text
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "btrim" not in plan[: plan.index("Generate")]
+
+
+def test_nfkc_holds_few_texts_of_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array(["① ﬁ Ａ é " * 400 + str(i) for i in range(4096)] + [None])
+    tracemalloc.start()
+    got = T.nfkc.func(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < texts.nbytes / 4
+    assert got[7].as_py() == "1 fi A é " * 400 + "7" and got[4096].as_py() is None and len(T.nfkc.func(texts[:0])) == 0
