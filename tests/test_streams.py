@@ -168,3 +168,49 @@ def test_a_table_is_a_file_or_a_folder_of_files(spark, tmp_path, files):
     spark.range(5).write.parquet(str(tmp_path / "other.parquet"))
     made = jobs.drain(jobs.file_stream(spark, str(tmp_path), "numbers.parquet", rows.schema), "t-files-out")
     assert sorted(r.id for r in made.collect()) == list(range(30))
+
+
+def test_breaker_asks_for_little_state():
+    import pandas as pd
+
+    from loomset.streaming.jobs import Breaker
+
+    calls = []
+
+    class Held:
+        def __init__(self, value=None):
+            self.value = value
+
+        def __getattr__(self, name):
+            def call(*args):
+                calls.append(name)
+                if name in ("put", "appendList"):
+                    self.value = ([] if name == "put" else list(self.value or [])) + list(args[0])
+                elif name == "update":
+                    self.value = args[0]
+                elif name == "clear":
+                    self.value = None
+                elif name == "exists":
+                    return self.value is not None
+                elif name in ("get", "listTimers"):
+                    return iter(self.value or []) if self.many or name == "listTimers" else self.value
+            return call
+
+    class Mark:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    breaker = Breaker(2, 5_000_000)
+    breaker.handle, breaker.state, breaker.waiting = Held(), Held(), Held()
+    breaker.handle.many = breaker.waiting.many = True
+    breaker.state.many = False
+    rows = pd.DataFrame({"event_id": [2, 1], "ts": pd.to_datetime([2, 1], unit="s")})
+    assert not list(breaker.handleInputRows((7,), iter([rows]), Mark(0)))
+    assert calls == ["get", "get", "appendList", "registerTimer"]
+    made = pd.concat(breaker.handleExpiredTimer((7,), Mark(3000), None))
+    assert made["event_id"].tolist() == [1, 2] and made["open"].tolist() == [False, True] and breaker.waiting.value is None
+    made = pd.concat(breaker.handleExpiredTimer((7,), Mark(9000), None))
+    assert made["failures"].tolist() == [0] and breaker.state.value == (0, False, 7_000_000)
