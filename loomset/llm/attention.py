@@ -83,17 +83,17 @@ _HIDDEN = np.float32(-1e9)
 _MOST = np.float32(60)
 
 
-def _softmax(scores: np.ndarray, targets: np.ndarray, real: np.ndarray, count: int) -> tuple[np.ndarray, float]:
-    """The gradient of the mean loss by the scores, and the loss."""
-    scores = scores - scores.max(axis=1, keepdims=True)
-    chance = np.exp(scores)
-    chance /= chance.sum(axis=1, keepdims=True)
-    rows = np.arange(len(targets))
-    at = chance[rows, targets]
-    loss = -np.log(np.maximum(at, 1e-30))[real].sum() / count
-    chance[rows, targets] -= 1
-    chance *= (real / count)[:, None].astype(np.float32)
-    return chance, loss
+def _softmax(scores: np.ndarray, targets: np.ndarray, real: np.ndarray, count: int, with_loss: bool) -> tuple[np.ndarray, float]:
+    """The gradient of the mean loss by scores (choices, n), in their place, and the loss if asked for."""
+    scores -= scores.max(axis=0)
+    np.exp(scores, out=scores)
+    total = scores.sum(axis=0)
+    cells, at = scores.reshape(-1), targets * scores.shape[1] + np.arange(scores.shape[1])
+    loss = -np.log(np.maximum(cells[at] / total, 1e-30))[real].sum() / count if with_loss else 0.0
+    part = (real / count).astype(scores.dtype)
+    scores *= part / total
+    cells[at] -= part
+    return scores, loss
 
 
 def _ln_chance(scores: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,12 +116,6 @@ class Model:
             scale = 0.0 if name.endswith("bias") else 0.3 if name == "embed" else 1 / np.sqrt(shape[-2])
             self.weights[name] = (make.standard_normal(shape) * scale).astype(np.float32)
 
-    def _attend(self, query, key, value, first):
-        """Attention of the queries of each block over its window; ``first``: the block begins a document."""
-        score, total = self._chances(query * np.float32(1 / np.sqrt(WIDTH)), key, first)
-        score /= total[:, :, None]
-        return score, score @ value
-
     def _chances(self, query, key, first):
         """exp of the scores of queries that are scaled already, and their sums."""
         score = query @ key.transpose(0, 2, 1)
@@ -136,77 +130,113 @@ class Model:
     def hidden(self, inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
         """The last layer at the positions of consecutive blocks (n, STRIDE); block 0 is context of block 1, and so on."""
         w = self.weights
-        x = w["embed"][inputs.reshape(-1)]
+        x = w["embed"].take(inputs.reshape(-1), axis=0)
         scaled = w["query"] * np.float32(1 / np.sqrt(WIDTH))
-        query, key, value, skip = np.split(x @ np.concatenate([scaled, w["key"], w["value"], w["skip"]], axis=1), [WIDTH, 2 * WIDTH, 3 * WIDTH], axis=1)
-        both = []
-        for own in (key, value):
-            own = own.reshape(-1, STRIDE, WIDTH)
-            window = np.zeros((len(own), 2 * STRIDE, WIDTH), np.float32)
-            window[:, STRIDE:], window[1:, :STRIDE] = own, own[:-1]
-            both.append(window)
-        chance, total = self._chances(np.ascontiguousarray(query).reshape(-1, STRIDE, WIDTH), both[0], first)
-        seen = chance @ both[1]
+        made = x @ np.concatenate([scaled, w["key"], w["value"], w["skip"]], axis=1)
+        own = made[:, WIDTH : 3 * WIDTH].reshape(-1, STRIDE, 2 * WIDTH)
+        window = np.zeros((len(own), 2 * STRIDE, 2 * WIDTH), np.float32)
+        window[:, STRIDE:], window[1:, :STRIDE] = own, own[:-1]
+        chance, total = self._chances(made[:, :WIDTH].reshape(-1, STRIDE, WIDTH), window[:, :, :WIDTH], first)
+        seen = chance @ window[:, :, WIDTH:]
         seen /= total[:, :, None]
-        made = seen.reshape(-1, WIDTH) @ w["mix"]
-        made += skip
-        made += w["mix_bias"]
-        return np.maximum(made, 0, out=made)
+        hidden = seen.reshape(-1, WIDTH) @ w["mix"]
+        hidden += made[:, 3 * WIDTH :]
+        hidden += w["mix_bias"]
+        return np.maximum(hidden, 0, out=hidden)
 
-    def by_group(self, targets: np.ndarray):
-        """For each group with targets: the group, its targets' places, and their classes within it."""
+    def _grouped(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the order of the targets' groups, and where each group begins among them."""
         group = (targets // INNER).astype(np.int8)
-        order = np.argsort(group, kind="stable")
-        cut = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        for g in np.flatnonzero(np.diff(cut)):
-            at = order[cut[g] : cut[g + 1]]
-            yield g, at, targets[at] - g * INNER
+        return np.argsort(group, kind="stable"), np.append(0, np.cumsum(np.bincount(group, minlength=GROUPS)))
 
     def within(self, hidden: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """ln chance of each target class within its group."""
+        order, cut = self._grouped(targets)
+        sorted_ = hidden.take(order, axis=0)
+        scores = np.empty((len(order), INNER), np.float32)
+        for k, (low, high) in enumerate(zip(cut[:-1], cut[1:])):
+            np.matmul(sorted_[low:high], self.weights["inner"][k], out=scores[low:high])
+        scores += np.repeat(self.weights["inner_bias"], np.diff(cut), axis=0)
         out = np.empty(len(targets), np.float32)
-        for g, at, own in self.by_group(targets):
-            scores = self.weights["inner"][g].T @ hidden[at].T
-            scores += self.weights["inner_bias"][g][:, None]
-            out[at] = _ln_chance(scores, own)[0]
+        out[order] = _ln_chance(np.ascontiguousarray(scores.T), targets[order] % INNER)[0]
         return out
 
-    def gradients(self, inputs: np.ndarray, first: np.ndarray, targets: np.ndarray, real: np.ndarray):
-        """Loss per token, and its gradients, for windows (n, 2 * STRIDE) whose second half is predicted."""
+    def gradients(self, inputs: np.ndarray, first: np.ndarray, targets: np.ndarray, real: np.ndarray, with_loss: bool = True):
+        """Loss per token, and its gradients, for windows (n, 2 * STRIDE) whose second half is predicted.
+
+        Weights that meet the same rows are multiplied at once, and chances stay unscaled: their sums go into narrow factors.
+        """
         w, n = self.weights, len(inputs)
-        x = w["embed"][inputs]
-        own = x[:, STRIDE:]
-        query, key, value = own @ w["query"], x @ w["key"], x @ w["value"]
-        weight, seen = self._attend(query, key, value, first)
-        before = seen @ w["mix"] + own @ w["skip"] + w["mix_bias"]
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        hidden, at, weight_of = flat(np.maximum(before, 0)), targets.reshape(-1), real.reshape(-1)
+        scale = w["embed"].dtype.type(1 / np.sqrt(WIDTH))
+        x = w["embed"].take(inputs.reshape(-1), axis=0)
+        windows = x.reshape(n, 2 * STRIDE, WIDTH)
+        # what was seen, the position itself, and the one of the bias: the inputs of the layer
+        inside = np.ones((n * STRIDE, 2 * WIDTH + 1), x.dtype)
+        seen, own = inside[:, :WIDTH], inside[:, WIDTH : 2 * WIDTH]
+        own.reshape(n, STRIDE, WIDTH)[:] = windows[:, STRIDE:]
+        to_window = np.concatenate([w["key"], w["value"]], axis=1)
+        query = (own @ (w["query"] * scale)).reshape(n, STRIDE, WIDTH)
+        made = (x @ to_window).reshape(n, 2 * STRIDE, 2 * WIDTH)
+        key, value = made[:, :, :WIDTH], made[:, :, WIDTH:]
+        chance, total = self._chances(query, key, first)
+        total = total.reshape(-1, 1)
+        np.divide((chance @ value).reshape(-1, WIDTH), total, out=seen)
+        hidden = inside @ np.concatenate([w["mix"], w["skip"], w["mix_bias"][None]])
+        np.maximum(hidden, 0, out=hidden)
+
+        at, weight_of = targets.reshape(-1), real.reshape(-1)
         count = max(int(weight_of.sum()), 1)
-        back, loss = _softmax(hidden @ w["out"] + w["out_bias"], at // INNER, weight_of, count)
-        g = {
-            "out": hidden.T @ back, "out_bias": back.sum(0), "inner": np.zeros_like(w["inner"]), "inner_bias": np.zeros_like(w["inner_bias"]),
-        }
-        hidden_back = back @ w["out"].T
-        for k, place, inside in self.by_group(at):
-            back, more = _softmax(hidden[place] @ w["inner"][k] + w["inner_bias"][k], inside, weight_of[place], count)
-            loss += more
-            g["inner"][k], g["inner_bias"][k] = hidden[place].T @ back, back.sum(0)
-            hidden_back[place] += back @ w["inner"][k].T
-        hidden_back = hidden_back.reshape(before.shape) * (before > 0)
-        g["mix"], g["skip"] = flat(seen).T @ flat(hidden_back), flat(own).T @ flat(hidden_back)
-        g["mix_bias"] = flat(hidden_back).sum(0)
+        scores = w["out"].T @ hidden.T
+        scores += w["out_bias"][:, None]
+        back, loss = _softmax(scores, at // INNER, weight_of, count, with_loss)
+        g = {"out": (back @ hidden).T, "out_bias": back.sum(1), "inner": np.zeros_like(w["inner"]), "inner_bias": np.zeros_like(w["inner_bias"])}
+        hidden_back = back.T @ w["out"].T
+        # positions in the order of their targets' groups, so that a group is a stretch
+        order, cut = self._grouped(at)
+        groups = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if a < b]
+        sorted_ = hidden.take(order, axis=0)
+        scores = np.empty((len(order), INNER), x.dtype)
+        for k, part in groups:
+            np.matmul(sorted_[part], w["inner"][k], out=scores[part])
+        scores += np.repeat(w["inner_bias"], np.diff(cut), axis=0)
+        back, more = _softmax(np.ascontiguousarray(scores.T), at[order] % INNER, weight_of[order], count, with_loss)
+        g["inner_bias"][[k for k, _ in groups]] = np.add.reduceat(back, [part.start for _, part in groups], axis=1).T
+        inner_back = np.empty_like(sorted_)
+        for k, part in groups:
+            mine = back[:, part].T
+            np.matmul(sorted_[part].T, mine, out=g["inner"][k])
+            np.matmul(mine, w["inner"][k].T, out=inner_back[part])
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        hidden_back += inner_back.take(place, axis=0)
+        hidden_back *= hidden > 0
+
+        layer = inside.T @ hidden_back
+        g["mix"], g["skip"], g["mix_bias"] = layer[:WIDTH], layer[WIDTH : 2 * WIDTH], layer[2 * WIDTH]
+        # the mean of a row's changes is one product of what was seen, and so needs no pass over the window
         seen_back = hidden_back @ w["mix"].T
-        value_back = weight.transpose(0, 2, 1) @ seen_back
-        weight_back = seen_back @ value.transpose(0, 2, 1)
-        score_back = weight * (weight_back - (weight_back * weight).sum(axis=2, keepdims=True))
-        g["bias"] = np.bincount(np.maximum(_BEHIND, 0).ravel(), (score_back.sum(0) * (_BEHIND >= 0)).ravel(), 2 * STRIDE).astype(np.float32)
-        score_back = score_back * np.float32(1 / np.sqrt(WIDTH))
-        query_back, key_back = score_back @ key, score_back.transpose(0, 2, 1) @ query
-        g["query"], g["key"], g["value"] = flat(own).T @ flat(query_back), flat(x).T @ flat(key_back), flat(x).T @ flat(value_back)
-        x_back = key_back @ w["key"].T + value_back @ w["value"].T
-        x_back[:, STRIDE:] += query_back @ w["query"].T + hidden_back @ w["skip"].T
-        g["embed"] = (inputs.reshape(-1), flat(x_back))
-        return loss, g
+        seen_back /= total
+        mean = np.einsum("ij,ij->i", seen_back, seen)
+        seen_back = seen_back.reshape(n, STRIDE, WIDTH)
+        window_back = np.empty_like(made)
+        np.matmul(chance.transpose(0, 2, 1), seen_back, out=window_back[:, :, WIDTH:])
+        score_back = seen_back @ value.transpose(0, 2, 1)
+        score_back -= mean.reshape(n, STRIDE, 1)
+        score_back *= chance
+        g["bias"] = np.bincount(np.maximum(_BEHIND, 0).ravel(), (score_back.sum(0) * (_BEHIND >= 0)).ravel(), 2 * STRIDE).astype(x.dtype)
+        np.matmul(score_back.transpose(0, 2, 1), query, out=window_back[:, :, :WIDTH])
+        own_back = np.empty((n * STRIDE, WIDTH + HIDDEN), x.dtype)
+        query_back = own_back[:, :WIDTH]
+        np.matmul(score_back, key, out=query_back.reshape(n, STRIDE, WIDTH))
+        own_back[:, WIDTH:] = hidden_back
+        window_back = window_back.reshape(-1, 2 * WIDTH)
+        g["query"], of_window = own.T @ query_back * scale, x.T @ window_back
+        g["key"], g["value"] = of_window[:, :WIDTH], of_window[:, WIDTH:]
+        x_back = window_back @ to_window.T
+        own_back = own_back @ np.concatenate([w["query"] * scale, w["skip"]], axis=1).T
+        x_back.reshape(n, 2 * STRIDE, WIDTH)[:, STRIDE:] += own_back.reshape(n, STRIDE, WIDTH)
+        g["embed"] = (inputs.reshape(-1), x_back)
+        return loss + more, g
 
 
 def blocks(ids: np.ndarray, first: np.ndarray, start_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,31 +272,56 @@ def train(
     targets[at], real[at] = words.klass[ids], True
     targets, real = targets.reshape(-1, STRIDE), real.reshape(-1, STRIDE)
     make = np.random.default_rng(seed)
-    mean = {k: np.zeros_like(v) for k, v in model.weights.items()}
-    square = {k: np.zeros_like(v) for k, v in model.weights.items()}
+    # all weights but the tokens' are one array, which the model's are parts of; means and squares of a token's changes are one row
+    small = [k for k in model.weights if k != "embed"]
+    flat = np.concatenate([model.weights[k].ravel() for k in small])
+    ends = np.cumsum([model.weights[k].size for k in small])
+    change, mean, square = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
+    changes = {}
+    for k, start, end in zip(small, np.append(0, ends), ends):
+        shape = model.weights[k].shape
+        model.weights[k], changes[k] = flat[start:end].reshape(shape), change[start:end].reshape(shape)
+    embed = model.weights["embed"]
+    moments = np.zeros((len(embed), 2 * WIDTH), embed.dtype)
+    narrow = np.min_scalar_type(len(embed))  # numbers of 16 bits are sorted in two passes
+    # a block and the one before it are neighbours; the first of all begins a document and sees none
+    windows = np.lib.stride_tricks.sliding_window_view(np.append(inputs[0], inputs), 2 * STRIDE)[::STRIDE]
     queue = np.zeros(0, np.int64)
     for step in range(1, steps + 1):
         while len(queue) < batch:  # every window once before any comes again
             queue = np.append(queue, make.permutation(len(inputs)))
         pick, queue = queue[:batch], queue[batch:]
-        window = np.concatenate([inputs[np.maximum(pick - 1, 0)], inputs[pick]], axis=1)
-        _, gradients = model.gradients(window, fresh[pick], targets[pick], real[pick])
+        _, gradients = model.gradients(windows[pick], fresh[pick], targets[pick], real[pick], False)
         speed = rate * min(1.0, 2 * (1 - step / (steps + 1))) * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
         for name, g in gradients.items():
-            w, m, s = model.weights[name], mean[name], square[name]
-            if name == "embed":  # only the rows that were seen
-                order = np.argsort(g[0], kind="stable")
-                sorted_ = g[0][order]
-                head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-                rows, g = sorted_[head], np.add.reduceat(g[1][order], head, axis=0)
-            else:
-                rows = slice(None)
-            m[rows] = 0.9 * m[rows] + 0.1 * g
-            s[rows] = 0.99 * s[rows] + 0.01 * g * g
-            w[rows] -= speed * m[rows] / (np.sqrt(s[rows]) + 1e-8)
+            if name != "embed":
+                changes[name][:] = g
+        flat -= _moved(change, mean, square, speed)
+        if "embed" in gradients:  # only the rows that were seen
+            seen, g = gradients["embed"]
+            order = np.argsort(seen.astype(narrow), kind="stable")
+            sorted_ = seen.take(order)
+            head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
+            rows, g = sorted_[head], np.add.reduceat(g.take(order, axis=0), head, axis=0)
+            old = moments.take(rows, axis=0)
+            embed[rows] -= _moved(g, old[:, :WIDTH], old[:, WIDTH:], speed)
+            moments[rows] = old
     return model
 
 
+def _moved(change: np.ndarray, mean: np.ndarray, square: np.ndarray, speed: float) -> np.ndarray:
+    """A step of Adam against changes; their mean and the mean of their squares are brought up to date."""
+    mean *= 0.9
+    mean += 0.1 * change
+    square *= 0.99
+    square += 0.01 * change * change
+    out = np.sqrt(square)
+    out += 1e-8
+    np.divide(mean, out, out=out)
+    out *= out.dtype.type(speed)
+    return out
+
+
 def token_scores(
     model: Model, words: Vocabulary, ids: np.ndarray, first: np.ndarray, at_once: int = 512, shares: np.ndarray | None = None
 ):

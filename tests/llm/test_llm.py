@@ -398,6 +398,28 @@ def test_attention_gradients_and_blocks():
         assert found[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-5, abs=1e-5, rel=1e-3)
 
 
+def test_attention_steps_follow_the_plain_rule():
+    """Changes of a token's rows are summed over its places; a step without the loss has the same gradients and moves as Adam does."""
+    make = np.random.default_rng(3)
+    model = attention.Model(30)
+    model.weights = {k: make.standard_normal(v.shape) * 0.3 for k, v in model.weights.items()}
+    inputs, first = make.integers(0, 31, (3, 32)), np.array([True, False, False])
+    targets, real = make.integers(0, attention.CLASSES, (3, 16)), make.random((3, 16)) < 0.8
+    _, found = model.gradients(inputs, first, targets, real, False)
+    total = np.zeros_like(model.weights["embed"])
+    np.add.at(total, found["embed"][0], found["embed"][1])
+    for at in [(int(t), int(k)) for t, k in zip(inputs[:, 20], (0, 7, 15))]:
+        old, losses = model.weights["embed"][at], []
+        for step in (1e-5, -1e-5):
+            model.weights["embed"][at] = old + step
+            losses.append(model.gradients(inputs, first, targets, real)[0])
+        model.weights["embed"][at] = old
+        assert total[at] == pytest.approx((losses[0] - losses[1]) / 2e-5, abs=1e-5, rel=1e-3)
+    mean, square, change = np.array([0.5, 0.0]), np.array([0.25, 0.0]), np.array([1.0, 0.0])
+    assert attention._moved(change, mean, square, 0.1) == pytest.approx([0.1 * 0.55 / (np.sqrt(0.2575) + 1e-8), 0])
+    assert mean == pytest.approx([0.55, 0]) and square == pytest.approx([0.2575, 0])
+
+
 def test_attention_is_causal_and_scores_do_not_depend_on_batching():
     make = np.random.default_rng(1)
     ids, first = make.integers(0, 30, 90), np.array([0, 50, 50, 90])
