@@ -89,6 +89,16 @@ def equal_item_aggregates() -> dict[str, Column]:
     return out | {f"on_{name}": F.bool_or(F.col(f"on_{name}")) for name in PLATFORM_WORDS}
 
 
+def counted_item_flags(item: Column, items: Column) -> dict[str, Column]:
+    """The columns of :func:`equal_item_aggregates` for one row of ``items`` equal deliverables.
+
+    ``item`` may be the normal form: no word that is searched for holds white space, so both forms hold the same ones.
+    """
+    flags = item_flags(item)
+    out = {"items": items} | {name: F.when(flags[name], items).otherwise(0) for name in KINDS}
+    return out | {name: flag for name, flag in flags.items() if name not in KINDS}
+
+
 def distinct_item_aggregates(item: str) -> dict[str, Column]:
     """As :func:`item_aggregates`, from the rows of :func:`equal_item_aggregates`, and what repeats among them."""
     repeated = F.col("items") > 1

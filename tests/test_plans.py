@@ -60,6 +60,22 @@ def test_lines_are_scanned_once(spark, queries, name):
     assert explained(queries[name](spark, SF)).count("lineitem.parquet") == 1
 
 
+@pytest.mark.parametrize("name", ["validate_agreement", "rule_unique_items"])
+def test_equal_lines_are_counted_by_more_tasks_the_more_lines(spark, queries, name, monkeypatch):
+    from loomset.plans import ruling
+
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    monkeypatch.setattr(ruling, "_LINES", lines // 60, raising=False)
+    dealt = f"{-(-lines // (lines // 60))}), REPARTITION_BY_NUM"
+    plan = explained(queries[name](spark, SF))
+    assert plan.count(dealt) == 1
+    # no groups are kept in the task that scans
+    steps = queries[name](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(i for i, line in enumerate(steps) if "FileScan" in line and "l_orderkey" in line)
+    above = next(i for i in range(scan, 0, -1) if "Exchange" in steps[i])
+    assert not any("Aggregate" in line for line in steps[above:scan])
+
+
 def test_top_n_is_limited_before_the_shuffle(spark, queries):
     assert "WindowGroupLimit" in explained(queries["top_n_per_group"](spark, SF))
 

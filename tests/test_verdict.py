@@ -106,6 +106,16 @@ def test_equal_deliverables_are_counted_in_one_pass(spark):
         (1, 2, "2 x instagram post"), (0, 1, None)]
 
 
+def test_flags_of_counted_deliverables_are_those_of_each(spark):
+    items = [(1, "2 x Instagram  Post"), (1, " 2 x\tinstagram post "), (1, "Exclusive\nIGTV usage"), (2, None), (2, None), (2, "sto ries")]
+    low = spark.createDataFrame(items, "k long, item string").select("k", A.normal_item(F.col("item")).alias("d"), F.lower("item").alias("low"))
+    flags = low.select("k", "d", *[c.alias(n) for n, c in A.item_flags(F.col("low")).items()])
+    each = flags.groupBy("k", "d").agg(*[c.alias(n) for n, c in A.equal_item_aggregates().items()])
+    counted = low.groupBy("k", "d").agg(F.count("*").alias("items"))
+    made = counted.select("k", "d", *[c.alias(n) for n, c in A.counted_item_flags(F.col("d"), F.col("items")).items()])
+    assert made.dtypes == each.dtypes and sorted(map(str, made.collect())) == sorted(map(str, each.collect()))
+
+
 def test_empty_bins_have_a_row(spark):
     rows = spark.createDataFrame([(0,), (1,), (10,)], "v long")
     got = {r.bin: (r.n, r.lowest) for r in ST.histogram(rows, "v", 5).collect()}
