@@ -48,25 +48,26 @@ def item_lines(spark, sf):
     return texts(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), item.alias("item"))
 
 
-#: lines whose equal ones one task counts; few are equal, so a task holds nearly as many groups
+#: lines that one task aggregates; few are equal or of one order, so it holds nearly as many groups
 _LINES = 1 << 18
 
 
 def agreements(spark, sf, duplicates=False):
     """One row per order. Deliverables stay a table and are aggregated, so an order may have any number of them.
 
-    With ``duplicates`` equal deliverables are counted as one row first, which tells what repeats in the same pass. They are
-    dealt out before that, to as many tasks as there are lines for, because a scan's own groups grow with its file split.
+    With ``duplicates`` equal deliverables are counted as one row first, which tells what repeats in the same pass. Lines are
+    dealt out before either, to as many tasks as there are lines for, because a scan's own groups grow with its file split.
     """
     lines = item_lines(spark, sf)
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-table(spark, sf, "lineitem").count() // _LINES))
     if duplicates:
-        tasks = max(2 * spark.sparkContext.defaultParallelism, -(-table(spark, sf, "lineitem").count() // _LINES))
         same = lines.select("o_orderkey", A.normal_item(F.col("item")).alias("d")).repartition(tasks, "o_orderkey", "d")
         equal = same.groupBy("o_orderkey", "d").agg(F.count("*").alias("items"))
         rows = equal.select("o_orderkey", "d", *[c.alias(n) for n, c in A.counted_item_flags(F.col("d"), F.col("items")).items()])
         made = A.distinct_item_aggregates("d")
     else:
-        rows = lines.select("o_orderkey", *[c.alias(n) for n, c in A.item_flags(F.lower("item")).items()])
+        dealt = lines.repartition(tasks, "o_orderkey")
+        rows = dealt.select("o_orderkey", *[c.alias(n) for n, c in A.item_flags(F.lower("item")).items()])
         made = A.item_aggregates()
     feats = rows.groupBy("o_orderkey").agg(*[c.alias(n) for n, c in made.items()])
     key, first = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)

@@ -60,8 +60,8 @@ def test_lines_are_scanned_once(spark, queries, name):
     assert explained(queries[name](spark, SF)).count("lineitem.parquet") == 1
 
 
-@pytest.mark.parametrize("name", ["validate_agreement", "rule_unique_items"])
-def test_equal_lines_are_counted_by_more_tasks_the_more_lines(spark, queries, name, monkeypatch):
+@pytest.mark.parametrize("name", ["validate_agreement", "rule_unique_items", "rule_platform", "expected_fee"])
+def test_lines_are_aggregated_by_more_tasks_the_more_lines(spark, queries, name, monkeypatch):
     from loomset.plans import ruling
 
     lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
