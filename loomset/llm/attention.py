@@ -79,14 +79,23 @@ _SHAPES = {
 
 # place of each key of the window behind each query of the block, and which are visible
 _BEHIND = np.arange(STRIDE)[:, None] + STRIDE - np.arange(2 * STRIDE)[None, :]
+_VISIBLE, _PLACE = _BEHIND >= 0, np.maximum(_BEHIND, 0)
 _HIDDEN = np.float32(-1e9)
 _MOST = np.float32(60)
+#: positions of one group that are multiplied at once
+_TILE = 64
+
+
+def _lowered(scores: np.ndarray) -> np.ndarray:
+    """Scores (choices, n) whose exp neither is infinite nor vanishes; they rarely are so far from 0 that the largest must be subtracted."""
+    if scores.size and (scores.max() > _MOST or scores.min() < -_MOST):
+        scores -= scores.max(axis=0)
+    return scores
 
 
 def _softmax(scores: np.ndarray, targets: np.ndarray, real: np.ndarray, count: int, with_loss: bool) -> tuple[np.ndarray, float]:
     """The gradient of the mean loss by scores (choices, n), in their place, and the loss if asked for."""
-    scores -= scores.max(axis=0)
-    np.exp(scores, out=scores)
+    np.exp(_lowered(scores), out=scores)
     total = scores.sum(axis=0)
     cells, at = scores.reshape(-1), targets * scores.shape[1] + np.arange(scores.shape[1])
     loss = -np.log(np.maximum(cells[at] / total, 1e-30))[real].sum() / count if with_loss else 0.0
@@ -96,13 +105,12 @@ def _softmax(scores: np.ndarray, targets: np.ndarray, real: np.ndarray, count: i
     return scores, loss
 
 
-def _ln_chance(scores: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ln chance of the targets among scores (choices, n), all chances up to a factor, and ln of their sum."""
-    scores -= scores.max(axis=0)
-    picked = scores[targets, np.arange(scores.shape[1])]
-    np.exp(scores, out=scores)
-    total = np.log(scores.sum(axis=0))
-    return picked - total, scores, total
+def _ln_chance(scores: np.ndarray, targets: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ln chance of the targets among scores (choices, n), and the ln chance of every row of ``sums``, which marks choices; the first row all."""
+    n = scores.shape[1]
+    picked = _lowered(scores).reshape(-1).take(targets * n + np.arange(n))
+    total = np.log(np.maximum(sums @ np.exp(scores, out=scores), 1e-30))
+    return picked - total[0], total[1:] - total[0]
 
 
 class Model:
@@ -117,9 +125,9 @@ class Model:
             self.weights[name] = (make.standard_normal(shape) * scale).astype(np.float32)
 
     def _chances(self, query, key, first):
-        """exp of the scores of queries that are scaled already, and their sums."""
-        score = query @ key.transpose(0, 2, 1)
-        score += np.where(_BEHIND >= 0, self.weights["bias"][np.maximum(_BEHIND, 0)], _HIDDEN)
+        """exp of the scores of queries that are scaled already, and their sums; keys are columns."""
+        score = query @ key
+        score += np.where(_VISIBLE, self.weights["bias"][_PLACE], _HIDDEN)
         score[first, :, :STRIDE] = _HIDDEN
         # nothing near this is ever learned; it takes the place of subtracting the largest score of a row
         if score.size and score.max() > _MOST:
@@ -129,19 +137,21 @@ class Model:
 
     def hidden(self, inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
         """The last layer at the positions of consecutive blocks (n, STRIDE); block 0 is context of block 1, and so on."""
-        w = self.weights
-        x = w["embed"].take(inputs.reshape(-1), axis=0)
-        scaled = w["query"] * np.float32(1 / np.sqrt(WIDTH))
-        made = x @ np.concatenate([scaled, w["key"], w["value"], w["skip"]], axis=1)
-        own = made[:, WIDTH : 3 * WIDTH].reshape(-1, STRIDE, 2 * WIDTH)
-        window = np.zeros((len(own), 2 * STRIDE, 2 * WIDTH), np.float32)
-        window[:, STRIDE:], window[1:, :STRIDE] = own, own[:-1]
-        chance, total = self._chances(made[:, :WIDTH].reshape(-1, STRIDE, WIDTH), window[:, :, :WIDTH], first)
-        seen = chance @ window[:, :, WIDTH:]
-        seen /= total[:, :, None]
-        hidden = seen.reshape(-1, WIDTH) @ w["mix"]
-        hidden += made[:, 3 * WIDTH :]
-        hidden += w["mix_bias"]
+        w, n = self.weights, len(inputs)
+        x = w["embed"].take(np.append(inputs[:1], inputs), axis=0).reshape(-1, WIDTH)  # what stands before block 0 is hidden from it
+        made = (x @ np.concatenate([w["query"] * np.float32(1 / np.sqrt(WIDTH)), w["value"]], axis=1)).reshape(n + 1, STRIDE, 2 * WIDTH)
+        turned = w["key"].T @ x.T
+        # windows are parts of the same rows, and of the same columns of the keys
+        row, cell = made.strides[1:]
+        value = np.lib.stride_tricks.as_strided(made[:, :, WIDTH:], (n, 2 * STRIDE, WIDTH), (STRIDE * row, row, cell), writeable=False)
+        row, cell = turned.strides
+        key = np.lib.stride_tricks.as_strided(turned, (n, WIDTH, 2 * STRIDE), (STRIDE * cell, row, cell), writeable=False)
+        chance, total = self._chances(made[1:, :, :WIDTH], key, np.append(True, first[1:]))
+        # what was seen, the position itself, and the one of the bias: the inputs of the layer
+        inside = np.empty((n * STRIDE, 2 * WIDTH + 1), x.dtype)
+        np.divide((chance @ value).reshape(-1, WIDTH), total.reshape(-1, 1), out=inside[:, :WIDTH])
+        inside[:, WIDTH : 2 * WIDTH], inside[:, 2 * WIDTH] = x[STRIDE:], 1
+        hidden = inside @ np.concatenate([w["mix"], w["skip"], w["mix_bias"][None]])
         return np.maximum(hidden, 0, out=hidden)
 
     def _grouped(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,16 +160,18 @@ class Model:
         return np.argsort(group, kind="stable"), np.append(0, np.cumsum(np.bincount(group, minlength=GROUPS)))
 
     def within(self, hidden: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """ln chance of each target class within its group."""
+        """ln chance of each target class within its group, multiplied in tiles of one group; what fills a tile is position 0 again."""
         order, cut = self._grouped(targets)
-        sorted_ = hidden.take(order, axis=0)
-        scores = np.empty((len(order), INNER), np.float32)
-        for k, (low, high) in enumerate(zip(cut[:-1], cut[1:])):
-            np.matmul(sorted_[low:high], self.weights["inner"][k], out=scores[low:high])
-        scores += np.repeat(self.weights["inner_bias"], np.diff(cut), axis=0)
-        out = np.empty(len(targets), np.float32)
-        out[order] = _ln_chance(np.ascontiguousarray(scores.T), targets[order] % INNER)[0]
-        return out
+        tiles = -(-np.diff(cut) // _TILE)
+        group = np.repeat(np.arange(GROUPS), tiles)
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order)) + np.repeat((np.cumsum(tiles) - tiles) * _TILE - cut[:-1], np.diff(cut))
+        at = np.zeros(len(group) * _TILE, np.int64)
+        at[place] = np.arange(len(order))
+        scores = hidden.take(at, axis=0).reshape(len(group), _TILE, HIDDEN) @ self.weights["inner"][group]
+        scores += self.weights["inner_bias"][group][:, None]
+        scores = np.ascontiguousarray(scores.reshape(-1, INNER).T)
+        return _ln_chance(scores, targets.take(at) % INNER, np.ones((1, INNER), scores.dtype))[0].take(place)
 
     def gradients(self, inputs: np.ndarray, first: np.ndarray, targets: np.ndarray, real: np.ndarray, with_loss: bool = True):
         """Loss per token, and its gradients, for windows (n, 2 * STRIDE) whose second half is predicted.
@@ -178,7 +190,7 @@ class Model:
         query = (own @ (w["query"] * scale)).reshape(n, STRIDE, WIDTH)
         made = (x @ to_window).reshape(n, 2 * STRIDE, 2 * WIDTH)
         key, value = made[:, :, :WIDTH], made[:, :, WIDTH:]
-        chance, total = self._chances(query, key, first)
+        chance, total = self._chances(query, key.transpose(0, 2, 1), first)
         total = total.reshape(-1, 1)
         np.divide((chance @ value).reshape(-1, WIDTH), total, out=seen)
         hidden = inside @ np.concatenate([w["mix"], w["skip"], w["mix_bias"][None]])
@@ -211,7 +223,7 @@ class Model:
         hidden_back += inner_back.take(place, axis=0)
         hidden_back *= hidden > 0
 
-        layer = inside.T @ hidden_back
+        layer = _product(inside, hidden_back)
         g["mix"], g["skip"], g["mix_bias"] = layer[:WIDTH], layer[WIDTH : 2 * WIDTH], layer[2 * WIDTH]
         # the mean of a row's changes is one product of what was seen, and so needs no pass over the window
         seen_back = hidden_back @ w["mix"].T
@@ -223,14 +235,14 @@ class Model:
         score_back = seen_back @ value.transpose(0, 2, 1)
         score_back -= mean.reshape(n, STRIDE, 1)
         score_back *= chance
-        g["bias"] = np.bincount(np.maximum(_BEHIND, 0).ravel(), (score_back.sum(0) * (_BEHIND >= 0)).ravel(), 2 * STRIDE).astype(x.dtype)
+        g["bias"] = np.bincount(_PLACE.ravel(), (score_back.sum(0) * _VISIBLE).ravel(), 2 * STRIDE).astype(x.dtype)
         np.matmul(score_back.transpose(0, 2, 1), query, out=window_back[:, :, :WIDTH])
         own_back = np.empty((n * STRIDE, WIDTH + HIDDEN), x.dtype)
         query_back = own_back[:, :WIDTH]
         np.matmul(score_back, key, out=query_back.reshape(n, STRIDE, WIDTH))
         own_back[:, WIDTH:] = hidden_back
         window_back = window_back.reshape(-1, 2 * WIDTH)
-        g["query"], of_window = own.T @ query_back * scale, x.T @ window_back
+        g["query"], of_window = _product(own, query_back) * scale, _product(x, window_back)
         g["key"], g["value"] = of_window[:, :WIDTH], of_window[:, WIDTH:]
         x_back = window_back @ to_window.T
         own_back = own_back @ np.concatenate([w["query"] * scale, w["skip"]], axis=1).T
@@ -239,6 +251,13 @@ class Model:
         return loss + more, g
 
 
+def _product(left: np.ndarray, right: np.ndarray, at_once: int = 256) -> np.ndarray:
+    """left.T @ right of many rows, some at once."""
+    if len(left) % at_once:
+        return left.T @ right
+    return (left.reshape(-1, at_once, left.shape[1]).transpose(0, 2, 1) @ right.reshape(-1, at_once, right.shape[1])).sum(0)
+
+
 def blocks(ids: np.ndarray, first: np.ndarray, start_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs of all positions in blocks, which blocks begin a document, and where each token and each end is predicted.
 
@@ -272,7 +291,7 @@ def train(
     targets[at], real[at] = words.klass[ids], True
     targets, real = targets.reshape(-1, STRIDE), real.reshape(-1, STRIDE)
     make = np.random.default_rng(seed)
-    # all weights but the tokens' are one array, which the model's are parts of; means and squares of a token's changes are one row
+    # all weights but the tokens' are one array, which the model's are parts of
     small = [k for k in model.weights if k != "embed"]
     flat = np.concatenate([model.weights[k].ravel() for k in small])
     ends = np.cumsum([model.weights[k].size for k in small])
@@ -282,7 +301,7 @@ def train(
         shape = model.weights[k].shape
         model.weights[k], changes[k] = flat[start:end].reshape(shape), change[start:end].reshape(shape)
     embed = model.weights["embed"]
-    moments = np.zeros((len(embed), 2 * WIDTH), embed.dtype)
+    means, squares = np.zeros_like(embed), np.zeros_like(embed)
     narrow = np.min_scalar_type(len(embed))  # numbers of 16 bits are sorted in two passes
     # a block and the one before it are neighbours; the first of all begins a document and sees none
     windows = np.lib.stride_tricks.sliding_window_view(np.append(inputs[0], inputs), 2 * STRIDE)[::STRIDE]
@@ -302,10 +321,11 @@ def train(
             order = np.argsort(seen.astype(narrow), kind="stable")
             sorted_ = seen.take(order)
             head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-            rows, g = sorted_[head], np.add.reduceat(g.take(order, axis=0), head, axis=0)
-            old = moments.take(rows, axis=0)
-            embed[rows] -= _moved(g, old[:, :WIDTH], old[:, WIDTH:], speed)
-            moments[rows] = old
+            # two columns are summed as one number of two parts
+            rows, g = sorted_[head], np.add.reduceat(g.take(order, axis=0).view(np.complex64), head, axis=0).view(np.float32)
+            of_rows = means.take(rows, axis=0), squares.take(rows, axis=0)
+            embed[rows] -= _moved(g, *of_rows, speed)
+            means[rows], squares[rows] = of_rows
     return model
 
 
@@ -331,10 +351,10 @@ def token_scores(
     ends = first[1:] + np.arange(len(first) - 1)
     token_place = np.delete(place, ends)
     target[token_place] = words.klass[ids]
-    asked = np.zeros(inputs.size, bool)
-    asked[token_place] = True
     chosen, starts = np.empty(inputs.size, np.float32), np.empty(inputs.size, np.float32)
-    begins = words.starts // INNER
+    # all groups, and those of tokens that begin a word
+    sums = np.ones((2, GROUPS), np.float32)
+    sums[1, words.starts // INNER :] = 0
     for low in range(0, len(inputs), at_once):
         from_ = max(low - 1, 0)
         hidden = model.hidden(inputs[from_ : low + at_once], fresh[from_ : low + at_once])[(low - from_) * STRIDE :]
@@ -342,10 +362,8 @@ def token_scores(
         goal = target[part]
         scores = model.weights["out"].T @ hidden.T
         scores += model.weights["out_bias"][:, None]
-        chosen[part], chance, total = _ln_chance(scores, goal // INNER)
-        starts[part] = np.log(np.maximum(chance[:begins].sum(axis=0), 1e-30)) - total
-        here = np.flatnonzero(asked[part])
-        chosen[low * STRIDE + here] += model.within(hidden[here], goal[here])
+        chosen[part], starts[part] = _ln_chance(scores, goal // INNER, sums)
+        chosen[part] += model.within(hidden, goal)
     token = np.zeros(len(place))
     keep = np.ones(len(place), bool)
     keep[ends] = False

@@ -19,7 +19,7 @@ training has count 0; repeated rows count as often as they stand there; other co
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +38,27 @@ CORPUS_WEIGHT = 0.5
 #: speed of that training, lower than the start's as the model is near its place
 RATE = 0.003
 _ROWS_OF_WEIGHTS = 512
+#: words, and ids of words, that a worker keeps at most from slice to slice
+_KNOWN_WORDS, _KNOWN_IDS = 1 << 19, 1 << 22
 
 
 class Subwords:
     """Ids of words, each with a space before it, from a byte-level BPE rank file."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        self.ranks, self.pattern, self._encoder, self._begins = ranks, pattern, None, None
+        self.ranks, self.pattern = ranks, pattern
 
-    def __getstate__(self):
-        return {"ranks": self.ranks, "pattern": self.pattern, "_encoder": None, "_begins": None}
+    def _made(self) -> _Made:
+        """Encoder and known words, made once for a worker process; of one rank file at a time."""
+        key = (self.ranks, self.pattern)
+        if key not in _MADE:
+            _MADE.clear()
+            _MADE[key] = _Made(self)
+        return _MADE[key]
+
+    @property
+    def _encoder(self):
+        return self._made().encoder
 
     def pieces(self) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.ranks.splitlines()) if a}
@@ -62,18 +73,13 @@ class Subwords:
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not words:
             return np.zeros(0, np.int64), np.zeros(1, np.int64)
-        if self._encoder is None:
-            import tiktoken
-
-            self._encoder = tiktoken.Encoding("subwords", pat_str=self.pattern, mergeable_ranks=self.pieces(), special_tokens={})
-            self._begins = self.begins_word()
         # words without white space of any script never share a piece with their neighbours, so they go through together;
         # each begins with the token that holds its space
         odd = [i for i, w in enumerate(words) if len(w.split()) != 1] if len(" ".join(words).split()) != len(words) else []
         strange = set(odd)
         plain = [w for i, w in enumerate(words) if i not in strange] if odd else words
         ids = np.array(self._encoder.encode_ordinary(" " + " ".join(plain)) if plain else [], np.int64)
-        begin = np.flatnonzero(self._begins[ids])
+        begin = np.flatnonzero(self._made().begins[ids])
         if len(begin) != len(plain):
             raise ValueError("the pattern joins words")
         if not odd:
@@ -84,6 +90,58 @@ class Subwords:
             parts.append(np.array(own[i], np.int64) if i in strange else next(at))
         return np.concatenate(parts), np.append(0, np.cumsum([len(x) for x in parts])).astype(np.int64)
 
+    def encode_new(self, value: np.ndarray, spelled: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`encode`, of words by ascending hashes; only those not known from before are spelled, by their places."""
+        return self._made().known.of(value, lambda new: self.encode(spelled(new)))
+
+
+class _Made:
+    """An encoder, which of its tokens begin a word, and the words it met."""
+
+    def __init__(self, words: Subwords):
+        import tiktoken
+
+        self.encoder = tiktoken.Encoding("subwords", pat_str=words.pattern, mergeable_ranks=words.pieces(), special_tokens={})
+        self.begins, self.known = words.begins_word(), _Known()
+
+
+_MADE: dict[tuple[bytes, str], _Made] = {}
+
+
+class _Known:
+    """Ids of words by the words' hashes. Where they would be too many, only the last slice's are kept."""
+
+    def __init__(self):
+        self._forget()
+
+    def _forget(self) -> None:
+        self.value, self.start, self.count, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _keep(self, value: np.ndarray, start: np.ndarray, count: np.ndarray, ids: np.ndarray) -> bool:
+        fits = len(value) <= _KNOWN_WORDS and len(ids) <= _KNOWN_IDS
+        if fits:
+            self.value, self.start, self.count, self.ids = value, start, count, ids
+        return fits
+
+    def of(self, value: np.ndarray, encode: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words given by ascending hashes, and their ranges; ``encode`` gets the places of new ones."""
+        at = np.searchsorted(self.value, value)
+        old = np.append(self.value, np.uint64(0))[at] == value
+        old &= at < len(self.value)
+        new = np.flatnonzero(~old)
+        ids, first = encode(new)
+        ids = np.append(self.ids, ids.astype(np.uint32))
+        start, count = np.empty(len(value), np.int64), np.empty(len(value), np.int64)
+        start[old], start[new] = self.start[at[old]], first[:-1] + len(self.ids)
+        count[old], count[new] = self.count[at[old]], np.diff(first)
+        own = ids[ragged_range(start, count)]
+        ranges = np.append(0, np.cumsum(count))
+        place = at[new]
+        both = [np.insert(a, place, b[new]) for a, b in ((self.value, value), (self.start, start), (self.count, count))]
+        if not self._keep(*both, ids) and not self._keep(value, ranges[:-1], count, own):
+            self._forget()
+        return own.astype(np.int64), ranges
+
 
 class _Read:
     """Words of some rows, and which of the distinct words each is."""
@@ -91,16 +149,20 @@ class _Read:
     def __init__(self, column: pa.Array):
         self.texts = lowered(texts_of(column))
         self.words = words_of(self.texts, NOT_SPACE)
-        self.value, self.at, self.number = np.unique(word_hashes(self.texts, self.words), return_index=True, return_inverse=True)
+        self.value, self.at, self.number = _apart(word_hashes(self.texts, self.words))
 
     def subwords(self, encoder: Subwords) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the distinct words, and their ranges."""
-        size = (self.words.end - self.words.start)[self.at]
-        own = self.texts.data[ragged_range(self.words.start[self.at], size)]
-        spelled = pa.LargeStringArray.from_buffers(
-            len(self.at), pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int64)), pa.py_buffer(own)
-        ).to_pylist()
-        return encoder.encode(spelled)
+        return encoder.encode_new(self.value, self._spelled)
+
+    def _spelled(self, places: np.ndarray) -> list[str]:
+        """Some of the distinct words."""
+        start = self.words.start[self.at[places]]
+        size = self.words.end[self.at[places]] - start
+        # a space before each; no word holds one
+        joined = np.full(int(size.sum()) + len(places), 0x20, np.uint8)
+        joined[ragged_range(np.cumsum(size + 1) - size, size)] = self.texts.data[ragged_range(start, size)]
+        return joined.tobytes().decode().split(" ")[1:]
 
     def streams(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all words in order, where each word begins among them, and the ranges of the rows."""
@@ -158,7 +220,7 @@ class _Coded:
         if with_words:
             # equal words have equal ids
             value = flat.hashes(data, self.begin[:-1] * width, self.begin[1:] * width)
-            self.value, self.number = np.unique(value, return_inverse=True)
+            self.value, _, self.number = _apart(value)
 
     @classmethod
     def of(cls, table: pa.Table, wide: bool) -> _Coded:
@@ -217,6 +279,24 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return packed[new], number
 
 
+def _apart(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different hashes, ascending, a place of each, and which of them each is; by one sort of first bits with places."""
+    places = np.uint64((1 << max(len(hashes) - 1, 1).bit_length()) - 1)
+    packed = hashes & ~places
+    packed |= np.arange(len(hashes), dtype=np.uint64)
+    packed.sort()
+    packed &= places
+    order = packed.view(np.int64)
+    ordered = hashes[order]
+    if (ordered[1:] < ordered[:-1]).any():  # some differ in their last bits only
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+    head, run = _runs(ordered)
+    number = np.empty(len(hashes), np.int64)
+    number[order] = run
+    return ordered[head], order[head], number
+
+
 def _pairs_asked(keys: np.ndarray, vocabulary: attention.Vocabulary, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """The distinct pairs of a group by bucket, ascending; a token and a class after it are in one bucket."""
     bucket = (mixed(vocabulary.contexts(keys).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)

@@ -698,3 +698,75 @@ def test_attention_trains_on_every_document():
     model.gradients = lambda window, *_: (seen.append(window[:, attention.STRIDE :]), (0.0, {}))[1]
     attention.train(ids, first, words, steps=-(-len(inputs) // 4), batch=4, model=model)
     assert {tuple(w) for part in seen for w in part} == {tuple(w) for w in inputs}
+
+
+def test_words_of_earlier_slices_are_not_spelled_again(monkeypatch):
+    """A worker spells a word once; the ids are those of an encoder that knows nothing, also when it has to forget."""
+    encoder = language_model.Subwords(open(RANKS, "rb").read(), tokenizers_of.PATTERN)
+    texts = ["one two three", "two one four \u00c4\u00d6\u00dc", "a\u2003b one", "", "four five six seven one"]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t]), pa.array([False])], names=["doc_id", "text", "held_out"])
+        for i, t in enumerate(texts)
+    ]
+    spelled, plain = [], language_model.Subwords.encode
+    monkeypatch.setattr(language_model, "_MADE", {})
+    monkeypatch.setattr(language_model.Subwords, "encode", lambda self, words: (spelled.extend(words), plain(self, words))[1])
+    rows = [r for b in language_model._encode(encoder, False)(batches) for r in b.to_pylist()]
+    assert sorted(spelled) == sorted({w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)})
+    for limit in (0, 2, 4):
+        monkeypatch.setattr(language_model, "_KNOWN_WORDS", limit)
+        monkeypatch.setattr(language_model, "_MADE", {})
+        again = [r for b in language_model._encode(encoder, False)(batches) for r in b.to_pylist()]
+        assert again == rows and len(next(iter(language_model._MADE.values())).known.value) <= limit
+    want = [plain(encoder, t.split(" "))[0] if t else [] for t in texts]
+    assert [np.frombuffer(r["ids"], np.uint16).tolist() for r in rows] == [list(w) for w in want]
+
+
+def test_hashes_that_differ_in_their_last_bits_stay_apart():
+    make = np.random.default_rng(4)
+    for values in (make.integers(0, 1 << 63, 500), (7 << 40) + make.integers(0, 40, 500), [5, 4, 5, 4], [9], []):
+        values = np.array(values, np.uint64)
+        value, at, number = language_model._apart(values)
+        want, number_of = np.unique(values, return_inverse=True)
+        assert (value == want).all() and (values[at] == want).all() and (number == number_of).all()
+
+
+def test_chances_of_scores_far_from_zero():
+    """Scores are only lowered where exp would leave its range; chances and gradients are the same either way."""
+    make = np.random.default_rng(5)
+    scores, targets = make.standard_normal((16, 40)), make.integers(0, 16, 40)
+    sums = np.ones((2, 16))
+    sums[1, 8:] = 0
+    want = scores - np.log(np.exp(scores).sum(0))
+    for shift in (0, 100, -2000, np.where(np.arange(40) % 2, 500, -900)):
+        got, starts = attention._ln_chance(scores + shift, targets, sums)
+        assert got == pytest.approx(want[targets, np.arange(40)]) and starts[0] == pytest.approx(np.log(np.exp(want[:8]).sum(0)))
+        back, _ = attention._softmax(scores + shift, targets, np.ones(40, bool), 40, False)
+        assert back == pytest.approx((np.exp(want) - np.eye(16)[targets].T) / 40)
+
+
+def test_attention_scores_equal_plain_ones():
+    """Every token's chance as written down: attention over its window, the layer, its group and its place in the group."""
+    make = np.random.default_rng(6)
+    ids, first = make.integers(0, 30, 60), np.array([0, 37, 37, 60])
+    words = attention.Vocabulary.of_counts(np.bincount(ids, minlength=30), make.random(30) < 0.5)
+    model = attention.Model(30)
+    w = model.weights = {k: (v + make.standard_normal(v.shape) * 0.3).astype(np.float32) for k, v in model.weights.items()}
+    token, starts = attention.token_scores(model, words, ids, first, at_once=2, shares=np.zeros(60))
+    want = []
+    for a, b in zip(first[:-1], first[1:]):
+        x = w["embed"][np.append(30, ids[a:b])]
+        for i in range(b - a + 1):
+            low = max(i // attention.STRIDE - 1, 0) * attention.STRIDE
+            score = (x[low : i + 1] @ w["key"]) @ (x[i] @ w["query"]) / np.sqrt(attention.WIDTH) + w["bias"][i - np.arange(low, i + 1)]
+            chance = np.exp(score) / np.exp(score).sum()
+            hidden = np.maximum(chance @ (x[low : i + 1] @ w["value"]) @ w["mix"] + x[i] @ w["skip"] + w["mix_bias"], 0)
+            group = np.exp(hidden @ w["out"] + w["out_bias"])
+            start = np.log(group[: words.starts // attention.INNER].sum() / group.sum())
+            if i == b - a:
+                want.append((0.0, start))
+                continue
+            k, place = divmod(words.klass[ids[a + i]], attention.INNER)
+            inner = np.exp(hidden @ w["inner"][k] + w["inner_bias"][k])
+            want.append((np.log(group[k] / group.sum() * inner[place] / inner.sum()), start))
+    assert np.allclose(np.array(want).T, [token, starts], atol=1e-4)
