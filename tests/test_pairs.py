@@ -1,11 +1,16 @@
 """Pair jobs on tables made for them: copies, repeated ids, large groups, and what they shuffle and write."""
 
+import itertools
+import os
+import random
 from collections import Counter
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from loomset.operators import listed, setgroups
+from loomset.operators import neardup as N
 from loomset.operators import vectors as V
 from loomset.plans import load
 
@@ -31,3 +36,83 @@ def test_rows_that_come_twice_pair_as_rows(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 0.1])], "id long, vec array<float>")
     got = Counter((r.a, r.b) for r in V.near_dup_pairs(rows, "id", "vec", 0.9, every_copy=True).collect())
     assert got == {(1, 2): 2, (1, 3): 2, (2, 3): 1}
+
+
+def brute_force(sets, threshold):
+    """Pairs of rows (id, kind, items) with how often each comes."""
+    out = Counter()
+    for i, (a, _, x) in enumerate(sets):
+        for b, _, y in sets[i + 1 :]:
+            if a != b and len(set(x) & set(y)) / len(set(x) | set(y)) >= threshold:
+                out[min(a, b), max(a, b)] += 1
+    return out
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.7, 0.9])
+def test_groups_of_near_copies_equal_brute_force(spark, threshold, monkeypatch):
+    monkeypatch.setattr(setgroups, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(setgroups, "_ROOM", 64)
+    monkeypatch.setattr(listed, "_CHUNK_ITEMS", 300)
+    rnd = random.Random(5)
+    common = list(range(10**12, 10**12 + 3))
+    sets = []
+    for group in range(12):
+        base = [rnd.getrandbits(60) for _ in range(40)]
+        for _ in range(rnd.choice([1, 2, 3, 40])):
+            fresh = [rnd.getrandbits(60) for _ in range(rnd.choice([0, 2, 8, 16]))]
+            sets.append((len(sets), rnd.choice("ab"), base[len(fresh) :] + fresh + common))
+    # ids that come again, with the same items and with others, and sets of one item
+    sets += [sets[0], sets[3], (5, "a", sets[20][2]), (900, "b", [7]), (901, "a", [7]), (902, "a", [8])]
+    frame = spark.createDataFrame(sets, "id long, kind string, items array<long>").repartition(5, "id")
+    found = Counter((r.a, r.b) for r in N.jaccard_pairs(frame, threshold).collect())
+    assert found == brute_force(sets, threshold)
+    kinds = {(i, tuple(x)): k for i, k, x in sets}
+    assert len(kinds) and {(r.a, r.b) for r in N.jaccard_pairs(frame.where("id <> 5"), threshold, other_than="kind").collect()} == {
+        p for i, x in enumerate(sets) for y in sets[i + 1 :] if 5 not in (x[0], y[0]) and x[1] != y[1] for p in brute_force([x, y], threshold)}
+
+
+def test_sets_that_share_too_little_are_not_dealt(spark):
+    rnd = random.Random(6)
+    sets = [(i, [rnd.getrandbits(60) for _ in range(300)]) for i in range(400)]
+    sets = [(i, x[:290] + list(range(10))) for i, x in sets] + [(400, sets[0][1][5:290] + list(range(10)))]
+    frame = spark.createDataFrame(sets, "id long, items array<long>")
+    assert sorted(r.id for r in listed.may_pair(frame, 0.7).collect()) == [0, 400]
+    found = N.jaccard_pairs(frame, 0.7)
+    assert [(r.a, r.b) for r in found.collect()] == [(0, 400)]
+    assert found.count() == 1
+    # a tenth of the sets' bytes at most are written as sets
+    written = [f for f in found.inputFiles() if "sets-" in f]
+    assert written and sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in set(written)) < 400 * 300 * 8 / 10
+
+
+def test_a_large_group_of_near_copies_is_not_met_by_item(spark):
+    rnd = random.Random(7)
+    base = [rnd.getrandbits(60) for _ in range(200)]
+    sets = [(i, base[2:] + [rnd.getrandbits(60) for _ in range(2)]) for i in range(300)]
+    frame = spark.createDataFrame(sets, "id long, items array<long>").select("id", "items", F.size("items").alias("n"), F.lit(None).cast("string").alias("kind"))
+    frame = frame.withColumn("keys", setgroups.keys(F.col("items")))
+    pairs = setgroups.pairs_in_groups(frame, 0.7, False, lambda ids: ids)
+    found = [(r.a, r.b) for r in pairs.collect()]
+    assert len(found) == len(set(found)) >= 0.999 * 300 * 299 / 2
+    # the few that agree under no seed are found by their items
+    assert sorted((r.a, r.b) for r in N.jaccard_pairs(frame, 0.7).collect()) == sorted(itertools.combinations(range(300), 2))
+
+
+def test_shingles_of_texts_without_words_or_text(spark):
+    rows = spark.createDataFrame([(1, ""), (2, "?!"), (3, None), (4, None), (5, "one two"), (6, "one two"), (7, "two one"), (8, "one two three")], "id long, t string")
+    got = Counter((r.a, r.b) for r in N.near_dup_text_pairs(rows, "id", "t").collect())
+    assert got == {(1, 2): 1, (3, 4): 1, (5, 6): 1}
+
+
+@pytest.mark.parametrize("most, hot", [(4, 3), (2048, 512)])
+def test_meetings_in_cells_equal_brute_force(spark, most, hot, monkeypatch):
+    monkeypatch.setattr(setgroups, "MOST_ROWS", most)
+    monkeypatch.setattr(setgroups, "keys", lambda items: F.array(*[F.col("id").cast("int")] * setgroups.SEEDS))
+    monkeypatch.setattr(N, "keys", setgroups.keys)  # no groups: every pair is found by its items
+    rnd = random.Random(8)
+    sets = []
+    for base in ([rnd.getrandbits(60) for _ in range(20)] for _ in range(6)):
+        sets += [(len(sets) + i, "", rnd.sample(base, rnd.choice([12, 17, 20]))) for i in range(12)]
+    frame = spark.createDataFrame(sets, "id long, kind string, items array<long>")
+    found = Counter((r.a, r.b) for r in N.jaccard_pairs(frame, 0.6, hot).collect())
+    assert found == brute_force(sets, 0.6) and len(found) > 50
