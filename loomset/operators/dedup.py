@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomset.session import written_table
+
 from .graphs import components
 
 
@@ -20,15 +24,18 @@ def best_of(id_: str, coherence: str, is_ood: str):
 
 
 def resolve_duplicates(
-    df: DataFrame, near: DataFrame, id_: str = "id", text: str = "text", coherence: str = "coherence", is_ood: str = "is_ood"
+    df: DataFrame, near: DataFrame, id_: str = "id", text: str = "text", coherence: str = "coherence", is_ood: str = "is_ood",
+    scored: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows (id, reason) to remove.
 
     Exact groups go first. Then every component of the edges ``near(a, b)`` is
-    reduced among the ids that are left.
+    reduced among the ids that are left. Where scores are looked up in another table,
+    ``scored`` adds them to rows (id_, digest), so that no text goes through the join.
     """
-    rows = df.where(F.trim(text) != "").select(
-        F.col(id_).alias("id"), F.md5(text).alias("digest"), F.col(coherence).alias("coherence"), F.col(is_ood).alias("is_ood"))
+    rows = df.where(F.trim(text) != "").withColumn("digest", F.unhex(F.md5(text)))
+    rows = scored(rows.select(id_, "digest")) if scored else rows
+    rows = written_table(rows.select(F.col(id_).alias("id"), "digest", F.col(coherence).alias("coherence"), F.col(is_ood).alias("is_ood")), "scored")
     keep = rows.groupBy("digest").agg(best_of("id", "coherence", "is_ood").alias("kept"), F.count("*").alias("n")).where("n > 1")
     exact = rows.join(keep, "digest").where("id <> kept").select(
         "id", F.concat(F.lit("exact_duplicate_of_"), F.col("kept").cast("string")).alias("reason"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from loomset.functions import rules as R
@@ -18,7 +20,7 @@ from loomset.operators.stats import long_rows
 from . import sqltext as S
 from .joining import NEAR, SQL_VEC_PAIRS, sql_text_pairs, vecs
 from .registry import query, quoted, small_table, table, texts
-from .views import doc_labels, samples, split_of
+from .views import doc_labels, samples, split_of, with_scores
 
 
 def docs(spark, sf):
@@ -60,9 +62,8 @@ resolved AS (
 
 @query("resolve_duplicates", f"WITH RECURSIVE {SQL_RESOLVED} SELECT id, reason FROM resolved")
 def resolve_duplicates(spark, sf):
-    rows = samples(spark, sf).withColumnRenamed("doc_id", "id")
     near = near_dup_text_pairs(texts(spark, sf), "doc_id", "text", 0.7)
-    return D.resolve_duplicates(rows, near)
+    return D.resolve_duplicates(texts(spark, sf), near, "doc_id", scored=partial(with_scores, spark, sf))
 
 
 @query("dedup_stats", f"""

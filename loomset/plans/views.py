@@ -14,16 +14,21 @@ def split_of(column: Column) -> Column:
     return F.when(head < "b333", "train").when(head < "d999", "val").otherwise("test")
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their scores; a missing score means coherent and in distribution."""
+def with_scores(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Rows of documents with their scores; a missing score means coherent and in distribution."""
     scores = table(spark, sf_dir, "labels")
-    return texts(spark, sf_dir).join(scores, "doc_id", "left").select(
-        "doc_id", "text", "lang", "source", "n_chars",
+    return docs.join(scores, "doc_id", "left").select(
+        *docs.columns,
         F.coalesce(F.col("quality"), F.lit(1)).cast("double").alias("coherence"),
         (F.coalesce(F.col("toxic"), F.lit(0)) == 1).alias("is_ood"),
     )
 
 
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their scores."""
+    return with_scores(spark, sf_dir, texts(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars"))
+
+
 def doc_labels(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Documents with labels from their own columns; ``more`` names columns of documents to keep."""
     scores = table(spark, sf_dir, "labels")

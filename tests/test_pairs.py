@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from loomset.operators import listed, setgroups
 from loomset.operators import neardup as N
 from loomset.operators import vectors as V
-from loomset.plans import load
+from loomset.plans import aggregating, load, views
 
 
 def by_sql(name, **tables):
@@ -116,3 +116,19 @@ def test_meetings_in_cells_equal_brute_force(spark, most, hot, monkeypatch):
     frame = spark.createDataFrame(sets, "id long, kind string, items array<long>")
     found = Counter((r.a, r.b) for r in N.jaccard_pairs(frame, 0.6, hot).collect())
     assert found == brute_force(sets, 0.6) and len(found) > 50
+
+
+def test_resolve_duplicates_sends_no_text_through_the_join_of_scores(spark, tmp_path, monkeypatch):
+    text = ["a b c d e f g h i j", "a b c d e f g h i j", "a b c d e f g h i k", "other words", " ", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", 3) for i, t in enumerate(text, 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    for name, df in (("documents", docs), ("labels", labels)):
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    joined = []
+    look_up = views.with_scores
+    monkeypatch.setattr(aggregating, "with_scores", lambda s, d, rows: (joined.append(rows.columns), look_up(s, d, rows))[1])
+    got = {(r.id, r.reason) for r in load().QUERIES["resolve_duplicates"](spark, str(tmp_path)).collect()}
+    # 7 of 9 shingles are shared by 1 and 3
+    assert got == {(2, "exact_duplicate_of_1"), (3, "near_duplicate_of_1")}
+    assert joined == [["doc_id", "digest"]]
+    assert got == set(by_sql("resolve_duplicates", **{n: str(tmp_path / f"{n}.parquet") for n in ("documents", "labels")}))
