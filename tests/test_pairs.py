@@ -4,12 +4,16 @@ import itertools
 import os
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loomset.operators import listed, setgroups
+from loomset.operators import listed, setblocks, setgroups
 from loomset.operators import neardup as N
 from loomset.operators import vectors as V
 from loomset.plans import aggregating, load, views
@@ -132,3 +136,21 @@ def test_resolve_duplicates_sends_no_text_through_the_join_of_scores(spark, tmp_
     assert got == {(2, "exact_duplicate_of_1"), (3, "near_duplicate_of_1")}
     assert joined == [["doc_id", "digest"]]
     assert got == set(by_sql("resolve_duplicates", **{n: str(tmp_path / f"{n}.parquet") for n in ("documents", "labels")}))
+
+
+@pytest.mark.parametrize("common, meetings, room", [(1, 5, 60), (16, 1 << 22, 1 << 20), (4096, 7, 300)])
+def test_blocks_count_shared_items_exactly(spark, common, meetings, room, monkeypatch):
+    for name, value in (("_COMMON", common), ("_MEETINGS", meetings), ("_ROOM", room)):
+        monkeypatch.setattr(setblocks, name, value)
+    rnd = random.Random(9)
+    sets = [(i, rnd.choice("ab"), rnd.sample(range(60), rnd.choice([1, 4, 12, 30]))) for i in range(150)]
+    frame = spark.createDataFrame([*sets, sets[7]], "id long, kind string, items array<long>")
+    assert Counter((r.a, r.b) for r in N.jaccard_pairs(frame, 0.3).collect()) == brute_force([*sets, sets[7]], 0.3)
+    # exact counts, not bounds: nothing is left to be decided on the items
+    monkeypatch.setattr(setblocks, "_ROOM", 100)
+    monkeypatch.setattr(setblocks.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    named = np.arange(common)
+    packed = next(setblocks._pack(named)([pd.DataFrame({"id": [0, 1, 2], "kind": 0, "n": [3, 2, 1], "items": [[0, 5, 70], [5, 70], [9]]})]))
+    batch = pa.RecordBatch.from_pandas(packed.add_prefix("l_"))
+    block = setblocks._Sets(batch, 0, "l", common)
+    assert setblocks._shared(block, block).tolist() == [[3, 2, 0], [2, 2, 0], [0, 0, 1]]
